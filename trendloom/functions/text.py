@@ -114,4 +114,4 @@ def normalize_genre(c: Column) -> Column:
 def tokens(c: Column) -> Column:
     """Distinct whitespace-separated tokens, sorted."""
     parts = F.filter(F.split(c, rf"(?U){_WS}+"), lambda t: t != "")
-    return F.array_sort(F.array_distinct(parts))
+    return F.sort_array(F.array_distinct(parts))

@@ -59,14 +59,20 @@ def indel_distance(x: pd.Series, y: pd.Series) -> pd.Series:
     )
 
 
+def _computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns behind a generator.
+
+    A filter on them is then not pushed below it, which would copy their expressions into every
+    place the filter mentions them.
+    """
+    one = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(one)))
+
+
 def _profile(df: DataFrame, text: str, side: str) -> DataFrame:
     """Token set and joined length of each text; texts without a token match nothing."""
-    toks = tokens(F.col(text))
-    return (
-        df.withColumn(f"{side}_tokens", toks)
-        .where(F.size(f"{side}_tokens") > 0)
-        .withColumn(f"{side}_len", F.length(F.array_join(f"{side}_tokens", " ")))
-    )
+    split = _computed(df, **{f"{side}_tokens": tokens(F.col(text))}).where(F.size(f"{side}_tokens") > 0)
+    return split.withColumn(f"{side}_len", F.length(F.array_join(f"{side}_tokens", " ")))
 
 
 def _rare_tokens(side_df: DataFrame, freq: DataFrame, text: str, side: str, budget: Column) -> DataFrame:
@@ -104,22 +110,22 @@ def _token_candidates(q: DataFrame, k: DataFrame, delta: float) -> list[DataFram
     ]
 
 
-def _grams(toks: str) -> Column:
-    """Letter pairs of the space-padded tokens, numbered so that repeats count.
+def _with_grams(side_df: DataFrame, side: str) -> DataFrame:
+    """One row per letter pair of the space-padded tokens, numbered so that repeats count.
 
-    They do not depend on the order of the tokens.
+    The pairs do not depend on the order of the tokens. Sorting them first makes the number of a
+    repeat its distance from the first of its kind.
     """
-    pairs = F.flatten(
-        F.transform(
-            toks,
-            lambda t: F.transform(
-                F.sequence(F.lit(1), F.length(t) + 1),
-                lambda i: F.substring(F.concat(F.lit(" "), t, F.lit(" ")), i, F.lit(2)),
-            ),
-        )
+
+    def pairs(t: Column) -> Column:
+        padded = F.concat(F.lit(" "), t, F.lit(" "))
+        return F.transform(F.sequence(F.lit(1), F.length(t) + 1), lambda i: F.substring(padded, i, F.lit(2)))
+
+    ordered = _computed(side_df, _pairs=F.sort_array(F.flatten(F.transform(f"{side}_tokens", pairs))))
+    repeat = F.transform(
+        "_pairs", lambda g, i: F.concat(g, (i - F.array_position(F.col("_pairs"), g)).cast("string"))
     )
-    ordered = F.array_sort(pairs)
-    return F.transform(ordered, lambda g, i: F.concat(g, (i - F.array_position(ordered, g)).cast("string")))
+    return ordered.withColumn("gram", F.explode(repeat)).drop("_pairs")
 
 
 def _gram_prefix(side_df: DataFrame, freq: DataFrame, text: str, side: str, delta: float) -> DataFrame:
@@ -144,8 +150,7 @@ def _gram_candidates(q: DataFrame, k: DataFrame, delta: float) -> DataFrame:
     rare ones first, two such texts share one early on: within a prefix, and at
     positions that leave enough pairs behind them. Lengths must be near as well.
     """
-    q = q.withColumn("gram", F.explode(_grams("q_tokens")))
-    k = k.withColumn("gram", F.explode(_grams("k_tokens")))
+    q, k = _with_grams(q, "q"), _with_grams(k, "k")
     freq = k.groupBy("gram").agg(F.count("*").alias("gram_freq"))
     k_prefix = _gram_prefix(k, freq, "key", "k", delta)
     q_prefix = _gram_prefix(q, freq, "kw", "q", delta)
@@ -159,16 +164,6 @@ def _gram_candidates(q: DataFrame, k: DataFrame, delta: float) -> DataFrame:
     )
 
 
-def _computed(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns behind a generator.
-
-    A filter on them is then not pushed below it, which would copy their expressions into every
-    place the filter mentions them.
-    """
-    one = F.struct(*[c.alias(name) for name, c in columns.items()])
-    return df.select("*", F.inline(F.array(one)))
-
-
 def _with_score(pairs: DataFrame, cutoff: float) -> DataFrame:
     delta = 1 - cutoff / 100
     pairs = _computed(
