@@ -32,6 +32,7 @@ from trendloom.functions.text import tokens
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _EPS = 1e-9
+_WORDS = 4
 
 
 def _indel(x: str, y: str) -> int:
@@ -70,9 +71,13 @@ def _computed(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def _profile(df: DataFrame, text: str, side: str) -> DataFrame:
-    """Token set and joined length of each text; texts without a token match nothing."""
-    split = _computed(df, **{f"{side}_tokens": tokens(F.col(text))}).where(F.size(f"{side}_tokens") > 0)
-    return split.withColumn(f"{side}_len", F.length(F.array_join(f"{side}_tokens", " ")))
+    """Sorted distinct tokens of each text, as one space-joined text; texts without a token match nothing."""
+    joined = F.array_join(tokens(F.col(text)), " ")
+    return _computed(df, **{f"{side}_norm": joined}).where(F.col(f"{side}_norm") != "")
+
+
+def _token_list(side: str) -> Column:
+    return F.split(f"{side}_norm", " ")
 
 
 def _rare_tokens(side_df: DataFrame, freq: DataFrame, text: str, side: str, budget: Column) -> DataFrame:
@@ -81,7 +86,7 @@ def _rare_tokens(side_df: DataFrame, freq: DataFrame, text: str, side: str, budg
     A token weighs its length plus one. If none of these tokens were shared, the unshared part
     would outweigh the budget.
     """
-    each = side_df.withColumn("token", F.explode(f"{side}_tokens")).join(freq, "token", "left")
+    each = side_df.withColumn("token", F.explode(_token_list(side))).join(freq, "token", "left")
     rarest = Window.partitionBy(text).orderBy(F.coalesce("token_freq", F.lit(0)), "token")
     spent = F.sum(F.length("token") + 1).over(rarest.rowsBetween(Window.unboundedPreceding, -1))
     return each.withColumn("_spent", F.coalesce(spent, F.lit(0))).where(F.col("_spent") <= budget)
@@ -97,11 +102,11 @@ def _token_candidates(q: DataFrame, k: DataFrame, delta: float) -> list[DataFram
     what keeps the pairs of a hot token few.
     """
     share = 2 * delta / (1 + delta)
-    freq = k.select(F.explode("k_tokens").alias("token")).groupBy("token").agg(F.count("*").alias("token_freq"))
-    k_all = k.withColumn("token", F.explode("k_tokens"))
-    q_all = q.withColumn("token", F.explode("q_tokens"))
-    k_rare = _rare_tokens(k, freq, "key", "k", F.col("k_len") * share + _EPS)
-    q_rare = _rare_tokens(q, freq, "kw", "q", F.col("q_len") * share + _EPS)
+    k_all = k.withColumn("token", F.explode(_token_list("k")))
+    q_all = q.withColumn("token", F.explode(_token_list("q")))
+    freq = k_all.groupBy("token").agg(F.count("*").alias("token_freq"))
+    k_rare = _rare_tokens(k, freq, "key", "k", F.length("k_norm") * share + _EPS)
+    q_rare = _rare_tokens(q, freq, "kw", "q", F.length("q_norm") * share + _EPS)
     q_rare = q_rare.where(F.col("token_freq").isNotNull())
     drop = ["token", "token_freq", "_spent"]
     return [
@@ -110,37 +115,49 @@ def _token_candidates(q: DataFrame, k: DataFrame, delta: float) -> list[DataFram
     ]
 
 
-def _with_grams(side_df: DataFrame, side: str) -> DataFrame:
-    """One row per letter pair of the space-padded tokens, numbered so that repeats count.
+def _with_grams(side_df: DataFrame, text: str, side: str) -> DataFrame:
+    """One row per letter pair of the space-padded text; which pairs there are does not depend on token order.
 
-    The pairs do not depend on the order of the tokens. Sorting them first makes the number of a
-    repeat its distance from the first of its kind.
+    Repeats of a pair are told apart by their number.
     """
-
-    def pairs(t: Column) -> Column:
-        padded = F.concat(F.lit(" "), t, F.lit(" "))
-        return F.transform(F.sequence(F.lit(1), F.length(t) + 1), lambda i: F.substring(padded, i, F.lit(2)))
-
-    ordered = _computed(side_df, _pairs=F.sort_array(F.flatten(F.transform(f"{side}_tokens", pairs))))
-    repeat = F.transform(
-        "_pairs", lambda g, i: F.concat(g, (i - F.array_position(F.col("_pairs"), g)).cast("string"))
-    )
-    return ordered.withColumn("gram", F.explode(repeat)).drop("_pairs")
+    norm = F.col(f"{side}_norm")
+    padded = F.concat(F.lit(" "), norm, F.lit(" "))
+    pairs = F.transform(F.sequence(F.lit(1), F.length(norm) + 1), lambda i: F.substring(padded, i, F.lit(2)))
+    repeat = F.row_number().over(Window.partitionBy(text, "pair").orderBy("pair"))
+    each = side_df.withColumn("pair", F.explode(pairs)).withColumn("repeat", repeat)
+    return each.withColumn("gram", F.concat("pair", F.col("repeat").cast("string"))).drop("pair", "repeat")
 
 
 def _gram_prefix(side_df: DataFrame, freq: DataFrame, text: str, side: str, delta: float) -> DataFrame:
-    """The rarest letter pairs of each text, as many as needed to meet any partner in one of them."""
-    n = F.col(f"{side}_len")
+    """The rarest letter pairs of each text, as many as needed to meet any partner in one of them.
+
+    Each row also carries a bitmap of all the text's letter pairs, hashed.
+    """
+    n = F.length(f"{side}_norm")
     least_common = F.ceil(n * ((1 - 3 * delta) / (1 + delta)) + 1 - _EPS)
     rarest = Window.partitionBy(text).orderBy(F.coalesce("gram_freq", F.lit(0)), "gram")
+    hashed = F.pmod(F.xxhash64("gram"), F.lit(64 * _WORDS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(hashed, F.lit(64)).cast("int"))
+    words = {
+        f"{side}_bits{w}": F.bit_or(F.when(F.floor(hashed / 64) == w, bit).otherwise(0)).over(Window.partitionBy(text))
+        for w in range(_WORDS)
+    }
     return (
         side_df.join(freq, "gram", "left")
-        .withColumn(f"{side}_pos", F.row_number().over(rarest) - 1)
+        .withColumns({f"{side}_pos": F.row_number().over(rarest) - 1, **words})
         .where(F.col(f"{side}_pos") < n + 1 - least_common + 1)
         .drop("gram_freq")
     )
 
 
+def _missing(side: str, other: str) -> Column:
+    """Bits of one side the other lacks; each stands for at least one letter pair it lacks."""
+    counts = [
+        F.bit_count(F.col(f"{side}_bits{w}").bitwiseAND(F.bitwise_not(f"{other}_bits{w}"))) for w in range(_WORDS)
+    ]
+    return sum(counts[1:], counts[0])
+
+
 def _gram_candidates(q: DataFrame, k: DataFrame, delta: float) -> DataFrame:
     """Pairs whose texts are near in letters.
 
@@ -148,29 +165,31 @@ def _gram_candidates(q: DataFrame, k: DataFrame, delta: float) -> DataFrame:
     one letter pair more than its length; a deletion loses two of them, an insertion one. So both
     share at least (0.5 - 1.5 * delta) * (sum of lengths) + 1 pairs. With all pairs in one order,
     rare ones first, two such texts share one early on: within a prefix, and at
-    positions that leave enough pairs behind them. Lengths must be near as well.
+    positions that leave enough pairs behind them. Lengths must be near as well, and the bitmaps
+    of all pairs must not differ in more bits than pairs may be missing. All of this is part of
+    the join condition, so pairs that fail it are never emitted.
     """
-    q, k = _with_grams(q, "q"), _with_grams(k, "k")
+    q, k = _with_grams(q, "kw", "q"), _with_grams(k, "key", "k")
     freq = k.groupBy("gram").agg(F.count("*").alias("gram_freq"))
-    k_prefix = _gram_prefix(k, freq, "key", "k", delta)
+    k_prefix = _gram_prefix(k, freq, "key", "k", delta).withColumnRenamed("gram", "_gram")
     q_prefix = _gram_prefix(q, freq, "kw", "q", delta)
-    total = F.col("q_len") + F.col("k_len")
-    near = F.abs(F.col("q_len") - F.col("k_len")) <= total * delta + _EPS
-    left = 1 + F.least(F.col("q_len") - F.col("q_pos"), F.col("k_len") - F.col("k_pos"))
-    enough = left >= total * (0.5 - 1.5 * delta) + 1 - _EPS
-    k_prefix = k_prefix.withColumnRenamed("gram", "_gram")
-    return q_prefix.hint("merge").join(k_prefix, (F.col("gram") == F.col("_gram")) & near & enough).drop(
-        "gram", "_gram", "q_pos", "k_pos"
-    )
+    q_len, k_len = F.length("q_norm"), F.length("k_norm")
+    common = (q_len + k_len) * (0.5 - 1.5 * delta) + 1 - _EPS
+    near = F.abs(q_len - k_len) <= (q_len + k_len) * delta + _EPS
+    behind = 1 + F.least(q_len - F.col("q_pos"), k_len - F.col("k_pos")) >= common
+    alike = (_missing("q", "k") <= q_len + 1 - common) & (_missing("k", "q") <= k_len + 1 - common)
+    same = F.col("gram") == F.col("_gram")
+    return q_prefix.hint("merge").join(k_prefix, same & near & behind & alike)
 
 
 def _with_score(pairs: DataFrame, cutoff: float) -> DataFrame:
     delta = 1 - cutoff / 100
+    pairs = _computed(pairs, _q=_token_list("q"), _k=_token_list("k"))
     pairs = _computed(
         pairs,
-        _s=F.length(F.array_join(F.array_intersect("q_tokens", "k_tokens"), " ")),
-        _x=F.array_join(F.array_except("q_tokens", "k_tokens"), " "),
-        _y=F.array_join(F.array_except("k_tokens", "q_tokens"), " "),
+        _s=F.length(F.array_join(F.array_intersect("_q", "_k"), " ")),
+        _x=F.array_join(F.array_except("_q", "_k"), " "),
+        _y=F.array_join(F.array_except("_k", "_q"), " "),
     )
     s, a, b = F.col("_s"), F.length("_x"), F.length("_y")
     total = 2 * (s + F.when(s > 0, 1).otherwise(0)) + a + b
@@ -198,7 +217,13 @@ def _with_score(pairs: DataFrame, cutoff: float) -> DataFrame:
 
 
 def _sides(keywords: DataFrame, lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
-    q = _profile(keywords.select("kw").distinct(), "kw", "q")
+    """Both sides of the join, one row per text.
+
+    Keywords get the full number of partitions: they are few bytes now, which would let adaptive
+    execution merge them into few tasks, but many rows once taken apart.
+    """
+    parts = int(keywords.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    q = _profile(keywords.select("kw").repartition(parts, "kw").distinct(), "kw", "q")
     k = _profile(lookup.select(F.col("keyword").alias("key"), "genre", "ordinal"), "key", "k")
     return q, k
 
@@ -217,9 +242,8 @@ def token_subset_join(keywords: DataFrame, lookup: DataFrame) -> DataFrame:
     q, k = _sides(keywords, lookup)
     pairs = None
     for branch in _token_candidates(q, k, delta=0.0):
-        covered = (F.size(F.array_except("q_tokens", "k_tokens")) == 0) | (
-            F.size(F.array_except("k_tokens", "q_tokens")) == 0
-        )
+        branch = _computed(branch, _q=_token_list("q"), _k=_token_list("k"))
+        covered = (F.size(F.array_except("_q", "_k")) == 0) | (F.size(F.array_except("_k", "_q")) == 0)
         branch = branch.where(covered).select("kw", "key", "genre", "ordinal", F.lit(100.0).alias("score"))
         pairs = branch if pairs is None else pairs.unionByName(branch)
     return _first_best(pairs)
@@ -234,7 +258,7 @@ def fuzzy_join(keywords: DataFrame, lookup: DataFrame, cutoff: float = 85, min_l
         raise ValueError("cutoff must lie between 67 and 100: below that no candidate filter holds")
     delta = 1 - cutoff / 100
     q, k = _sides(keywords.where(F.length("kw") >= min_len), lookup)
-    columns = ["kw", "q_tokens", "key", "k_tokens", "genre", "ordinal"]
+    columns = ["kw", "q_norm", "key", "k_norm", "genre", "ordinal"]
     pairs = _gram_candidates(q, k, delta).select(*columns)
     for branch in _token_candidates(q, k, delta):
         pairs = pairs.unionByName(branch.select(*columns))

@@ -54,7 +54,7 @@ _RAW_COLUMNS = "eventid, datetime, user_id, keyword, category, proxy_isp, platfo
 def scan_raw_events(spark, sf):
     path = staging_path(spark, "raw")
     rows = t.search_log(spark, sf).drop("hour").withColumns(
-        {"hour": F.lit("all"), "derived_genre": F.lit("ALL"), "platform_group": devices.platform_group(c("platform"))}
+        {"hour": F.lit("all"), "derived_genre": F.lit("ALL"), "platform_group": F.lit("ALL")}
     )
     rows.repartition("dt").write.partitionBy("dt", "hour", "derived_genre", "platform_group").parquet(path)
     return raw_events.scan_raw_events(spark, path).select(*_RAW_COLUMNS.split(", "), "dt")
@@ -809,7 +809,7 @@ def stream_raw_sink(spark, sf):
     _encoded(spark, sf).write.parquet(folder)
     out = staging_path(spark, "raw-sink")
     stream = spark.readStream.schema("data string").parquet(folder)
-    jobs.run_to_end(*jobs.start_raw_sink(stream, out, available_now=True))
+    jobs.run_to_end(*jobs.start_raw_sink(stream, out, available_now=True, keys=["dt"]))
     good = spark.read.schema(jobs.SINK_SCHEMA).parquet(f"{out}/data")
     dead = spark.read.schema("data string").parquet(f"{out}/dead")
     key = F.nullif("dt", F.lit("__HIVE_DEFAULT_PARTITION__"))

@@ -6,6 +6,8 @@ its own batch id, so a batch run again after a failure replaces what it wrote be
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,6 +66,7 @@ def start_raw_sink(
     out: str,
     available_now: bool = False,
     every: str = "60 seconds",
+    keys: Sequence[str] = tuple(RAW_PARTITIONS.names),
     files_per_key: int = 1,
 ) -> list[StreamingQuery]:
     """Decode base64 JSON records into the partitioned raw table ``out/data``.
@@ -77,11 +80,10 @@ def start_raw_sink(
         {"dt": F.left("datetime", F.lit(10)), "hour": F.substring("datetime", 12, 2)}
     )
     slot = F.pmod(F.xxhash64("eventid"), F.lit(files_per_key))
-    keys = RAW_PARTITIONS.names
-    rows = keyed.repartition(*keys, slot).writeStream.partitionBy(*keys).format("parquet").option("path", f"{out}/data")
+    rows = keyed.repartition(*keys, slot).writeStream.partitionBy(*keys).format("parquet")
     letters = dead.writeStream.format("parquet").option("path", f"{out}/dead")
     return [
-        _start(rows, f"{out}/_checkpoint/data", available_now, every),
+        _start(rows.option("path", f"{out}/data"), f"{out}/_checkpoint/data", available_now, every),
         _start(letters, f"{out}/_checkpoint/dead", available_now, every),
     ]
 
