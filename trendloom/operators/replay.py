@@ -22,10 +22,11 @@ def replay_order(
     rows, so it is numbered minute by minute; its timeless rows, which all share one minute, by
     the first characters of their id.
     """
-    seconds = F.coalesce(F.unix_seconds(ts), F.lit(0))
-    part = F.when(seconds == 0, F.left(F.col(id_col), F.lit(3))).otherwise("")
-    sliced = F.struct(F.floor(seconds / slice_seconds).alias("minute"), part.alias("part"))
     micros = F.coalesce(F.unix_micros(ts), F.lit(0))
+    part = F.when(micros == 0, F.left(F.col(id_col), F.lit(3))).otherwise("")
+    sliced = F.struct(
+        F.signum(micros).alias("side"), F.floor(micros / (slice_seconds * 1_000_000)).alias("minute"), part.alias("part")
+    )
     numbered = row_number_in_slices(
         events.withColumn("_us", micros), [file_col], ["_us", id_col], sliced, "rn"
     ).drop("_us")

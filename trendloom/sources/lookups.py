@@ -62,7 +62,7 @@ def read_keyword_csv(
     spark: SparkSession, path: str, known: DataFrame | None = None, limit: int | None = 20000
 ) -> DataFrame:
     """``keyword_norm`` column of a CSV, unquoted, without empty or already known keywords."""
-    raw = spark.read.option("header", "true").csv(path)
+    raw = spark.read.csv(path, header=True, escape='"', multiLine=True)
     keyword = F.regexp_replace(strip(F.col("keyword_norm")), '^"+|"+$', "")
     rows = raw.select(keyword.alias("keyword_norm")).where(F.col("keyword_norm") != "")
     if known is not None:
