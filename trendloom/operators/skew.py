@@ -42,34 +42,28 @@ def salted_left_join(
 ) -> DataFrame:
     """``facts LEFT JOIN dim USING (key)`` where ``dim`` has one row per key.
 
-    Rows of a hot key go to ``salts`` places and the key's row in ``dim`` is copied to each of
-    them. Null keys never match, so they are spread as well. ``dim_rows`` names the column of
+    Rows of a hot key go to up to ``salts`` places and the key's row in ``dim`` is copied to each
+    of them. Null keys never match, so they are spread as well. ``dim_rows`` names the column of
     ``dim`` holding each key's number of fact rows; without it the hot keys are sketched.
     """
     if dim_rows:
-        hot = (
-            dim.where(F.col(dim_rows) >= min_rows)
-            .orderBy(F.desc(dim_rows))
-            .limit(MAX_HOT_KEYS)
-            .select(F.col(key).alias("_hot"))
-        )
+        # In proportion to its rows, so all copies together are at most the facts / min_rows. A key
+        # beyond the broadcast limit still meets its rows: they all stay at salt 0.
+        places = F.least(F.lit(salts), F.greatest(F.ceil(F.col(dim_rows) / min_rows), F.lit(1))).cast("int")
+        marked = dim.withColumn("_places", places)
+        hot = marked.where("_places > 1").orderBy(F.desc(dim_rows)).limit(MAX_HOT_KEYS)
+        hot = F.broadcast(hot.select(F.col(key).alias("_hot"), F.col("_places").alias("_spread")))
     else:
-        hot = hot_values(facts, F.col(key), "_hot", min_rows)
-    hot = F.broadcast(hot)
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
+        hot = hot_values(facts, F.col(key), "_hot", min_rows).withColumn("_spread", F.lit(salts))
+        hot = F.broadcast(hot)
+        marked = dim.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_places", F.coalesce("_spread", F.lit(1)))
+        marked = marked.drop("_hot", "_spread")
+    right = marked.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_places") - 1))).drop("_places")
+    spread = F.when(F.col(key).isNull(), F.lit(salts)).otherwise(F.coalesce("_spread", F.lit(1)))
     left = (
         facts.join(hot, F.col(key) == F.col("_hot"), "left")
-        .withColumn(
-            "_salt",
-            F.when(F.col(key).isNull() | F.col("_hot").isNotNull(), salt).otherwise(F.lit(0)),
-        )
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1)))
-    right = (
-        dim.join(hot, F.col(key) == F.col("_hot"), "left")
-        .withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-        .drop("_hot")
+        .withColumn("_salt", F.pmod(F.xxhash64(spread_by), spread).cast("int"))
+        .drop("_hot", "_spread")
     )
     return left.join(right, [key, "_salt"], "left").drop("_salt")
 

@@ -74,7 +74,9 @@ def curate(
     Keywords are classified once each. Their labels are written to the shared folder, which
     the join back to the events reads twice: for its hot keys and for the labels themselves.
     ``label_provider`` is asked about the 2,000 most frequent keywords left UNKNOWN that the
-    extended lookup does not hold. Sessions are sorted by the short readable key; the hash comes after.
+    extended lookup does not hold. Sessions are sorted by the short readable key; the hash comes
+    after. They come before the genres, so that looking for hot sessions reads the raw columns and
+    nothing that took a shuffle to make.
     """
     if window:
         raw = raw.where(window.covers(F.col("dt")))
@@ -90,6 +92,6 @@ def curate(
         if lut_ext is not None:
             extra = lut_ext.select("keyword", "genre").unionByName(extra)
         labels = stage(lut_unknown_fallback(labels, extra), "labels")
-    curated = with_genre(rows, labels, hot_rows=hot_rows)
-    curated = with_repeat_flag(curated, F.col(_SESSION), null_sessions, hot_rows)
+    curated = with_repeat_flag(rows, F.col(_SESSION), null_sessions, hot_rows)
+    curated = with_genre(curated, labels, hot_rows=hot_rows)
     return curated.withColumn("search_session_id", F.sha2(_SESSION, 256)).select(*CURATED.names)
