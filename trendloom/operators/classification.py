@@ -127,19 +127,16 @@ def distinct_keywords(events: DataFrame) -> DataFrame:
     return events.where(F.col("keyword_norm").isNotNull()).groupBy("keyword_norm").agg(F.count("*").alias("n"))
 
 
-def lut_unknown_fallback(df: DataFrame, combined: DataFrame) -> DataFrame:
-    """Look up the rows still UNKNOWN in ``combined`` (keyword, genre); other rows keep their genre."""
-    right = combined.select(
-        F.col("keyword").alias("_kw"), F.col("genre").alias("_genre")
-    )
-    open_row = (F.col("derived_genre") == UNKNOWN) & F.col("keyword_norm").isNotNull()
-    return (
-        df.join(right, open_row & (F.col("keyword_norm") == F.col("_kw")), "left")
-        .withColumn(
-            "derived_genre", F.when(open_row, F.coalesce("_genre", F.lit(UNKNOWN))).otherwise(F.col("derived_genre"))
-        )
-        .drop("_kw", "_genre")
-    )
+def lut_unknown_fallback(df: DataFrame, combined: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Look up the rows still UNKNOWN in ``combined`` (keyword, genre); other rows keep their genre.
+
+    Rows with nothing to look up get a null key, so the salted join spreads them.
+    """
+    right = combined.select(F.col("keyword").alias("_kw"), F.col("genre").alias("_genre"))
+    open_row = F.col("derived_genre") == UNKNOWN
+    keyed = df.withColumn("_kw", F.when(open_row, F.col("keyword_norm")))
+    joined = salted_left_join(keyed, right, "_kw", F.struct(*df.columns), min_rows=hot_rows)
+    return joined.withColumn("derived_genre", F.coalesce("_genre", "derived_genre")).select(*df.columns)
 
 
 def unknown_top_keywords(df: DataFrame, n: int = 2000) -> DataFrame:

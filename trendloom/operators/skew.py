@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # A frame of hot keys never has more rows than this, which is what makes broadcasting it safe.
 MAX_HOT_KEYS = 1000
 HOT_ROWS = 2_000_000
+MAX_BROADCAST_ROWS = 100_000
 
 
 def hot_values(df: DataFrame, key: Column, name: str, min_rows: int = HOT_ROWS) -> DataFrame:
@@ -69,7 +70,12 @@ def salted_left_join(
 
 
 def rank_desc(
-    df: DataFrame, groups: Sequence[str], value: str, name: str, limit: int | None = None
+    df: DataFrame,
+    groups: Sequence[str],
+    value: str,
+    name: str,
+    limit: int | None = None,
+    max_groups: int | None = None,
 ) -> DataFrame:
     """SQL ``RANK() OVER (PARTITION BY groups ORDER BY value DESC)``, rows in parallel.
 
@@ -77,7 +83,8 @@ def rank_desc(
     only depends on how many rows of its group have a larger value, so it is read off a
     histogram of the values: one window over (group, value) pairs, then a join back. With
     ``limit`` only ranks up to it are kept, ties included; the histogram then has at most
-    ``limit`` entries per group.
+    ``limit`` entries per group. A caller whose groups come from closed domains gives their
+    number as ``max_groups``: where that proves the histogram small, it is broadcast.
     """
     hist = df.groupBy(*groups, value).agg(F.count("*").alias("_n"))
     above = Window.partitionBy(*groups).orderBy(F.desc_nulls_last(value)).rowsBetween(Window.unboundedPreceding, -1)
@@ -86,6 +93,8 @@ def rank_desc(
         ranks = ranks.where(F.col(name) <= limit)
     keys = [*groups, value]
     right = ranks.select(*[F.col(c).alias(f"_r_{c}") for c in keys], name)
+    if limit and max_groups and limit * max_groups <= MAX_BROADCAST_ROWS:
+        right = F.broadcast(right)
     on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys])
     return df.join(right, on, "inner").drop(*[f"_r_{c}" for c in keys])
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.operators.skew import rank_desc
-from trendloom.schemas import GOLD
+from trendloom.schemas import GENRES, GOLD, PLATFORMS
 from trendloom.sources.raw_events import DateWindow
 
 # Fixed value: the rank that stands for "no history".
@@ -80,7 +80,8 @@ def keyword_trends(
     """
     scope = (["trend_date"] if rank_by_date else []) + _SLOT
     stats = keyword_daily_stats(curated, window or DateWindow.last_days(as_of, 1))
-    today = rank_desc(stats, scope, "enter_count", "rank_today", limit=top_k)
+    slots = None if rank_by_date else len(GENRES) * len(PLATFORMS)
+    today = rank_desc(stats, scope, "enter_count", "rank_today", limit=top_k, max_groups=slots)
     return with_rank_history(today, rank_history(curated, as_of)).select(*GOLD.names)
 
 
