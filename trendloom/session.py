@@ -25,9 +25,15 @@ def build_session(app: str = "trendloom", master: str | None = None, **conf: str
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings every operator relies on to a session made elsewhere."""
+    """Apply the runtime settings every operator relies on to a session made elsewhere.
+
+    A local session gets no more shuffle partitions than it has cores; a cluster's number stays.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if spark.sparkContext.master.startswith("local"):
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set("spark.sql.shuffle.partitions", min(parts, spark.sparkContext.defaultParallelism))
     return spark
 
 
