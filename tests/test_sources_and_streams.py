@@ -13,7 +13,7 @@ from trendloom.streaming import jobs
 
 def raw(spark, *rows):
     """Rows of (id, datetime, keyword, category)."""
-    full = [(i, d, "u", k, c, "fpt", "web-x", "wifi", "view", ["VIP:1"]) for i, d, k, c in rows]
+    full = [(i, d, "u", k, c, "isp", "web-x", "wifi", "view", ["VIP:1"]) for i, d, k, c in rows]
     return spark.createDataFrame(full, RAW_DATA)
 
 

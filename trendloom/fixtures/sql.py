@@ -29,9 +29,9 @@ FROM (
         'Bóng Đá|bong da| nhạc vàng |Bolero|naruto|one piece tap 12|[VietSub] why her|conan (2024)|vtv3|VTV3|phim hàn|tây du ký|avengers|marvel|k+|goooooal|xyzzy|the|phim a|nhạc trẻ remix|running man|kiếm hiệp|phim việt|a',
         '|', CAST((event_id * 7 + user_id) % 24 AS INT) + 1) END AS keyword,
       CASE WHEN event_type = 'error' THEN 'quit' ELSE 'enter' END AS category,
-      CASE WHEN user_id % 11 = 0 THEN NULL ELSE split_part('vnpt|Viettel|FPT|mobifone', '|', CAST(user_id % 4 AS INT) + 1) END AS proxy_isp,
+      CASE WHEN user_id % 11 = 0 THEN NULL ELSE split_part('vnpt|Viettel|CMC|mobifone', '|', CAST(user_id % 4 AS INT) + 1) END AS proxy_isp,
       CASE WHEN event_id % 37 = 0 THEN NULL ELSE split_part(
-        'fplay-ottbox-2019|androidtvboxhis22|smarttv-lg|Smart-TV-Samsung|android|vsmart|iOS|web-playfpt|fplay-gr-android-box|box2018|Android TV|WEB', '|', CAST(event_id % 12 AS INT) + 1) END AS platform,
+        'fplay-ottbox-2019|androidtvboxhis22|smarttv-lg|Smart-TV-Samsung|android|vsmart|iOS|web-player|fplay-gr-android-box|box2018|Android TV|WEB', '|', CAST(event_id % 12 AS INT) + 1) END AS platform,
       CASE WHEN event_id % 41 = 0 THEN NULL ELSE split_part('wifi|WLAN|wwan|4G|5g|Ethernet|CAB|cable|###|NO-INTERNET', '|', CAST(event_id % 10 AS INT) + 1) END AS networktype,
       event_type AS action,
       CASE WHEN event_id % 4 = 0 OR user_id % 6 = 0 THEN NULL
