@@ -6,9 +6,8 @@ from tests.conftest import plan_of
 
 import __spark_entry__ as entry
 from scripts.check_oracles import connect, rows_of
+from trendloom.registry.queries import ORACLES, QUERIES
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
 PYTHON_OPERATORS = {"classify_keywords", "fuzzy_lut_join", "fuzzy_lut_ext_join", "label_residual", "ml_label"}
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,9 +39,11 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach: ``spark.checkpoint.dir``, or a local one where it is unset."""
+    """Folder all executors can reach: ``spark.checkpoint.dir``. Where it is unset, a local session gets a temporary one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="spark-trendloom-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")
