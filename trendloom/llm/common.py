@@ -117,3 +117,25 @@ def mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(32))
+
+
+def word_lists(text: bytes, size: int = 1 << 20) -> Iterable[list[bytes]]:
+    """The words of a text, lower-cased in A-Z, in lists of about ``size`` bytes so that long texts need little memory."""
+    at = 0
+    while at < len(text):
+        end = min(len(text), at + size)
+        while end < len(text) and text[end] not in b" \t\n\x0b\x0c\r":
+            end += 1
+        yield text[at:end].lower().split()
+        at = end
+
+
+def row_key(docs: DataFrame) -> DataFrame:
+    """docs as (id_key, text_key, row): two keys that are never null, and all columns as one struct."""
+    text = F.col("text").cast("string")
+    null_id = F.col("doc_id").isNull()
+    return docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id_key"),
+        F.xxhash64(text, null_id).alias("text_key"),
+        F.struct("*").alias("row"),
+    )

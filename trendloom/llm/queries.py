@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendloom.llm import suffix_dedup
+from trendloom.llm import simhash_dedup, suffix_dedup
 from trendloom.llm.common import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,13 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(source(spark, sf_dir, "documents"))
 
 
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(source(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_simhash_dedup": op5_simhash_dedup,
 }
 
 ORACLES: dict[str, str] = {}
