@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendloom.llm import simhash_dedup, suffix_dedup
+from trendloom.llm import decontaminate, simhash_dedup, suffix_dedup
 from trendloom.llm.common import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +20,14 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(source(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(source(spark, sf_dir, "documents"), source(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_decontaminate": op6_decontaminate,
 }
 
 ORACLES: dict[str, str] = {}
