@@ -139,3 +139,24 @@ def row_key(docs: DataFrame) -> DataFrame:
         F.xxhash64(text, null_id).alias("text_key"),
         F.struct("*").alias("row"),
     )
+
+
+def held_out(folds: int, fold: int) -> Column:
+    """Whether crc32 of doc_id as text leaves ``fold`` when divided by ``folds``; false for null ids."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)) == fold, F.lit(False))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, rows: int) -> DataFrame:
+    """(text, y): about ``rows`` labelled documents outside the held-out fold, the same ones at every run.
+
+    Ids are drawn by hash; if there are no more than ``rows``, all are taken. Null labels and ids do not count;
+    of labels that disagree on an id the larger holds. The drawn ids are bounded by ``rows`` and broadcast, so
+    that no text is shuffled.
+    """
+    ids = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(folds, fold))
+    ids = ids.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.col(label).cast("int")).alias("y"))
+    count = ids.count()
+    share = int(min(1.0, rows / max(count, 1)) * (1 << 40))
+    drawn = ids.where(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < share)
+    texts_ = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return texts_.join(F.broadcast(drawn), "id").select("text", "y")

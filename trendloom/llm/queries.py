@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendloom.llm import decontaminate, simhash_dedup, suffix_dedup
+from trendloom.llm import decontaminate, mixing, simhash_dedup, suffix_dedup, toxicity
 from trendloom.llm.common import source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(source(spark, sf_dir, "documents"), source(spark, sf_dir, "labels"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(source(spark, sf_dir, "documents"))
 
@@ -24,10 +28,16 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(source(spark, sf_dir, "documents"), source(spark, sf_dir, "benchmark"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(source(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_toxicity": op2_toxicity,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLES: dict[str, str] = {}
