@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendloom.llm import decontaminate, mixing, simhash_dedup, suffix_dedup, toxicity
+from trendloom.llm import decontaminate, language_id, mixing, simhash_dedup, suffix_dedup, toxicity
 from trendloom.llm.common import source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(source(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(source(spark, sf_dir, "documents"), source(spark, sf_dir, "labels"))
 
@@ -33,6 +37,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
