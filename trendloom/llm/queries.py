@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendloom.llm import decontaminate, language_id, mixing, simhash_dedup, suffix_dedup, toxicity
+from trendloom.llm import decontaminate, language_id, mixing, quality_gam, simhash_dedup, suffix_dedup, toxicity
 from trendloom.llm.common import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(source(spark, sf_dir, "documents"), source(spark, sf_dir, "benchmark"))
 
 
+def op9_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gam.scored(source(spark, sf_dir, "documents"), source(spark, sf_dir, "labels"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(source(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Query] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op9_quality_gam": op9_quality_gam,
     "op10_mixing": op10_mixing,
 }
 
