@@ -264,7 +264,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, split_rows: int = SPLI
     spark, gram = docs.sparkSession, max(1, length // 3)
     docs = keyed(docs)
     segments = stage(docs.mapInArrow(_segments(length, gram), _SEGMENT), "segments")
-    repeated = segments.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Written, so that the join deals out both sides by itself and can split an anchor that very many segments share.
+    repeated = stage(segments.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "repeated")
     same = ["anchor", "shape", "digest"]
     candidates = stage(segments.join(repeated, "anchor"), "candidates")
     common.discard(spark, common.folder_of(segments))
