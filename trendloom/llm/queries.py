@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendloom.llm import decontaminate, language_id, mixing, quality_gam, simhash_dedup, suffix_dedup, toxicity
+from trendloom.llm import chat_format, decontaminate, language_id, mixing, oracles, quality_gam, simhash_dedup, suffix_dedup, toxicity
 from trendloom.llm.common import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,15 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(source(spark, sf_dir, "documents"), source(spark, sf_dir, "labels"))
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = spark.sql(
+        "SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]')"
+        " AS t(conv_id, turn, role, text)"
+    )
+    turns = source(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.digests(chat_format.formatted_conversations(turns.unionByName(marked)))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(source(spark, sf_dir, "documents"))
 
@@ -43,6 +52,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
+    "op3_chat_format": op3_chat_format,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_decontaminate": op6_decontaminate,
@@ -50,4 +60,6 @@ QUERIES: dict[str, Query] = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_chat_format": oracles.OP3,
+}
