@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendloom.llm import chat_format, decontaminate, language_id, mixing, oracles, quality_gam, simhash_dedup, suffix_dedup, toxicity
+from trendloom.llm import chat_format, decontaminate, language_id, mixing, oracles, quality_gam, quality_rules, simhash_dedup, suffix_dedup, toxicity
 from trendloom.llm.common import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(source(spark, sf_dir, "documents"), source(spark, sf_dir, "benchmark"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(source(spark, sf_dir, "documents"), source(spark, sf_dir, "labels"))
+
+
 def op9_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.scored(source(spark, sf_dir, "documents"), source(spark, sf_dir, "labels"))
 
@@ -56,10 +60,12 @@ QUERIES: dict[str, Query] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op7_quality_rules": op7_quality_rules,
     "op9_quality_gam": op9_quality_gam,
     "op10_mixing": op10_mixing,
 }
 
 ORACLES: dict[str, str] = {
     "op3_chat_format": oracles.OP3,
+    "op7_quality_rules": oracles.OP7,
 }
