@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from trendloom.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES
+
 # Escapes of op3, outermost last: the backslash, then the four control strings.
 _ESCAPED = r"replace(replace(replace(replace(replace({0}, '\', '\\'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]')"
 
@@ -75,3 +77,36 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND rid NOT IN (SELECT rid FROM rejected) AS kept
 FROM judged
 """
+
+_PHRASES = ", ".join(f"('{p}', '{label}', {len(p.split())})" for p, label in PHRASES.items())
+_TEMPLATES = ", ".join(f"({i}, '{label}', list_distinct(string_split('{text}', ' ')))" for i, (label, text) in enumerate(TEMPLATES))
+
+# Every line against every template, without any filter.
+OP8 = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), split AS (
+    SELECT rid, doc_id, text, list_filter(regexp_split_to_array(text, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM docs
+), phrases AS (
+    SELECT string_split(phrase, ' ') AS phrase, label, k FROM (VALUES {_PHRASES}) AS p(phrase, label, k)
+), places AS (
+    SELECT rid, label, i - 1 AS start FROM (SELECT rid, words, label, phrase, k, unnest(range(1, len(words) + 1)) AS i FROM split, phrases)
+    WHERE words[i] = phrase[1] AND words[i : i + k - 1] = phrase
+), base AS (
+    SELECT rid, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, list(DISTINCT label) AS found FROM places GROUP BY rid
+), lines AS (
+    SELECT rid, list_distinct(regexp_split_to_array(unnest(string_split(text, chr(10))), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS tokens FROM split
+), templates AS (
+    SELECT * FROM (VALUES {_TEMPLATES}) AS t(template, label, tokens)
+), matches AS (
+    SELECT rid, label, len(list_intersect(l.tokens, t.tokens)) / len(t.tokens) AS containment FROM lines l, templates t
+    WHERE len(list_intersect(l.tokens, t.tokens)) >= ceil(len(t.tokens) * {CONTAINMENT} - 1e-9)
+), best AS (
+    SELECT rid, list(DISTINCT label) AS found, max(containment) AS best FROM matches GROUP BY rid
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(b.found), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.found, []), coalesce(m.found, [])))), ','), '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0)::DOUBLE END AS score
+FROM split LEFT JOIN base b USING (rid) LEFT JOIN best m USING (rid)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendloom.llm import chat_format, decontaminate, language_id, mixing, oracles, quality_gam, quality_rules, simhash_dedup, suffix_dedup, toxicity
+from trendloom.llm import chat_format, decontaminate, language_id, licenses, mixing, oracles, quality_gam, quality_rules, simhash_dedup, suffix_dedup, toxicity
 from trendloom.llm.common import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(source(spark, sf_dir, "documents"), source(spark, sf_dir, "labels"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(source(spark, sf_dir, "documents"))
+
+
 def op9_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.scored(source(spark, sf_dir, "documents"), source(spark, sf_dir, "labels"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_quality_rules": op7_quality_rules,
+    "op8_license_scan": op8_license_scan,
     "op9_quality_gam": op9_quality_gam,
     "op10_mixing": op10_mixing,
 }
@@ -68,4 +73,5 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op3_chat_format": oracles.OP3,
     "op7_quality_rules": oracles.OP7,
+    "op8_license_scan": oracles.OP8,
 }
