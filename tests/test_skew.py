@@ -3,6 +3,8 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
+
 from trendloom.operators import skew
 from trendloom.operators.sessions import with_repeat_flag
 
@@ -38,11 +40,19 @@ def test_salted_join_matches_the_plain_join(spark):
     )
     dim = spark.createDataFrame([("hot", 1, 280), ("a", 2, 40), ("z", 3, 0)], "k string, v int, n bigint")
     expected = facts.join(dim, "k", "left")
-    for dim_rows in ("n", None):
-        got = skew.salted_left_join(facts, dim, "k", F.col("i"), dim_rows=dim_rows, min_rows=100, salts=5)
+    for min_rows in (100, 1, None):
+        got = skew.salted_left_join(facts, dim, "k", F.col("i"), dim_rows="n", min_rows=min_rows)
         assert rows_of(got.select(expected.columns)) == rows_of(expected)
 
 
+def test_any_number_of_hot_keys(spark):
+    """All of 1,500 keys are split, as all have as many rows as it takes."""
+    facts = spark.range(6000).select((F.col("id") % 1500).cast("string").alias("k"), "id")
+    dim = spark.range(1500).select(F.col("id").cast("string").alias("k"), (F.col("id") * 2).alias("v"), F.lit(4).cast("long").alias("n"))
+    got = skew.salted_left_join(facts, dim, "k", F.col("id"), dim_rows="n", min_rows=2)
+    assert got.where("v = 2 * cast(k as long)").count() == 6000
+
+
 def sessions(spark, seed=4, n=400):
     rng = random.Random(seed)
     rows = [
@@ -50,7 +60,7 @@ def sessions(spark, seed=4, n=400):
         for i in range(n)
     ]
     df = spark.createDataFrame(rows, "event_id string, sec long, search_session_id string, keyword_norm string")
-    return rows, df.withColumn("event_ts", F.timestamp_seconds("sec"))
+    return rows, df.withColumn("event_ts", F.timestamp_seconds("sec")).withColumn("user_is_authenticated", F.col("search_session_id") == "s2")
 
 
 def brute_force(rows, isolated=False):
@@ -64,17 +74,18 @@ def brute_force(rows, isolated=False):
     return out
 
 
-def test_repeat_flag_with_and_without_hot_sessions(spark):
+def test_repeat_flag_with_and_without_shared_sessions(spark):
     rows, df = sessions(spark)
-    for hot_rows in (10**9, 40, 1):
-        flagged = with_repeat_flag(df, hot_rows=hot_rows)
+    for shared in (None, F.lit(False), F.lit(True), F.lit(None).cast("boolean")):
+        flagged = with_repeat_flag(df, shared=shared)
         assert {r.event_id: r.is_repeat_search for r in flagged.collect()} == brute_force(rows)
-    alone = with_repeat_flag(df, null_sessions="isolated", hot_rows=40)
+        assert "SinglePartition" not in plan_of(flagged) and "approx_top_k" not in plan_of(flagged)
+    alone = with_repeat_flag(df, null_sessions="isolated")
     assert {r.event_id: r.is_repeat_search for r in alone.collect()} == brute_force(rows, isolated=True)
 
 
 def test_repeat_flag_example(spark):
     rows = [(str(i), i, "s", k) for i, k in enumerate(["a", None, "a", "b"])]
     df = spark.createDataFrame(rows, "event_id string, sec long, search_session_id string, keyword_norm string")
-    flagged = with_repeat_flag(df.withColumn("event_ts", F.timestamp_seconds("sec")))
+    flagged = with_repeat_flag(df.withColumn("event_ts", F.timestamp_seconds("sec")).withColumn("user_is_authenticated", F.lit(True)))
     assert [r.is_repeat_search for r in flagged.orderBy("event_id").collect()] == [None, None, True, False]

@@ -1,6 +1,7 @@
 import base64
 import json
 import os
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,12 +63,44 @@ def curated(spark, *rows):
 def test_curated_write_replaces_whole_days_only(spark, tmp_path):
     path = str(tmp_path / "curated")
     sinks.write_curated(curated(spark, ("1", "d1", "NHAC"), ("2", "d1", "ANIME"), ("3", "d2", "NHAC")), path)
-    for days in (None, ["d1"]):
-        sinks.write_curated(curated(spark, ("4", "d1", "NHAC")), path, days=days)
+    for _ in range(2):
+        sinks.write_curated(curated(spark, ("4", "d1", "NHAC")), path)
         got = spark.read.schema(CURATED).parquet(path)
         assert sorted((r.event_id, r.dt, r.derived_genre) for r in got.collect()) == [("3", "d2", "NHAC"), ("4", "d1", "NHAC")]
 
 
+def test_days_with_odd_names_are_replaced(spark, tmp_path):
+    path, odd = str(tmp_path / "curated"), ["\t2024-01-0", "2024/01/01", "2024-01-0:", "", None, "a=b", "%"]
+    for _ in range(2):
+        sinks.write_curated(curated(spark, *[(str(i), d, "NHAC") for i, d in enumerate(odd)]), path)
+        assert sorted(r.event_id for r in spark.read.schema(CURATED).parquet(path).collect()) == [str(i) for i in range(len(odd))]
+
+
+def test_a_failing_write_leaves_the_old_day(spark, tmp_path):
+    path = str(tmp_path / "curated")
+    sinks.write_curated(curated(spark, ("1", "d1", "NHAC")), path)
+    broken = curated(spark, ("2", "d1", "NHAC")).withColumn("event_id", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        sinks.write_curated(broken, path)
+    assert [r.event_id for r in spark.read.schema(CURATED).parquet(path).collect()] == ["1"]
+    assert [p.name for p in (tmp_path / "curated").iterdir() if p.name.startswith("_")] == []
+
+
+def test_gold_anomalies_and_versions_can_be_repeated(spark, tmp_path):
+    gold = lambda *rows: spark.createDataFrame(rows, "keyword_norm string, trend_date date, derived_genre string")
+    path, day = str(tmp_path / "gold"), date(2024, 1, 1)
+    sinks.write_gold(gold(("a", day, "NHAC"), ("b", day, "ANIME"), ("c", None, "NHAC")), path)
+    sinks.write_gold(gold(("d", day, "NHAC"), ("e", None, "NHAC")), path, split_date="2024-01-15", side="upto")
+    assert sorted(r.keyword_norm for r in spark.read.parquet(path).collect()) == ["d", "e"]
+    found = spark.createDataFrame([("x", 1), ("y", 2), ("y", 2)], "anomaly_id string, n int")
+    for _ in range(2):
+        sinks.append_anomalies(found, str(tmp_path / "anomalies"))
+    assert spark.read.parquet(str(tmp_path / "anomalies")).count() == 2
+    versions = [sinks.publish_version(spark.range(i), str(tmp_path / "v")) for i in range(12)]
+    assert sinks.resolve_version(spark, str(tmp_path / "v")) == versions[-1]
+    assert sinks.resolve_version(spark, str(tmp_path / "none")) is None
+
+
 def test_lookup_round_trip_merge_and_missing_file(spark, tmp_path):
     def lut(*rows):
         return spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "keyword string, genre string, ordinal long")

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,14 +96,22 @@ def test_replay_puts_unparseable_first_and_batches(spark):
 def test_alarm_missing_data_policies(spark):
     rows = [("AnomalyScore", 0, 4.0), ("AnomalyScore", 900, 3.0), ("Errors", 0, 1.0), ("Invocations", 0, 30.0), ("Errors", 901, 2.0)]
     metrics = spark.createDataFrame(rows, "metric_name string, s long, value double").withColumn("ts", F.timestamp_seconds("s"))
-    line = {(r.alarm, r.period_start): (r.value, r.breaching) for r in alarms.alarm_timeline(metrics).collect()}
+    line = {(r.alarm, r.period_start): (r.value, r.breaching) for r in alarms.alarm_timeline(metrics, datetime(1970, 1, 1), datetime(1970, 1, 1, 0, 15, 1)).collect()}
     assert [line["anomaly-score-breach", p] for p in (0, 300, 600, 900)] == [(4.0, True), (None, False), (None, False), (3.0, False)]
     assert line["error-rate", 0][1] is False and line["error-rate", 900] == (1.0, True)
     assert line["daily-run-missing", 0] == (None, True)
-    states = {r.alarm: r.breaching for r in alarms.evaluate_alarms(metrics).collect()}
+    states = {r.alarm: r.breaching for r in alarms.evaluate_alarms(metrics, datetime(1970, 1, 1, 0, 15, 1)).collect()}
     assert states == {"anomaly-score-breach": False, "daily-run-missing": True, "error-rate": True, "iterator-age": False, "health": True}
 
 
+def test_alarms_notice_silence(spark):
+    success = spark.createDataFrame([("DailyPipelineSuccess", 0, 1.0)], "metric_name string, s long, value double").withColumn("ts", F.timestamp_seconds("s"))
+    for metrics in (success, success.where("false")):
+        states = {r.alarm: r.breaching for r in alarms.evaluate_alarms(metrics, datetime(1970, 2, 1)).collect()}
+        assert states == {"anomaly-score-breach": False, "daily-run-missing": True, "error-rate": False, "iterator-age": False, "health": True}
+    assert alarms.alarm_timeline(success, datetime(1970, 1, 1), datetime(1970, 2, 1))._jdf.queryExecution().toString().count("LogicalRDD") <= 3
+
+
 def test_roles(spark):
     gold = spark.createDataFrame([("a", 1, 2)], "keyword_norm string, search_count long, unique_users long")
     assert governance.role_view(gold, "gold", "marketing").columns == ["keyword_norm", "search_count"]

@@ -63,7 +63,7 @@ def lut_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = source(spark, sf_dir, "conversations").where("role = 'user'")
+    turns = source(spark, sf_dir, "conversations")
     return turns.select(F.explode(F.split("text", "[.]")).alias("sentence"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import cache
 
@@ -32,48 +33,79 @@ def stream_keyword_norm(c: Column) -> Column:
     return F.nullif(strip(F.lower(c)), F.lit(""))
 
 
+# The patterns that clean a keyword.
+EXOTIC_SPACES = "[\u00a0\u200b\u3000]+"
+LEADING_TAG = r"^\s*\[[^\]]{1,30}\]\s*"
+NOTE = r"\s*\([^)]{1,30}\)"
+EPISODE_SUFFIX = r"(?iU)\s+(?:tap|ep|episode|phan|part)\s*\d+\s*\z"
+LONG_RUN = r"(.)\1{2,}"
+CONTROL_OR_BACKSLASH = r"[\x00-\x1f\x7f\\]"
+
+
 def preprocess_keyword(c: Column) -> Column:
     """Normalise a keyword before lookup: spaces, [tag], (note), episode suffix, long character runs."""
-    c = F.regexp_replace(c, "[\u00a0\u200b\u3000]+", " ")
+    c = F.regexp_replace(c, EXOTIC_SPACES, " ")
     c = F.trim(F.regexp_replace(c, rf"(?U){_WS}+", " "))
-    c = F.regexp_replace(c, r"^\s*\[[^\]]{1,30}\]\s*", "")
-    c = F.regexp_replace(c, r"\s*\([^)]{1,30}\)", "")
-    c = F.regexp_replace(c, r"(?iU)\s+(?:tap|ep|episode|phan|part)\s*\d+\s*\z", "")
-    return F.trim(F.regexp_replace(F.trim(c), r"(.)\1{2,}", "$1$1"))
+    c = F.regexp_replace(c, LEADING_TAG, "")
+    c = F.regexp_replace(c, NOTE, "")
+    c = F.regexp_replace(c, EPISODE_SUFFIX, "")
+    return F.trim(F.regexp_replace(F.trim(c), LONG_RUN, "$1$1"))
 
 
 @cache
-def _diacritic_table() -> tuple[str, str]:
-    """Characters whose canonical decomposition is one base letter plus marks, then all the marks.
+def _diacritic_tables() -> tuple[str, str, dict[str, str]]:
+    """What is left of each character when its canonical decomposition loses its marks, for all of Unicode.
 
-    Derived from the Unicode tables; ``đ`` has no decomposition, so it is not in it. The marks
-    come last and have no counterpart, which makes ``translate`` delete them.
+    Derived from the Unicode tables; ``đ`` has no decomposition, so it is not in them. First the
+    characters that leave one letter, then all marks: these have no counterpart, which makes
+    ``translate`` delete them. The last table has those that leave several letters; Hangul syllables are not
+    in it, as theirs follow from a rule.
     """
-    accented, bases, marks = [], [], []
-    for ch in map(chr, range(0x80, 0x3000)):
+    accented, bases, marks, several = [], [], [], {}
+    for ch in map(chr, range(0x80, sys.maxunicode + 1)):
         if unicodedata.category(ch) == "Mn":
             marks.append(ch)
-            continue
-        base = "".join(
-            x for x in unicodedata.normalize("NFD", ch) if unicodedata.category(x) != "Mn"
-        )
-        if len(base) == 1 and base != ch:
-            accented.append(ch)
-            bases.append(base)
-    return "".join(accented) + "".join(marks), "".join(bases)
+        elif unicodedata.decomposition(ch)[:1] not in ("", "<"):
+            base = "".join(x for x in unicodedata.normalize("NFD", ch) if unicodedata.category(x) != "Mn")
+            if len(base) == 1:
+                accented.append(ch)
+                bases.append(base)
+            else:
+                several[ch] = base
+    return "".join(accented) + "".join(marks), "".join(bases), several
+
+
+_HANGUL = r"[\x{AC00}-\x{D7A3}]"
+
+
+def _jamo(ch: Column) -> Column:
+    """The two or three letters of a Hangul syllable, by the arithmetic of its code point."""
+    letters = lambda first, n: F.array(*[F.lit(chr(first + i)) for i in range(n)])
+    place = F.ascii(ch) - 0xAC00
+    tails = F.concat(F.array(F.lit("")), letters(0x11A8, 27))
+    lead = F.get(letters(0x1100, 19), F.floor(place / 588).cast("int"))
+    vowel = F.get(letters(0x1161, 21), F.floor(F.pmod(place, F.lit(588)) / 28).cast("int"))
+    return F.concat(lead, vowel, F.get(tails, F.pmod(place, F.lit(28)).cast("int")))
 
 
 def strip_diacritics(c: Column, fold_d: bool = False) -> Column:
-    """Remove combining marks. ``đ`` is kept unless ``fold_d`` is set."""
-    source, target = _diacritic_table()
+    """Decompose and remove combining marks. ``đ`` is kept unless ``fold_d`` is set.
+
+    Only text with characters that fall into several letters is taken apart letter by letter.
+    """
+    source, target, several = _diacritic_tables()
     if fold_d:
         source, target = "đĐ" + source, "dD" + target
-    return F.translate(c, source, target)
+    plain = F.translate(c, source, target)
+    parts = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    letter = lambda x: F.when(x.rlike(_HANGUL), _jamo(x)).otherwise(F.coalesce(F.try_element_at(parts, x), x))
+    apart = F.array_join(F.transform(F.split(plain, ""), letter), "")
+    return F.when(plain.rlike("[" + "".join(several) + _HANGUL[1:]), apart).otherwise(plain)
 
 
 def sanitize_keyword(c: Column) -> Column:
     """Control characters and backslashes become spaces, then trim."""
-    return strip(F.regexp_replace(c, r"[\x00-\x1f\x7f\\]", " "))
+    return strip(F.regexp_replace(c, CONTROL_OR_BACKSLASH, " "))
 
 
 # Other spellings of a genre code.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,55 +38,56 @@ DEFAULT_RULES = (
 COMPOSITE = "health"
 
 
-def _stat(rule: AlarmRule, metric: str) -> Column:
-    value = F.when(F.col("metric_name") == metric, F.col("value"))
-    return {"max": F.max, "sum": F.sum}[rule.stat](value)
+def _rule_table(rules: Sequence[AlarmRule]) -> Column:
+    """The rules as an array of structs."""
+    return F.array(*[
+        F.struct(
+            F.lit(r.name).alias("alarm"), F.lit(r.metric).alias("metric"), F.lit(r.ratio_to).cast("string").alias("ratio_to"),
+            F.lit(r.stat).alias("stat"), F.lit(r.period_seconds).cast("bigint").alias("period"), F.lit(r.comparison).alias("comparison"),
+            F.lit(float(r.threshold)).alias("threshold"), F.lit(r.missing_breaches).alias("missing_breaches"),
+        )
+        for r in rules
+    ])
 
 
-def _periods(metrics: DataFrame, rule: AlarmRule) -> DataFrame:
-    start = F.floor(F.unix_seconds("ts") / rule.period_seconds) * rule.period_seconds
-    names = [rule.metric] + ([rule.ratio_to] if rule.ratio_to else [])
-    grouped = metrics.where(F.col("metric_name").isin(names)).groupBy(start.alias("period_start"))
-    if not rule.ratio_to:
-        return grouped.agg(_stat(rule, rule.metric).alias("value"))
-    top = _stat(rule, rule.metric)
-    bottom = F.greatest(top, _stat(rule, rule.ratio_to))
-    return grouped.agg(F.when(bottom != 0, top / bottom).alias("value"))
+def _epoch(moment: Column | datetime) -> Column:
+    return F.unix_seconds(moment if isinstance(moment, Column) else F.lit(moment).cast("timestamp"))
 
 
-def alarm_timeline(metrics: DataFrame, rules: Sequence[AlarmRule] = DEFAULT_RULES) -> DataFrame:
-    """State of every alarm in every period between the first and the last metric point.
+def alarm_timeline(
+    metrics: DataFrame, start: Column | datetime, as_of: Column | datetime, rules: Sequence[AlarmRule] = DEFAULT_RULES
+) -> DataFrame:
+    """State of every alarm in every period from ``start`` to ``as_of``, whether it has data or not.
 
-    (alarm, period_start, value, breaching); periods without data are filled in by a sequence of
-    period starts and judged by the rule's missing-data policy.
+    (alarm, period_start, value, breaching). The line of periods comes from the arguments alone, so silence, or no
+    metric at all, shows; periods without data are judged by the rule's missing-data policy. The metrics are read
+    once: a point goes to its period of each rule that looks at it.
     """
-
-    def one(rule: AlarmRule) -> DataFrame:
-        p = rule.period_seconds
-        first, last = (F.floor(F.unix_seconds(c) / p) * p for c in ("first_ts", "last_ts"))
-        spine = metrics.agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")).select(
-            F.explode(F.sequence(first, last, F.lit(p).cast("bigint"))).alias("period_start")
-        )
-        value = F.col("value")
-        breach = value > rule.threshold if rule.comparison == ">" else value < rule.threshold
-        return spine.join(_periods(metrics, rule), "period_start", "left").select(
-            F.lit(rule.name).alias("alarm"),
-            "period_start",
-            "value",
-            F.coalesce(breach, F.lit(rule.missing_breaches)).alias("breaching"),
-        )
-
-    return reduce(DataFrame.unionByName, [one(r) for r in rules])
-
-
-def evaluate_alarms(
-    metrics: DataFrame, rules: Sequence[AlarmRule] = DEFAULT_RULES, as_of: Column | None = None
-) -> DataFrame:
-    """Latest state of each alarm at ``as_of`` (default: the end of the data), and of all of them together."""
-    if as_of is not None:
-        metrics = metrics.where(F.col("ts") <= as_of)
+    spark = metrics.sparkSession
+    first, last = _epoch(start), _epoch(as_of)
+    begin = lambda moment, period: F.floor(moment / period) * period
+    spine = spark.range(1).select(F.explode(_rule_table(rules)).alias("rule")).select("rule.*")
+    spine = spine.select("*", F.explode(F.sequence(begin(first, F.col("period")), begin(last, F.col("period")), F.col("period"))).alias("period_start"))
+    named = F.filter(_rule_table(rules), lambda r: (r["metric"] == F.col("metric_name")) | r["ratio_to"].eqNullSafe(F.col("metric_name")))
+    points = metrics.where((F.unix_seconds("ts") >= first) & (F.unix_seconds("ts") <= last)).select("metric_name", "ts", "value", F.explode(named).alias("r"))
+    own, other = (F.when(F.col("metric_name") == F.col(f"r.{c}"), F.col("value")) for c in ("metric", "ratio_to"))
+    sums = points.groupBy(F.col("r.alarm").alias("alarm"), begin(F.unix_seconds("ts"), F.col("r.period")).alias("period_start")).agg(
+        F.sum(own).alias("own_sum"), F.max(own).alias("own_max"), F.sum(other).alias("other_sum"), F.max(other).alias("other_max")
+    )
+    top, bottom = (F.when(F.col("stat") == "max", F.col(f"{c}_max")).otherwise(F.col(f"{c}_sum")) for c in ("own", "other"))
+    ratio = F.try_divide(top, F.greatest(top, bottom))
+    joined = spine.join(sums, ["alarm", "period_start"], "left").withColumn("value", F.when(F.col("ratio_to").isNull(), top).otherwise(ratio))
+    breach = F.when(F.col("comparison") == ">", F.col("value") > F.col("threshold")).otherwise(F.col("value") < F.col("threshold"))
+    return joined.select("alarm", "period_start", "value", F.coalesce(breach, F.col("missing_breaches")).alias("breaching"))
+
+
+def evaluate_alarms(metrics: DataFrame, as_of: Column | datetime, rules: Sequence[AlarmRule] = DEFAULT_RULES) -> DataFrame:
+    """State of each alarm in the period of ``as_of``, and of all of them together. Every rule has a row, data or not."""
+    longest = max(r.period_seconds for r in rules)
+    moment = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+    start = F.timestamp_seconds(F.unix_seconds(moment) - longest)
     latest = (
-        alarm_timeline(metrics, rules)
+        alarm_timeline(metrics, start, moment, rules)
         .groupBy("alarm")
         .agg(F.max_by(F.struct("period_start", "value", "breaching"), "period_start").alias("s"))
         .select("alarm", "s.period_start", "s.value", "s.breaching")

@@ -89,9 +89,9 @@ def anomaly_rows(scored: DataFrame, scope: Column, score_ts: Column) -> DataFram
     """Rows of the anomaly table.
 
     The id is made of genre, hour and ``scope`` (a batch or window), so scoring the same batch
-    again gives the same ids.
+    again gives the same ids. It keeps the whole digest, so two scopes never share one.
     """
-    digest = F.left(F.sha2(F.concat_ws("|", *SLOT, scope.cast("string")), 256), F.lit(8))
+    digest = F.sha2(F.concat_ws("|", *SLOT, scope.cast("string")), 256)
     return scored.where("is_anomaly").select(
         F.concat_ws("#", *SLOT, digest).alias("anomaly_id"),
         F.date_format(score_ts, "yyyy-MM-dd'T'HH:mm:ssXXX").alias("score_ts"),

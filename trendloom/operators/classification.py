@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from trendloom.functions.genres import regex_genre
 from trendloom.functions.text import preprocess_keyword, strip_diacritics
 from trendloom.operators.similarity import fuzzy_ext_join, fuzzy_join
-from trendloom.operators.skew import HOT_ROWS, salted_left_join
+from trendloom.operators.skew import salted_left_join
 from trendloom.schemas import UNKNOWN
 from trendloom.session import stage
 
@@ -106,7 +106,7 @@ def classify_keywords(
     )
 
 
-def with_genre(events: DataFrame, labels: DataFrame, id_col: str = "event_id", hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_genre(events: DataFrame, labels: DataFrame, id_col: str = "event_id", hot_rows: int | None = None) -> DataFrame:
     """Join the labels of distinct keywords back to the events; unlabelled events become UNKNOWN.
 
     ``labels`` is (keyword_norm, derived_genre, n), n being the number of events.
@@ -127,19 +127,22 @@ def distinct_keywords(events: DataFrame) -> DataFrame:
     return events.where(F.col("keyword_norm").isNotNull()).groupBy("keyword_norm").agg(F.count("*").alias("n"))
 
 
-def lut_unknown_fallback(df: DataFrame, combined: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def lut_unknown_fallback(df: DataFrame, combined: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Look up the rows still UNKNOWN in ``combined`` (keyword, genre); other rows keep their genre.
 
-    Rows with nothing to look up get a null key, so the salted join spreads them.
+    The open keywords are counted and looked up once each; their counts tell which are hot. Rows with
+    nothing to look up get a null key, so the salted join spreads them.
     """
-    right = combined.select(F.col("keyword").alias("_kw"), F.col("genre").alias("_genre"))
     open_row = F.col("derived_genre") == UNKNOWN
+    counted = df.where(open_row & F.col("keyword_norm").isNotNull()).groupBy(F.col("keyword_norm").alias("_kw")).agg(F.count("*").alias("_n"))
+    known = combined.select(F.col("keyword").alias("_kw"), F.col("genre").alias("_genre"))
+    found = stage(counted.join(known, "_kw"), "fallback")
     keyed = df.withColumn("_kw", F.when(open_row, F.col("keyword_norm")))
-    joined = salted_left_join(keyed, right, "_kw", F.struct(*df.columns), min_rows=hot_rows)
+    joined = salted_left_join(keyed, found, "_kw", F.struct(*df.columns), dim_rows="_n", min_rows=hot_rows)
     return joined.withColumn("derived_genre", F.coalesce("_genre", "derived_genre")).select(*df.columns)
 
 
-def unknown_top_keywords(df: DataFrame, n: int = 2000) -> DataFrame:
+def unknown_top_keywords(df: DataFrame, n: int) -> DataFrame:
     """The ``n`` most frequent keywords still UNKNOWN; equal counts in keyword order."""
     return (
         df.where((F.col("derived_genre") == UNKNOWN) & F.col("keyword_norm").isNotNull())

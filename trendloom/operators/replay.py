@@ -8,6 +8,20 @@ from pyspark.sql import functions as F
 from trendloom.operators.skew import row_number_in_slices
 
 
+_SAMPLE = 4096
+
+
+def _id_bounds(ids: DataFrame) -> list[str]:
+    """Ids that cut all ids into about as many ranges as there are shuffle partitions.
+
+    They come from a sample of at most ``_SAMPLE`` ids, those of the smallest hashes.
+    """
+    rows = ids.where("id IS NOT NULL").orderBy(F.xxhash64("id"), "id").limit(_SAMPLE).collect()
+    sample = sorted(r.id for r in rows)
+    step = max(1, len(sample) // int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return sorted(set(sample[step::step]))
+
+
 def replay_order(
     events: DataFrame,
     file_col: str = "source_file",
@@ -20,10 +34,12 @@ def replay_order(
 
     Events without a time come first; ties are broken by id. A file may hold most of the
     rows, so it is numbered minute by minute; its timeless rows, which all share one minute, by
-    the first characters of their id.
+    ranges of ids between those of a sample.
     """
     micros = F.coalesce(F.unix_micros(ts), F.lit(0))
-    part = F.when(micros == 0, F.left(F.col(id_col), F.lit(3))).otherwise("")
+    bounds = _id_bounds(events.where(micros == 0).select(F.col(id_col).cast("string").alias("id")))
+    below = F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<string>"), lambda b: b <= F.col(id_col)))
+    part = F.when(micros == 0, below).otherwise(0)
     sliced = F.struct(
         F.signum(micros).alias("side"), F.floor(micros / (slice_seconds * 1_000_000)).alias("minute"), part.alias("part")
     )

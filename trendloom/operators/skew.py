@@ -8,61 +8,31 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A frame of hot keys never has more rows than this, which is what makes broadcasting it safe.
-MAX_HOT_KEYS = 1000
-HOT_ROWS = 2_000_000
-MAX_BROADCAST_ROWS = 100_000
-
-
-def hot_values(df: DataFrame, key: Column, name: str, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Values of ``key`` with about ``min_rows`` rows or more, at most ``MAX_HOT_KEYS`` of them.
-
-    A frequent-items sketch finds them with one small row per task in the shuffle. The sketch is
-    approximate, but callers use it only to decide how to spread work, never what to return.
-    """
-    sketch = F.expr(f"approx_top_k(_key, {MAX_HOT_KEYS}, {20 * MAX_HOT_KEYS})")
-    return (
-        df.select(key.alias("_key"))
-        .where(F.col("_key").isNotNull())
-        .agg(sketch.alias("_top"))
-        .select(F.explode("_top").alias("_item"))
-        .where(F.col("_item.count") >= min_rows)
-        .select(F.col("_item.item").alias(name))
-        .limit(MAX_HOT_KEYS)
-    )
+# A key with more than this part of one shuffle partition's fair share of the rows is split.
+SHARE_OF_PARTITION = 0.25
 
 
 def salted_left_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    key: str,
-    spread_by: Column,
-    dim_rows: str | None = None,
-    min_rows: int = HOT_ROWS,
-    salts: int = 256,
+    facts: DataFrame, dim: DataFrame, key: str, spread_by: Column, dim_rows: str, min_rows: int | None = None
 ) -> DataFrame:
-    """``facts LEFT JOIN dim USING (key)`` where ``dim`` has one row per key.
+    """``facts LEFT JOIN dim USING (key)`` where ``dim`` has one row per key and is cheap to read twice.
 
-    Rows of a hot key go to up to ``salts`` places and the key's row in ``dim`` is copied to each
-    of them. Null keys never match, so they are spread as well. ``dim_rows`` names the column of
-    ``dim`` holding each key's number of fact rows; without it the hot keys are sketched.
+    ``dim_rows`` names the column of ``dim`` with each key's number of fact rows. A key with ``min_rows`` rows or
+    more is hot: its rows go to one place for every ``min_rows`` of them, and its row in ``dim`` is copied to each.
+    By default ``min_rows`` is a quarter of the rows that a shuffle partition would get if all were alike, so at
+    most four keys per partition are hot; that bounds the frame of hot keys. Null keys never match and are
+    spread as widely as all rows together.
     """
-    if dim_rows:
-        # In proportion to its rows, so all copies together are at most the facts / min_rows. A key
-        # beyond the broadcast limit still meets its rows: they all stay at salt 0.
-        places = F.least(F.lit(salts), F.greatest(F.ceil(F.col(dim_rows) / min_rows), F.lit(1))).cast("int")
-        marked = dim.withColumn("_places", places)
-        hot = marked.where("_places > 1").orderBy(F.desc(dim_rows)).limit(MAX_HOT_KEYS)
-        hot = F.broadcast(hot.select(F.col(key).alias("_hot"), F.col("_places").alias("_spread")))
-    else:
-        hot = hot_values(facts, F.col(key), "_hot", min_rows).withColumn("_spread", F.lit(salts))
-        hot = F.broadcast(hot)
-        marked = dim.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_places", F.coalesce("_spread", F.lit(1)))
-        marked = marked.drop("_hot", "_spread")
+    total = dim.agg(F.coalesce(F.sum(dim_rows), F.lit(0))).first()[0]
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if min_rows is None:
+        min_rows = max(1, int(total * SHARE_OF_PARTITION / partitions))
+    marked = dim.withColumn("_places", F.greatest(F.ceil(F.col(dim_rows) / min_rows), F.lit(1)).cast("int"))
+    hot = marked.where("_places > 1").select(F.col(key).alias("_hot"), F.col("_places").alias("_spread"))
     right = marked.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_places") - 1))).drop("_places")
-    spread = F.when(F.col(key).isNull(), F.lit(salts)).otherwise(F.coalesce("_spread", F.lit(1)))
+    spread = F.when(F.col(key).isNull(), F.lit(int(partitions / SHARE_OF_PARTITION))).otherwise(F.coalesce("_spread", F.lit(1)))
     left = (
-        facts.join(hot, F.col(key) == F.col("_hot"), "left")
+        facts.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
         .withColumn("_salt", F.pmod(F.xxhash64(spread_by), spread).cast("int"))
         .drop("_hot", "_spread")
     )
@@ -75,7 +45,6 @@ def rank_desc(
     value: str,
     name: str,
     limit: int | None = None,
-    max_groups: int | None = None,
 ) -> DataFrame:
     """SQL ``RANK() OVER (PARTITION BY groups ORDER BY value DESC)``, rows in parallel.
 
@@ -83,8 +52,7 @@ def rank_desc(
     only depends on how many rows of its group have a larger value, so it is read off a
     histogram of the values: one window over (group, value) pairs, then a join back. With
     ``limit`` only ranks up to it are kept, ties included; the histogram then has at most
-    ``limit`` entries per group. A caller whose groups come from closed domains gives their
-    number as ``max_groups``: where that proves the histogram small, it is broadcast.
+    ``limit`` entries per group. ``df`` is read twice and should be cheap to read.
     """
     hist = df.groupBy(*groups, value).agg(F.count("*").alias("_n"))
     above = Window.partitionBy(*groups).orderBy(F.desc_nulls_last(value)).rowsBetween(Window.unboundedPreceding, -1)
@@ -93,8 +61,6 @@ def rank_desc(
         ranks = ranks.where(F.col(name) <= limit)
     keys = [*groups, value]
     right = ranks.select(*[F.col(c).alias(f"_r_{c}") for c in keys], name)
-    if limit and max_groups and limit * max_groups <= MAX_BROADCAST_ROWS:
-        right = F.broadcast(right)
     on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys])
     return df.join(right, on, "inner").drop(*[f"_r_{c}" for c in keys])
 

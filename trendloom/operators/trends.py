@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.operators.skew import rank_desc
-from trendloom.schemas import GENRES, GOLD, PLATFORMS
+from trendloom.schemas import GOLD
+from trendloom.session import stage
 from trendloom.sources.raw_events import DateWindow
 
 # Fixed value: the rank that stands for "no history".
@@ -52,7 +53,8 @@ def enter_counts_trailing(curated: DataFrame, as_of: date) -> DataFrame:
 
 
 def rank_history(curated: DataFrame, as_of: date) -> DataFrame:
-    ranked = rank_desc(enter_counts_trailing(curated, as_of), _SLOT, "enter_count", "rank_7d_ago")
+    counts = stage(enter_counts_trailing(curated, as_of), "trailing-counts")
+    ranked = rank_desc(counts, _SLOT, "enter_count", "rank_7d_ago")
     return ranked.select(*_SLOT, "keyword_norm", "rank_7d_ago")
 
 
@@ -76,12 +78,12 @@ def keyword_trends(
     """The gold table: the ``top_k`` keywords of each genre and platform, ties included.
 
     Ranks run across all days in scope, as each (day, network, ISP, keyword) is one entry, while
-    history ranks a keyword as a whole. ``rank_by_date`` ranks each day by itself instead.
+    history ranks a keyword as a whole. ``rank_by_date`` ranks each day by itself instead. The aggregated
+    statistics are written once, as ranking reads them twice; the curated table is read once for each of the two.
     """
     scope = (["trend_date"] if rank_by_date else []) + _SLOT
     stats = keyword_daily_stats(curated, window or DateWindow.last_days(as_of, 1))
-    slots = None if rank_by_date else len(GENRES) * len(PLATFORMS)
-    today = rank_desc(stats, scope, "enter_count", "rank_today", limit=top_k, max_groups=slots)
+    today = rank_desc(stage(stats, "daily-stats"), scope, "enter_count", "rank_today", limit=top_k)
     return with_rank_history(today, rank_history(curated, as_of)).select(*GOLD.names)
 
 

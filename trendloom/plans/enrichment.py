@@ -17,12 +17,12 @@ from trendloom.operators.classification import (
 )
 from trendloom.operators.labelling import Provider, label_residual
 from trendloom.operators.sessions import with_repeat_flag
-from trendloom.operators.skew import HOT_ROWS
 from trendloom.schemas import CURATED
 from trendloom.session import stage
+from trendloom.sources.lookups import load_lookup, merge_lookup, write_lookup
 from trendloom.sources.raw_events import DateWindow
 
-_SESSION = "_session_key"
+SESSION = "_session_key"
 
 
 def repaired(raw: DataFrame) -> DataFrame:
@@ -51,12 +51,45 @@ def row_columns(df: DataFrame) -> DataFrame:
         F.upper(isp).alias("isp_segment"),
         devices.has_premium(F.col("userplansmap")).alias("has_premium"),
         devices.subscription_count(F.col("userplansmap")).alias("subscription_count"),
-        devices.session_key(user, isp, platform, F.col("event_ts")).alias(_SESSION),
+        devices.session_key(user, isp, platform, F.col("event_ts")).alias(SESSION),
         timestamps.cross_partition_date(F.col("event_ts"), F.col("dt")).alias("is_cross_partition_date"),
         "dt",
     )
 
 
+def _asked(labels: DataFrame, lut_ext: DataFrame | None, provider: Provider, limit: int | None) -> DataFrame:
+    """(keyword, genre) that the provider gives for the open keywords not in ``lut_ext``; asked once, then read back."""
+    counted = labels.where("derived_genre = 'UNKNOWN'")
+    if lut_ext is not None:
+        counted = new_keywords_anti(counted, lut_ext)
+    if limit is not None:
+        counted = counted.orderBy(F.desc("n"), "keyword_norm").limit(limit)
+    return stage(label_residual(counted, provider).withColumnRenamed("keyword_norm", "keyword"), "answers")
+
+
+def learn_labels(
+    raw: DataFrame,
+    lut: DataFrame,
+    ext_root: str,
+    label_provider: Provider,
+    window: DateWindow | None = None,
+    label_limit: int | None = None,
+) -> DataFrame:
+    """Ask about the open keywords of ``raw`` and publish the answers as a new version of the extended lookup.
+
+    Returns the answers (keyword, genre). Keywords that the lookup under ``ext_root`` holds already are not asked
+    again, so the same log asks nothing the second time, and no version is written then.
+    """
+    if window:
+        raw = raw.where(window.covers(F.col("dt")))
+    lut_ext = load_lookup(raw.sparkSession, ext_root)
+    labels = stage(classify_keywords(distinct_keywords(row_columns(repaired(raw))), lut, lut_ext), "labels")
+    answers = _asked(labels, lut_ext, label_provider, label_limit)
+    if not answers.isEmpty():
+        write_lookup(merge_lookup(lut_ext, answers), ext_root)
+    return answers
+
+
 def curate(
     raw: DataFrame,
     lut: DataFrame,
@@ -67,16 +100,16 @@ def curate(
     fuzzy_ext: bool = False,
     model: Labeller | None = None,
     null_sessions: str = "shared",
-    hot_rows: int = HOT_ROWS,
+    label_limit: int | None = None,
 ) -> DataFrame:
     """The curated table of ``raw``.
 
     Keywords are classified once each. Their labels are written to the shared folder, which
     the join back to the events reads twice: for its hot keys and for the labels themselves.
-    ``label_provider`` is asked about the 2,000 most frequent keywords left UNKNOWN that the
-    extended lookup does not hold. Sessions are sorted by the short readable key; the hash comes
-    after. They come before the genres, so that looking for hot sessions reads the raw columns and
-    nothing that took a shuffle to make.
+    ``label_provider`` is asked about the keywords left UNKNOWN that the extended lookup does not hold, all of
+    them or the ``label_limit`` most frequent. Sessions are sorted by the short readable key; the hash comes
+    after. They come before the genres, so that the slices of shared sessions read the raw columns and
+    nothing that took a shuffle to make. To keep what the provider answers, see ``learn_labels``.
     """
     if window:
         raw = raw.where(window.covers(F.col("dt")))
@@ -85,13 +118,10 @@ def curate(
         classify_keywords(distinct_keywords(rows), lut, lut_ext, fuzzy, fuzzy_ext, model), "labels"
     )
     if label_provider:
-        counted = labels.where("derived_genre = 'UNKNOWN'").orderBy(F.desc("n"), "keyword_norm").limit(2000)
-        if lut_ext is not None:
-            counted = new_keywords_anti(counted, lut_ext)
-        extra = label_residual(counted, label_provider).withColumnRenamed("keyword_norm", "keyword")
+        extra = _asked(labels, lut_ext, label_provider, label_limit).select("keyword", "genre")
         if lut_ext is not None:
             extra = lut_ext.select("keyword", "genre").unionByName(extra)
         labels = stage(lut_unknown_fallback(labels, extra), "labels")
-    curated = with_repeat_flag(rows, F.col(_SESSION), null_sessions, hot_rows)
-    curated = with_genre(curated, labels, hot_rows=hot_rows)
-    return curated.withColumn("search_session_id", F.sha2(_SESSION, 256)).select(*CURATED.names)
+    curated = with_repeat_flag(rows, F.col(SESSION), null_sessions)
+    curated = with_genre(curated, labels)
+    return curated.withColumn("search_session_id", F.sha2(SESSION, 256)).select(*CURATED.names)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendloom.registry.oracles import with_tables
-from trendloom.session import tune
+from trendloom.session import utc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,7 +37,7 @@ def flat(df: DataFrame) -> DataFrame:
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return flat(fn(tune(spark), sf_dir))
+            return flat(fn(utc(spark), sf_dir))
 
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

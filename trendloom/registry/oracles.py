@@ -126,7 +126,7 @@ TABLES: dict[str, str] = {
     "titles": _fill(sql.TITLES),
     "lut": f"SELECT * FROM (VALUES {_values((k, g, i) for i, (k, g) in enumerate(_LUT.items()))}) v(keyword, genre, ordinal)",
     "lut_ext": _fill(sql.LUT_EXT),
-    "sentences": "SELECT unnest(string_split(text, '.')) AS sentence FROM conversations WHERE role = 'user'",
+    "sentences": "SELECT unnest(string_split(text, '.')) AS sentence FROM conversations",
     "keyword_pool": _fill(sql.KEYWORD_POOL),
     "parsed": f"SELECT *, try_cast({_clean('datetime')} AS TIMESTAMP) AS event_ts FROM search_log",
     "repaired": "SELECT * FROM parsed WHERE year(event_ts) >= 2015",
@@ -196,7 +196,7 @@ TABLES: dict[str, str] = {
             FROM day_buckets b LEFT JOIN (SELECT derived_genre, hour_of_day_vn, rolling_mean, rolling_std FROM baseline) s
               USING (derived_genre, hour_of_day_vn))""",
     "anomalies": """
-      SELECT derived_genre || '#' || hour_of_day_vn || '#' || left(sha256(derived_genre || '|' || hour_of_day_vn || '|' || coalesce(dt, 'none')), 8) AS anomaly_id,
+      SELECT derived_genre || '#' || hour_of_day_vn || '#' || sha256(derived_genre || '|' || hour_of_day_vn || '|' || coalesce(dt, 'none')) AS anomaly_id,
         '2024-01-31T00:00:00Z' AS score_ts, derived_genre, hour_of_day_vn, observed_count,
         round(rolling_mean, 4) AS rolling_mean, round(rolling_std, 4) AS rolling_std, round(z_score, 4) AS z_score,
         is_anomaly, anomaly_type, 1706659200 + 2592000 AS ttl

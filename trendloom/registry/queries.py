@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import uuid
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,11 +25,12 @@ from trendloom.operators import (
     skew,
     trends,
 )
+from trendloom.operators.sessions import with_repeat_flag
 from trendloom.plans import enrichment
 from trendloom.registry import oracles as o
 from trendloom.registry.base import ORACLES, QUERIES, query
 from trendloom.schemas import GENRES, PLATFORMS, RAW_DATA
-from trendloom.session import staging_path
+from trendloom.session import stage, staging_path
 from trendloom.sources import lookups, raw_events, sinks
 from trendloom.streaming import jobs
 
@@ -48,21 +51,33 @@ def _parsed(spark, sf) -> DataFrame:
 # ---- scans and sinks ------------------------------------------------------------------------------
 
 _RAW_COLUMNS = "eventid, datetime, user_id, keyword, category, proxy_isp, platform, networktype, action"
+_HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
-@query("scan_raw_events", f"SELECT {_RAW_COLUMNS}, dt FROM search_log")
-def scan_raw_events(spark, sf):
+def _raw_table(spark, sf) -> str:
+    """The raw layer under its partition keys: day and platform as they are; hour and genre of one kind keep the folders few."""
     path = staging_path(spark, "raw")
-    rows = t.search_log(spark, sf).drop("hour").withColumns(
-        {"hour": F.lit("all"), "derived_genre": F.lit("ALL"), "platform_group": F.lit("ALL")}
+    rows = t.search_log(spark, sf).withColumns(
+        {"hour": F.lit("all"), "derived_genre": F.lit("ALL"), "platform_group": devices.platform_group(c("platform"))}
     )
     rows.repartition("dt").write.partitionBy("dt", "hour", "derived_genre", "platform_group").parquet(path)
-    return raw_events.scan_raw_events(spark, path).select(*_RAW_COLUMNS.split(", "), "dt")
+    return path
+
+
+@query(
+    "scan_raw_events",
+    f"""SELECT {_RAW_COLUMNS}, array_to_string(userplansmap, ';') AS plans, dt, 'all' AS hour, 'ALL' AS derived_genre,
+          {o._platform('platform')} AS platform_group FROM search_log""",
+)
+def scan_raw_events(spark, sf):
+    rows = raw_events.scan_raw_events(spark, _raw_table(spark, sf))
+    keys = [F.nullif(k, F.lit(_HIVE_NULL)).alias(k) for k in ("dt", "hour", "derived_genre", "platform_group")]
+    return rows.select(*_RAW_COLUMNS.split(", "), F.array_join("userplansmap", ";").alias("plans"), *keys)
 
 
 @query("scan_date_window", "SELECT eventid, dt FROM search_log WHERE dt BETWEEN '2024-01-24' AND '2024-01-30'")
 def scan_date_window(spark, sf):
-    return t.search_log(spark, sf).where(LAST_WEEK.covers(c("dt"))).select("eventid", "dt")
+    return raw_events.scan_raw_events(spark, _raw_table(spark, sf), LAST_WEEK).select("eventid", "dt")
 
 
 @query("scan_source_files", f"SELECT {_RAW_COLUMNS} FROM search_log")
@@ -104,7 +119,8 @@ _CURATED_SQL = f"SELECT event_id, {MS} AS event_ts, * EXCLUDE (event_id, event_t
 @query("curated_sink", _CURATED_SQL)
 def curated_sink(spark, sf):
     path = staging_path(spark, "curated-table")
-    sinks.write_curated(t.curated(spark, sf), path, files_per_genre=1)
+    for _ in range(2):
+        sinks.write_curated(t.curated(spark, sf), path)
     back = spark.read.schema(t.curated(spark, sf).schema).parquet(path)
     return back.withColumn("dt", F.nullif("dt", F.lit("__HIVE_DEFAULT_PARTITION__")))
 
@@ -118,7 +134,7 @@ _GOLD_SQL = """SELECT derived_genre, platform_group, network_type_norm, isp_segm
 @query("gold_sink", _GOLD_SQL)
 def gold_sink(spark, sf):
     path = staging_path(spark, "gold-table")
-    for side in ("upto", "after"):
+    for side in ("upto", "after", "upto", "after"):
         sinks.write_gold(t.gold(spark, sf), path, split_date="2024-01-15", side=side)
     return spark.read.schema(t.gold(spark, sf).schema).parquet(path)
 
@@ -149,7 +165,7 @@ def merge_lookup(spark, sf):
 def read_keyword_csv(spark, sf):
     path = staging_path(spark, "csv")
     t.keyword_pool(spark, sf).select("keyword_norm").write.option("header", "true").option("escape", '"').csv(path)
-    return lookups.read_keyword_csv(spark, path, t.lut_ext(spark, sf), limit=None)
+    return lookups.read_keyword_csv(spark, path, t.lut_ext(spark, sf), multi_line=True)
 
 
 _BASE = "round(rolling_mean, 6) AS rolling_mean, round(rolling_std, 6) AS rolling_std, sample_days"
@@ -189,7 +205,8 @@ _ANOMALY_SQL = """SELECT anomaly_id, score_ts, derived_genre, hour_of_day_vn, ob
 def anomaly_append(spark, sf):
     path = staging_path(spark, "anomalies")
     rows = _anomalies(spark, sf)
-    sinks.append_anomalies(rows, path)
+    for _ in range(2):
+        sinks.append_anomalies(rows, path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
@@ -201,6 +218,25 @@ def report_sink(spark, sf):
     return spark.read.schema(rows.schema).option("header", "true").csv(path)
 
 
+@query(
+    "register_partitions",
+    "SELECT 0 AS rows_before, count(*) AS rows_after, count(DISTINCT (coalesce(dt, 'none'), derived_genre)) AS partitions FROM curated",
+)
+def register_partitions(spark, sf):
+    """Rows of a catalog table over the curated files, before and after its partitions are registered."""
+    path, table = staging_path(spark, "registered"), f"curated_{uuid.uuid4().hex}"
+    curated = t.curated(spark, sf)
+    sinks.write_curated(curated, path)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in curated.schema)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (dt, derived_genre) LOCATION '{path}'")
+    before = spark.table(table).count()
+    sinks.register_partitions(spark, table)
+    partitions = spark.sql(f"SHOW PARTITIONS {table}").count()
+    after = spark.table(table).count()
+    spark.sql(f"DROP TABLE {table}")
+    return spark.range(1).select(F.lit(before).alias("rows_before"), F.lit(after).alias("rows_after"), F.lit(partitions).alias("partitions"))
+
+
 # ---- scalar functions -----------------------------------------------------------------------------
 
 
@@ -504,7 +540,7 @@ def classify_keywords(spark, sf):
        GROUP BY 1 ORDER BY n DESC, keyword_norm LIMIT 2000""",
 )
 def unknown_top_keywords(spark, sf):
-    return classification.unknown_top_keywords(t.curated(spark, sf))
+    return classification.unknown_top_keywords(t.curated(spark, sf), 2000)
 
 
 
@@ -525,12 +561,33 @@ def label_residual(spark, sf):
     return labelling.label_residual(t.keyword_pool(spark, sf), provider)
 
 
-@query("ml_label")
+_MARK_GENRES = ("NHAC", "ANIME", "PHIM_HAN", "THE_THAO")
+_MARKED = f"split_part('{'|'.join(_MARK_GENRES)}', '|', CAST(length(kw) % 4 AS INT) + 1)"
+
+
+@query("ml_label", f"SELECT repeat('mark' || length(kw) % 4 || ' ', 1 + length(kw) % 5) AS kw, {_MARKED} AS genre FROM {_FORMS}")
 def ml_label(spark, sf):
-    """Model trained on the title catalogue, applied to all keywords."""
-    known = t.lut_ext(spark, sf).select(c("keyword").alias("kw"), "genre")
-    model = labelling.train_ml_labeller(known)
-    return labelling.ml_label(_pool_forms(spark, sf).select("kw").distinct(), model)
+    """Every keyword is turned into words that tell its genre; the model must learn them from the catalogue and apply them."""
+    place = (F.length("kw") % 4).cast("int")
+    marked = lambda df: df.select(F.repeat(F.concat(F.lit("mark"), place.cast("string"), F.lit(" ")), (1 + F.length("kw") % 5).cast("int")).alias("kw"), F.array(*map(F.lit, _MARK_GENRES))[place].alias("genre"))
+    model = labelling.train_ml_labeller(marked(t.lut_ext(spark, sf).select(c("keyword").alias("kw"))))
+    return labelling.ml_label(marked(_pool_forms(spark, sf).select("kw")), model)
+
+
+@query(
+    "label_write_back",
+    """SELECT k.keyword_norm AS keyword, split_part('NHAC|ANIME', '|', CAST(length(k.keyword_norm) % 2 AS INT) + 1) AS genre, 0 AS asked_again
+       FROM (SELECT DISTINCT keyword_norm FROM labels WHERE derived_genre = 'UNKNOWN' AND keyword_norm <> '') k""",
+)
+def label_write_back(spark, sf):
+    """Answers for the open keywords go into the lookup's next version; the second run has nothing to ask."""
+    root = staging_path(spark, "learned")
+
+    def provider(keywords: list[str]) -> str:
+        return json.dumps({k: ("NHAC", "ANIME")[len(k) % 2] for k in keywords}, ensure_ascii=False)
+
+    asked = [enrichment.learn_labels(t.search_log(spark, sf), t.lut(spark, sf), root, provider).count() for _ in range(2)]
+    return lookups.load_lookup(spark, root).select("keyword", "genre", F.lit(asked[1]).alias("asked_again"))
 
 
 @query(
@@ -551,7 +608,8 @@ def search_enriched(spark, sf):
 
 @query("is_repeat_search", "SELECT event_id, is_repeat_search FROM curated")
 def is_repeat_search(spark, sf):
-    return t.curated(spark, sf).select("event_id", "is_repeat_search")
+    rows = enrichment.row_columns(_parsed(spark, sf))
+    return with_repeat_flag(rows, c(enrichment.SESSION)).select("event_id", "is_repeat_search")
 
 
 _STATS = """trend_date, derived_genre, platform_group, network_type_norm, isp_segment, keyword_norm, search_count, enter_count,
@@ -570,7 +628,7 @@ def enter_counts_7d(spark, sf):
 
 
 def _ranked_today(spark, sf) -> DataFrame:
-    stats = trends.keyword_daily_stats(t.curated(spark, sf), t.ALL_DAYS)
+    stats = stage(trends.keyword_daily_stats(t.curated(spark, sf), t.ALL_DAYS), "daily-stats")
     return skew.rank_desc(stats, ["derived_genre", "platform_group"], "enter_count", "rank_today")
 
 
@@ -628,9 +686,18 @@ def trend_icon(spark, sf):
     return t.gold(spark, sf).select(*_BOARD.split(", "), trends.trend_icon(c("rank_delta")).alias("trend_icon"))
 
 
-@query("new_entrants", "SELECT keyword_norm, derived_genre, platform_group, rank_today FROM gold WHERE rank_7d_ago = 9999")
+@query(
+    "new_entrants",
+    f"""SELECT CAST(trend_date AS VARCHAR) AS trend_date, keyword_norm, {o._SLOT}, rank_today
+        FROM (SELECT *, rank() OVER (PARTITION BY {o._SLOT} ORDER BY enter_count DESC) AS rank_today FROM daily_stats WHERE trend_date >= '2024-01-16') d
+        WHERE rank_today <= 50 AND NOT EXISTS (SELECT 1 FROM valid v WHERE v.dt BETWEEN '2024-01-08' AND '2024-01-14' AND length(v.keyword_norm) % 3 <> 0
+          AND v.keyword_norm = d.keyword_norm AND v.derived_genre = d.derived_genre AND v.platform_group = d.platform_group)""",
+)
 def new_entrants(spark, sf):
-    return trends.new_entrants(t.gold(spark, sf)).select("keyword_norm", "derived_genre", "platform_group", "rank_today")
+    """Trends of the second half of the month; every third keyword length has no history before it."""
+    known = (c("dt") > "2024-01-15") | (F.length("keyword_norm") % 3 != 0)
+    gold = trends.keyword_trends(t.curated(spark, sf).where(known), date(2024, 1, 16), raw_events.DateWindow(start="2024-01-16"))
+    return trends.new_entrants(gold).select("trend_date", "keyword_norm", "derived_genre", "platform_group", "rank_today")
 
 
 @query(
@@ -904,7 +971,7 @@ def _alarm_sql(rule: alarms.AlarmRule) -> str:
         value = f"{value} / greatest({value}, {stat(rule.ratio_to)})"
     return f"""SELECT '{rule.name}' AS alarm, s.period_start, round(v.value, 6) AS value,
         coalesce(v.value {rule.comparison} {rule.threshold}, {str(rule.missing_breaches).lower()}) AS breaching
-      FROM (SELECT unnest(range(CAST(floor(epoch(min(ts)) / {p}) AS BIGINT) * {p}, CAST(floor(epoch(max(ts)) / {p}) AS BIGINT) * {p} + 1, {p})) AS period_start FROM metrics) s
+      FROM (SELECT unnest(range({1704067200 // p * p}, {1709121600 // p * p + 1}, {p})) AS period_start) s
       LEFT JOIN (SELECT {start} AS period_start, {value} AS value FROM metrics GROUP BY 1) v USING (period_start)"""
 
 
@@ -913,7 +980,7 @@ _TIMELINE = " UNION ALL ".join(_alarm_sql(r) for r in alarms.DEFAULT_RULES)
 
 @query("alarm_timeline", _TIMELINE)
 def alarm_timeline(spark, sf):
-    return alarms.alarm_timeline(t.metrics(spark, sf))
+    return alarms.alarm_timeline(t.metrics(spark, sf), datetime(2024, 1, 1), datetime(2024, 2, 28, 12))
 
 
 @query(
@@ -924,7 +991,7 @@ def alarm_timeline(spark, sf):
           SELECT alarm, max(period_start) AS period_start, arg_max(breaching, period_start) AS breaching FROM ({_TIMELINE}) GROUP BY alarm)""",
 )
 def alarm_eval(spark, sf):
-    states = alarms.evaluate_alarms(t.metrics(spark, sf))
+    states = alarms.evaluate_alarms(t.metrics(spark, sf), datetime(2024, 2, 28, 12))
     shown = F.when(c("alarm") != alarms.COMPOSITE, F.coalesce("value", F.lit(-1.0)))
     return states.withColumn("value", shown)
 

@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# What a session made here starts with; a session made elsewhere keeps its own settings.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -22,20 +23,18 @@ def build_session(app: str = "trendloom", master: str | None = None, **conf: str
         builder = builder.master(master)
     for key, value in {**RUNTIME_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
-    return tune(builder.getOrCreate())
+    return builder.getOrCreate()
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings every operator relies on to a session made elsewhere.
-
-    A local session gets no more shuffle partitions than it has cores; a cluster's number stays.
-    """
-    for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
-    if spark.sparkContext.master.startswith("local"):
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.conf.set("spark.sql.shuffle.partitions", min(parts, spark.sparkContext.defaultParallelism))
-    return spark
+def utc(spark: SparkSession) -> SparkSession:
+    """The session itself if its clock is UTC, else one beside it that shares everything but its settings."""
+    if spark.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        return spark
+    settings = {k: v for k, v in spark.conf.getAll.items() if spark.conf.isModifiable(k)}
+    beside = spark.newSession()
+    for key, value in {**settings, "spark.sql.session.timeZone": "UTC"}.items():
+        beside.conf.set(key, value)
+    return beside
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -62,3 +61,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

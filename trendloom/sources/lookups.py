@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendloom.functions.text import strip
 from trendloom.schemas import LOOKUP, UNKNOWN
-from trendloom.sources.sinks import publish_version, resolve_version
+from trendloom.sources.sinks import exists, publish_version, resolve_version
 
 SEED_LOOKUP = str(Path(__file__).parent.parent / "data" / "seed_lookup.json")
 
@@ -22,14 +21,15 @@ def empty_lookup(spark: SparkSession) -> DataFrame:
 def load_lookup(spark: SparkSession, path: str = SEED_LOOKUP) -> DataFrame:
     """(keyword, genre, ordinal) from a JSON object; ``ordinal`` is the entry's place in the file.
 
-    A missing file gives an empty lookup. ``path`` may be a folder written by ``write_lookup``.
+    A missing file gives an empty lookup; any other trouble is raised. ``path`` may be a folder written by
+    ``write_lookup``, which is the form for large lookups: a JSON file is one record, read by one task.
     """
-    try:
-        if not path.endswith(".json"):
-            return spark.read.schema(LOOKUP).parquet(resolve_version(spark, path))
-        text = spark.read.text(path, wholetext=True)
-    except (AnalysisException, FileNotFoundError):
+    if not path.endswith(".json"):
+        version = resolve_version(spark, path)
+        return spark.read.schema(LOOKUP).parquet(version) if version else empty_lookup(spark)
+    if not exists(spark, path):
         return empty_lookup(spark)
+    text = spark.read.text(path, wholetext=True)
     entries = F.map_entries(F.from_json("value", "map<string,string>"))
     return text.select(F.posexplode(entries).alias("ordinal", "e")).select(
         F.col("e.key").alias("keyword"),
@@ -39,8 +39,12 @@ def load_lookup(spark: SparkSession, path: str = SEED_LOOKUP) -> DataFrame:
 
 
 def merge_lookup(existing: DataFrame, updates: DataFrame) -> DataFrame:
-    """Union of two lookups, the update winning; UNKNOWN entries are dropped."""
-    new = updates.select("keyword", F.col("genre").alias("new_genre"))
+    """Union of two lookups, the update winning; UNKNOWN entries are dropped.
+
+    If the updates hold a keyword several times, the first genre by name that is not UNKNOWN counts.
+    """
+    genre = F.coalesce(F.min(F.when(F.col("genre") != UNKNOWN, F.col("genre"))), F.min("genre"))
+    new = updates.groupBy("keyword").agg(genre.alias("new_genre"))
     return (
         existing.select("keyword", F.col("genre").alias("old_genre"))
         .join(new, "keyword", "full_outer")
@@ -59,12 +63,16 @@ def write_lookup(df: DataFrame, root: str) -> str:
 
 
 def read_keyword_csv(
-    spark: SparkSession, path: str, known: DataFrame | None = None, limit: int | None = 20000
+    spark: SparkSession, path: str, known: DataFrame | None = None, limit: int | None = None, multi_line: bool = False
 ) -> DataFrame:
-    """``keyword_norm`` column of a CSV, unquoted, without empty or already known keywords."""
-    raw = spark.read.csv(path, header=True, escape='"', multiLine=True)
+    """``keyword_norm`` column of a CSV, unquoted, without empty or already known keywords.
+
+    ``limit`` keeps the first keywords in order. ``multi_line`` allows line breaks inside keywords; each file is
+    then read by one task.
+    """
+    raw = spark.read.csv(path, header=True, escape='"', multiLine=multi_line)
     keyword = F.regexp_replace(strip(F.col("keyword_norm")), '^"+|"+$', "")
     rows = raw.select(keyword.alias("keyword_norm")).where(F.col("keyword_norm") != "")
     if known is not None:
         rows = rows.join(known.select(F.col("keyword").alias("keyword_norm")), "keyword_norm", "left_anti")
-    return rows.limit(limit) if limit else rows
+    return rows if limit is None else rows.orderBy("keyword_norm").limit(limit)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,48 +13,54 @@ def _hadoop(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
-def write_curated(
-    df: DataFrame, path: str, days: Iterable[str | None] | None = None, files_per_genre: int = 16
-) -> None:
-    """Replace every day present in ``df``, partitioned by (dt, derived_genre).
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _hadoop(spark, path)
+    return fs.exists(where)
 
-    A dynamic overwrite alone would leave stale genre folders of a rewritten day, so each
-    affected day's folder is removed first. Days not in ``df`` stay. A caller that knows the
-    days passes them and saves a pass over ``df``. Rows are spread over ``files_per_genre``
-    writers within each (day, genre), so a genre that holds most of the rows does not end up in
-    one task.
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, as the file system has them; none if there is no folder."""
+    fs, where = _hadoop(spark, path)
+    return [x.getPath().getName() for x in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def _replace_days(df: DataFrame, path: str, day: str, genre: str) -> None:
+    """Write ``df`` partitioned by (day, genre) and put its days in the place of those in the table.
+
+    Everything is first written to a folder beside the table's days, which readers pass over. Only then each day's
+    folder is swapped, by the name it got in the write. So a job that fails leaves the old days in place, a rewritten
+    day keeps no stale genre, and days not in ``df`` stay. The rebalance hint splits a (day, genre) with many rows
+    over as many writers as its size asks for.
     """
-    spark = df.sparkSession
-    if days is None:
-        days = [r.dt for r in df.select("dt").distinct().toLocalIterator()]
+    spark, run = df.sparkSession, uuid.uuid4().hex
+    fresh, old = f"{path}/_fresh-{run}", f"{path}/_old-{run}"
     fs, _ = _hadoop(spark, path)
-    for day in days:
-        name = "__HIVE_DEFAULT_PARTITION__" if day is None else day
-        fs.delete(_hadoop(spark, f"{path}/dt={name}")[1], True)
-    (
-        df.withColumn("_slot", F.pmod(F.xxhash64("event_id"), F.lit(files_per_genre)))
-        .repartition("dt", "derived_genre", "_slot")
-        .drop("_slot")
-        .write.mode("append")
-        .option("compression", "snappy")
-        .partitionBy("dt", "derived_genre")
-        .parquet(path)
-    )
+    try:
+        df.hint("rebalance", day, genre).write.option("compression", "snappy").partitionBy(day, genre).parquet(fresh)
+        for name in _names(spark, fresh):
+            if name.startswith(f"{day}="):
+                # Path(parent, child) takes the name literally, whatever characters were escaped in it.
+                new, there, gone = (spark._jvm.org.apache.hadoop.fs.Path(_hadoop(spark, root)[1], name) for root in (fresh, path, old))
+                if fs.exists(there):
+                    fs.mkdirs(_hadoop(spark, old)[1])
+                    fs.rename(there, gone)
+                fs.rename(new, there)
+    finally:
+        for folder in (fresh, old):
+            fs.delete(_hadoop(spark, folder)[1], True)
+
+
+def write_curated(df: DataFrame, path: str) -> None:
+    """Replace every day present in ``df``, partitioned by (dt, derived_genre)."""
+    _replace_days(df, path, "dt", "derived_genre")
 
 
 def write_gold(df: DataFrame, path: str, split_date: str | None = None, side: str = "both") -> None:
-    """Overwrite the gold partitions in ``df``; ``side`` picks rows up to or after ``split_date``."""
+    """Replace every day present in ``df``; ``side`` picks rows up to (or without a day) or after ``split_date``."""
     if split_date and side != "both":
-        day = F.col("trend_date")
-        df = df.where(day <= split_date) if side == "upto" else df.where(day > split_date)
-    (
-        df.repartition("trend_date", "derived_genre", "platform_group")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy("trend_date", "derived_genre")
-        .parquet(path)
-    )
+        late = F.coalesce(F.col("trend_date") > split_date, F.lit(False))
+        df = df.where(~late) if side == "upto" else df.where(late)
+    _replace_days(df, path, "trend_date", "derived_genre")
 
 
 def register_partitions(spark: SparkSession, table: str) -> None:
@@ -79,7 +84,11 @@ def write_baseline(df: DataFrame, root: str) -> str:
 
 
 def append_anomalies(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+    """Append the rows whose ``anomaly_id`` the table does not hold yet."""
+    spark = df.sparkSession
+    if exists(spark, path):
+        df = df.join(spark.read.schema(df.schema).parquet(path).select("anomaly_id"), "anomaly_id", "left_anti").select(*df.columns)
+    df.dropDuplicates(["anomaly_id"]).write.mode("append").parquet(path)
 
 
 def write_report(df: DataFrame, path: str, volume: str = "search_count") -> None:
@@ -88,20 +97,20 @@ def write_report(df: DataFrame, path: str, volume: str = "search_count") -> None
 
 
 def publish_version(df: DataFrame, root: str) -> str:
-    """Write ``df`` to a fresh folder under ``root`` and make it the current version."""
+    """Write ``df`` to a fresh folder under ``root`` and make it the current version.
+
+    Versions are numbered, and a version counts once its marker exists, so readers never see a half-written one.
+    """
     spark = df.sparkSession
-    target = f"{root}/v-{uuid.uuid4().hex}"
-    df.write.parquet(target)
-    spark.createDataFrame([(target,)], "path string").coalesce(1).write.mode("append").text(f"{root}/_current")
-    return target
-
-
-def resolve_version(spark: SparkSession, root: str) -> str:
-    """Path of the newest version under ``root``."""
-    newest = (
-        spark.read.text(f"{root}/_current")
-        .select("value", "_metadata.file_modification_time")
-        .orderBy(F.desc("file_modification_time"))
-        .first()
-    )
-    return newest.value
+    fs, _ = _hadoop(spark, root)
+    last = max((int(name.split("-")[1]) for name in _names(spark, f"{root}/_current")), default=0)
+    name = f"v-{last + 1:012d}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/{name}")
+    fs.create(_hadoop(spark, f"{root}/_current/{name}")[1]).close()
+    return f"{root}/{name}"
+
+
+def resolve_version(spark: SparkSession, root: str) -> str | None:
+    """Path of the newest version under ``root``, None without any."""
+    names = [n for n in _names(spark, f"{root}/_current") if n.startswith("v-")]
+    return f"{root}/{max(names)}" if names else None
