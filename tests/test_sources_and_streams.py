@@ -7,7 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 from tests.conftest import plan_of
 
+from trendloom.functions.text import stream_keyword_norm
+from trendloom.operators.classification import classify_keywords, distinct_keywords
 from trendloom.schemas import CURATED, RAW_DATA, RAW_EVENTS
+from trendloom.session import shared_dir
 from trendloom.sources import lookups, raw_events, sinks
 from trendloom.streaming import jobs
 
@@ -132,8 +135,8 @@ def test_raw_stream_sink_partitions_by_all_keys(spark, tmp_path):
     out = str(tmp_path / "out")
     for _ in range(2):
         stream = spark.readStream.schema("data string").parquet(str(tmp_path / "in"))
-        jobs.run_to_end(*jobs.start_raw_sink(stream, out, available_now=True))
-    assert os.path.isdir(f"{out}/data/dt=2024-01-01/hour=05/derived_genre=NHAC/platform_group=Web")
+        jobs.run_to_end(jobs.start_raw_sink(stream, out, available_now=True))
+    assert os.path.isdir(f"{out}/data/batch_id=0/dt=2024-01-01/hour=05/derived_genre=NHAC/platform_group=Web")
     assert spark.read.schema(jobs.SINK_SCHEMA).parquet(f"{out}/data").count() == 1
     assert spark.read.schema("data string").parquet(f"{out}/dead").count() == 1
 
@@ -145,21 +148,42 @@ def test_enriched_stream_equals_batch(spark, tmp_path):
     stream = jobs.follow(spark, str(tmp_path / "in"), RAW_DATA, files_per_batch=1)
     jobs.run_to_end(jobs.start_enrich(stream, lut, str(tmp_path / "out"), available_now=True))
     streamed = spark.read.schema(jobs.ENRICHED_SCHEMA).parquet(str(tmp_path / "out")).drop("batch_id")
-    expected = jobs.enrich_rows(rows, lut)
+    counted = distinct_keywords(rows.withColumn("keyword_norm", stream_keyword_norm(F.col("keyword"))))
+    expected = jobs.enrich_rows(rows, classify_keywords(counted, lut))
     assert sorted(map(tuple, streamed.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
     assert {r.keyword_norm: r.derived_genre for r in expected.collect()} == {"naruto": "ANIME", "bolero": "NHAC", "zzzz": "UNKNOWN", None: "UNKNOWN", "the x": "UNKNOWN"}
 
 
+def test_stream_asks_about_each_open_keyword_once(spark, tmp_path):
+    for i, words in enumerate((["naruto", "zzzz", "yyyy"], ["zzzz", "xxxx"], ["zzzz", "yyyy", "xxxx"])):
+        raw(spark, *[(f"{i}{k}", "2024-01-01 05:00:00", k, "enter") for k in words]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    log = str(tmp_path / "asked")
+
+    def provider(keywords):
+        with open(log, "a", encoding="utf-8") as f:
+            f.write("".join(k + "\n" for k in keywords))
+        return json.dumps({k: "NHAC" for k in keywords if k != "yyyy"})
+
+    stream = jobs.follow(spark, str(tmp_path / "in"), RAW_DATA, files_per_batch=1)
+    before = set(os.listdir(shared_dir(spark)))
+    jobs.run_to_end(jobs.start_enrich(stream, lookups.load_lookup(spark), str(tmp_path / "out"), label_provider=provider, available_now=True))
+    rows = spark.read.schema(jobs.ENRICHED_SCHEMA).parquet(str(tmp_path / "out")).collect()
+    assert {r.keyword_norm: r.derived_genre for r in rows} == {"naruto": "ANIME", "zzzz": "NHAC", "xxxx": "NHAC", "yyyy": "UNKNOWN"}
+    assert len(rows) == 8 and sorted(open(log, encoding="utf-8").read().split()) == ["xxxx", "yyyy", "zzzz"]
+    assert set(os.listdir(shared_dir(spark))) == before
+
+
 @pytest.mark.parametrize("scope", ["batch", "window"])
 def test_anomaly_stream(spark, tmp_path, scope):
     events = spark.createDataFrame([("NHAC", 7, "enter", "2024-01-01 00:10:00")] * 9 + [("NHAC", 7, "quit", "2024-01-01 00:20:00"), ("ANIME", 7, "enter", "2024-01-01 00:30:00")], "derived_genre string, hour_of_day_vn int, session_action string, t string")
     events = events.withColumn("event_ts", F.col("t").cast("timestamp")).drop("t")
-    events.coalesce(1).write.parquet(str(tmp_path / "in"))
+    later = events.where("session_action = 'quit'").withColumns({"session_action": F.lit("enter"), "event_ts": F.lit("2024-01-01 09:00:00").cast("timestamp"), "hour_of_day_vn": F.lit(16)})
+    (events.unionByName(later) if scope == "window" else events).coalesce(1).write.parquet(str(tmp_path / "in"))
     base = spark.createDataFrame([("NHAC", 7, 2.0, 1.0)], "derived_genre string, hour_of_day_vn int, rolling_mean double, rolling_std double")
     sinks.write_baseline(base, str(tmp_path / "base"))
     stream = jobs.follow(spark, str(tmp_path / "in"), events.schema)
     out = str(tmp_path / "out")
-    jobs.run_to_end(jobs.start_anomaly(stream, str(tmp_path / "base"), out, scope=scope, mode="update", available_now=True))
+    jobs.run_to_end(jobs.start_anomaly(stream, str(tmp_path / "base"), out, scope=scope, available_now=True))
     rows = spark.read.parquet(f"{out}/anomalies").collect()
     assert [(r.derived_genre, float(r.z_score), r.anomaly_type) for r in rows] == [("NHAC", 7.0, "SPIKE")]
     alert = json.loads(spark.read.parquet(f"{out}/alerts").first().detail)

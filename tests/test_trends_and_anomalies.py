@@ -124,8 +124,11 @@ def test_roles(spark):
 
 
 def test_pii_scan_counts_rows_and_matches(spark):
-    df = spark.createDataFrame([("call 0912345678 or +84912345678", 1), ("none", 2), (None, 3)], "t string, n int")
-    assert [tuple(r) for r in governance.pii_scan(df).collect()] == [("vn_phone", "t", 3, 1, 2)]
+    rows = [("call 0912345678 or +84912345678", 1, ["x", "0900000000"]), ("none", 2, None), (None, 3, [])]
+    df = spark.createDataFrame(rows, "t string, n int, a array<string>")
+    assert [tuple(r) for r in governance.pii_scan(df).collect()] == [
+        ("vn_phone", "t", 3, 1, 2, "+84912345678"), ("vn_phone", "a", 3, 1, 1, "0900000000")
+    ]
 
 
 def test_metrics_on_a_small_comparison(spark):

@@ -53,26 +53,37 @@ def register_role_views(spark: SparkSession, tables: Mapping[str, DataFrame], ro
 
 
 def pii_scan(df: DataFrame, patterns: Mapping[str, str] = PII_PATTERNS) -> DataFrame:
-    """(pattern, column, rows_scanned, rows_hit, matches) for each text column, in one pass."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    checks = [(p, c) for p in patterns for c in texts]
+    """(pattern, column, rows_scanned, rows_hit, matches, sample) for each text column, in one pass.
+
+    Arrays of texts count as texts, their entries joined by line breaks. ``sample`` is the smallest match, null
+    without any.
+    """
+    joined = {}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            joined[f.name] = F.col(f"`{f.name}`")
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StringType):
+            joined[f.name] = F.array_join(F.col(f"`{f.name}`"), "\n")
+    checks = [(p, name) for p in patterns for name in joined]
     aggs = []
     for i, (pattern, column) in enumerate(checks):
-        found = F.regexp_count(F.col(column), F.lit(patterns[pattern]))
+        found = F.regexp_extract_all(joined[column], F.lit(patterns[pattern]), F.lit(0))
         aggs += [
-            F.count_if(found > 0).alias(f"hit_{i}"),
-            F.coalesce(F.sum(found), F.lit(0)).cast("bigint").alias(f"all_{i}"),
+            F.count_if(F.size(found) > 0).alias(f"hit_{i}"),
+            F.coalesce(F.sum(F.when(found.isNotNull(), F.size(found))), F.lit(0)).cast("bigint").alias(f"all_{i}"),
+            F.min(F.array_min(found)).alias(f"sample_{i}"),
         ]
     totals = df.agg(F.count("*").alias("rows_scanned"), *aggs)
     cells = [
         F.struct(
             F.lit(p).alias("pattern"),
-            F.lit(c).alias("column"),
+            F.lit(name).alias("column"),
             F.col("rows_scanned"),
             F.col(f"hit_{i}").alias("rows_hit"),
             F.col(f"all_{i}").alias("matches"),
+            F.col(f"sample_{i}").alias("sample"),
         )
-        for i, (p, c) in enumerate(checks)
+        for i, (p, name) in enumerate(checks)
     ]
     return totals.select(F.inline(F.array(*cells)))
 

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendloom.functions.text import tokens
+from trendloom.session import stage
 
 # Functions of this module travel with the task, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -217,15 +218,15 @@ def _with_score(pairs: DataFrame, cutoff: float) -> DataFrame:
 
 
 def _sides(keywords: DataFrame, lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides of the join, one row per text.
+    """Both sides of the join, one row per text, written once, as every branch of the join reads them.
 
     Keywords get the full number of partitions: they are few bytes now, which would let adaptive
     execution merge them into few tasks, but many rows once taken apart.
     """
     parts = int(keywords.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    q = _profile(keywords.select("kw").repartition(parts, "kw").distinct(), "kw", "q")
+    q = _profile(keywords.select("kw").distinct(), "kw", "q")
     k = _profile(lookup.select(F.col("keyword").alias("key"), "genre", "ordinal"), "key", "k")
-    return q, k
+    return stage(q, "keywords").repartition(parts, "kw"), stage(k, "keys")
 
 
 def _first_best(scored: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,9 +98,9 @@ def file_modal_date(spark, sf):
     return raw_events.file_modal_date(t.search_log(spark, sf), "platform")
 
 
-def _encoded(spark, sf) -> DataFrame:
+def _encoded(spark, sf, extras=None) -> DataFrame:
     """Events as a stream carries them: base64 JSON, some records damaged."""
-    event = F.to_json(F.struct(*RAW_DATA.names))
+    event = F.to_json(F.struct(*RAW_DATA.names, *[x.alias(name) for name, x in (extras or {}).items()]))
     damaged = F.pmod(c("eventid").cast("bigint"), F.lit(17)) == 0
     sent = F.when(damaged, F.left(event, F.lit(9))).otherwise(event)
     return t.search_log(spark, sf).select(F.base64(F.encode(sent, "utf-8")).alias("data"))
@@ -868,19 +869,21 @@ def _follow(spark, written: DataFrame, files_per_batch: int | None = None) -> Da
 
 @query(
     "stream_raw_sink",
-    """SELECT eventid, keyword, left(datetime, 10) AS dt, false AS dead FROM search_log WHERE CAST(eventid AS BIGINT) % 17 <> 0
-       UNION ALL SELECT NULL, NULL, NULL, true FROM search_log WHERE CAST(eventid AS BIGINT) % 17 = 0""",
+    f"""SELECT {_RAW_COLUMNS}, nullif(left(datetime, 10), '') AS dt, nullif(substr(datetime, 12, 2), '') AS hour, 'ALL' AS derived_genre, 'ALL' AS platform_group, false AS dead
+        FROM search_log WHERE CAST(eventid AS BIGINT) % 17 <> 0
+        UNION ALL SELECT {', '.join(['NULL'] * 13)}, true FROM search_log WHERE CAST(eventid AS BIGINT) % 17 = 0""",
 )
 def stream_raw_sink(spark, sf):
-    folder = staging_path(spark, "encoded")
-    _encoded(spark, sf).write.parquet(folder)
-    out = staging_path(spark, "raw-sink")
+    """Partitioned by all four keys, of which genre and platform are of one kind here; damaged records end as dead letters."""
+    folder, out = staging_path(spark, "encoded"), staging_path(spark, "raw-sink")
+    extras = {"derived_genre": F.lit("ALL"), "platform_group": F.lit("ALL")}
+    _encoded(spark, sf, extras).write.parquet(folder)
     stream = spark.readStream.schema("data string").parquet(folder)
-    jobs.run_to_end(*jobs.start_raw_sink(stream, out, available_now=True, keys=["dt"]))
+    jobs.run_to_end(jobs.start_raw_sink(stream, out, available_now=True))
     good = spark.read.schema(jobs.SINK_SCHEMA).parquet(f"{out}/data")
     dead = spark.read.schema("data string").parquet(f"{out}/dead")
-    key = F.nullif("dt", F.lit("__HIVE_DEFAULT_PARTITION__"))
-    return good.select("eventid", "keyword", key.alias("dt"), F.lit(False).alias("dead")).unionByName(
+    keys = [F.nullif(k, F.lit(_HIVE_NULL)).alias(k) for k in ("dt", "hour", "derived_genre", "platform_group")]
+    return good.select(*_RAW_COLUMNS.split(", "), *keys, F.lit(False).alias("dead")).unionByName(
         dead.select(F.lit(True).alias("dead")), allowMissingColumns=True
     )
 
@@ -901,46 +904,61 @@ def stream_enrich(spark, sf):
     )
 
 
-_HOUR = "CAST(epoch_ms(date_trunc('hour', event_ts)) AS BIGINT)"
+_Z = "round((observed_count - coalesce(rolling_mean, 0)) / greatest(coalesce(rolling_std, 0), 1.0), 6)"
+_SLOTS = "LEFT JOIN (SELECT derived_genre, hour_of_day_vn, rolling_mean, rolling_std FROM baseline) USING (derived_genre, hour_of_day_vn)"
+
+
+def _in_order(spark, df: DataFrame, groups: list) -> DataFrame:
+    """Stream of ``df``, one file and micro-batch for each of the conditions, in their order."""
+    folder = staging_path(spark, "arrivals")
+    for condition in groups:
+        df.where(condition).coalesce(1).write.mode("append").parquet(folder)
+    return jobs.follow(spark, folder, df.schema, files_per_batch=1)
 
 
 @query(
     "stream_anomaly",
-    f"""SELECT b.window_start, b.derived_genre, b.hour_of_day_vn, observed_count,
-          round((observed_count - coalesce(rolling_mean, 0)) / greatest(coalesce(rolling_std, 0), 1.0), 6) AS z_score
-        FROM (SELECT {_HOUR} AS window_start, derived_genre, hour_of_day_vn, count(*) AS observed_count FROM curated
-              WHERE session_action = 'enter' GROUP BY ALL) b
-          LEFT JOIN (SELECT derived_genre, hour_of_day_vn, rolling_mean, rolling_std FROM baseline) USING (derived_genre, hour_of_day_vn)
-        WHERE abs((observed_count - coalesce(rolling_mean, 0)) / greatest(coalesce(rolling_std, 0), 1.0)) > 3""",
+    """SELECT 'scored' AS kind, window_start, derived_genre, hour_of_day_vn, observed_count, z AS z_score FROM closed
+        UNION ALL SELECT 'anomaly', NULL, derived_genre, hour_of_day_vn, observed_count, round(z, 4) FROM closed WHERE abs(z) > 3
+        UNION ALL SELECT 'alert', NULL, derived_genre, hour_of_day_vn, observed_count, round(z, 4) FROM closed WHERE abs(z) > 3
+        UNION ALL SELECT 'metric', NULL, derived_genre, hour_of_day_vn, NULL, abs(z) FROM closed""",
 )
 def stream_anomaly(spark, sf):
+    """Hours are scored once they are over; rows of the third day that come after all others are too late and left out."""
     base_root, out = staging_path(spark, "baseline"), staging_path(spark, "window-anomalies")
     sinks.write_baseline(t.baseline(spark, sf), base_root)
-    stream = _follow(spark, t.curated(spark, sf))
-    # The files come in no time order, so the watermark must allow for the whole span of the data.
-    jobs.run_to_end(
-        jobs.start_anomaly(stream, base_root, out, scope="window", watermark="60 days", mode="update", available_now=True)
-    )
-    rows = jobs.latest_windows(spark, out)
-    return rows.where("is_anomaly").select("window_start", "derived_genre", "hour_of_day_vn", "observed_count", "z_score")
+    entered = t.curated(spark, sf).where("session_action = 'enter' AND year(event_ts) = 2024")
+    late = (F.dayofmonth("event_ts") == 3) & (F.col("event_id").cast("bigint") % 10 == 0)
+    days = F.dayofmonth("event_ts")
+    stream = _in_order(spark, entered, [~late & days.between(a, b) for a, b in ((1, 10), (11, 20), (21, 31))] + [late])
+    jobs.run_to_end(jobs.start_anomaly(stream, base_root, out, scope="window", available_now=True))
+    read = lambda name: spark.read.parquet(f"{out}/{name}")
+    detail = F.from_json("detail", "derived_genre string, hour_of_day_vn bigint, observed_count bigint, z_score double")
+    dims = [c("dimensions")["Genre"].alias("derived_genre"), c("dimensions")["Hour"].cast("bigint").alias("hour_of_day_vn")]
+    columns = ["window_start", "derived_genre", "hour_of_day_vn", "observed_count", "z_score"]
+    parts = [
+        read("scored").select(F.lit("scored").alias("kind"), *columns),
+        read("anomalies").select(F.lit("anomaly").alias("kind"), *columns[1:]),
+        read("alerts").select(F.lit("alert").alias("kind"), detail.alias("d")).select("kind", "d.*"),
+        read("metrics").select(F.lit("metric").alias("kind"), *dims, c("value").alias("z_score")),
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p.withColumn("z_score", c("z_score").cast("double")) for p in parts])
 
 
 @query(
     "stream_anomaly_batch",
-    """SELECT derived_genre, hour_of_day_vn, CAST(sum(n) AS BIGINT) AS observed_count FROM (
-         SELECT derived_genre, hour_of_day_vn, count(*) AS n FROM curated WHERE session_action = 'enter' GROUP BY ALL) GROUP BY ALL""",
+    f"""SELECT derived_genre, hour_of_day_vn, observed_count, {_Z} AS z_score FROM (
+          SELECT CAST(event_id AS BIGINT) % 3 AS part, derived_genre, hour_of_day_vn, count(*) AS observed_count FROM curated
+          WHERE session_action = 'enter' GROUP BY ALL) {_SLOTS}""",
 )
 def stream_anomaly_batch(spark, sf):
-    """Per-batch scoring; the buckets of all batches add up to those of the whole table."""
+    """The counts within each micro-batch, scored."""
     base_root, out = staging_path(spark, "baseline"), staging_path(spark, "batch-anomalies")
     sinks.write_baseline(t.baseline(spark, sf), base_root)
-    stream = _follow(spark, t.curated(spark, sf), files_per_batch=2)
+    part = F.col("event_id").cast("bigint") % 3
+    stream = _in_order(spark, t.curated(spark, sf), [part == i for i in range(3)])
     jobs.run_to_end(jobs.start_anomaly(stream, base_root, out, scope="batch", available_now=True))
-    return (
-        spark.read.schema(jobs.SCORED_SCHEMA).parquet(f"{out}/scored")
-        .groupBy("derived_genre", "hour_of_day_vn")
-        .agg(F.sum("observed_count").alias("observed_count"))
-    )
+    return spark.read.schema(jobs.SCORED_SCHEMA).parquet(f"{out}/scored").select("derived_genre", "hour_of_day_vn", "observed_count", "z_score")
 
 
 @query(
@@ -1004,24 +1022,23 @@ def role_view(spark, sf):
 
 
 _PHONE = governance.PII_PATTERNS["vn_phone"]
-_PII = [("documents", ("text", "lang", "source")), ("conversations", ("role", "text"))]
+_PII = [
+    ("documents", ("text", "lang", "source")), ("conversations", ("role", "text")),
+    ("search_log", ("eventid", "datetime", "user_id", "keyword", "category", "proxy_isp", "platform", "networktype", "action", "userplansmap", "dt", "hour")),
+]
 
 
-@query(
-    "pii_scan",
-    " UNION ALL ".join(
-        f"""SELECT '{table}' AS table_name, 'vn_phone' AS pattern, '{col}' AS "column", count(*) AS rows_scanned,
-            count(*) FILTER (WHERE regexp_matches({col}, '{_PHONE}')) AS rows_hit,
-            CAST(coalesce(sum(len(regexp_extract_all({col}, '{_PHONE}'))), 0) AS BIGINT) AS matches FROM {table}"""
-        for table, cols in _PII
-        for col in cols
-    ),
-)
+def _pii_sql(table: str, col: str) -> str:
+    found = f"regexp_extract_all({f'array_to_string({col}, chr(10))' if col == 'userplansmap' else col}, '{_PHONE}')"
+    return f"""SELECT '{table}' AS table_name, 'vn_phone' AS pattern, '{col}' AS "column", count(*) AS rows_scanned,
+        count(*) FILTER (WHERE len({found}) > 0) AS rows_hit, CAST(coalesce(sum(len({found})), 0) AS BIGINT) AS matches,
+        min(list_min({found})) AS sample FROM {table}"""
+
+
+@query("pii_scan", " UNION ALL ".join(_pii_sql(table, col) for table, cols in _PII for col in cols))
 def pii_scan(spark, sf):
-    parts = [
-        governance.pii_scan(t.source(spark, sf, table)).withColumn("table_name", F.lit(table)) for table, _ in _PII
-    ]
-    return parts[0].unionByName(parts[1])
+    frames = {table: t.search_log(spark, sf) if table == "search_log" else t.source(spark, sf, table) for table, _ in _PII}
+    return reduce(DataFrame.unionByName, [governance.pii_scan(df).withColumn("table_name", F.lit(table)) for table, df in frames.items()])
 
 
 @query(

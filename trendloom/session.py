@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,10 +61,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     loss of executors, and gives Catalyst true sizes for its join choices.
     """
     path = staging_path(df.sparkSession, name)
+    for held in _held:
+        held.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_held: list[list[str]] = []
+
+
+@contextmanager
+def staged_since(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end whatever the enclosed lines staged; for work whose results are written elsewhere by then."""
+    paths: list[str] = []
+    _held.append(paths)
+    try:
+        yield
+    finally:
+        _held.remove(paths)
+        for path in paths:
+            discard(spark, path)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a staged folder that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -18,7 +18,7 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def names_in(spark: SparkSession, path: str) -> list[str]:
     """Names of what lies in a folder, as the file system has them; none if there is no folder."""
     fs, where = _hadoop(spark, path)
     return [x.getPath().getName() for x in fs.listStatus(where)] if fs.exists(where) else []
@@ -37,7 +37,7 @@ def _replace_days(df: DataFrame, path: str, day: str, genre: str) -> None:
     fs, _ = _hadoop(spark, path)
     try:
         df.hint("rebalance", day, genre).write.option("compression", "snappy").partitionBy(day, genre).parquet(fresh)
-        for name in _names(spark, fresh):
+        for name in names_in(spark, fresh):
             if name.startswith(f"{day}="):
                 # Path(parent, child) takes the name literally, whatever characters were escaped in it.
                 new, there, gone = (spark._jvm.org.apache.hadoop.fs.Path(_hadoop(spark, root)[1], name) for root in (fresh, path, old))
@@ -103,7 +103,7 @@ def publish_version(df: DataFrame, root: str) -> str:
     """
     spark = df.sparkSession
     fs, _ = _hadoop(spark, root)
-    last = max((int(name.split("-")[1]) for name in _names(spark, f"{root}/_current")), default=0)
+    last = max((int(name.split("-")[1]) for name in names_in(spark, f"{root}/_current")), default=0)
     name = f"v-{last + 1:012d}-{uuid.uuid4().hex}"
     df.write.parquet(f"{root}/{name}")
     fs.create(_hadoop(spark, f"{root}/_current/{name}")[1]).close()
@@ -112,5 +112,5 @@ def publish_version(df: DataFrame, root: str) -> str:
 
 def resolve_version(spark: SparkSession, root: str) -> str | None:
     """Path of the newest version under ``root``, None without any."""
-    names = [n for n in _names(spark, f"{root}/_current") if n.startswith("v-")]
+    names = [n for n in names_in(spark, f"{root}/_current") if n.startswith("v-")]
     return f"{root}/{max(names)}" if names else None

@@ -1,7 +1,7 @@
 """Streaming counterparts of the batch operators.
 
-Every sink is either an exactly-once file sink or a ``foreachBatch`` that overwrites the folder of
-its own batch id, so a batch run again after a failure replaces what it wrote before.
+Every sink is a ``foreachBatch`` that overwrites the folder of its own batch id, so a batch run again after a
+failure replaces what it wrote before.
 """
 
 from __future__ import annotations
@@ -17,10 +17,12 @@ from trendloom.functions.devices import platform_group
 from trendloom.functions.text import stream_keyword_norm
 from trendloom.functions.timestamps import clean_datetime
 from trendloom.operators import anomalies
-from trendloom.operators.classification import classify_keywords, distinct_keywords, with_genre
-from trendloom.schemas import RAW_PARTITIONS, STREAM_EVENT
+from trendloom.operators.classification import classify_keywords, distinct_keywords, lut_unknown_fallback, with_genre
+from trendloom.operators.labelling import Provider, label_residual
+from trendloom.schemas import RAW_PARTITIONS, STREAM_EVENT, UNKNOWN
+from trendloom.session import stage, staged_since
 from trendloom.sources.raw_events import decode_json_records
-from trendloom.sources.sinks import resolve_version
+from trendloom.sources.sinks import names_in, resolve_version
 
 ENRICHED_SCHEMA = STREAM_EVENT
 SINK_SCHEMA = T.StructType(
@@ -67,38 +69,39 @@ def start_raw_sink(
     available_now: bool = False,
     every: str = "60 seconds",
     keys: Sequence[str] = tuple(RAW_PARTITIONS.names),
-    files_per_key: int = 1,
-) -> list[StreamingQuery]:
-    """Decode base64 JSON records into the partitioned raw table ``out/data``.
+) -> StreamingQuery:
+    """Decode base64 JSON records into the raw table ``out/data``, partitioned by batch and ``keys``.
 
     ``dt`` and ``hour`` are cut from the unrepaired text, as the raw layer keeps what it got.
-    Records that do not decode go to ``out/dead``. Rows are gathered per partition before the
-    write, split ``files_per_key`` ways, to avoid many tiny files.
+    Records that do not decode go to ``out/dead``. The rebalance hint gathers the rows of a partition before the
+    write, to avoid many tiny files, and splits a partition with many rows over several writers.
     """
-    good, dead = decode_json_records(stream, "data")
-    keyed = good.withColumns(
-        {"dt": F.left("datetime", F.lit(10)), "hour": F.substring("datetime", 12, 2)}
-    )
-    slot = F.pmod(F.xxhash64("eventid"), F.lit(files_per_key))
-    rows = keyed.repartition(*keys, slot).writeStream.partitionBy(*keys).format("parquet")
-    letters = dead.writeStream.format("parquet").option("path", f"{out}/dead")
-    return [
-        _start(rows.option("path", f"{out}/data"), f"{out}/_checkpoint/data", available_now, every),
-        _start(letters, f"{out}/_checkpoint/dead", available_now, every),
-    ]
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        good, dead = decode_json_records(batch, "data")
+        keyed = good.withColumns({"dt": F.left("datetime", F.lit(10)), "hour": F.substring("datetime", 12, 2)})
+        dead.write.mode("overwrite").parquet(f"{out}/dead/batch_id={batch_id}")
+        keyed.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).parquet(f"{out}/data/batch_id={batch_id}")
+
+    return _start(stream.writeStream.foreachBatch(write), f"{out}/_checkpoint", available_now, every)
+
+
+def enrich_rows(raw: DataFrame, labels: DataFrame) -> DataFrame:
+    """Raw rows with the four columns that travel with a stream event; ``labels`` covers their keywords."""
+    return with_genre(_stream_columns(raw), labels, id_col="eventid").select(*STREAM_EVENT.names)
 
-def enrich_rows(raw: DataFrame, lut: DataFrame, lut_ext: DataFrame | None = None) -> DataFrame:
-    """Raw rows with the four columns that travel with a stream event."""
-    rows = raw.withColumns(
+
+def _stream_columns(raw: DataFrame) -> DataFrame:
+    return raw.withColumns(
         {
             "datetime_clean": clean_datetime(F.col("datetime")),
             "keyword_norm": stream_keyword_norm(F.col("keyword")),
             "platform_group": platform_group(F.col("platform")),
         }
     ).drop("derived_genre")
-    labels = classify_keywords(distinct_keywords(rows), lut, lut_ext)
-    return with_genre(rows, labels, id_col="eventid").select(*STREAM_EVENT.names)
+
+
+_STORE = "keyword_norm string, derived_genre string, n bigint"
 
 
 def start_enrich(
@@ -106,13 +109,35 @@ def start_enrich(
     lut: DataFrame,
     out: str,
     lut_ext: DataFrame | None = None,
+    label_provider: Provider | None = None,
     available_now: bool = False,
     every: str = "60 seconds",
 ) -> StreamingQuery:
-    """Enrich each micro-batch; its distinct keywords are classified once each."""
+    """Enrich each micro-batch.
+
+    Every keyword is classified once for all batches: what a batch learned is kept under ``out/_labels``, and later
+    batches only classify what they see for the first time. Keywords that stay UNKNOWN are put to ``label_provider``.
+    """
+    spark, store = stream.sparkSession, f"{out}/_labels"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        enrich_rows(batch, lut, lut_ext).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        with staged_since(spark):
+            enrich(batch, batch_id)
+
+    def enrich(batch: DataFrame, batch_id: int) -> None:
+        counted = stage(distinct_keywords(_stream_columns(batch)), "batch-keywords")
+        earlier = [f"{store}/{name}" for name in names_in(spark, store) if int(name.split("=")[1]) < batch_id]
+        known = spark.read.schema(_STORE).parquet(*earlier) if earlier else spark.createDataFrame([], _STORE)
+        fresh = counted.join(known, "keyword_norm", "left_anti")
+        labels = classify_keywords(fresh, lut, lut_ext).select("keyword_norm", "derived_genre", "n")
+        if label_provider:
+            labels = stage(labels, "batch-labels")
+            answers = stage(label_residual(labels.where(F.col("derived_genre") == UNKNOWN), label_provider), "answers")
+            labels = lut_unknown_fallback(labels, answers.withColumnRenamed("keyword_norm", "keyword"))
+        labels.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+        fresh = spark.read.schema(_STORE).parquet(f"{store}/batch_id={batch_id}")
+        here = counted.join(known.unionByName(fresh).drop("n"), "keyword_norm")
+        enrich_rows(batch, here).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return _start(stream.writeStream.foreachBatch(write), f"{out}/_checkpoint", available_now, every)
 
@@ -123,14 +148,14 @@ def start_anomaly(
     out: str,
     scope: str = "window",
     watermark: str = "1 hour",
-    mode: str = "append",
     available_now: bool = False,
     every: str = "60 seconds",
 ) -> StreamingQuery:
     """Score enter events against the baseline, read anew for every micro-batch.
 
     ``scope="batch"`` scores the counts within each micro-batch. ``scope="window"`` scores event-time
-    hours, which is what the baseline describes; the watermark bounds the state.
+    hours, which is what the baseline describes; the watermark bounds the state, and an hour is scored once
+    it is over, so that no alert goes out for half an hour's events.
     Writes ``scored``, ``anomalies``, ``alerts`` and ``metrics`` under ``out``.
     """
     if scope not in ("batch", "window"):
@@ -144,7 +169,9 @@ def start_anomaly(
         here = {name: f"{out}/{name}/batch_id={batch_id}" for name in ("scored", "anomalies", "alerts", "metrics")}
         scored.write.mode("overwrite").parquet(here["scored"])
         scored = spark.read.schema(scored.schema).parquet(here["scored"])
-        unit = F.col("window_start") if windowed else F.lit(batch_id)
+        # A batch number comes again with a new checkpoint, but under another query id.
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        unit = F.col("window_start") if windowed else F.lit(f"{query_id}/{batch_id}")
         rows = anomalies.anomaly_rows(scored, unit, F.current_timestamp())
         rows.write.mode("overwrite").parquet(here["anomalies"])
         anomalies.alert_events(rows).write.mode("overwrite").parquet(here["alerts"])
@@ -156,7 +183,7 @@ def start_anomaly(
         stream = stream.withColumn("window_start", F.col("w.start")).drop("w")
     writer = stream.writeStream.foreachBatch(write)
     if windowed:
-        writer = writer.outputMode(mode)
+        writer = writer.outputMode("append")
     return _start(writer, f"{out}/_checkpoint", available_now, every)
 
 
@@ -168,11 +195,6 @@ def _latest(spark: SparkSession, path: str, schema: T.StructType, keys: list[str
     return latest.select(*keys, "v.*")
 
 
-def latest_windows(spark: SparkSession, out: str) -> DataFrame:
-    schema = T.StructType([T.StructField("window_start", T.TimestampType())] + SCORED_SCHEMA.fields)
-    return _latest(spark, f"{out}/scored", schema, ["window_start", *anomalies.SLOT])
-
-
 def start_throughput(
     stream: DataFrame,
     out: str,
