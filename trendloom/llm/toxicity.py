@@ -24,8 +24,8 @@ from trendloom.llm.common import held_out, labelled_sample, stage
 FOLDS, HELD_OUT_FOLD = 5, 0
 ORDERS = (3, 4, 5)
 BUCKET_BITS = 18
-FIT_ROWS = 40_000
-MAX_FEATURES = 4096
+FIT_ROWS = 20_000
+MAX_FEATURES = 1024
 LEAST_Z = 4.0
 RIDGE = 1e-4
 STEPS = 400
@@ -68,8 +68,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _feature_lists(wanted: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [gram_buckets(t.as_py(), wanted).tolist() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(rows, pa.list_(pa.int64()))], ["y", "buckets"])
+            rows = [gram_buckets(t.as_py(), wanted) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(rows, pa.list_(pa.int32()))], ["y", "buckets"])
 
     return run
 
@@ -125,14 +125,12 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
     buckets = np.sort(np.array([r.bucket for r in chosen], np.int64))
     ratio = np.zeros(1 << BUCKET_BITS)
     ratio[[r.bucket for r in chosen]] = [r.ratio for r in chosen]
-    lists = sample.mapInArrow(_feature_lists(ratio != 0), "y int, buckets array<long>").toArrow()
+    lists = sample.mapInArrow(_feature_lists(ratio != 0), "y int, buckets array<int>").toArrow()
     y = (lists.column("y").to_numpy() > 0).astype(float)
     flat = lists.column("buckets").combine_chunks()
-    rows = np.repeat(np.arange(len(y)), np.array(flat.value_lengths().to_pylist(), np.int64))
-    entries = flat.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    order = np.lexsort((entries, rows))
-    rows, entries = rows[order], entries[order]
-    fitted, bias = fit_logistic(rows, np.searchsorted(buckets, entries), ratio[entries], y, len(buckets))
+    rows = np.repeat(np.arange(len(y), dtype=np.int32), flat.value_lengths().to_numpy())
+    entries = flat.flatten().to_numpy()
+    fitted, bias = fit_logistic(rows, np.searchsorted(buckets, entries).astype(np.int32), ratio[entries].astype(np.float32), y, len(buckets))
     weights[buckets] = fitted * ratio[buckets]
     return Model(weights, bias)
 
