@@ -283,6 +283,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, split_rows: int = SPLI
     strings = stage(one_each.select("text", "wanted").mapInArrow(_cut, cut).dropDuplicates(same), "strings")
 
     crowded = strings.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > split_rows).select("anchor")
+    crowded = stage(crowded, "crowded")
     buckets = max(1, strings.count() // BUCKET_ROWS)
     usual = strings.join(crowded, "anchor", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
     found = usual.groupBy("bucket").applyInPandas(_bucket(length), "anchor long, shape int, digest long, first long, last long")
