@@ -103,10 +103,28 @@ def byte_numbers(lower: bool = False) -> np.ndarray:
 
 def prefix_sums(numbers: np.ndarray) -> np.ndarray:
     out = np.zeros(len(numbers) + 1, np.uint64)
-    np.multiply(numbers, powers(len(numbers))[: len(numbers)], out=out[1:])
+    out[1:] = numbers
+    return _summed(out)
+
+
+def byte_prefix_sums(table: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """prefix_sums of the numbers of bytes, without a second array of their size."""
+    out = np.zeros(len(data) + 1, np.uint64)
+    np.take(table, data, out=out[1:], mode="clip")
+    return _summed(out)
+
+
+def _summed(out: np.ndarray) -> np.ndarray:
+    out[1:] *= powers(len(out))[: len(out) - 1]
     return np.cumsum(out, out=out)
 
 
+def slices(batch: pa.RecordBatch, rows: int = 500) -> Iterable[pa.RecordBatch]:
+    """A batch in parts, so that what is made of a part is small whatever size batches have."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def substring_hash(prefix: np.ndarray, start: np.ndarray, length, top: int) -> np.ndarray:
     """Hashes of start to start + length. top: a constant above every start."""
     return (prefix[start + length] - prefix[start]) * powers(top + 1)[top - start]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendloom.llm import common
-from trendloom.llm.common import byte_numbers, mix, prefix_sums
+from trendloom.llm.common import byte_numbers, byte_prefix_sums, mix, prefix_sums
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -53,7 +53,7 @@ def word_hashes(text: bytes) -> np.ndarray:
         piece = data[at:end]
         edge = np.flatnonzero(np.diff(np.r_[False, _IS_WORD[piece], False]))
         start, stop = edge[::2], edge[1::2]
-        prefix = prefix_sums(_NUMBERS[piece])
+        prefix = byte_prefix_sums(_NUMBERS, piece)
         found.append(mix((prefix[stop] - prefix[start]) * _inverse_powers(len(piece))[start]))
         at = end
     return np.concatenate(found) if found else np.zeros(0, np.uint64)

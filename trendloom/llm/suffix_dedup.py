@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm import common
-from trendloom.llm.common import byte_column, keyed, mix, prefix_sums, same_row, stage, substring_hash
+from trendloom.llm.common import byte_column, byte_prefix_sums, keyed, mix, same_row, slices, stage, substring_hash
 
 LENGTH = 400
-SPLIT_ROWS = 32_768
-BUCKET_ROWS = 4_096
+SPLIT_ROWS = 16_384
+BUCKET_ROWS = 2_048
 
 _BLOCK = 1 << 17
 _PLACE = np.uint64((1 << 20) - 1)
@@ -62,7 +62,7 @@ def find_segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int)
     for low in range(0, max(0, len(data) - length + 1), _BLOCK):
         block = data[low : low + _BLOCK + length - 1]
         windows, grams = len(block) - length + 1, len(block) - gram + 1
-        hashes = mix(substring_hash(prefix_sums(numbers[block]), np.arange(grams), gram, 2 * _BLOCK))
+        hashes = mix(substring_hash(byte_prefix_sums(numbers, block), np.arange(grams), gram, 2 * _BLOCK))
         packed = (hashes & ~_PLACE) | np.arange(grams, dtype=np.uint64)
         anchor = (_sliding_min(packed, length - gram + 1) & _PLACE).astype(np.int64)
         edges = np.concatenate([offsets - low, offsets - low - length + 1])
@@ -79,7 +79,7 @@ def find_segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int)
 
 def _segments(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             data, offsets = byte_column(batch.column("text"))
             for row, start, count, place, anchor, digest in find_segments(data, offsets, length, gram):
                 take = pa.array(row)
@@ -99,7 +99,7 @@ class Strings:
         sizes = np.array([len(x) for x in strings], np.int64)
         self.strings, self.place, self.group, self.forward = strings, anchor, group, forward
         self.data = np.frombuffer(b"".join(strings), np.uint8)
-        self.prefix = prefix_sums(common.byte_numbers()[self.data])
+        self.prefix = byte_prefix_sums(common.byte_numbers(), self.data)
         self.at = np.concatenate([[0], np.cumsum(sizes)[:-1]]) + anchor
         self.room = sizes - anchor if forward else anchor
 
@@ -233,7 +233,7 @@ def _bucket(length: int):
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The text of the segments asked of each document."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         rows = []
         for text, asked in zip(common.texts(batch.column("text")), batch.column("wanted").to_pylist()):
             rows += [x | {"segment": text[x["start"] : x["start"] + x["size"]]} for x in asked]
@@ -319,7 +319,7 @@ _RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_remove
 
 
 def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         rows = []
         for doc_id, text, spans in zip(batch.column("doc_id").to_pylist(), common.texts(batch.column("text")), batch.column("spans").to_pylist()):
             merged = merge_spans(spans)
@@ -354,8 +354,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, split_rows: int = SPL
     @F.arrow_udf("string")
     def cut(text: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
-        for raw, asked in zip(common.texts(text), spans.to_pylist()):
-            out.append(kept_bytes(raw, merge_spans(asked)).decode("utf-8", "ignore") if asked else raw.decode("utf-8", "ignore"))
+        for raw, asked in zip(common.texts(text), spans):
+            out.append(kept_bytes(raw, merge_spans(asked.as_py())).decode("utf-8", "ignore"))
         return pa.array(out, pa.string())
 
     rows = docs.select(
