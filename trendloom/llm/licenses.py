@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from trendloom.llm.common import stage
 
-CONTAINMENT = 0.8
+# Notices are short and differ in a word or a number, such as "affero" or "2"; below this they would be taken for each other.
+CONTAINMENT = 0.95
 MAX_TEMPLATE_TOKENS = 5000
 
 # The phrases and labels of the base rule.
