@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +41,27 @@ def utc(spark: SparkSession) -> SparkSession:
     return beside
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, for operators whose Python code runs in tasks; once per application.
+
+    Where the package is not in a folder of its own, it was installed or sent already.
+    """
+    package = Path(__file__).parent
+    application = spark.sparkContext.applicationId
+    if application in _shipped or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="spark-trendloom-")) / "trendloom.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*")):
+            if file.suffix in (".py", ".json"):
+                out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir``. Where it is unset, a local session gets a temporary one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
