@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.session import stage
+from trendloom.session import ship_package, stage
 
-__all__ = ["stage", "source", "keyed", "free_name", "discard", "same_row", "folder_of"]
+__all__ = ["stage", "ship_package", "source", "keyed", "free_name", "discard", "same_row", "folder_of"]
 
 #: Whitespace of the word rule: words are runs of anything but space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"

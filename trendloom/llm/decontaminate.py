@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendloom.llm import common
-from trendloom.llm.common import byte_numbers, byte_prefix_sums, mix, prefix_sums
+from trendloom.llm.common import byte_numbers, byte_prefix_sums, mix, prefix_sums, ship_package
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -242,6 +242,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMI
     items do not. Empty tables give no rows. Further columns are ignored.
     """
     spark, found = docs.sparkSession, None
+    ship_package(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     for block in item_blocks(benchmark):
         index = spark.sparkContext.broadcast(ItemIndex(block))
@@ -254,6 +255,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMI
 
 def without_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """docs without those that hold a benchmark item; all columns and all other rows stay as they are."""
+    ship_package(spark)
     for block in item_blocks(benchmark):
         docs = docs.where(~_leaks(spark.sparkContext.broadcast(ItemIndex(block)), threshold)(F.col("text").cast("string")))
     return docs

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendloom.llm import common
-from trendloom.llm.common import held_out, stage
+from trendloom.llm.common import held_out, ship_package, stage
 
 FOLDS, HELD_OUT_FOLD = 3, 1
 ORDER = 3
@@ -144,6 +144,7 @@ class Languages:
 
 def train(docs: DataFrame) -> Languages:
     """Trees of all languages of the texts outside the held-out fold. Null languages and texts do not count."""
+    ship_package(docs.sparkSession)
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(FOLDS, HELD_OUT_FOLD))
     known = known.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     table = context_counts(known).toArrow()

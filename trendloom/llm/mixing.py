@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendloom.llm import common
-from trendloom.llm.common import stage
+from trendloom.llm.common import ship_package, stage
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -132,6 +132,7 @@ def mix(docs: DataFrame, key: list[str]) -> DataFrame:
 
     Rows that agree in their whole key may get different copies; how many such rows get how many is settled.
     """
+    ship_package(docs.sparkSession)
     counts = stage(docs.groupBy("source", "size").agg(F.count("*").alias("n")), "sizes")
     totals = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     solved = stage(solve(counts, targets(totals)).withColumn("source_no", F.xxhash64("source", F.col("source").isNull())), "solved")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendloom.llm import common
-from trendloom.llm.common import held_out, labelled_sample
+from trendloom.llm.common import held_out, labelled_sample, ship_package
 
 FOLDS, HELD_OUT_FOLD = 5, 0
 FIT_ROWS = 40_000
@@ -151,6 +151,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
+    ship_package(docs.sparkSession)
     sample = labelled_sample(docs, labels, "quality", FOLDS, HELD_OUT_FOLD, fit_rows)
     rows = sample.mapInArrow(_features, "y int, x array<double>").toArrow()
     x = np.array(rows.column("x").to_pylist(), float).reshape(-1, len(FEATURES))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendloom.llm import common
-from trendloom.llm.common import keyed, row_key, stage
+from trendloom.llm.common import keyed, row_key, ship_package, stage
 from trendloom.llm.components import connected_components
 
 RADIUS = 3
@@ -127,6 +127,7 @@ def _bucket_edges(radius: int):
 
 def near_pairs(distinct: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
     """(u, v): ties between distinct fingerprints that connect exactly those linked within ``radius`` bits."""
+    ship_package(distinct.sparkSession)
     first = masks(list(range(64)), BLOCKS, radius)
     tables = distinct.select("fingerprint", _keys(first).alias("k")).select("k.table", "k.bits", "fingerprint")
     sizes = tables.groupBy("table", "bits").agg(F.count("*").alias("n")).where("n > 1")
@@ -157,6 +158,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -
     do not count for component_id; it is null where a component has no other. Repeated rows are linked.
     An empty table gives no rows. Further columns are ignored.
     """
+    ship_package(docs.sparkSession)
     rows = stage(keyed(docs).select("doc_id", fingerprint_of("text").alias("fingerprint")), "fingerprints")
     classes = stage(fingerprint_classes(rows, radius, crowd), "classes")
     least = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least")).join(classes, "fingerprint")
@@ -171,6 +173,7 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> Da
 
     Of rows that agree in id and text one stays. A null id counts as larger than all others.
     """
+    ship_package(docs.sparkSession)
     rows = row_key(docs)
     prints = rows.select(
         "id_key", "text_key", F.col("row.doc_id").isNull().alias("no_id"), fingerprint_of(F.col("row.text").cast("string")).alias("fingerprint")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm import common
-from trendloom.llm.common import byte_column, byte_prefix_sums, keyed, mix, same_row, slices, stage, substring_hash
+from trendloom.llm.common import byte_column, byte_prefix_sums, keyed, mix, same_row, ship_package, slices, stage, substring_hash
 
 LENGTH = 400
 SPLIT_ROWS = 16_384
@@ -262,6 +262,7 @@ _WINDOW = pa.schema([
 def repeated_spans(docs: DataFrame, length: int = LENGTH, split_rows: int = SPLIT_ROWS) -> DataFrame:
     """(doc_id, text_key, spans): per row of docs with repeats, the byte ranges to remove, unmerged."""
     spark, gram = docs.sparkSession, max(1, length // 3)
+    ship_package(spark)
     docs = keyed(docs)
     segments = stage(docs.mapInArrow(_segments(length, gram), _SEGMENT), "segments")
     # Written, so that the join deals out both sides by itself and can split an anchor that very many segments share.
@@ -351,6 +352,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, split_rows: int = SPL
     A character of which only some bytes are removed goes. All other columns stay as they are; null texts stay null.
     """
 
+    ship_package(docs.sparkSession)
+
     @F.arrow_udf("string")
     def cut(text: pa.Array, spans: pa.Array) -> pa.Array:
         out = []

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendloom.llm.common import held_out, labelled_sample, stage
+from trendloom.llm.common import held_out, labelled_sample, ship_package, stage
 
 FOLDS, HELD_OUT_FOLD = 5, 0
 ORDERS = (3, 4, 5)
@@ -112,6 +112,7 @@ def fit_logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, y: n
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """Learn from labelled texts outside the held-out fold. Without labels of both kinds every score is the share of 1s."""
+    ship_package(docs.sparkSession)
     sample = stage(labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT_FOLD, fit_rows), "toxicity-sample")
     pos, neg = sample.agg(F.count_if(F.col("y") > 0), F.count_if(F.col("y") <= 0)).first()
     weights = np.zeros(1 << BUCKET_BITS)
