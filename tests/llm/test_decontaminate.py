@@ -67,3 +67,31 @@ def test_many_items_go_in_blocks(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"a w{i} x{i} y{i} z{i} v{i} u{i} b") for i in range(12)], "doc_id long, text string")
     assert sorted((h.doc_id, h.item_id) for h in decontaminate.contamination(docs, items).collect()) == [(i, i) for i in range(9)]
     assert sorted(r.doc_id for r in decontaminate.without_leaks(spark, docs, items).collect()) == [9, 10, 11]
+
+
+def test_documents_shorter_than_an_item(spark):
+    """Against brute force with the whole document as the window wherever it has fewer words than the item."""
+    rnd, items, rows = random.Random(8), [], []
+    for i in range(30):
+        words = [f"w{rnd.randrange(300)}" for _ in range(rnd.randint(6, 80))]
+        items.append((i, " ".join(words)))
+        for cut in (1, 3, rnd.randint(1, len(words) // 4 + 1)):
+            rows += [(len(rows), " ".join(words[cut:])), (len(rows) + 1, " ".join(words[:-cut]).upper())]
+        changed = words[1:]
+        changed[rnd.randrange(len(changed))] = "other"
+        rows.append((len(rows), " ".join(changed)))
+    want = best_windows(rows, items)
+    for doc_id, text in rows:
+        words = text.lower().split()
+        for item_id, item in items:
+            own = item.split()
+            count = lambda x: Counter(tuple(x[i : i + 5]) for i in range(len(x) - 4))
+            if len(words) < len(own) and (alike := (count(own) & count(words)).total() / (count(own) | count(words)).total()) >= 0.8:
+                want[doc_id, item_id] = (0, alike)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    hits = decontaminate.contamination(docs, benchmark).collect()
+    assert {(h.doc_id, h.item_id): (h.first_word, round(h.similarity, 9)) for h in hits} == {k: (s, round(a, 9)) for k, (s, a) in want.items()}
+    assert len(hits) > 80 and all(h.n_words == min(len(rows[h.doc_id][1].split()), len(items[h.item_id][1].split())) for h in hits)
+    left = decontaminate.without_leaks(spark, docs, benchmark).collect()
+    assert {r.doc_id for r in left} == {i for i, _ in rows} - {h.doc_id for h in hits}

@@ -7,6 +7,7 @@ item is entered under all values within t bits of its own blocks. What the index
 weighted Jaccard similarity of the shingles themselves.
 
 Windows that share no shingle with any item cannot be similar to one; they are passed over, which loses nothing.
+A document with fewer words than an item is the window for that item as a whole; these few are compared without the index.
 Items are taken in blocks of bounded size, one pass over the documents for each.
 """
 
@@ -186,6 +187,16 @@ class ItemIndex:
                     if len(some):
                         yield size, some
 
+    def _larger(self, hashes: np.ndarray, width: int, words: int, threshold: float) -> list[int]:
+        """The items with more words than the text that share enough shingles with it to reach the threshold."""
+        seen, known, owners = self.by_width[width]
+        at = hashes[seen[hashes >> np.uint64(48)]]
+        if not len(at) or words >= self.sizes.max():
+            return []
+        low, high = np.searchsorted(known, at), np.searchsorted(known, at, "right")
+        shared = Counter(o for a, b in zip(low.tolist(), high.tolist()) for o in set(owners[a:b].tolist()))
+        return [o for o, n in shared.items() if self.sizes[o] > words and n >= threshold * (self.sizes[o] - width + 1) - 1e-9]
+
     def find(self, text: bytes, threshold: float) -> list[tuple[int | None, int, int, int, float]]:
         """(item_id, first word, words, bits apart, similarity): the best window of each item, the first of equals."""
         numbers, words = word_hashes(text), None
@@ -201,6 +212,12 @@ class ItemIndex:
                     alike = similarity(self.items[item].shingles, shingles(words[start : start + size], width))
                     if alike >= threshold and (item not in best or (-alike, start) < best[item][:2]):
                         best[item] = (-alike, start, size, distance)
+            for item in self._larger(hashes, width, len(numbers), threshold):
+                words = text.lower().split() if words is None else words
+                alike = similarity(self.items[item].shingles, shingles(words, width))
+                if alike >= threshold:
+                    whole = simhash_windows(hashes, np.zeros(1, np.int64), len(hashes))[0]
+                    best[item] = (-alike, 0, len(words), int(np.bitwise_count(whole ^ self.prints[item])))
         by_id: dict[int | None, tuple] = {}
         for item, (alike, start, size, distance) in sorted(best.items(), key=lambda x: x[1]):
             by_id.setdefault(self.items[item].item_id, (start, size, distance, -alike))
@@ -237,7 +254,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMI
     """doc_id, item_id, first_word, n_words, bits, similarity: the best window of each item in each document.
 
     An item that stands in a document several times gives one row: the most similar window, the first of
-    equals. Items of fewer than five words are one shingle and must stand as they are; items without a word,
+    equals. A document with fewer words than an item is compared with it as a whole. Items of fewer than five words are one shingle and must stand as they are; items without a word,
     null ones included, are in no document. Null ids are kept. Repeated documents give repeated rows, repeated
     items do not. Empty tables give no rows. Further columns are ignored.
     """
