@@ -4,8 +4,9 @@ from hashlib import sha256
 
 import numpy as np
 import pytest
-from tests.llm.cases import documents
+from tests.llm.cases import WORDS, documents
 
+import corpus_pipeline
 from trendloom.llm import suffix_dedup
 
 
@@ -72,3 +73,36 @@ def test_merge_sort_orders_groups():
     group, value = np.sort(rnd.integers(0, 40, 500)), rnd.integers(0, 30, 500)
     order = suffix_dedup.merge_sort(group, lambda i, j: value[i] - value[j])
     assert order.tolist() == np.lexsort((np.arange(500), value, group)).tolist()
+
+
+def test_passages_of_51_words(spark, sf_dir):
+    """The pipeline's stage takes out repeated runs of 51 words, below 400 bytes or in other case and spaces, and no run of 50."""
+    rnd = random.Random(4)
+    other = lambda n: " ".join(f"x{rnd.randrange(10**6)}" for _ in range(n))
+    long, upper, short = ([f"{p}{i}é" for i in range(n)] for p, n in (("a", 51), ("b", 80), ("c", 50)))
+    plan = [(7, long, 9), (0, long, 30), (12, upper, 0), (3, [w.upper().replace("É", "é") for w in upper], 4), (5, short, 6), (8, short, 8), (0, long[:30], 0)]
+    parts = [(other(a), run, other(b)) for a, run, b in plan]
+    texts = [(" " if i != 3 else " \n\t").join([a, *run, b]).strip() for i, (a, run, b) in enumerate(parts)]
+    stage = dict(corpus_pipeline.STAGES)["suffix-array dedup"]
+    left = {r.doc_id: r for r in stage(spark, documents(spark, [*texts, None, "", " "]), sf_dir).collect()}
+    for i, (a, run, b) in enumerate(parts):
+        want = texts[i] if i > 3 else f"{a} {b}"
+        assert left[i].text.split() == want.split() and left[i].n_chars == len(left[i].text)
+    assert [left[i].text for i in (7, 8, 9)] == [None, "", " "] and max(len(" ".join(long).encode()), 0) < 400
+
+
+def test_word_runs_against_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = {r.doc_id: WORDS.findall("".join(c.lower() if c.isascii() else c for c in r.text or "")) for r in docs.collect()}
+    seen = Counter(tuple(w[i : i + 51]) for w in rows.values() for i in range(len(w) - 50))
+    want = {}
+    for doc_id, words in rows.items():
+        mask = bytearray(len(words))
+        for i in range(len(words) - 50):
+            if seen[tuple(words[i : i + 51])] > 1:
+                mask[i : i + 51] = b"\1" * 51
+        want[doc_id] = [i for i, m in enumerate(mask) if m]
+    got = dict.fromkeys(rows, [])
+    for r in suffix_dedup.repeated_word_spans(docs).collect():
+        got[r.doc_id] = [i for a, b in suffix_dedup.merge_spans(r.spans) for i in range(-(-a // suffix_dedup.CODE), b // suffix_dedup.CODE)]
+    assert got == want and any(want.values())

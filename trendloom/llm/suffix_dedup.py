@@ -16,6 +16,9 @@ where their anchors do. Windows in a row with one anchor form a segment, about o
 
 An anchor shared by more than ``split_rows`` distinct segments would overfill a bucket. Its windows are dealt
 out one by one instead, by their hash and digest, and counted; the result is the same.
+
+Passages can also be measured in words: every word, A-Z as a-z, then stands as a code of ``CODE`` bytes, and the same
+steps run on the codes, whose spans are put back on the bytes of the words.
 """
 
 from __future__ import annotations
@@ -31,8 +34,12 @@ from pyspark.sql import functions as F
 
 from trendloom.llm import common
 from trendloom.llm.common import byte_column, byte_prefix_sums, keyed, mix, same_row, ship_package, slices, stage, substring_hash
+from trendloom.llm.decontaminate import word_hashes
 
 LENGTH = 400
+#: Words of a repeated passage that the pipeline takes out, however few bytes they have.
+PASSAGE_WORDS = 51
+CODE = 8
 SPLIT_ROWS = 16_384
 BUCKET_ROWS = 2_048
 
@@ -261,9 +268,44 @@ _WINDOW = pa.schema([
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, split_rows: int = SPLIT_ROWS) -> DataFrame:
     """(doc_id, text_key, spans): per row of docs with repeats, the byte ranges to remove, unmerged."""
+    ship_package(docs.sparkSession)
+    return _keyed_spans(keyed(docs), length, split_rows)
+
+
+def word_codes(text: bytes) -> bytes:
+    """``CODE`` ASCII characters for each word, of 6 bits each from the hash of the word."""
+    shifts = np.arange(0, 6 * CODE, 6, dtype=np.uint64)
+    return (((word_hashes(text)[:, None] >> shifts) & np.uint64(63)) + np.uint64(48)).astype(np.uint8).tobytes()
+
+
+def word_spans(text: bytes, spans: list[dict]) -> list[dict]:
+    """Spans of word codes as spans of the text: whole words, with the space up to the next."""
+    is_word = np.ones(len(text) + 2, bool)
+    is_word[1:-1] = ~np.isin(np.frombuffer(text, np.uint8), list(b" \t\n\x0b\x0c\r"))
+    is_word[[0, -1]] = False
+    start = np.flatnonzero(is_word[1:] & ~is_word[:-1])
+    edges, out = np.r_[start, len(text)], []
+    for x in spans or ():
+        first, last = -(-x["low"] // CODE), x["high"] // CODE
+        out.append({"low": int(edges[first]), "high": int(edges[last])})
+    return out
+
+
+def repeated_word_spans(docs: DataFrame, words: int = PASSAGE_WORDS, split_rows: int = SPLIT_ROWS) -> DataFrame:
+    """As repeated_spans, for runs of at least ``words`` words; the ranges are of word codes."""
+    ship_package(docs.sparkSession)
+
+    @F.arrow_udf("string")
+    def coded(text: pa.Array) -> pa.Array:
+        return pa.array([word_codes(t).decode("ascii") for t in common.texts(text)], pa.string())
+
+    rows = keyed(docs)
+    return _keyed_spans(rows.select("doc_id", "text_key", coded("text").alias("text")), CODE * words, split_rows)
+
+
+def _keyed_spans(docs: DataFrame, length: int, split_rows: int) -> DataFrame:
+    """repeated_spans of rows that have their keys."""
     spark, gram = docs.sparkSession, max(1, length // 3)
-    ship_package(spark)
-    docs = keyed(docs)
     segments = stage(docs.mapInArrow(_segments(length, gram), _SEGMENT), "segments")
     # Written, so that the join deals out both sides by itself and can split an anchor that very many segments share.
     repeated = stage(segments.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "repeated")
@@ -346,28 +388,37 @@ def removal_report(docs: DataFrame, length: int = LENGTH, split_rows: int = SPLI
     )
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, split_rows: int = SPLIT_ROWS) -> DataFrame:
+_SPANS = "array<struct<low: bigint, high: bigint>>"
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, split_rows: int = SPLIT_ROWS, words: int | None = None) -> DataFrame:
     """docs with the repeated bytes taken out of ``text``, and ``n_chars``, if there, counted again.
 
+    With ``words``, repeated runs of that many words go as well, whatever their case and spaces.
     A character of which only some bytes are removed goes. All other columns stay as they are; null texts stay null.
     """
 
     ship_package(docs.sparkSession)
 
     @F.arrow_udf("string")
-    def cut(text: pa.Array, spans: pa.Array) -> pa.Array:
+    def cut(text: pa.Array, spans: pa.Array, runs: pa.Array) -> pa.Array:
         out = []
-        for raw, asked in zip(common.texts(text), spans):
-            out.append(kept_bytes(raw, merge_spans(asked.as_py())).decode("utf-8", "ignore"))
+        for raw, asked, run in zip(common.texts(text), spans, runs):
+            found = (asked.as_py() or []) + (word_spans(raw, run.as_py()) if run.is_valid else [])
+            out.append(kept_bytes(raw, merge_spans(found)).decode("utf-8", "ignore"))
         return pa.array(out, pa.string())
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_key"),
         F.col("text").cast("string").alias("text"), F.struct("*").alias("row"),
     )
-    spans = repeated_spans(docs, length, split_rows)
+    spans = repeated_spans(docs, length, split_rows).withColumn("runs", F.lit(None).cast(_SPANS))
+    if words:
+        runs = repeated_word_spans(docs, words, split_rows).select("doc_id", "text_key", F.lit(None).cast(_SPANS).alias("spans"), F.col("spans").alias("runs"))
+        # A row has at most one of each.
+        spans = spans.unionByName(runs).groupBy("doc_id", "text_key").agg(F.max_by("spans", F.col("spans").isNotNull()).alias("spans"), F.max_by("runs", F.col("runs").isNotNull()).alias("runs"))
     joined = rows.alias("d").join(spans.alias("s"), same_row("d", "s"), "left")
-    text = F.when(F.col("spans").isNull(), F.col("d.text")).otherwise(cut("d.text", "spans"))
+    text = F.when(F.col("spans").isNull() & F.col("runs").isNull(), F.col("d.text")).otherwise(cut("d.text", "spans", "runs"))
     changed = {"text": F.col("cut_text"), "n_chars": F.length("cut_text")}
     return joined.select("row", text.alias("cut_text")).select(
         [changed.get(f.name, F.col("row")[f.name]).cast(f.dataType).alias(f.name) for f in docs.schema]
