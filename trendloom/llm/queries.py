@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendloom.llm import chat_format, decontaminate, language_id, licenses, mixing, oracles, quality_gam, quality_rules, simhash_dedup, suffix_dedup, toxicity
+from trendloom.llm import (
+    chat_format,
+    decontaminate,
+    language_id,
+    licenses,
+    mixing,
+    oracles,
+    quality_gam,
+    quality_rules,
+    simhash_dedup,
+    suffix_dedup,
+    toxicity,
+    whitening,
+)
 from trendloom.llm.common import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +70,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(source(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(source(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -68,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": op8_license_scan,
     "op9_quality_gam": op9_quality_gam,
     "op10_mixing": op10_mixing,
+    "op11_whitening": op11_whitening,
 }
 
 ORACLES: dict[str, str] = {
