@@ -110,3 +110,18 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word,
        CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0)::DOUBLE END AS score
 FROM split LEFT JOIN base b USING (rid) LEFT JOIN best m USING (rid)
 """
+
+OP12 = """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (SELECT r, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS i FROM docs),
+keyed AS (
+    SELECT r, doc_id, line, i, translate(
+        trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'
+    ) AS k FROM lines
+),
+shared AS (SELECT k AS shared_key FROM keyed WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT r) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(shared_key) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE shared_key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN shared ON k = shared_key GROUP BY r, doc_id
+"""

@@ -11,6 +11,7 @@ from trendloom.llm import (
     decontaminate,
     language_id,
     licenses,
+    line_dedup,
     mixing,
     oracles,
     quality_gam,
@@ -74,6 +75,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(source(spark, sf_dir, "embeddings"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(source(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -86,10 +91,12 @@ QUERIES: dict[str, Query] = {
     "op9_quality_gam": op9_quality_gam,
     "op10_mixing": op10_mixing,
     "op11_whitening": op11_whitening,
+    "op12_line_dedup": op12_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op3_chat_format": oracles.OP3,
     "op7_quality_rules": oracles.OP7,
     "op8_license_scan": oracles.OP8,
+    "op12_line_dedup": oracles.OP12,
 }
