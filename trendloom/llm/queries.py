@@ -19,6 +19,7 @@ from trendloom.llm import (
     simhash_dedup,
     suffix_dedup,
     toxicity,
+    turn_repair,
     whitening,
 )
 from trendloom.llm.common import source
@@ -79,6 +80,10 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(source(spark, sf_dir, "documents"))
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_report(source(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -92,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op10_mixing": op10_mixing,
     "op11_whitening": op11_whitening,
     "op12_line_dedup": op12_line_dedup,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 ORACLES: dict[str, str] = {
