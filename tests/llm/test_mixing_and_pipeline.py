@@ -1,11 +1,12 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from tests.llm.cases import WORDS, documents
-from tests.llm.test_simhash_dedup import plain_components, plain_fingerprint
-from tests.llm.test_suffix_dedup import brute
+from tests.llm.test_near_copies import plain_kept
 
 import corpus_pipeline
-from trendloom.llm import decontaminate, mixing, suffix_dedup, toxicity
+from trendloom.llm import decontaminate, mixing, toxicity
 
 
 def plain_targets(sizes: dict) -> dict:
@@ -62,6 +63,31 @@ def test_rates_are_tilted_by_size(spark):
     assert 100 * (10 * rate(10) + 100 * rate(100)) == pytest.approx(16000, rel=1e-4)
 
 
+def plain_cut(texts: list[str], words: int = 51, size: int = 400) -> list[str]:
+    """The texts without what lies in a run of ``words`` words, A-Z as a-z, or of ``size`` bytes, that stands in them more than once."""
+    found, seen = [], {}
+    for i, text in enumerate(texts):
+        places = [m.span() for m in re.finditer(rb"[^ \t\n\x0b\x0c\r]+", text.encode())]
+        lower = [text.encode()[a:b].lower() for a, b in places]
+        found.append(places)
+        for at in range(len(places) - words + 1):
+            seen.setdefault((*lower[at : at + words],), []).append((i, at))
+    gone = [bytearray(b) for b in (bytes(len(t.encode())) for t in texts)]
+    for places in seen.values():
+        for i, at in places if len(places) > 1 else ():
+            a, b = found[i][at][0], found[i][at + words - 1][1]
+            gone[i][a:b] = b"\1" * (b - a)
+    starts = {}
+    for i, text in enumerate(texts):
+        data = text.encode()
+        for at in range(len(data) - size + 1):
+            starts.setdefault(data[at : at + size], []).append((i, at))
+    for places in starts.values():
+        for i, at in places if len(places) > 1 else ():
+            gone[i][at : at + size] = b"\1" * size
+    return [bytes(b for b, g in zip(t.encode(), out) if not g).decode() for t, out in zip(texts, gone)]
+
+
 def test_pipeline(spark, sf_dir):
     """Each stage against brute force on the rows it was given."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -70,14 +96,14 @@ def test_pipeline(spark, sf_dir):
     for name, step in corpus_pipeline.STAGES:
         given[name] = {r.doc_id: r for r in docs.collect()}
         assert docs.columns == columns
-        docs = spark.createDataFrame(step(spark, docs, sf_dir).collect(), step(spark, docs, sf_dir).schema)
+        out = step(spark, docs, sf_dir)
+        docs = spark.createDataFrame(out.collect(), out.schema)
     toxic, near, repeats, leaks, mix = given.values()
     labels, benchmark = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("labels", "benchmark"))
     scores = toxicity.scored(spark.read.parquet(f"{sf_dir}/documents.parquet"), labels).collect()
     assert set(near) == {r.doc_id for r in scores if not r.predicted}
-    assert set(repeats) == set(plain_components({i: plain_fingerprint(r.text) for i, r in near.items()}).values())
-    cut = brute([r.text.encode() for r in repeats.values()], suffix_dedup.LENGTH)
-    assert {i: len(r.text.encode()) for i, r in leaks.items()} == {i: c[0] - c[1] for i, c in zip(repeats, cut)}
+    assert set(repeats) == plain_kept({i: r.text for i, r in near.items()})
+    assert [r.text for r in leaks.values()] == plain_cut([repeats[i].text for i in leaks]) and set(leaks) == set(repeats)
     assert all(r.n_chars == len(r.text) for r in leaks.values())
     index = decontaminate.ItemIndex([(r.item_id, r.text) for r in benchmark.collect()])
     assert set(mix) == {i for i, r in leaks.items() if not index.find(r.text.encode(), 0.8)}
