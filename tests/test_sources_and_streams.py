@@ -1,7 +1,7 @@
 import base64
 import json
 import os
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,13 +89,115 @@ def test_a_failing_write_leaves_the_old_day(spark, tmp_path):
     assert [p.name for p in (tmp_path / "curated").iterdir() if p.name.startswith("_")] == []
 
 
+@pytest.mark.parametrize("failing", [1, 2, 3, 4])
+def test_a_failing_rename_loses_no_day(spark, tmp_path, monkeypatch, failing):
+    """Two days are swapped, in two renames each; one of the renames says no."""
+    path = str(tmp_path / "curated")
+    sinks.write_curated(curated(spark, ("1", "d1", "NHAC"), ("2", "d2", "NHAC")), path)
+    move, calls = sinks._move, []
+
+    def moody(fs, source, target):
+        calls.append(target)
+        if len(calls) == failing:
+            raise OSError("no")
+        move(fs, source, target)
+
+    monkeypatch.setattr(sinks, "_move", moody)
+    with pytest.raises(OSError, match="no"):
+        sinks.write_curated(curated(spark, ("3", "d1", "NHAC"), ("4", "d2", "NHAC")), path)
+    got = sorted((r.dt, r.event_id) for r in spark.read.schema(CURATED).parquet(path).collect())
+    assert [d for d, _ in got] == ["d1", "d2"] and {e for _, e in got} <= {"1", "2", "3", "4"}
+    assert [p.name for p in (tmp_path / "curated").iterdir() if p.name.startswith("_")] == []
+    sinks.write_curated(curated(spark, ("3", "d1", "NHAC"), ("4", "d2", "NHAC")), path)
+    assert sorted(r.event_id for r in spark.read.schema(CURATED).parquet(path).collect()) == ["3", "4"]
+
+
+class Refusing:
+    """A file system that says no by returning false, as Hadoop's do."""
+
+    def __init__(self, there: bool):
+        self.there = there
+
+    def exists(self, path) -> bool:
+        return self.there
+
+    def rename(self, source, target) -> bool:
+        assert not self.there
+        return False
+
+
+@pytest.mark.parametrize("there", [True, False])
+def test_a_rename_that_returns_false_is_an_error(there):
+    with pytest.raises(OSError, match="could not move a to b"):
+        sinks._move(Refusing(there), "a", "b")
+
+
+def test_a_writer_that_died_between_renames_is_recovered(spark, tmp_path):
+    table = tmp_path / "curated"
+    sinks.write_curated(curated(spark, ("1", "d1", "NHAC"), ("2", "d2", "NHAC")), str(table))
+    (table / "_old-x").mkdir(), (table / "_fresh-x").mkdir()
+    (table / "dt=d1").rename(table / "_old-x" / "dt=d1")
+    sinks.write_curated(curated(spark, ("3", "d2", "NHAC")), str(table))
+    assert sorted(r.event_id for r in spark.read.schema(CURATED).parquet(str(table)).collect()) == ["1", "3"]
+    assert sorted(p.name for p in table.iterdir()) == ["dt=d1", "dt=d2"]
+
+
+def test_anomalies_by_day_are_pruned_and_expire(spark, tmp_path):
+    path, schema = str(tmp_path / "anomalies"), "anomaly_id string, score_ts string"
+    rows = lambda *r: spark.createDataFrame(r, schema)
+    for day in range(1, 29, 9):
+        sinks.append_anomalies(rows((f"a{day}", f"2024-01-{day:02} 23:59:59"), ("again", f"2024-01-{day:02} 01:00:00")), path)
+    sinks.append_anomalies(rows(("a1", "2024-03-01 00:00:00"), ("none", None)), path)
+    table = sinks.read_anomalies(spark, path, rows().schema)
+    assert sorted(r.anomaly_id for r in table.collect()) == ["a1", "a10", "a19", "a28", "again", "none"]
+    assert spark.read.parquet(path).count() == 7  # a1 came again after its row had expired
+    since = sinks.read_anomalies(spark, path, rows().schema, since=date(2024, 1, 19))
+    assert sorted(r.anomaly_id for r in since.collect()) == ["a1", "a19", "a28"] and "PartitionFilters: [isnotnull(score_day" in plan_of(since)
+    assert sinks.expire_anomalies(spark, path, datetime(2024, 2, 10)) == [date(2024, 1, 1), date(2024, 1, 10)]
+    assert sinks.expire_anomalies(spark, path, datetime(2024, 2, 10)) == []
+    assert sorted(r.anomaly_id for r in sinks.read_anomalies(spark, path, rows().schema).collect()) == ["a1", "a19", "a28", "none"]
+
+
+def test_writers_at_the_same_time_lose_no_update(spark, tmp_path, monkeypatch):
+    """The second writer publishes while the first one is between reading and publishing."""
+    root = str(tmp_path / "lut")
+    pairs = lambda *r: spark.createDataFrame(r, "keyword string, genre string")
+    lookups.update_lookup(pairs(("a", "NHAC")), root)
+    publish, others = sinks.publish_version, [pairs(("c", "ANIME"))]
+
+    def late(df, root, after=""):
+        if others:
+            lookups.update_lookup(others.pop(), root)
+        return publish(df, root, after)
+
+    monkeypatch.setattr(sinks, "publish_version", late)
+    lookups.update_lookup(pairs(("b", "NHAC")), root)
+    assert sorted(r.keyword for r in lookups.load_lookup(spark, root).collect()) == ["a", "b", "c"]
+    first = sinks.resolve_version(spark, root)
+    publish(spark.range(3), root)
+    with pytest.raises(sinks.VersionTaken):
+        publish(spark.range(4), root, after=first)
+    assert len([p for p in (tmp_path / "lut").iterdir() if p.name.startswith("data-")]) == 4
+
+
+def test_a_marker_without_content_is_passed_over(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "_MARKER_PATIENCE", 0.5)
+    root = tmp_path / "v"
+    one = sinks.publish_version(spark.range(1), str(root))
+    (root / "_current" / "v-000000000002").touch()
+    assert sinks.resolve_version(spark, str(root)) == one
+    two = sinks.publish_version(spark.range(2), str(root), after=one)
+    assert sinks.resolve_version(spark, str(root)) == two and sinks.prune_versions(spark, str(root), 1) == 1
+    assert sinks.resolve_version(spark, str(root)) == two and spark.read.parquet(two).count() == 2
+
+
 def test_gold_anomalies_and_versions_can_be_repeated(spark, tmp_path):
     gold = lambda *rows: spark.createDataFrame(rows, "keyword_norm string, trend_date date, derived_genre string")
     path, day = str(tmp_path / "gold"), date(2024, 1, 1)
     sinks.write_gold(gold(("a", day, "NHAC"), ("b", day, "ANIME"), ("c", None, "NHAC")), path)
     sinks.write_gold(gold(("d", day, "NHAC"), ("e", None, "NHAC")), path, split_date="2024-01-15", side="upto")
     assert sorted(r.keyword_norm for r in spark.read.parquet(path).collect()) == ["d", "e"]
-    found = spark.createDataFrame([("x", 1), ("y", 2), ("y", 2)], "anomaly_id string, n int")
+    found = spark.createDataFrame([("x", "2024-01-01 10:00:00"), ("y", None), ("y", None)], "anomaly_id string, score_ts string")
     for _ in range(2):
         sinks.append_anomalies(found, str(tmp_path / "anomalies"))
     assert spark.read.parquet(str(tmp_path / "anomalies")).count() == 2

@@ -19,7 +19,7 @@ from trendloom.operators.labelling import Provider, label_residual
 from trendloom.operators.sessions import with_repeat_flag
 from trendloom.schemas import CURATED
 from trendloom.session import stage
-from trendloom.sources.lookups import load_lookup, merge_lookup, write_lookup
+from trendloom.sources.lookups import load_lookup, update_lookup
 from trendloom.sources.raw_events import DateWindow
 
 SESSION = "_session_key"
@@ -86,7 +86,7 @@ def learn_labels(
     labels = stage(classify_keywords(distinct_keywords(row_columns(repaired(raw))), lut, lut_ext), "labels")
     answers = _asked(labels, lut_ext, label_provider, label_limit)
     if not answers.isEmpty():
-        write_lookup(merge_lookup(lut_ext, answers), ext_root)
+        update_lookup(answers, ext_root)
     return answers
 
 

@@ -208,7 +208,7 @@ def anomaly_append(spark, sf):
     rows = _anomalies(spark, sf)
     for _ in range(2):
         sinks.append_anomalies(rows, path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return sinks.read_anomalies(spark, path, rows.schema)
 
 
 @query("report_sink", "SELECT keyword_norm, rules_genre, oracle_genre, agree, search_count FROM compared")

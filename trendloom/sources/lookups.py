@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trendloom.functions.text import strip
 from trendloom.schemas import LOOKUP, UNKNOWN
-from trendloom.sources.sinks import exists, publish_version, resolve_version
+from trendloom.sources.sinks import exists, publish_version, resolve_version, update_version
 
 SEED_LOOKUP = str(Path(__file__).parent.parent / "data" / "seed_lookup.json")
 
@@ -58,8 +58,22 @@ def write_lookup(df: DataFrame, root: str) -> str:
 
     Ids given after the sort grow with it, so they serve as the file order.
     """
-    rows = df.select("keyword", "genre").orderBy("keyword")
-    return publish_version(rows.withColumn("ordinal", F.monotonically_increasing_id()), root)
+    return publish_version(_numbered(df), root)
+
+
+def update_lookup(updates: DataFrame, root: str) -> str:
+    """Merge ``updates`` (keyword, genre) into the newest version under ``root``; no update is lost to a writer at the same time."""
+    spark = updates.sparkSession
+
+    def merged(version: str | None) -> DataFrame:
+        existing = spark.read.schema(LOOKUP).parquet(version) if version else empty_lookup(spark)
+        return _numbered(merge_lookup(existing, updates))
+
+    return update_version(spark, root, merged)
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    return df.select("keyword", "genre").orderBy("keyword").withColumn("ordinal", F.monotonically_increasing_id())
 
 
 def read_keyword_csv(
