@@ -75,7 +75,7 @@ def plain_cut(texts: list[str], words: int = 51, size: int = 400) -> list[str]:
     gone = [bytearray(b) for b in (bytes(len(t.encode())) for t in texts)]
     for places in seen.values():
         for i, at in places if len(places) > 1 else ():
-            a, b = found[i][at][0], found[i][at + words - 1][1]
+            a, b = found[i][at][0], [*found[i], (len(gone[i]),)][at + words][0]  # with the space up to the next word
             gone[i][a:b] = b"\1" * (b - a)
     starts = {}
     for i, text in enumerate(texts):
