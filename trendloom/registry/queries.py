@@ -961,6 +961,46 @@ def stream_anomaly_batch(spark, sf):
     return spark.read.schema(jobs.SCORED_SCHEMA).parquet(f"{out}/scored").select("derived_genre", "hour_of_day_vn", "observed_count", "z_score")
 
 
+_BAD = 5003
+
+
+@query(
+    "stream_bisect",
+    f"""SELECT CAST(eventid AS BIGINT) AS event, CAST(length(keyword) AS BIGINT) AS letters, false AS dead, NULL AS tries FROM search_log WHERE CAST(eventid AS BIGINT) % {_BAD} <> 7
+        UNION ALL SELECT CAST(eventid AS BIGINT), NULL, true, 3 FROM search_log WHERE CAST(eventid AS BIGINT) % {_BAD} = 7""",
+)
+def stream_bisect(spark, sf):
+    """A few records make the decoding of their whole micro-batch fail; all others are published."""
+    out, event = staging_path(spark, "decoded"), F.col("eventid").cast("bigint")
+    sent = t.search_log(spark, sf).select("eventid", F.when(event % _BAD == 7, F.concat(F.lit("no number "), "eventid")).otherwise(F.col("eventid")).alias("code"), "keyword")
+    sent.write.parquet(folder := staging_path(spark, "sent"))
+
+    def decode(rows: DataFrame) -> DataFrame:
+        number = F.try_to_number("code", F.lit("999999999999999"))
+        number = F.when(number.isNull(), F.raise_error(F.concat(F.lit("bad code: "), "code"))).otherwise(number)
+        return rows.select(number.cast("bigint").alias("event"), F.length("keyword").cast("bigint").alias("letters"))
+
+    jobs.run_to_end(jobs.start_decode(jobs.follow(spark, folder, sent.schema), decode, out, available_now=True))
+    good = spark.read.schema("event bigint, letters bigint").parquet(f"{out}/data").withColumns({"dead": F.lit(False), "tries": F.lit(None).cast("bigint")})
+    dead = spark.read.schema("eventid string, tries int").parquet(f"{out}/dead")
+    return good.unionByName(dead.select(c("eventid").cast("bigint").alias("event"), F.lit(None).cast("bigint").alias("letters"), F.lit(True).alias("dead"), c("tries").cast("bigint").alias("tries")))
+
+
+@query(
+    "anomaly_expiry",
+    "SELECT dt AS score_day, derived_genre, hour_of_day_vn, observed_count FROM scored WHERE is_anomaly AND dt >= '2024-01-20'",
+)
+def anomaly_expiry(spark, sf):
+    """Anomalies scored at the end of their days and appended day after day; what is older than 30 days goes."""
+    path, day = staging_path(spark, "anomalies"), F.to_timestamp(F.concat("dt", F.lit(" 23:59:59")))
+    rows = stage(anomalies.anomaly_rows(_scored(spark, sf).where("dt IS NOT NULL"), c("dt"), day), "scored-days")
+    for low, high in (("2024-01-01", "2024-01-12"), ("2024-01-10", "2024-01-22"), ("2024-01-20", "2024-02-01")):
+        sinks.append_anomalies(rows.where(c("score_ts").between(low, high)), path)
+    sinks.expire_anomalies(spark, path, datetime(2024, 2, 19, 12))
+    kept = sinks.read_anomalies(spark, path, rows.schema)
+    return kept.select(F.left("score_ts", F.lit(10)).alias("score_day"), "derived_genre", "hour_of_day_vn", "observed_count")
+
+
 @query(
     "stream_throughput",
     """SELECT CAST(epoch_ms(date_trunc('minute', event_ts)) AS BIGINT) AS window_start, derived_genre, platform_group,

@@ -77,15 +77,21 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def passing_path(spark: SparkSession, name: str) -> str:
+    """A staging path that goes with what the enclosing :func:`staged_since` stages."""
+    path = staging_path(spark, name)
+    for held in _held:
+        held.append(path)
+    return path
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several branches read the same intermediate. It cuts the lineage, survives the
     loss of executors, and gives Catalyst true sizes for its join choices.
     """
-    path = staging_path(df.sparkSession, name)
-    for held in _held:
-        held.append(path)
+    path = passing_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

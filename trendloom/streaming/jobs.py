@@ -6,7 +6,7 @@ failure replaces what it wrote before.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,7 @@ from trendloom.schemas import RAW_PARTITIONS, STREAM_EVENT, UNKNOWN
 from trendloom.session import stage, staged_since
 from trendloom.sources.raw_events import decode_json_records
 from trendloom.sources.sinks import names_in, resolve_version
+from trendloom.streaming.bisect import MOST_DEAD, TRIES, bisected
 
 ENRICHED_SCHEMA = STREAM_EVENT
 SINK_SCHEMA = T.StructType(
@@ -101,6 +102,40 @@ def _stream_columns(raw: DataFrame) -> DataFrame:
     ).drop("derived_genre")
 
 
+Decode = Callable[[DataFrame], DataFrame]
+
+
+def start_decode(
+    stream: DataFrame,
+    decode: Decode,
+    out: str,
+    tries: int = TRIES,
+    most_dead: int = MOST_DEAD,
+    available_now: bool = False,
+    every: str = "60 seconds",
+) -> StreamingQuery:
+    """Process the records of each micro-batch with ``decode`` into ``out/data``, whatever single records do to it.
+
+    A batch that fails is halved until the bad records stand alone; after ``tries`` tries each goes to ``out/dead`` with its error.
+    More than ``most_dead`` of them in a batch stop the stream, with nothing lost, as the fault is then hardly theirs. What
+    aggregates over event time follows ``out/data`` as a stream of its own, so that no bad record reaches its state.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with staged_since(stream.sparkSession):
+            good = _decoded(batch, decode, out, batch_id, tries, most_dead)
+            good.write.mode("overwrite").parquet(f"{out}/data/batch_id={batch_id}")
+
+    return _start(stream.writeStream.foreachBatch(write), f"{out}/_checkpoint", available_now, every)
+
+
+def _decoded(batch: DataFrame, decode: Decode, out: str, batch_id: int, tries: int = TRIES, most_dead: int = MOST_DEAD) -> DataFrame:
+    """The good records of a batch; the others go to ``out/dead`` in the batch's folder."""
+    split = bisected(batch, decode, tries, most_dead)
+    split.dead.write.mode("overwrite").parquet(f"{out}/dead/batch_id={batch_id}")
+    return split.good
+
+
 _STORE = "keyword_norm string, derived_genre string, n bigint"
 
 
@@ -150,9 +185,13 @@ def start_anomaly(
     watermark: str = "1 hour",
     available_now: bool = False,
     every: str = "60 seconds",
+    decode: Decode | None = None,
 ) -> StreamingQuery:
     """Score enter events against the baseline, read anew for every micro-batch.
 
+    With ``decode``, which goes with ``scope="batch"``, micro-batches hold undecoded records; those that can't be decoded go
+    to ``dead`` and the others are scored together (see :func:`start_decode`, which comes before a window).
+
     ``scope="batch"`` scores the counts within each micro-batch. ``scope="window"`` scores event-time
     hours, which is what the baseline describes; the watermark bounds the state, and an hour is scored once
     it is over, so that no alert goes out for half an hour's events.
@@ -160,10 +199,16 @@ def start_anomaly(
     """
     if scope not in ("batch", "window"):
         raise ValueError(f"unknown scope {scope!r}")
+    if decode and scope != "batch":
+        raise ValueError("decode before the window with start_decode, and follow its output")
     spark = stream.sparkSession
     windowed = scope == "window"
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        with staged_since(spark):
+            score(_decoded(batch, decode, out, batch_id) if decode else batch, batch_id)
+
+    def score(batch: DataFrame, batch_id: int) -> None:
         base = spark.read.parquet(resolve_version(spark, baseline_root))
         scored = anomalies.score_buckets(batch, base) if windowed else anomalies.score(batch, base)
         here = {name: f"{out}/{name}/batch_id={batch_id}" for name in ("scored", "anomalies", "alerts", "metrics")}
