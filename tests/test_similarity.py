@@ -2,6 +2,8 @@ import random
 
 import pytest
 
+from tests.conftest import plan_of
+
 from trendloom.operators import similarity as sim
 
 
@@ -105,3 +107,24 @@ def test_indel_distance():
     for _ in range(300):
         x, y = ("".join(rng.choice("abđ ") for _ in range(rng.randrange(80))) for _ in range(2))
         assert sim._indel(x, y) == len(x) + len(y) - 2 * lcs(x, y)
+
+
+def test_few_shuffles_and_no_window(spark):
+    queries, lookup = fixture(1, "abcd")
+    for join in (sim.fuzzy_join, sim.token_subset_join):
+        plan = plan_of(join(*frames(spark, queries, lookup))).partition("(1)")[0]
+        assert plan.count("Exchange") <= 8 and "Window" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_keys_are_made_within_the_row(spark):
+    df = spark.createDataFrame([("aaa aaa",)], "q_norm string")
+    grams = sim._numbered_grams(df, "q").first().q_grams
+    assert grams == ["g a1", "g a2", "ga 1", "ga 2", "gaa1", "gaa2", "gaa3", "gaa4"]
+
+
+def test_long_texts_and_many_repeats(spark):
+    words = [f"ab{i}" for i in range(300)]
+    lookup = [(" ".join(words), "A"), ("x" * 900, "B")]
+    kw, lut = frames(spark, [" ".join([*words[1:], "ab"]), "x" * 880, "y" * 2000], lookup)
+    got = {r.kw[:2]: r.genre for r in sim.fuzzy_join(kw, lut).collect()}
+    assert got == {"ab": "A", "xx": "B"}

@@ -8,11 +8,14 @@ the best of
 * 100 - 100 * indel(x, y) / (length of both sides),
 * 100 - 100 * (1 + a) / (2s + 1 + a), and the same with b, when they share a token.
 
-Comparing all pairs is out of the question, so candidates come from equi-joins that no pair
-reaching the cutoff can escape (see ``_token_candidates`` and ``_gram_candidates``). Few of
-the candidates need the indel distance, the one thing Spark has no function for.
-
-The candidate joins ask for a merge join. Size estimates know nothing of how many rows ``explode``
+Comparing all pairs is out of the question, so candidates come from an equi-join that no pair
+reaching the cutoff can escape. A text's keys for it are made within its row, by array functions: some of its tokens (see
+``_rare_tokens``) and some of its letter pairs (see ``_gram_prefix``), rare ones first. What is rare is read off the lookup
+once, as counts in ``_BUCKETS`` buckets of hashed keys: an array of fixed size that travels as a constant. Unlike keys may
+share a bucket, which changes the order of keys alone; any one order that both sides use finds all pairs. Few of the
+candidates need the indel distance, the one thing Spark has no function for.
+
+The join asks for a merge join. Size estimates know nothing of how many rows ``explode``
 makes, so left to them the planner might broadcast a table many times larger than it thinks.
 """
 
@@ -22,7 +25,7 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +37,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _EPS = 1e-9
 _WORDS = 4
+_BUCKETS = 1 << 14
 
 
 def _indel(x: str, y: str) -> int:
@@ -81,74 +85,91 @@ def _token_list(side: str) -> Column:
     return F.split(f"{side}_norm", " ")
 
 
-def _rare_tokens(side_df: DataFrame, freq: DataFrame, text: str, side: str, budget: Column) -> DataFrame:
-    """The rarest tokens of each text, up to the first that takes the weight beyond ``budget``.
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(_BUCKETS)).cast("int")
 
-    A token weighs its length plus one. If none of these tokens were shared, the unshared part
-    would outweigh the budget.
+
+def _numbered_grams(df: DataFrame, side: str) -> DataFrame:
+    """``{side}_grams``: the letter pairs of the space-padded text, repeats told apart by their number.
+
+    Which pairs there are does not depend on token order.
     """
-    each = side_df.withColumn("token", F.explode(_token_list(side))).join(freq, "token", "left")
-    rarest = Window.partitionBy(text).orderBy(F.coalesce("token_freq", F.lit(0)), "token")
-    spent = F.sum(F.length("token") + 1).over(rarest.rowsBetween(Window.unboundedPreceding, -1))
-    return each.withColumn("_spent", F.coalesce(spent, F.lit(0))).where(F.col("_spent") <= budget)
+    norm = F.col(f"{side}_norm")
+    padded = F.concat(F.lit(" "), norm, F.lit(" "))
+    pairs = F.transform(F.sequence(F.lit(1), F.length(norm) + 1), lambda i: F.substring(padded, i, F.lit(2)))
+    df = _computed(df, _pairs=F.array_sort(pairs))
+    number = lambda p, i: (i + 2 - F.array_position("_pairs", p)).cast("string")
+    return _computed(df, **{f"{side}_grams": F.transform("_pairs", lambda p, i: F.concat(F.lit("g"), p, number(p, i)))}).drop("_pairs")
 
 
-def _token_candidates(q: DataFrame, k: DataFrame, delta: float) -> list[DataFrame]:
-    """Pairs one side of which is nearly covered by shared tokens.
+def _token_keys(side: str) -> Column:
+    return F.transform(_token_list(side), lambda t: F.concat(F.lit("t"), t))
 
-    The third form of the score reaches the cutoff only if the unshared tokens of a side weigh
-    at most 2 * delta / (1 + delta) of its length. So one of that side's rarest tokens,
-    enough of them to exceed that weight, must be shared; joining those with all tokens of the
-    other side finds the pair. A common word is rarely among a text's rarest tokens, which is
-    what keeps the pairs of a hot token few.
-    """
-    share = 2 * delta / (1 + delta)
-    k_all = k.withColumn("token", F.explode(_token_list("k")))
-    q_all = q.withColumn("token", F.explode(_token_list("q")))
-    freq = k_all.groupBy("token").agg(F.count("*").alias("token_freq"))
-    k_rare = _rare_tokens(k, freq, "key", "k", F.length("k_norm") * share + _EPS)
-    q_rare = _rare_tokens(q, freq, "kw", "q", F.length("q_norm") * share + _EPS)
-    q_rare = q_rare.where(F.col("token_freq").isNotNull())
-    drop = ["token", "token_freq", "_spent"]
-    return [
-        q_all.hint("merge").join(k_rare.drop("token_freq", "_spent"), "token").drop(*drop),
-        q_rare.hint("merge").join(k_all, "token").drop(*drop),
-    ]
+
+def _counts(keys: DataFrame, grams: bool) -> Column:
+    """How many keys of the lookup fall into each bucket, as one constant array."""
+    all_keys = F.concat(_token_keys("k"), "k_grams") if grams else _token_keys("k")
+    found = keys.select(F.explode(all_keys).alias("key")).groupBy(_bucket(F.col("key")).alias("at")).agg(F.count("*").alias("n")).collect()
+    counts = [0] * _BUCKETS
+    for r in found:
+        counts[r["at"]] = r["n"]
+    return F.from_json(F.lit(str(counts)), T.ArrayType(T.LongType()))
 
 
-def _with_grams(side_df: DataFrame, text: str, side: str) -> DataFrame:
-    """One row per letter pair of the space-padded text; which pairs there are does not depend on token order.
+def _rarest_first(keys: Column, counts: Column) -> Column:
+    ordered = F.array_sort(F.transform(keys, lambda k: F.struct(counts[_bucket(k)].alias("n"), k.alias("key"))))
+    return F.transform(ordered, lambda o: o["key"])
 
-    Repeats of a pair are told apart by their number.
+
+def _rare_tokens(ordered: Column, budget: Column) -> Column:
+    """The first tokens, up to the first that takes the weight beyond ``budget``.
+
+    A token weighs its length plus one. If none of these tokens were shared, the unshared part
+    would outweigh the budget. Their keys are one letter longer than they are.
     """
-    norm = F.col(f"{side}_norm")
-    padded = F.concat(F.lit(" "), norm, F.lit(" "))
-    pairs = F.transform(F.sequence(F.lit(1), F.length(norm) + 1), lambda i: F.substring(padded, i, F.lit(2)))
-    repeat = F.row_number().over(Window.partitionBy(text, "pair").orderBy("pair"))
-    each = side_df.withColumn("pair", F.explode(pairs)).withColumn("repeat", repeat)
-    return each.withColumn("gram", F.concat("pair", F.col("repeat").cast("string"))).drop("pair", "repeat")
+    spent = lambda i: F.aggregate(F.slice(ordered, F.lit(1), i), F.lit(0), lambda acc, k: acc + F.length(k))
+    return F.filter(ordered, lambda k, i: spent(i) <= budget)
+
 
+def _bits(side: str, word: int) -> Column:
+    """Word ``word`` of a bitmap of all the text's letter pairs, hashed."""
+    at = lambda g: F.pmod(F.xxhash64(g), F.lit(64 * _WORDS)).cast("int")
+    bit = lambda g: F.call_function("shiftleft", F.lit(1).cast("bigint"), at(g) - 64 * word)
+    inside = F.filter(f"{side}_grams", lambda g: at(g).between(64 * word, 64 * word + 63))
+    return F.aggregate(inside, F.lit(0).cast("bigint"), lambda acc, g: acc.bitwiseOR(bit(g)))
 
-def _gram_prefix(side_df: DataFrame, freq: DataFrame, text: str, side: str, delta: float) -> DataFrame:
-    """The rarest letter pairs of each text, as many as needed to meet any partner in one of them.
 
-    Each row also carries a bitmap of all the text's letter pairs, hashed.
+def _join_keys(df: DataFrame, side: str, counts: Column, delta: float, grams: bool) -> DataFrame:
+    """A row for each key of a text: all tokens, rare or not, and the rarest letter pairs with their places.
+
+    Tokens. The third form of the score reaches the cutoff only if the unshared tokens of a side weigh
+    at most 2 * delta / (1 + delta) of its length. So one of that side's rarest tokens,
+    enough of them to exceed that weight, must be shared; it is among all tokens of the
+    other side. A common word is rarely among a text's rarest tokens, which is what keeps the pairs of a hot token few.
+
+    Letter pairs. The second form reaches the cutoff only if indel <= delta * (sum of lengths). A text has
+    one letter pair more than its length; a deletion loses two of them, an insertion one. So both
+    share at least (0.5 - 1.5 * delta) * (sum of lengths) + 1 pairs. With all pairs in one order,
+    two such texts share one early on: within a prefix, as many as are needed to meet any partner.
     """
+    share = 2 * delta / (1 + delta)
     n = F.length(f"{side}_norm")
-    least_common = F.ceil(n * ((1 - 3 * delta) / (1 + delta)) + 1 - _EPS)
-    rarest = Window.partitionBy(text).orderBy(F.coalesce("gram_freq", F.lit(0)), "gram")
-    hashed = F.pmod(F.xxhash64("gram"), F.lit(64 * _WORDS))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(hashed, F.lit(64)).cast("int"))
-    words = {
-        f"{side}_bits{w}": F.bit_or(F.when(F.floor(hashed / 64) == w, bit).otherwise(0)).over(Window.partitionBy(text))
-        for w in range(_WORDS)
-    }
-    return (
-        side_df.join(freq, "gram", "left")
-        .withColumns({f"{side}_pos": F.row_number().over(rarest) - 1, **words})
-        .where(F.col(f"{side}_pos") < n + 1 - least_common + 1)
-        .drop("gram_freq")
-    )
+    made = {"_tokens": _rarest_first(_token_keys(side), counts)}
+    if grams:
+        made["_ordered"] = _rarest_first(F.col(f"{side}_grams"), counts)
+        made |= {f"{side}_bits{w}": _bits(side, w) for w in range(_WORDS)}
+    df = _computed(df, **made)
+    rare = _rare_tokens(F.col("_tokens"), n * share + _EPS)
+    df = _computed(df, _rare=rare)
+    entry = lambda key, place, is_rare: F.struct(key.alias("key"), place.alias("pos"), is_rare.alias("rare"))
+    none = F.lit(None).cast("int")
+    entries = F.transform("_tokens", lambda t: entry(t, none, F.array_contains("_rare", t)))
+    if grams:
+        least_common = F.ceil(n * ((1 - 3 * delta) / (1 + delta)) + 1 - _EPS)
+        prefix = F.slice("_ordered", F.lit(1), F.greatest(n + 2 - least_common, F.lit(0)).cast("int"))
+        entries = F.concat(entries, F.transform(prefix, lambda g, i: entry(g, i, F.lit(False))))
+    rows = df.withColumn("_entry", F.explode(entries)).drop("_tokens", "_ordered", "_rare", f"{side}_grams")
+    return rows.select("*", *[F.col(f"_entry.{f}").alias(f"{side}_{f}") for f in ("key", "pos", "rare")]).drop("_entry")
 
 
 def _missing(side: str, other: str) -> Column:
@@ -159,28 +180,29 @@ def _missing(side: str, other: str) -> Column:
     return sum(counts[1:], counts[0])
 
 
-def _gram_candidates(q: DataFrame, k: DataFrame, delta: float) -> DataFrame:
-    """Pairs whose texts are near in letters.
+def _candidates(q: DataFrame, k: DataFrame, delta: float, grams: bool) -> DataFrame:
+    """Pairs that can reach the cutoff: they share a token that is rare to one side, or are near in letters.
 
-    The second form reaches the cutoff only if indel <= delta * (sum of lengths). A text has
-    one letter pair more than its length; a deletion loses two of them, an insertion one. So both
-    share at least (0.5 - 1.5 * delta) * (sum of lengths) + 1 pairs. With all pairs in one order,
-    rare ones first, two such texts share one early on: within a prefix, and at
-    positions that leave enough pairs behind them. Lengths must be near as well, and the bitmaps
-    of all pairs must not differ in more bits than pairs may be missing. All of this is part of
-    the join condition, so pairs that fail it are never emitted.
+    For the latter, a shared letter pair must stand at places that leave enough pairs behind it, lengths must be near,
+    and the bitmaps of all pairs must not differ in more bits than pairs may be missing. All of
+    this is part of the join condition, so pairs that fail it are never emitted.
     """
-    q, k = _with_grams(q, "kw", "q"), _with_grams(k, "key", "k")
-    freq = k.groupBy("gram").agg(F.count("*").alias("gram_freq"))
-    k_prefix = _gram_prefix(k, freq, "key", "k", delta).withColumnRenamed("gram", "_gram")
-    q_prefix = _gram_prefix(q, freq, "kw", "q", delta)
-    q_len, k_len = F.length("q_norm"), F.length("k_norm")
-    common = (q_len + k_len) * (0.5 - 1.5 * delta) + 1 - _EPS
-    near = F.abs(q_len - k_len) <= (q_len + k_len) * delta + _EPS
-    behind = 1 + F.least(q_len - F.col("q_pos"), k_len - F.col("k_pos")) >= common
-    alike = (_missing("q", "k") <= q_len + 1 - common) & (_missing("k", "q") <= k_len + 1 - common)
-    same = F.col("gram") == F.col("_gram")
-    return q_prefix.hint("merge").join(k_prefix, same & near & behind & alike)
+    if grams:
+        q, k = _numbered_grams(q, "q"), _numbered_grams(k, "k")
+    counts = _counts(k, grams)
+    q_keys, k_keys = _join_keys(q, "q", counts, delta, grams), _join_keys(k, "k", counts, delta, grams)
+    joins = F.col("q_rare") | F.col("k_rare")
+    if grams:
+        q_len, k_len = F.length("q_norm"), F.length("k_norm")
+        common = (q_len + k_len) * (0.5 - 1.5 * delta) + 1 - _EPS
+        near = F.abs(q_len - k_len) <= (q_len + k_len) * delta + _EPS
+        behind = 1 + F.least(q_len - F.col("q_pos"), k_len - F.col("k_pos")) >= common
+        alike = (_missing("q", "k") <= q_len + 1 - common) & (_missing("k", "q") <= k_len + 1 - common)
+        joins = joins | F.coalesce(near & behind & alike, F.lit(False))
+    pairs = q_keys.hint("merge").join(k_keys, (F.col("q_key") == F.col("k_key")) & joins)
+    # Dealt out by keyword, the repeats of a pair and the best of a keyword meet without another shuffle.
+    parts = int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.select("kw", "q_norm", "key", "k_norm", "genre", "ordinal").repartition(parts, "kw").dropDuplicates(["kw", "key"])
 
 
 def _with_score(pairs: DataFrame, cutoff: float) -> DataFrame:
@@ -241,13 +263,9 @@ def _first_best(scored: DataFrame) -> DataFrame:
 def token_subset_join(keywords: DataFrame, lookup: DataFrame) -> DataFrame:
     """First lookup entry, in file order, whose tokens contain the keyword's or are contained in them."""
     q, k = _sides(keywords, lookup)
-    pairs = None
-    for branch in _token_candidates(q, k, delta=0.0):
-        branch = _computed(branch, _q=_token_list("q"), _k=_token_list("k"))
-        covered = (F.size(F.array_except("_q", "_k")) == 0) | (F.size(F.array_except("_k", "_q")) == 0)
-        branch = branch.where(covered).select("kw", "key", "genre", "ordinal", F.lit(100.0).alias("score"))
-        pairs = branch if pairs is None else pairs.unionByName(branch)
-    return _first_best(pairs)
+    pairs = _computed(_candidates(q, k, 0.0, grams=False), _q=_token_list("q"), _k=_token_list("k"))
+    covered = (F.size(F.array_except("_q", "_k")) == 0) | (F.size(F.array_except("_k", "_q")) == 0)
+    return _first_best(pairs.where(covered).withColumn("score", F.lit(100.0)))
 
 
 def fuzzy_join(keywords: DataFrame, lookup: DataFrame, cutoff: float = 85, min_len: int = 4) -> DataFrame:
@@ -259,11 +277,7 @@ def fuzzy_join(keywords: DataFrame, lookup: DataFrame, cutoff: float = 85, min_l
         raise ValueError("cutoff must lie between 67 and 100: below that no candidate filter holds")
     delta = 1 - cutoff / 100
     q, k = _sides(keywords.where(F.length("kw") >= min_len), lookup)
-    columns = ["kw", "q_norm", "key", "k_norm", "genre", "ordinal"]
-    pairs = _gram_candidates(q, k, delta).select(*columns)
-    for branch in _token_candidates(q, k, delta):
-        pairs = pairs.unionByName(branch.select(*columns))
-    return _first_best(_with_score(pairs, cutoff))
+    return _first_best(_with_score(_candidates(q, k, delta, grams=True), cutoff))
 
 
 def fuzzy_ext_join(keywords: DataFrame, lookup_ext: DataFrame, cutoff: float = 92, min_len: int = 8) -> DataFrame:

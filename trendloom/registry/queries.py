@@ -981,19 +981,19 @@ def stream_bisect(spark, sf):
         return rows.select(number.cast("bigint").alias("event"), F.length("keyword").cast("bigint").alias("letters"))
 
     jobs.run_to_end(jobs.start_decode(jobs.follow(spark, folder, sent.schema), decode, out, available_now=True))
-    good = spark.read.schema("event bigint, letters bigint").parquet(f"{out}/data").withColumns({"dead": F.lit(False), "tries": F.lit(None).cast("bigint")})
+    good = spark.read.schema("event bigint, letters bigint").parquet(f"{out}/data").select("event", "letters").withColumns({"dead": F.lit(False), "tries": F.lit(None).cast("bigint")})
     dead = spark.read.schema("eventid string, tries int").parquet(f"{out}/dead")
     return good.unionByName(dead.select(c("eventid").cast("bigint").alias("event"), F.lit(None).cast("bigint").alias("letters"), F.lit(True).alias("dead"), c("tries").cast("bigint").alias("tries")))
 
 
 @query(
     "anomaly_expiry",
-    "SELECT dt AS score_day, derived_genre, hour_of_day_vn, observed_count FROM scored WHERE is_anomaly AND dt >= '2024-01-20'",
+    "SELECT dt AS score_day, derived_genre, hour_of_day_vn, observed_count FROM scored WHERE is_anomaly AND dt BETWEEN '2024-01-20' AND '2024-01-31'",
 )
 def anomaly_expiry(spark, sf):
     """Anomalies scored at the end of their days and appended day after day; what is older than 30 days goes."""
-    path, day = staging_path(spark, "anomalies"), F.to_timestamp(F.concat("dt", F.lit(" 23:59:59")))
-    rows = stage(anomalies.anomaly_rows(_scored(spark, sf).where("dt IS NOT NULL"), c("dt"), day), "scored-days")
+    path, day = staging_path(spark, "anomalies"), F.try_to_timestamp(F.concat("dt", F.lit(" 23:59:59")))
+    rows = stage(anomalies.anomaly_rows(_scored(spark, sf), F.coalesce("dt", F.lit("none")), day), "scored-days")
     for low, high in (("2024-01-01", "2024-01-12"), ("2024-01-10", "2024-01-22"), ("2024-01-20", "2024-02-01")):
         sinks.append_anomalies(rows.where(c("score_ts").between(low, high)), path)
     sinks.expire_anomalies(spark, path, datetime(2024, 2, 19, 12))
