@@ -22,6 +22,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, where = _hadoop(spark, path)
+    fs.delete(where, True)
+
+
 def names_in(spark: SparkSession, path: str) -> list[str]:
     """Names of what lies in a folder, as the file system has them; none if there is no folder."""
     fs, where = _hadoop(spark, path)

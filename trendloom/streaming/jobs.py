@@ -7,6 +7,7 @@ failure replaces what it wrote before.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +18,14 @@ from trendloom.functions.devices import platform_group
 from trendloom.functions.text import stream_keyword_norm
 from trendloom.functions.timestamps import clean_datetime
 from trendloom.operators import anomalies
-from trendloom.operators.classification import classify_keywords, distinct_keywords, lut_unknown_fallback, with_genre
+from trendloom.operators.classification import classify_keywords, distinct_keywords, with_genre
 from trendloom.operators.labelling import Provider, label_residual
 from trendloom.schemas import RAW_PARTITIONS, STREAM_EVENT, UNKNOWN
 from trendloom.session import stage, staged_since
 from trendloom.sources.raw_events import decode_json_records
-from trendloom.sources.sinks import names_in, resolve_version
+from trendloom.sources.sinks import resolve_version
 from trendloom.streaming.bisect import MOST_DEAD, TRIES, bisected
+from trendloom.streaming.label_store import ASK_AGAIN, MERGE_EVERY, PROVIDER, RULES, LabelStore, lookup_mark
 
 ENRICHED_SCHEMA = STREAM_EVENT
 SINK_SCHEMA = T.StructType(
@@ -136,42 +138,63 @@ def _decoded(batch: DataFrame, decode: Decode, out: str, batch_id: int, tries: i
     return split.good
 
 
-_STORE = "keyword_norm string, derived_genre string, n bigint"
+Lookup = DataFrame | Callable[[], DataFrame]
 
 
 def start_enrich(
     stream: DataFrame,
-    lut: DataFrame,
+    lut: Lookup,
     out: str,
-    lut_ext: DataFrame | None = None,
+    lut_ext: Lookup | None = None,
     label_provider: Provider | None = None,
     available_now: bool = False,
     every: str = "60 seconds",
+    ask_again: timedelta = ASK_AGAIN,
+    merge_every: int = MERGE_EVERY,
 ) -> StreamingQuery:
     """Enrich each micro-batch.
 
-    Every keyword is classified once for all batches: what a batch learned is kept under ``out/_labels``, and later
-    batches only classify what they see for the first time. Keywords that stay UNKNOWN are put to ``label_provider``.
+    Every keyword is classified once for all batches: what a batch learned is kept in a :class:`LabelStore` under ``out/_labels``, and later
+    batches only classify what they see for the first time. Keywords that stay UNKNOWN are put to ``label_provider``, and
+    again when they come after ``ask_again``. Lookups may be functions, called for every batch; once
+    their contents change, keywords are classified anew when they come. Answers of the provider are kept and not asked for again.
     """
-    spark, store = stream.sparkSession, f"{out}/_labels"
+    spark = stream.sparkSession
+    store = LabelStore(spark, f"{out}/_labels", merge_every, ask_again)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with staged_since(spark):
             enrich(batch, batch_id)
 
     def enrich(batch: DataFrame, batch_id: int) -> None:
+        store.merge(batch_id)
+        now = datetime.now(UTC)
+        lookups = [x() if callable(x) else x for x in (lut, lut_ext)]
+        mark = lookup_mark(*lookups)
         counted = stage(distinct_keywords(_stream_columns(batch)), "batch-keywords")
-        earlier = [f"{store}/{name}" for name in names_in(spark, store) if int(name.split("=")[1]) < batch_id]
-        known = spark.read.schema(_STORE).parquet(*earlier) if earlier else spark.createDataFrame([], _STORE)
+        stored = stage(counted.select("keyword_norm").join(store.read(before=batch_id), "keyword_norm"), "batch-stored")
+        known = stored.where(store.settled(mark, now))
         fresh = counted.join(known, "keyword_norm", "left_anti")
-        labels = classify_keywords(fresh, lut, lut_ext).select("keyword_norm", "derived_genre", "n")
+        labels = classify_keywords(fresh, *lookups).select("keyword_norm", "derived_genre", "n")
+        answered = stored.where((F.col("source") == PROVIDER) & (F.col("derived_genre") != UNKNOWN))
+        answers = answered.select("keyword_norm", F.col("derived_genre").alias("answer"))
         if label_provider:
             labels = stage(labels, "batch-labels")
-            answers = stage(label_residual(labels.where(F.col("derived_genre") == UNKNOWN), label_provider), "answers")
-            labels = lut_unknown_fallback(labels, answers.withColumnRenamed("keyword_norm", "keyword"))
-        labels.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
-        fresh = spark.read.schema(_STORE).parquet(f"{store}/batch_id={batch_id}")
-        here = counted.join(known.unionByName(fresh).drop("n"), "keyword_norm")
+            open_ = labels.where(F.col("derived_genre") == UNKNOWN).join(answers, "keyword_norm", "left_anti")
+            new = stage(label_residual(open_, label_provider), "answers")
+            answers = answers.unionByName(new.select("keyword_norm", F.col("genre").alias("answer")))
+        told = (F.col("derived_genre") == UNKNOWN) & F.col("answer").isNotNull()
+        learned = labels.join(answers, "keyword_norm", "left").select(
+            "keyword_norm",
+            F.when(told, F.col("answer")).otherwise(F.col("derived_genre")).alias("derived_genre"),
+            "n",
+            F.when(told, PROVIDER).otherwise(RULES).alias("source"),
+            F.lit(mark).alias("lookup"),
+            F.lit(now).alias("asked_at"),
+        )
+        learned = store.add(learned, batch_id)
+        genres = known.unionByName(learned, allowMissingColumns=True).select("keyword_norm", "derived_genre")
+        here = counted.join(genres, "keyword_norm")
         enrich_rows(batch, here).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return _start(stream.writeStream.foreachBatch(write), f"{out}/_checkpoint", available_now, every)
