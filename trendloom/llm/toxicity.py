@@ -1,11 +1,11 @@
 """Toxic texts by a linear model over character n-grams scaled by naive Bayes log-count ratios.
 
-Which n-grams (3 to 5 characters, hashed) a text contains is all that counts. For every n-gram the labelled texts
+Which n-grams (3 to 5 characters, by a 64-bit hash) a text contains is all that counts. For every n-gram the labelled texts
 give the log of the ratio between its rates in toxic and other texts; those ratios scale the features of a
-logistic regression. Only n-grams whose ratio stands ``LEAST_Z`` standard errors from zero become features.
+logistic regression. N-grams whose ratio stands ``LEAST_Z`` standard errors from zero become features, however many they are.
 
-Counts over the labelled texts are summed on the cluster. The regression itself sees the feature lists of at most
-about ``FIT_ROWS`` texts and is fitted on the driver, which the two bounds keep small.
+Counts cover all labelled training texts and are summed on the cluster. The regression is fitted there too, by Spark's own
+solver, on about ``FIT_ROWS`` of those texts; the driver holds one weight for each feature.
 """
 
 from __future__ import annotations
@@ -15,28 +15,34 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendloom.llm import common
 from trendloom.llm.common import held_out, labelled_sample, ship_package, stage
 
 FOLDS, HELD_OUT_FOLD = 5, 0
 ORDERS = (3, 4, 5)
-BUCKET_BITS = 18
 FIT_ROWS = 20_000
-MAX_FEATURES = 1024
 LEAST_Z = 4.0
 RIDGE = 1e-4
-STEPS = 400
+STEPS = 100
 THRESHOLD = 0.5
+#: Labelled ids up to this many (16 bytes each) are broadcast; beyond it texts and labels are shuffled to meet.
+BROADCAST_IDS = 2_000_000
 
 _PIECE = 1 << 20
+_HELD = 1 << 22
+_TABLE_BITS = 18
 _BASE, _SPREAD = np.uint64(1_000_003), np.uint64(0x9E3779B97F4A7C15)
 
 
-def gram_buckets(text: str, wanted: np.ndarray | None = None) -> np.ndarray:
-    """Distinct buckets of the character n-grams of a text, in order; only those where ``wanted`` is true.
+def gram_hashes(text: str, likely: np.ndarray | None = None) -> np.ndarray:
+    """Distinct hashes of the character n-grams of a text, in order; with ``likely``, only those whose top bits it marks.
 
     Long texts are read in pieces that overlap, so no n-gram is lost.
     """
@@ -50,90 +56,121 @@ def gram_buckets(text: str, wanted: np.ndarray | None = None) -> np.ndarray:
                 break
             h = h[:-1] * _BASE + code[order - 1 :]
             if order in ORDERS:
-                bucket = ((h * _SPREAD) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-                found.append(np.unique(bucket if wanted is None else bucket[wanted[bucket]]))
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+                mixed = h * _SPREAD
+                if likely is not None:
+                    mixed = mixed[likely[mixed >> np.uint64(64 - _TABLE_BITS)]]
+                found.append(np.unique(mixed))
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+
+
+def marked_tops(hashes: np.ndarray) -> np.ndarray:
+    """Which top bits occur; most n-grams of a text are told apart from the features by it."""
+    table = np.zeros(1 << _TABLE_BITS, bool)
+    table[hashes >> np.uint64(64 - _TABLE_BITS)] = True
+    return table
+
+
+def places(hashes: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Where in the sorted features those of the hashes are that belong to them."""
+    if not len(features):
+        return np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(features, hashes), len(features) - 1)
+    return at[features[at] == hashes]
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many texts of each label have each bucket."""
-    seen = np.zeros((2, 1 << BUCKET_BITS), np.int64)
-    for batch in batches:
+    """(gram, pos, neg): how many texts of each label have an n-gram, in parts that still have to be added up."""
+    held: tuple[list, list] = ([], [])
+    size = 0
+
+    def passed_on() -> pa.RecordBatch:
+        kinds = [np.unique(np.concatenate(h), return_counts=True) if h else (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for h in held]
+        grams = np.concatenate([g for g, _ in kinds]).view(np.int64)
+        numbers = [np.concatenate([n if i == k else np.zeros_like(n) for k, (_, n) in enumerate(kinds)]) for i in (1, 0)]
+        for h in held:
+            h.clear()
+        return pa.RecordBatch.from_arrays([pa.array(grams), *map(pa.array, numbers)], ["gram", "pos", "neg"])
+
+    for batch in (part for whole in batches for part in common.slices(whole)):
         for text, y in zip(batch.column("text"), batch.column("y").to_pylist()):
-            seen[int(y > 0), gram_buckets(text.as_py())] += 1
-    there = np.flatnonzero(seen.any(axis=0))
-    yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(seen[1, there]), pa.array(seen[0, there])], ["bucket", "pos", "neg"])
+            found = gram_hashes(text.as_py())
+            held[int(y > 0)].append(found)
+            size += len(found)
+        if size > _HELD:
+            yield passed_on()
+            size = 0
+    yield passed_on()
 
 
-def _feature_lists(wanted: np.ndarray):
+def _feature_lists(features: np.ndarray):
+    """y and the numbers of the features that a text has, as words for the vectoriser."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [gram_buckets(t.as_py(), wanted) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(rows, pa.list_(pa.int32()))], ["y", "buckets"])
+        likely = marked_tops(features)
+        for batch in (part for whole in batches for part in common.slices(whole)):
+            rows = [list(map(str, places(gram_hashes(t.as_py(), likely), features).tolist())) for t in batch.column("text")]
+            y = pa.array([float(v > 0) for v in batch.column("y").to_pylist()])
+            yield pa.RecordBatch.from_arrays([y, pa.array(rows, pa.list_(pa.string()))], ["label", "grams"])
 
     return run
 
 
 @dataclass
 class Model:
+    """Sorted hashes of the features, the weight that each adds, and the bias."""
+
+    features: np.ndarray
     weights: np.ndarray
     bias: float
 
+    def __post_init__(self):
+        self.likely = marked_tops(self.features)
+
     def score(self, text: str) -> float:
-        logit = self.bias + float(self.weights[gram_buckets(text, self.weights != 0)].sum())
+        logit = self.bias + float(self.weights[places(gram_hashes(text, self.likely), self.features)].sum())
         return float(1 / (1 + np.exp(-np.clip(logit, -500, 500))))
 
 
-def fit_logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, y: np.ndarray, width: int) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression over sparse (row, column, value) entries by accelerated gradient steps."""
-    n = max(len(y), 1)
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, y) of all labelled documents outside the held-out fold; of labels that disagree on an id the larger holds."""
+    ids = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(FOLDS, HELD_OUT_FOLD))
+    ids = ids.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.col("toxic").cast("int")).alias("y"))
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return texts.join(ids, "id").select("text", "y")
 
-    def times(w: np.ndarray) -> np.ndarray:
-        return np.bincount(rows, weights=values * w[columns], minlength=len(y)) + w[width]
 
-    def back(g: np.ndarray) -> np.ndarray:
-        return np.r_[np.bincount(columns, weights=values * g[rows], minlength=width), g.sum()]
-
-    v = np.ones(width + 1)
-    for _ in range(20):
-        v = back(times(v))
-        size = np.linalg.norm(v)
-        v /= max(size, 1e-12)
-    step = 1 / (0.25 * size / n + RIDGE)
-    w, ahead, momentum = np.zeros(width + 1), np.zeros(width + 1), 1.0
-    for _ in range(STEPS):
-        p = 1 / (1 + np.exp(-np.clip(times(ahead), -500, 500)))
-        slope = back(p - y) / n + RIDGE * np.r_[ahead[:width], 0]
-        after = ahead - step * slope
-        grown = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
-        w, ahead, momentum = after, after + (momentum - 1) / grown * (after - w), grown
-    return w[:width], float(w[width])
+def log_count_ratios(rows: DataFrame, pos: int, neg: int) -> DataFrame:
+    """(gram, ratio, z) of all n-grams of (text, y), of which pos and neg texts have either label."""
+    counts = rows.mapInArrow(_counts, "gram long, pos long, neg long").groupBy("gram").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    rate = lambda c, n: F.log((F.col(c) + 1) / F.lit(n + 2))
+    error = F.sqrt(1 / (F.col("pos") + 1) + 1 / (F.col("neg") + 1))
+    return counts.withColumn("ratio", rate("pos", pos) - rate("neg", neg)).select("gram", "ratio", (F.abs("ratio") / error).alias("z"))
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
-    """Learn from labelled texts outside the held-out fold. Without labels of both kinds every score is the share of 1s."""
+    """Learn from labelled texts outside the held-out fold. Without labels of both kinds every score is that of the one kind, zero without any."""
     ship_package(docs.sparkSession)
-    sample = stage(labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT_FOLD, fit_rows), "toxicity-sample")
-    pos, neg = sample.agg(F.count_if(F.col("y") > 0), F.count_if(F.col("y") <= 0)).first()
-    weights = np.zeros(1 << BUCKET_BITS)
+    rows = labelled(docs, labels)
+    pos, neg = rows.agg(F.count_if(F.col("y") > 0), F.count_if(F.col("y") <= 0)).first()
+    none = np.zeros(0, np.uint64)
     if not pos or not neg:
-        return Model(weights, 500.0 if pos else -500.0)
-    counts = sample.mapInArrow(_counts, "bucket long, pos long, neg long").groupBy("bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    rate = lambda c, n: F.log((F.col(c) + 1) / F.lit(n + 2))
-    error = F.sqrt(1 / (F.col("pos") + 1) + 1 / (F.col("neg") + 1))
-    ratios = counts.withColumn("ratio", rate("pos", pos) - rate("neg", neg)).withColumn("z", F.abs("ratio") / error)
-    chosen = ratios.where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "bucket").limit(MAX_FEATURES).select("bucket", "ratio").collect()
-    buckets = np.sort(np.array([r.bucket for r in chosen], np.int64))
-    ratio = np.zeros(1 << BUCKET_BITS)
-    ratio[[r.bucket for r in chosen]] = [r.ratio for r in chosen]
-    lists = sample.mapInArrow(_feature_lists(ratio != 0), "y int, buckets array<int>").toArrow()
-    y = (lists.column("y").to_numpy() > 0).astype(float)
-    flat = lists.column("buckets").combine_chunks()
-    rows = np.repeat(np.arange(len(y), dtype=np.int32), flat.value_lengths().to_numpy())
-    entries = flat.flatten().to_numpy()
-    fitted, bias = fit_logistic(rows, np.searchsorted(buckets, entries).astype(np.int32), ratio[entries].astype(np.float32), y, len(buckets))
-    weights[buckets] = fitted * ratio[buckets]
-    return Model(weights, bias)
+        return Model(none, np.zeros(0), 500.0 if pos else -500.0)
+    chosen = log_count_ratios(rows, pos, neg).where(F.col("z") >= LEAST_Z).select("gram", "ratio").toArrow()
+    features, ratio = chosen.column("gram").to_numpy().view(np.uint64), chosen.column("ratio").to_numpy()
+    order = np.argsort(features)
+    features, ratio = features[order], ratio[order]
+    sample = labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT_FOLD, fit_rows)
+    lists = stage(sample.mapInArrow(_feature_lists(features), "label double, grams array<string>"), "toxicity-features")
+    kinds = lists.agg(F.min("label"), F.max("label")).first()
+    if not len(features) or kinds[0] == kinds[1]:
+        return Model(none, np.zeros(0), float(np.log(pos / neg)))
+    counted = CountVectorizerModel.from_vocabulary([str(i) for i in range(len(features))], inputCol="grams", outputCol="has", binary=True)
+    scaled = ElementwiseProduct(scalingVec=Vectors.dense(ratio), inputCol="has", outputCol="features")
+    fitted = LogisticRegression(regParam=RIDGE, maxIter=STEPS, tol=1e-9, standardization=False).fit(scaled.transform(counted.transform(lists)))
+    common.discard(docs.sparkSession, common.folder_of(lists))
+    return Model(features, fitted.coefficients.toArray() * ratio, float(fitted.intercept))
 
 
 def score_column(docs: DataFrame, model: Model) -> Column:
@@ -149,7 +186,7 @@ def score_column(docs: DataFrame, model: Model) -> Column:
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every row.
 
-    Null texts score as empty ones; both get the score that the model gives to no evidence. Repeated rows get
+    Null texts score as empty ones; both get the score that the model gives to no evidence. Texts count whole, however long. Repeated rows get
     the same score, null ids count as not held out. An empty table gives no rows. Further columns are ignored.
     """
     score = docs.select("doc_id", held_out(FOLDS, HELD_OUT_FOLD).alias("held_out"), score_column(docs, train(docs, labels)).alias("score"))
@@ -157,5 +194,8 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without the rows that are predicted toxic; all columns and all other rows stay as they are."""
+    """docs without the rows that are predicted toxic; all columns and all other rows stay as they are.
+
+    Null and empty texts stay unless nearly all labels are toxic. An empty table gives an empty one; no column is added, so none can clash.
+    """
     return docs.where(score_column(docs, train(docs, labels)) < THRESHOLD)
