@@ -143,3 +143,42 @@ def test_metrics_on_a_small_comparison(spark):
     assert evaluation.confusion_matrix(compared).count() == 81
     top = evaluation.top_misclassified(compared, n=30).collect()
     assert [(r.keyword_norm, r.keywords, r.search_count) for r in top] == [("b", 1, 5), (None, 0, 0)]
+
+
+def test_alarms_look_back_from_the_moment(spark):
+    """The success came an hour ago, and by the floor of 26 hours a period has begun a minute ago."""
+    boundary = 26 * 3600 * 700
+    stamp = lambda seconds: F.timestamp_seconds(F.lit(seconds))
+    metrics = spark.range(1).select(F.lit("DailyPipelineSuccess").alias("metric_name"), stamp(boundary - 3600).alias("ts"), F.lit(1.0).alias("value"))
+    for later, missing in ((60, False), (25 * 3600 - 1, False), (25 * 3600, True)):
+        states = {r.alarm: r.breaching for r in alarms.evaluate_alarms(metrics, stamp(boundary + later)).collect()}
+        assert states["daily-run-missing"] == states["health"] == missing
+
+
+def test_alarm_states_equal_brute_force(spark):
+    import random
+
+    rnd = random.Random(3)
+    names = ("AnomalyScore", "DailyPipelineSuccess", "Errors", "Invocations", "GetRecords.IteratorAgeMilliseconds", "Other")
+    points = [(rnd.choice(names), rnd.uniform(0, 7200), rnd.choice((0.0, 1.0, 2.0, 4.0, 90_000.0))) for _ in range(120)] + [("AnomalyScore", 600.0, 9.0)]
+    metrics = spark.createDataFrame(points, "metric_name string, s double, value double").withColumn("ts", F.timestamp_micros((F.col("s") * 1_000_000).cast("long")))
+    states = alarms.with_composite(alarms.alarm_states(metrics, datetime(1970, 1, 1), datetime(1970, 1, 1, 2), 300))
+    got, want = {(r.alarm, int(r.at.timestamp())): (r.value, r.breaching) for r in states.collect()}, {}
+    for at in range(0, 7201, 300):
+        for r in alarms.DEFAULT_RULES:
+            near = lambda m: [v for n, s, v in points if n == m and at - r.period_seconds < int(s * 1_000_000) / 1_000_000 <= at]  # noqa: E731, B023
+            stat = lambda v: (sum(v) if r.stat == "sum" else max(v)) if v else None  # noqa: E731, B023
+            value = stat(near(r.metric))
+            if r.ratio_to and value is not None:
+                value = value / max(value, stat(near(r.ratio_to)) or 0) if max(value, stat(near(r.ratio_to)) or 0) else None
+            want[r.name, at] = (value, r.missing_breaches if value is None else value > r.threshold if r.comparison == ">" else value < r.threshold)
+        want["health", at] = (None, any(want[r.name, at][1] for r in alarms.DEFAULT_RULES))
+    assert got == want
+    episodes = alarms.alarm_episodes(states).collect()
+    for name in {k for k, _ in want}:
+        line = sorted((r for r in episodes if r.alarm == name), key=lambda r: r.since)
+        assert sum(r.moments for r in line) == 25 and line[-1].until is None
+        assert all(a.until == b.since and a.state != b.state for a, b in zip(line, line[1:]))
+        assert all((r.state == "ALARM") == want[name, int(r.since.timestamp())][1] for r in line)
+    with pytest.raises(ValueError, match="whole number"):
+        alarms.alarm_states(metrics, datetime(1970, 1, 1), datetime(1970, 1, 2), 7)

@@ -1041,12 +1041,29 @@ def alarm_timeline(spark, sf):
     return alarms.alarm_timeline(t.metrics(spark, sf), datetime(2024, 1, 1), datetime(2024, 2, 28, 12))
 
 
+def _trailing_sql(rule: alarms.AlarmRule, moments: str) -> str:
+    """The rule at each of the moments, by a range join with the points of the period that ends there."""
+
+    def stat(metric: str) -> str:
+        return f"{rule.stat}(value) FILTER (WHERE metric_name = '{metric}')"
+
+    value = stat(rule.metric)
+    if rule.ratio_to:
+        value = f"{value} / greatest({value}, {stat(rule.ratio_to)})"
+    return f"""SELECT '{rule.name}' AS alarm, moment, {rule.period_seconds} AS period, value, coalesce(value {rule.comparison} {rule.threshold}, {str(rule.missing_breaches).lower()}) AS breaching
+      FROM (SELECT m.moment, {value} AS value FROM ({moments}) m LEFT JOIN metrics p
+            ON epoch(p.ts) > m.moment - {rule.period_seconds} AND epoch(p.ts) <= m.moment GROUP BY m.moment)"""
+
+
+def _all_trailing(moments: str) -> str:
+    return " UNION ALL ".join(_trailing_sql(r, moments) for r in alarms.DEFAULT_RULES)
+
+
 @query(
     "alarm_eval",
-    f"""SELECT alarm, max(period_start) AS period_start, arg_max(value, period_start) AS value, arg_max(breaching, period_start) AS breaching
-        FROM (SELECT alarm, period_start, coalesce(value, -1) AS value, breaching FROM ({_TIMELINE})) GROUP BY alarm
-        UNION ALL SELECT 'health', max(period_start), NULL, bool_or(breaching) FROM (
-          SELECT alarm, max(period_start) AS period_start, arg_max(breaching, period_start) AS breaching FROM ({_TIMELINE}) GROUP BY alarm)""",
+    f"""SELECT alarm, period_start, value, breaching FROM (WITH states AS ({_all_trailing("SELECT 1709121600 AS moment")})
+        SELECT alarm, moment - period AS period_start, coalesce(round(value, 6), -1) AS value, breaching FROM states
+        UNION ALL SELECT 'health', max(moment - period), NULL, bool_or(breaching) FROM states)""",
 )
 def alarm_eval(spark, sf):
     states = alarms.evaluate_alarms(t.metrics(spark, sf), datetime(2024, 2, 28, 12))
@@ -1054,6 +1071,21 @@ def alarm_eval(spark, sf):
     return states.withColumn("value", shown)
 
 
+@query(
+    "alarm_episodes",
+    f"""SELECT * FROM (WITH single AS ({_all_trailing("SELECT unnest(range(1706745600, 1706918401, 300)) AS moment")}),
+          states AS (SELECT alarm, moment, breaching FROM single UNION ALL SELECT 'health', moment, bool_or(breaching) FROM single GROUP BY moment),
+          marked AS (SELECT *, breaching IS DISTINCT FROM lag(breaching) OVER w AND lag(moment) OVER w IS NOT NULL AS changed FROM states WINDOW w AS (PARTITION BY alarm ORDER BY moment)),
+          islands AS (SELECT *, sum(changed::INT) OVER (PARTITION BY alarm ORDER BY moment) AS island FROM marked),
+          found AS (SELECT alarm, any_value(breaching) AS breaching, min(moment) AS since, count(*) AS moments FROM islands GROUP BY alarm, island)
+        SELECT alarm, if(breaching, 'ALARM', 'OK') AS state, since * 1000 AS since, lead(since) OVER (PARTITION BY alarm ORDER BY since) * 1000 AS until, moments FROM found)""",
+)
+def alarm_episodes(spark, sf):
+    """Two days judged every five minutes, each alarm by itself and all together."""
+    states = alarms.alarm_states(t.metrics(spark, sf), datetime(2024, 2, 1), datetime(2024, 2, 3), every_seconds=300)
+    return alarms.alarm_episodes(alarms.with_composite(states))
+
+
 @query("role_view", "SELECT " + ", ".join(
     {"abandonment_rate": "round(abandonment_rate, 6) AS abandonment_rate", "trend_date": "CAST(trend_date AS VARCHAR) AS trend_date"}.get(x, x)
     for x in governance.MARKETING_COLUMNS) + " FROM gold")
