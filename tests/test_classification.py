@@ -100,3 +100,51 @@ def test_provider_labels_reach_the_curated_rows(spark):
     raw = spark.createDataFrame([tuple(r[n] for n in RAW_DATA.names) for r in rows], RAW_DATA).withColumn("dt", F.lit("2024-01-02"))
     got = curate(raw, lookup(spark, [("naruto", "ANIME")]), label_provider=lambda asked: json.dumps({k: "NHAC" for k in asked}))
     assert {r.event_id: r.derived_genre for r in got.collect()} == {"1": "NHAC", "2": "UNKNOWN", "3": "ANIME"}
+
+
+def test_ledger_asks_failed_groups_again_and_no_others(spark, tmp_path):
+    """Every third group fails once, one answers nonsense for ever; the second run asks those alone."""
+    log = tmp_path / "calls"
+    log.mkdir()
+    keywords = spark.createDataFrame([(f"kw {i:03}",) for i in range(90)] + [("kw 000",)], "keyword_norm string").coalesce(1)
+
+    def provider(asked):
+        import uuid
+
+        first = min(asked)
+        seen = sum(p.read_text() == first for p in log.iterdir())
+        (log / uuid.uuid4().hex).write_text(first)
+        number = sum(p.read_text() == first for p in log.iterdir())
+        if "kw 044" in asked:
+            return "I would rather not"
+        if seen == 0 and number == 1 and len({p.read_text() for p in log.iterdir()}) % 3 == 0:
+            raise TimeoutError("away")
+        return "Here you are: " + json.dumps({k: "NHAC" for k in asked}) + " Bye."
+
+    ledger = labelling.AnswerLedger(spark, str(tmp_path / "ledger"), batch=10, most_tries=3, stop_after=None)
+    ledger.run(keywords, provider)
+    calls = lambda: [p.read_text() for p in log.iterdir()]
+    assert len(calls()) == 9 and ledger.open_groups().count() in (3, 4) and ledger.read().count() == 9
+    failed = ledger.open_groups().count()
+    assert all(r.error.startswith(("TimeoutError: away", "no JSON object: I would")) for r in ledger.open_groups().collect())
+    second = ledger.run(keywords, provider)
+    assert len(calls()) == 9 + failed and second.count() == failed
+    assert ledger.labels().count() == 80 and [r.tries for r in ledger.open_groups().collect()] == [2]
+    ledger.run(keywords, provider)
+    ledger.run(keywords, provider)
+    assert len(calls()) == 9 + failed + 1 and ledger.open_groups().count() == 0
+    assert sorted(r.tries for r in ledger.read().collect()) == sorted([3] + [2] * (failed - 1) + [1] * (9 - failed))
+    ledger.run(keywords.unionByName(spark.createDataFrame([("new",)], "keyword_norm string")), provider)
+    assert calls().count("new") == 1 and len(calls()) == 9 + failed + 2
+
+
+def test_ledger_stops_when_the_provider_is_away(spark, tmp_path):
+    keywords = spark.createDataFrame([(f"k{i}",) for i in range(100)], "keyword_norm string").coalesce(1)
+
+    def away(asked):
+        raise ConnectionError("no route")
+
+    ledger = labelling.AnswerLedger(spark, str(tmp_path / "ledger"), batch=10, stop_after=2)
+    assert ledger.run(keywords, away).count() == 2 and ledger.labels().count() == 0
+    assert ledger.run(keywords, lambda asked: json.dumps({k: "ANIME" for k in asked})).count() == 10
+    assert ledger.labels().count() == 100

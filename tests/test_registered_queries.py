@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from scripts.check_oracles import connect, rows_of
 from trendloom.registry.queries import ORACLES, QUERIES
 
-PYTHON_OPERATORS = {"classify_keywords", "fuzzy_lut_join", "fuzzy_lut_ext_join", "label_residual", "label_write_back", "ml_label", "stream_enrich"}
+PYTHON_OPERATORS = {"classify_keywords", "fuzzy_lut_join", "fuzzy_lut_ext_join", "label_residual", "label_ledger", "label_write_back", "ml_label", "stream_enrich"}
 
 
 @pytest.fixture(scope="module")

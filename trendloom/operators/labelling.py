@@ -7,55 +7,86 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendloom.functions.text import normalize_genre, sanitize_keyword
 from trendloom.schemas import GENRES, UNKNOWN
+from trendloom.session import stage
+from trendloom.sources.sinks import resolve_version, update_version
 
 # Functions of this module travel with the task, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 Provider = Callable[[list[str]], str]
 
-_ASK = "originals ARRAY<STRING>, asked ARRAY<STRING>, response STRING"
+_GROUP = "originals ARRAY<STRING>, asked ARRAY<STRING>"
+_ASK = f"{_GROUP}, response STRING, error STRING"
 
 
-def ask_in_batches(keywords: DataFrame, provider: Provider, batch: int = 50) -> DataFrame:
-    """Send keywords to ``provider`` in groups of ``batch``; one row per group with its raw answer.
+def in_groups(keywords: DataFrame, batch: int = 50) -> DataFrame:
+    """(originals, asked): the keywords as they are and as they are put, in groups of ``batch``.
 
-    Groups are formed within each task's rows. A failing call leaves a null answer, so only its
-    own group goes without labels.
+    Groups are formed within each task's rows. Keywords that are empty once cleaned are left out, and of those that become equal
+    one in a group is put.
     """
 
-    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def group(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for start in range(0, len(frame), batch):
                 part = frame.iloc[start : start + batch]
                 part = part[part["asked"] != ""].drop_duplicates("asked")
-                if part.empty:
+                if not part.empty:
+                    yield pd.DataFrame({"originals": [part["keyword_norm"].tolist()], "asked": [part["asked"].tolist()]})
+
+    sent = keywords.select("keyword_norm", sanitize_keyword(F.col("keyword_norm")).alias("asked"))
+    return sent.mapInPandas(group, _GROUP)
+
+
+def ask_groups(groups: DataFrame, provider: Provider, stop_after: int | None = None) -> DataFrame:
+    """One row for each group with its raw answer, or with the error of a failing call.
+
+    After ``stop_after`` failures in a row a task puts no further groups, as the provider is hardly there; they have no row.
+    """
+
+    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        failures = 0
+        for frame in frames:
+            for originals, asked in zip(frame["originals"], frame["asked"]):
+                if stop_after is not None and failures >= stop_after:
                     continue
+                answer = error = None
                 try:
-                    answer = provider(part["asked"].tolist())
-                except Exception:
-                    answer = None
-                yield pd.DataFrame(
-                    {"originals": [part["keyword_norm"].tolist()], "asked": [part["asked"].tolist()], "response": [answer]}
-                )
+                    answer = provider(list(asked))
+                except Exception as trouble:  # whatever an outside service may do
+                    error = f"{type(trouble).__name__}: {trouble}"
+                failures = failures + 1 if error else 0
+                yield pd.DataFrame({"originals": [list(originals)], "asked": [list(asked)], "response": [answer], "error": [error]})
 
-    sent = keywords.select("keyword_norm", sanitize_keyword(F.col("keyword_norm")).alias("asked"))
-    return sent.mapInPandas(ask, _ASK)
+    return groups.mapInPandas(ask, _ASK)
+
+
+def ask_in_batches(keywords: DataFrame, provider: Provider, batch: int = 50) -> DataFrame:
+    """Send keywords to ``provider`` in groups of ``batch``; one row per group with its raw answer or error.
+
+    A failing call leaves a null answer, so only its own group goes without labels.
+    """
+    return ask_groups(in_groups(keywords, batch), provider)
+
+
+def _answer_object(response: Column) -> Column:
+    """The JSON object in an answer, from its first to its last brace, whatever stands around it; null if it is none."""
+    return F.from_json(F.regexp_extract(response, r"(?s)\{.*\}", 0), "map<string,string>")
 
 
 def parse_answers(answers: DataFrame) -> DataFrame:
     """(keyword_norm, genre) from raw answers.
 
-    An answer is a JSON object keyword → genre, perhaps in a code fence. If more than half of its
+    An answer is a JSON object keyword → genre, perhaps with other text around it. If more than half of its
     keys are genre codes it was written the wrong way round and is turned. Keys are mapped back
     to the keywords as they were before cleaning; keys never asked for are dropped.
     """
-    body = F.regexp_replace(F.trim("response"), r"(?m)^```(?:json)?\s*|\s*```$", "")
-    entries = F.map_entries(F.from_json(body, "map<string,string>"))
+    entries = F.map_entries(_answer_object(F.col("response")))
     each = (
         answers.withColumn("entries", entries)
         .withColumn("codes", F.size(F.filter("entries", lambda e: F.upper(e["key"]).isin(*GENRES))))
@@ -80,6 +111,62 @@ def label_residual(keywords: DataFrame, provider: Provider, batch: int = 50, kee
     return labels if keep_unknown else labels.where(F.col("genre") != UNKNOWN)
 
 
+class AnswerLedger:
+    """What a provider was asked and what became of it, one row for each group of keywords, as numbered versions under ``root``.
+
+    A group that failed, by an error or an answer that is no JSON object, is put again as it was, until it has been put ``most_tries`` times.
+    Keywords of any group in the ledger are not put anew, so an interrupted or repeated run asks only what is open. The
+    ledger is written when the calls of a run are done; a run that dies before may put its groups again. Two runs at once
+    lose no outcome.
+    """
+
+    SCHEMA = f"group_id STRING, {_ASK}, tries INT"
+
+    def __init__(self, spark: SparkSession, root: str, batch: int = 50, most_tries: int = 3, stop_after: int | None = 5):
+        self.spark, self.root, self.batch, self.most_tries, self.stop_after = spark, root, batch, most_tries, stop_after
+
+    def _version(self, path: str | None) -> DataFrame:
+        return self.spark.read.schema(self.SCHEMA).parquet(path) if path else self.spark.createDataFrame([], self.SCHEMA)
+
+    def read(self) -> DataFrame:
+        return self._version(resolve_version(self.spark, self.root))
+
+    def open_groups(self) -> DataFrame:
+        """Groups that failed and may be put again."""
+        return self.read().where(F.col("error").isNotNull() & (F.col("tries") < self.most_tries))
+
+    def run(self, keywords: DataFrame, provider: Provider) -> DataFrame:
+        """Put what is open and the keywords that are new; returns the outcomes of this run."""
+        held = self.read().select(F.explode("originals").alias("keyword_norm"))
+        # Keywords that clean to one already in a group stay with it.
+        new = keywords.select("keyword_norm").distinct().join(held, "keyword_norm", "left_anti")
+        groups = stage(in_groups(new, self.batch).unionByName(self.open_groups().select("originals", "asked")), "asked-groups")
+        answers = ask_groups(groups, provider, self.stop_after)
+        wrong = F.col("error").isNull() & _answer_object(F.col("response")).isNull()
+        outcomes = answers.withColumns({
+            "error": F.when(wrong, F.concat(F.lit("no JSON object: "), F.coalesce(F.left("response", F.lit(200)), F.lit("null")))).otherwise(F.col("error")),
+            "group_id": F.sha2(F.array_join(F.array_sort("asked"), "\n"), 256),
+            "tries": F.lit(1),
+        })
+        names = [f.partition(" ")[0] for f in self.SCHEMA.split(", ")]
+        outcomes = stage(outcomes.select(*names), "outcomes")
+
+        def merged(path: str | None) -> DataFrame:
+            both = self._version(path).withColumn("new", F.lit(0)).unionByName(outcomes.withColumn("new", F.lit(1)))
+            # An answer holds against an error; of two of a kind the newer one does.
+            newest = F.max_by(F.struct("originals", "asked", "response", "error"), F.struct(F.col("error").isNull(), "new"))
+            rows = both.groupBy("group_id").agg(newest.alias("o"), F.sum("tries").cast("int").alias("tries"))
+            return rows.select("group_id", "o.*", "tries").select(*names)
+
+        update_version(self.spark, self.root, merged)
+        return outcomes
+
+    def labels(self, keep_unknown: bool = False) -> DataFrame:
+        """(keyword_norm, genre) of all answers so far."""
+        labels = parse_answers(self.read().where(F.col("error").isNull()))
+        return labels if keep_unknown else labels.where(F.col("genre") != UNKNOWN)
+
+
 def train_ml_labeller(labelled: DataFrame, features: int = 1 << 14, max_iter: int = 20):
     """Word and word-pair logistic regression over (kw, genre) rows."""
     from pyspark.ml import Pipeline

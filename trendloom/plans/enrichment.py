@@ -15,7 +15,7 @@ from trendloom.operators.classification import (
     new_keywords_anti,
     with_genre,
 )
-from trendloom.operators.labelling import Provider, label_residual
+from trendloom.operators.labelling import AnswerLedger, Provider, label_residual, parse_answers
 from trendloom.operators.sessions import with_repeat_flag
 from trendloom.schemas import CURATED
 from trendloom.session import stage
@@ -57,14 +57,20 @@ def row_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def _asked(labels: DataFrame, lut_ext: DataFrame | None, provider: Provider, limit: int | None) -> DataFrame:
+def _asked(
+    labels: DataFrame, lut_ext: DataFrame | None, provider: Provider, limit: int | None, ledger: AnswerLedger | None = None
+) -> DataFrame:
     """(keyword, genre) that the provider gives for the open keywords not in ``lut_ext``; asked once, then read back."""
     counted = labels.where("derived_genre = 'UNKNOWN'")
     if lut_ext is not None:
         counted = new_keywords_anti(counted, lut_ext)
     if limit is not None:
         counted = counted.orderBy(F.desc("n"), "keyword_norm").limit(limit)
-    return stage(label_residual(counted, provider).withColumnRenamed("keyword_norm", "keyword"), "answers")
+    if ledger:
+        answers = parse_answers(ledger.run(counted, provider).where(F.col("error").isNull())).where(F.col("genre") != UNKNOWN)
+    else:
+        answers = label_residual(counted, provider)
+    return stage(answers.withColumnRenamed("keyword_norm", "keyword"), "answers")
 
 
 def learn_labels(
@@ -74,9 +80,11 @@ def learn_labels(
     label_provider: Provider,
     window: DateWindow | None = None,
     label_limit: int | None = None,
+    ledger: AnswerLedger | None = None,
 ) -> DataFrame:
     """Ask about the open keywords of ``raw`` and publish the answers as a new version of the extended lookup.
 
+    With a ``ledger``, groups of earlier runs that failed are put again too, and what becomes of each is kept there.
     Returns the answers (keyword, genre). Keywords that the lookup under ``ext_root`` holds already are not asked
     again, so the same log asks nothing the second time, and no version is written then.
     """
@@ -84,7 +92,7 @@ def learn_labels(
         raw = raw.where(window.covers(F.col("dt")))
     lut_ext = load_lookup(raw.sparkSession, ext_root)
     labels = stage(classify_keywords(distinct_keywords(row_columns(repaired(raw))), lut, lut_ext), "labels")
-    answers = _asked(labels, lut_ext, label_provider, label_limit)
+    answers = _asked(labels, lut_ext, label_provider, label_limit, ledger)
     if not answers.isEmpty():
         update_lookup(answers, ext_root)
     return answers
