@@ -37,7 +37,7 @@ BROADCAST_IDS = 2_000_000
 
 _PIECE = 1 << 20
 _HELD = 1 << 22
-_TABLE_BITS = 18
+_TABLE_BITS = 21
 _BASE, _SPREAD = np.uint64(1_000_003), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -50,7 +50,7 @@ def gram_hashes(text: str, likely: np.ndarray | None = None) -> np.ndarray:
     for at in range(0, len(padded), _PIECE):
         piece = padded[at : at + _PIECE + max(ORDERS) - 1].encode("utf-32-le", "replace")
         code = np.frombuffer(piece, np.uint32).astype(np.uint64)
-        h = code
+        h, own = code, []
         for order in range(2, max(ORDERS) + 1):
             if len(h) < 2:
                 break
@@ -59,8 +59,10 @@ def gram_hashes(text: str, likely: np.ndarray | None = None) -> np.ndarray:
                 mixed = h * _SPREAD
                 if likely is not None:
                     mixed = mixed[likely[mixed >> np.uint64(64 - _TABLE_BITS)]]
-                found.append(np.unique(mixed))
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+                own.append(mixed)
+        if own:
+            found.append(np.unique(np.concatenate(own)))
+    return found[0] if len(found) == 1 else np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
 
 
 def marked_tops(hashes: np.ndarray) -> np.ndarray:
