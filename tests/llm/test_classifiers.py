@@ -19,7 +19,7 @@ def tables(spark, sf_dir):
     return read("documents"), read("labels")
 
 
-def plain_code_length(training: list[bytes], text: bytes) -> float:
+def plain_code_length(training: list[bytes], text: bytes, least: int = 1) -> float:
     """Bits of a text by prediction by partial matching with escapes by kinds, from a dictionary of contexts."""
     contexts = defaultdict(lambda: defaultdict(int))
     for t in training:
@@ -34,23 +34,28 @@ def plain_code_length(training: list[bytes], text: bytes) -> float:
             if seen is None:
                 continue
             total = sum(seen.values()) + len(seen)
-            if padded[i] in seen:
-                bits -= log2(seen[padded[i]] / total)
+            kept = {b: n for b, n in seen.items() if n >= least}
+            if not kept:
+                continue
+            if padded[i] in kept:
+                bits -= log2(kept[padded[i]] / total)
                 break
-            bits -= log2(max(1 - sum(seen.values()) / total, 2.0**-40))
+            bits -= log2(max(1 - sum(kept.values()) / total, 2.0**-40))
         else:
             bits += 8
     return bits
 
 
-def test_code_lengths(spark):
+@pytest.mark.parametrize("least", [1, 2, 4])
+def test_code_lengths(spark, least):
+    """Whole, and without what was seen less than twice or four times."""
     texts = {"en": ["the cat and the hat", "that is the thing"], "xx": ["zzy yzz zyzzy", "übü übü"]}
     rows = [(i, t, lang) for lang, ts in texts.items() for i, t in enumerate(ts * 3)]
     docs = spark.createDataFrame([(i * 2 + (lang == "xx"), t, lang) for i, t, lang in rows], "doc_id long, text string, lang string")
     kept = docs.where(~language_id.held_out(3, 1)).collect()
-    model = language_id.train(docs)
+    model = language_id.languages_of(language_id.train(docs, least), ["en", "xx"])
     for text in ("the zzy", "ü", "unseen words: 123"):
-        want = [plain_code_length([r.text.encode() for r in kept if r.lang == name], text.encode()) for name in model.names]
+        want = [plain_code_length([r.text.encode() for r in kept if r.lang == name], text.encode(), least) for name in model.names]
         assert np.allclose(model.code_lengths(text.encode()) / language_id.UNIT, want, atol=0.01)
 
 
@@ -72,6 +77,16 @@ def test_languages(tables):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_languages_in_several_passes(spark, tables):
+    """With room for few entries every language is scored in a pass of its own; nothing else changes."""
+    docs, _ = tables
+    some = docs.where("doc_id % 9 = 0").unionByName(docs.limit(3)).withColumn("lang", F.expr("if(doc_id % 2 = 0, lang || '-x', lang)"))
+    assert language_id.passes({"b": 5, "a": 1, "c": 2, "d": 9}, 6) == [["a", "b"], ["c"], ["d"]] and language_id.passes({}) == []
+    key = lambda rows: sorted((r.doc_id, r.held_out, r.lang_pred, round(r.score, 9)) for r in rows)
+    one, many = language_id.identified(some).collect(), language_id.identified(some, most_entries=10).collect()
+    assert key(one) == key(many) and len({r.lang_pred for r in one}) > 4
+
+
 @pytest.mark.parametrize("scored, label, least", [(toxicity.scored, "toxic", 0.92), (quality_gam.scored, "quality", 0.95)])
 def test_held_out_accuracy(tables, scored, label, least):
     docs, labels = tables

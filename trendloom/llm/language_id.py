@@ -6,28 +6,32 @@ probability comes from the number of different bytes seen there, and the next sh
 odds for all bytes. The language whose tree gives a text the shortest code wins. The statistics are frozen after
 training, so code lengths add up and are kept exactly, in whole units of 2^-16 bits.
 
-Counts cover every training text. A byte stays in a context if its count is at least ``LEAST_SHARE`` of all bytes of the
-language, so a tree has at most 1 / LEAST_SHARE entries of each order; the counts of bytes that go add to the escape.
+Counts cover every training text, and with ``LEAST_COUNT`` 1 all of them are kept, so what is known grows with the corpus. Where that is more than
+executors can hold, a larger count leaves out the bytes seen more rarely in a context; their counts add to the escape.
+
+Trees are sent to the executors for as many languages at a time as ``MOST_ENTRIES`` allows. Further languages are scored in passes
+of their own, and each text takes the best of all passes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trendloom.llm import common
 from trendloom.llm.common import held_out, ship_package, stage
 
 FOLDS, HELD_OUT_FOLD = 3, 1
 ORDER = 3
-LEAST_SHARE = 2e-6
-MAX_LANGUAGES = 512
+LEAST_COUNT = 1
+#: Entries of all trees of one pass, about 25 bytes each.
+MOST_ENTRIES = 8_000_000
 UNKNOWN = "und"
 UNIT = 1 << 16
 
@@ -69,17 +73,17 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def context_counts(training: DataFrame) -> DataFrame:
-    """(lang, order, gram, n, context_n, context_kinds, total) of the entries that stay in the trees."""
+def context_counts(training: DataFrame, least_count: int = LEAST_COUNT) -> DataFrame:
+    """(lang, order, gram, n, context_n, context_kinds) of the entries that stay in the trees, written to the shared folder."""
     longest = training.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     longest = stage(longest, "grams")
     orders = F.explode(F.array([F.struct(F.lit(k).alias("order"), F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("gram")) for k in range(ORDER + 1)]))
     entries = longest.select("lang", orders.alias("e"), "n").groupBy("lang", F.col("e.order").alias("order"), F.col("e.gram").alias("gram")).agg(F.sum("n").alias("n"))
     context = F.shiftright("gram", 8)
     contexts = entries.groupBy("lang", "order", context.alias("context")).agg(F.sum("n").alias("context_n"), F.count("*").alias("context_kinds"))
-    totals = longest.groupBy("lang").agg(F.sum("n").alias("total"))
-    kept = entries.join(totals, "lang").where(F.col("n") >= F.col("total") * LEAST_SHARE).withColumn("context", context)
-    return kept.join(contexts, ["lang", "order", "context"]).select("lang", "order", "gram", "n", "context_n", "context_kinds")
+    kept = entries.where(F.col("n") >= least_count).withColumn("context", context)
+    table = kept.join(contexts, ["lang", "order", "context"]).select("lang", "order", "gram", "n", "context_n", "context_kinds")
+    return stage(table, "contexts")
 
 
 class Tree:
@@ -133,52 +137,87 @@ class Languages:
             total += [int((tree.lengths(codes) * times).sum()) for tree in self.trees]
         return total
 
-    def predict(self, text: bytes) -> tuple[str, float]:
-        """The language of the shortest code, the first by name of equals, and its probability if all were as likely before."""
-        if not self.names:
-            return UNKNOWN, 0.0
-        bits = self.code_lengths(text) / UNIT
-        best = int(bits.argmin())
-        return self.names[best], float(1 / np.exp2(np.maximum(bits.min() - bits, -1000)).sum())
+    def predict(self, text: bytes) -> tuple[str, int, float]:
+        """The language of the shortest code, the first by name of equals; its length; and the odds of all languages here against it."""
+        lengths = self.code_lengths(text)
+        best = int(lengths.argmin())
+        return self.names[best], int(lengths[best]), float(np.exp2(np.maximum((lengths[best] - lengths) / UNIT, -1000)).sum())
+
 
+def passes(sizes: dict[str, int], most: int = MOST_ENTRIES) -> list[list[str]]:
+    """The languages by name, as many together as have at most ``most`` entries; a larger one stands alone."""
+    out, held = [], 0
+    for name in sorted(sizes):
+        if not out or held + sizes[name] > most:
+            out.append([])
+            held = 0
+        out[-1].append(name)
+        held += sizes[name]
+    return out
 
-def train(docs: DataFrame) -> Languages:
-    """Trees of all languages of the texts outside the held-out fold. Null languages and texts do not count."""
+
+def train(docs: DataFrame, least_count: int = LEAST_COUNT) -> DataFrame:
+    """The tables of all languages of the texts outside the held-out fold. Null languages and texts do not count."""
     ship_package(docs.sparkSession)
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(FOLDS, HELD_OUT_FOLD))
-    known = known.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    table = context_counts(known).toArrow()
-    lang = np.array(table.column("lang").to_pylist(), object)
-    columns = [table.column(c).to_numpy() for c in ("order", "gram", "n", "context_n", "context_kinds")]
-    names = sorted(set(lang.tolist()))
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"{len(names)} languages; the trees of at most {MAX_LANGUAGES} are sent to every executor")
+    return context_counts(known.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")), least_count)
+
+
+def languages_of(table: DataFrame, names: list[str]) -> Languages:
+    """The trees of some languages."""
+    got = table.where(F.col("lang").isin(names)).toArrow()
+    lang = np.array(got.column("lang").to_pylist(), object)
+    columns = [got.column(c).to_numpy() for c in ("order", "gram", "n", "context_n", "context_kinds")]
     return Languages(names, [Tree(*(c[lang == name] for c in columns)) for name in names])
 
 
 def language_column(text: Column, languages: Broadcast) -> Column:
-    """struct(lang_pred, score) of a text column."""
+    """struct(lang, length, odds) of a text column; see :meth:`Languages.predict`."""
 
-    @F.arrow_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    @F.arrow_udf("struct<lang: string, length: bigint, odds: double>")
     def predict(text: pa.Array) -> pa.Array:
         found = [languages.value.predict(t) for t in common.texts(text)]
-        names, scores = zip(*found) if found else ((), ())
-        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
+        names, lengths, odds = zip(*found) if found else ((), (), ())
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(lengths, pa.int64()), pa.array(odds, pa.float64())], ["lang", "length", "odds"])
 
     return predict(text)
 
 
-def identified(docs: DataFrame) -> DataFrame:
+def _best_of_passes(rows: DataFrame, table: DataFrame, groups: list[list[str]]) -> DataFrame:
+    """(id_key, text_key, found) of distinct rows: every pass writes what it finds, then the shortest code over all is taken."""
+    spark, parts = rows.sparkSession, []
+    for names in groups:
+        languages = spark.sparkContext.broadcast(languages_of(table, names))
+        parts.append(stage(rows.select("id_key", "text_key", language_column(F.col("text"), languages).alias("f")), "pass"))
+        languages.destroy()
+    each = reduce(DataFrame.unionByName, parts)
+    least = F.min(F.struct("f.length", "f.lang")).alias("m")
+    best = each.groupBy("id_key", "text_key").agg(least, F.collect_set("f").alias("all"))
+    against = F.aggregate("all", F.lit(0.0), lambda acc, f: acc + f["odds"] * F.pow(F.lit(2.0), F.greatest((F.col("m.length") - f["length"]) / UNIT, F.lit(-1000.0))))
+    return best.select("id_key", "text_key", F.struct(F.col("m.lang").alias("lang"), F.col("m.length").alias("length"), against.alias("odds")).alias("found"))
+
+
+def identified(docs: DataFrame, least_count: int = LEAST_COUNT, most_entries: int = MOST_ENTRIES) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row.
 
     ``und`` with score 0 for null texts and those without a letter, and where no language was learned. Of languages
-    with equal codes the first by name wins. Repeated rows get equal results, null ids count as not held out. An
+    with equal codes the first by name wins. Texts count whole, however long. Repeated rows get equal results, null ids count as not held out. An
     empty table gives no rows. Further columns are ignored.
     """
-    languages = docs.sparkSession.sparkContext.broadcast(train(docs))
+    table = train(docs, least_count)
+    groups = passes({r.lang: r["count"] for r in table.groupBy("lang").count().collect()}, most_entries)
     text = F.col("text").cast("string")
-    rows = docs.select("doc_id", held_out(FOLDS, HELD_OUT_FOLD).alias("held_out"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"), language_column(text, languages).alias("found"))
+    basic = [held_out(FOLDS, HELD_OUT_FOLD).alias("held_out"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters")]
+    if len(groups) <= 1:
+        none = F.lit(None).cast("struct<lang: string, length: bigint, odds: double>")
+        found = language_column(text, docs.sparkSession.sparkContext.broadcast(languages_of(table, groups[0]))) if groups else none
+        rows = docs.select("doc_id", *basic, found.alias("found"))
+    else:
+        keyed = common.row_key(docs).select("id_key", "text_key", F.col("row.doc_id").alias("doc_id"), F.col("row.text").cast("string").alias("text"))
+        best = stage(_best_of_passes(keyed.select("id_key", "text_key", "text"), table, groups), "languages")
+        rows = keyed.select("id_key", "text_key", "doc_id", *basic).join(best, ["id_key", "text_key"])
+    told = F.col("letters") & F.col("found").isNotNull()
     return rows.select(
-        "doc_id", "held_out", F.when(F.col("letters"), F.col("found.lang_pred")).otherwise(UNKNOWN).alias("lang_pred"),
-        F.when(F.col("letters"), F.col("found.score")).otherwise(0.0).alias("score"),
+        "doc_id", "held_out", F.when(told, F.col("found.lang")).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(told, 1 / F.col("found.odds")).otherwise(0.0).alias("score"),
     )
