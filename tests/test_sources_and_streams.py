@@ -292,3 +292,28 @@ def test_anomaly_stream(spark, tmp_path, scope):
     assert alert["anomaly_id"] == rows[0].anomaly_id and alert["z_score"] == 7.0
     points = {r.dimensions["Genre"]: r.value for r in spark.read.parquet(f"{out}/metrics").collect()}
     assert points == {"NHAC": 7.0, "ANIME": 1.0}
+
+
+def test_silent_slots_drop_once_their_hour_is_over(spark, tmp_path):
+    """NHAC falls silent for two hours, ANIME never speaks; nothing follows the last hour, so it stays open."""
+    at = lambda h: (("NHAC", h + 7, "enter", f"2024-01-01 {h:02}:30:00"),)
+    schema, folder, out = "derived_genre string, hour_of_day_vn int, session_action string, t string", str(tmp_path / "in"), str(tmp_path / "out")
+    slots = [(g, (h + 7) % 24, 9.0, 1.0) for g in ("NHAC", "ANIME") for h in range(24)]
+    sinks.write_baseline(spark.createDataFrame(slots, "derived_genre string, hour_of_day_vn int, rolling_mean double, rolling_std double"), str(tmp_path / "base"))
+
+    def run(*hours):
+        rows = spark.createDataFrame([x for h in hours for x in at(h)], schema).withColumn("event_ts", F.col("t").cast("timestamp")).drop("t")
+        rows.coalesce(1).write.mode("append").parquet(folder)
+        stream = jobs.follow(spark, folder, rows.schema)
+        jobs.run_to_end(jobs.start_anomaly(stream, str(tmp_path / "base"), out, silence=True, available_now=True))
+        got = spark.read.parquet(f"{out}/scored").collect()
+        return {(r.derived_genre, r.window_start.hour): (r.observed_count, r.anomaly_type) for r in got}, len(got)
+
+    quiet = (0, "DROP")
+    first, n = run(0, 1, 4)
+    assert first == {("NHAC", 0): (1, "DROP"), ("NHAC", 1): (1, "DROP"), ("ANIME", 0): quiet, ("ANIME", 1): quiet} and n == 4
+    second, n = run(8)
+    more = {("NHAC", h): quiet for h in (2, 3)} | {("NHAC", 4): (1, "DROP")} | {("ANIME", h): quiet for h in (2, 3, 4)}
+    assert second == first | more and n == 10
+    with pytest.raises(ValueError, match="window"):
+        jobs.start_anomaly(spark.readStream.format("rate").load(), "base", out, scope="batch", silence=True)

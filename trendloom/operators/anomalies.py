@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendloom.functions.timestamps import local_hour
 from trendloom.schemas import UNKNOWN
 from trendloom.sources.raw_events import DateWindow
 
@@ -62,6 +63,22 @@ def enter_buckets(events: DataFrame, by: list[str | Column] | None = None) -> Da
     )
 
 
+def silent_buckets(buckets: DataFrame, base: DataFrame, after: datetime | None = None) -> DataFrame:
+    """Slots of the baseline without an event, with a count of zero, for every hour that the buckets have closed.
+
+    Those are the hours from the one after ``after``, or the first of the buckets, to their last: hours close in order, so what
+    has no bucket by then had no event, be it one genre or all of them. (derived_genre, hour_of_day_vn, observed_count,
+    window_start); as many rows at most as slots of the baseline for each day that went by.
+    """
+    hour = F.expr("INTERVAL 1 HOUR")
+    first = F.lit(after).cast("timestamp") + hour if after is not None else F.min("window_start")
+    closed = buckets.agg(first.alias("low"), F.max("window_start").alias("high")).where("low <= high")
+    hours = closed.select(F.explode(F.sequence("low", "high", hour)).alias("window_start")).withColumn("hour_of_day_vn", local_hour(F.col("window_start")))
+    slots = hours.join(base.select(*SLOT).distinct(), "hour_of_day_vn")
+    empty = slots.join(buckets.select(*SLOT, "window_start"), [*SLOT, "window_start"], "left_anti")
+    return empty.select(*SLOT, F.lit(0).cast("bigint").alias("observed_count"), "window_start")
+
+
 def baseline_join(buckets: DataFrame, base: DataFrame) -> DataFrame:
     """Add mean and deviation; slots without a baseline get zero for both."""
     right = base.select(*SLOT, F.col("rolling_mean").cast("double"), F.col("rolling_std").cast("double"))

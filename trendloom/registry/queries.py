@@ -966,6 +966,29 @@ def stream_anomaly(spark, sf):
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p.withColumn("z_score", c("z_score").cast("double")) for p in parts])
 
 
+@query(
+    "stream_silence",
+    f"""SELECT window_start, derived_genre, hour_of_day_vn, observed_count, z AS z_score, z < -3 AS dropped FROM (
+          SELECT window_start, derived_genre, hour_of_day_vn, observed_count, z FROM closed
+          UNION ALL SELECT window_start, derived_genre, hour_of_day_vn, 0, round((0 - coalesce(rolling_mean, 0)) / greatest(coalesce(rolling_std, 0), 1.0), 6)
+          FROM (SELECT unnest(range((SELECT min(window_start) FROM closed), (SELECT max(window_start) FROM closed) + 1, 3600000)) AS window_start) h
+          JOIN baseline b ON b.hour_of_day_vn = (window_start // 3600000 + 7) % 24
+          ANTI JOIN closed USING (window_start, derived_genre, hour_of_day_vn))""",
+)
+def stream_silence(spark, sf):
+    """Every slot of the baseline in every closed hour, those without an event as well."""
+    base_root, out = staging_path(spark, "baseline"), staging_path(spark, "silence")
+    sinks.write_baseline(t.baseline(spark, sf), base_root)
+    entered = t.curated(spark, sf).where("session_action = 'enter' AND year(event_ts) = 2024")
+    late = (F.dayofmonth("event_ts") == 3) & (F.col("event_id").cast("bigint") % 10 == 0)
+    days = F.dayofmonth("event_ts")
+    stream = _in_order(spark, entered, [~late & days.between(a, b) for a, b in ((1, 10), (11, 20), (21, 31))] + [late])
+    jobs.run_to_end(jobs.start_anomaly(stream, base_root, out, scope="window", silence=True, available_now=True))
+    scored = spark.read.parquet(f"{out}/scored")
+    dropped = F.coalesce(c("anomaly_type") == "DROP", F.lit(False))
+    return scored.select("window_start", "derived_genre", "hour_of_day_vn", "observed_count", "z_score", dropped.alias("dropped"))
+
+
 @query(
     "stream_anomaly_batch",
     f"""SELECT derived_genre, hour_of_day_vn, observed_count, {_Z} AS z_score FROM (

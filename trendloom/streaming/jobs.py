@@ -23,7 +23,7 @@ from trendloom.operators.labelling import Provider, label_residual
 from trendloom.schemas import RAW_PARTITIONS, STREAM_EVENT, UNKNOWN
 from trendloom.session import stage, staged_since
 from trendloom.sources.raw_events import decode_json_records
-from trendloom.sources.sinks import resolve_version
+from trendloom.sources.sinks import delete, names_in, resolve_version
 from trendloom.streaming.bisect import MOST_DEAD, TRIES, bisected
 from trendloom.streaming.label_store import ASK_AGAIN, MERGE_EVERY, PROVIDER, RULES, LabelStore, lookup_mark
 
@@ -209,9 +209,13 @@ def start_anomaly(
     available_now: bool = False,
     every: str = "60 seconds",
     decode: Decode | None = None,
+    silence: bool = False,
 ) -> StreamingQuery:
     """Score enter events against the baseline, read anew for every micro-batch.
 
+    With ``silence``, which goes with ``scope="window"``, slots of the baseline that had no event in an hour are scored with a
+    count of zero when the hour is closed. An hour that no event of any kind followed yet is not closed.
+
     With ``decode``, which goes with ``scope="batch"``, micro-batches hold undecoded records; those that can't be decoded go
     to ``dead`` and the others are scored together (see :func:`start_decode`, which comes before a window).
 
@@ -222,6 +226,8 @@ def start_anomaly(
     """
     if scope not in ("batch", "window"):
         raise ValueError(f"unknown scope {scope!r}")
+    if silence and scope != "window":
+        raise ValueError("silence is told by hours, with scope='window'")
     if decode and scope != "batch":
         raise ValueError("decode before the window with start_decode, and follow its output")
     spark = stream.sparkSession
@@ -233,6 +239,18 @@ def start_anomaly(
 
     def score(batch: DataFrame, batch_id: int) -> None:
         base = spark.read.parquet(resolve_version(spark, baseline_root))
+        if silence:
+            closed = stage(batch, "closed-hours")
+            marks = [n for n in names_in(spark, f"{out}/closed") if int(n.partition("=")[2]) < batch_id]
+            last = max(marks, key=lambda n: int(n.partition("=")[2]), default=None)
+            after = spark.read.schema("last timestamp").parquet(f"{out}/closed/{last}").first() if last else None
+            batch = closed.unionByName(anomalies.silent_buckets(closed, base, after and after["last"]).select(*closed.columns))
+            upto = closed.agg(F.max("window_start").alias("last"))
+            upto = upto.select(F.coalesce("last", F.lit(after and after["last"]).cast("timestamp")).alias("last"))
+            upto.write.mode("overwrite").parquet(f"{out}/closed/batch_id={batch_id}")
+            for name in marks:
+                if name != last:
+                    delete(spark, f"{out}/closed/{name}")
         scored = anomalies.score_buckets(batch, base) if windowed else anomalies.score(batch, base)
         here = {name: f"{out}/{name}/batch_id={batch_id}" for name in ("scored", "anomalies", "alerts", "metrics")}
         scored.write.mode("overwrite").parquet(here["scored"])
