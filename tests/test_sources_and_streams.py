@@ -317,3 +317,26 @@ def test_silent_slots_drop_once_their_hour_is_over(spark, tmp_path):
     assert second == first | more and n == 10
     with pytest.raises(ValueError, match="window"):
         jobs.start_anomaly(spark.readStream.format("rate").load(), "base", out, scope="batch", silence=True)
+
+
+def test_closed_minutes_are_read_once_and_counts_behind_them_go(spark, tmp_path):
+    """Ten micro-batches an hour apart, each with an event of the batch before; one row comes far too late."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "derived_genre string, platform_group string, session_action string, event_ts timestamp"
+    stamp = lambda h, m: datetime(2024, 1, 1, h, m)
+    sent, folders = [], []
+    for h in range(10):
+        rows = [("NHAC", "Web", "enter", stamp(h, 5)), ("NHAC", "Web", "quit", stamp(h, 5)), ("ANIME", "iOS", "enter", stamp(max(h - 1, 0), 58))]
+        late = [("NHAC", "Web", "enter", stamp(0, 5))] if h == 6 else []
+        sent += rows
+        spark.createDataFrame(rows + late, schema).coalesce(1).write.mode("append").parquet(folder)
+        for start in (jobs.start_throughput, jobs.start_closed_minutes):
+            jobs.run_to_end(start(jobs.follow(spark, folder, spark.createDataFrame([], schema).schema), out, watermark="10 minutes", available_now=True))
+        folders.append(len([p for p in (tmp_path / "out" / "counts").iterdir() if p.is_dir()]))
+    got = {(r.window_start, r.derived_genre): (r.enter_events, r.quit_events) for r in jobs.latest_throughput(spark, out).collect()}
+    want = {}
+    for genre, _, action, at in sent:
+        n = want.setdefault((at, genre), [0, 0])
+        n[action == "quit"] += 1
+    assert got == {k: tuple(v) for k, v in want.items()} and max(folders) <= 4
+    assert spark.read.parquet(f"{out}/closed").groupBy("window_start", "derived_genre").count().where("count > 1").count() == 0

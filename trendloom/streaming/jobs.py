@@ -23,7 +23,7 @@ from trendloom.operators.labelling import Provider, label_residual
 from trendloom.schemas import RAW_PARTITIONS, STREAM_EVENT, UNKNOWN
 from trendloom.session import stage, staged_since
 from trendloom.sources.raw_events import decode_json_records
-from trendloom.sources.sinks import delete, names_in, resolve_version
+from trendloom.sources.sinks import delete, exists, names_in, resolve_version
 from trendloom.streaming.bisect import MOST_DEAD, TRIES, bisected
 from trendloom.streaming.label_store import ASK_AGAIN, MERGE_EVERY, PROVIDER, RULES, LabelStore, lookup_mark
 
@@ -273,12 +273,15 @@ def start_anomaly(
     return _start(writer, f"{out}/_checkpoint", available_now, every)
 
 
-def _latest(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
-    """Rows of an update-mode output: for each key the one of the latest batch."""
-    rows = spark.read.schema(T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])).parquet(path)
-    values = F.struct(*[n for n in schema.names if n not in keys])
-    latest = rows.groupBy(*keys).agg(F.max_by(values, "batch_id").alias("v"))
-    return latest.select(*keys, "v.*")
+def _minutes(stream: DataFrame, watermark: str) -> DataFrame:
+    minute = F.window("event_ts", "1 minute").alias("w")
+    return anomalies.throughput_counts(stream.withWatermark("event_ts", watermark), [minute]).select(
+        F.col("w.start").alias("window_start"),
+        "derived_genre",
+        "platform_group",
+        F.col("SearchEnterEventsPerMinute").alias("enter_events"),
+        F.col("SearchQuitEventsPerMinute").alias("quit_events"),
+    )
 
 
 def start_throughput(
@@ -288,31 +291,72 @@ def start_throughput(
     available_now: bool = False,
     every: str = "60 seconds",
 ) -> StreamingQuery:
-    """Enter and quit events per minute, genre and platform."""
-    minute = F.window("event_ts", "1 minute").alias("w")
-    counts = anomalies.throughput_counts(stream.withWatermark("event_ts", watermark), [minute]).select(
-        F.col("w.start").alias("window_start"),
-        "derived_genre",
-        "platform_group",
-        F.col("SearchEnterEventsPerMinute").alias("enter_events"),
-        F.col("SearchQuitEventsPerMinute").alias("quit_events"),
-    )
+    """Enter and quit events per minute, genre and platform, as far as they are known after each micro-batch.
+
+    Minutes come again in ``out/counts`` as they grow; :func:`start_closed_minutes` beside it keeps what has to be read small.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/counts/batch_id={batch_id}")
 
-    writer = counts.writeStream.outputMode("update").foreachBatch(write)
+    writer = _minutes(stream, watermark).writeStream.outputMode("update").foreachBatch(write)
     return _start(writer, f"{out}/_checkpoint", available_now, every)
 
 
+def start_closed_minutes(
+    stream: DataFrame,
+    out: str,
+    watermark: str = "10 minutes",
+    available_now: bool = False,
+    every: str = "60 seconds",
+) -> StreamingQuery:
+    """Each minute once, in ``out/closed``, when the watermark has passed it and nothing can be added.
+
+    Goes with :func:`start_throughput` over the same stream and ``out``. What that has written of closed minutes alone is deleted.
+    """
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/closed/batch_id={batch_id}")
+        drop_closed_counts(spark, out)
+
+    writer = _minutes(stream, watermark).writeStream.outputMode("append").foreachBatch(write)
+    return _start(writer, f"{out}/_checkpoint-closed", available_now, every)
+
+
+_MINUTES = "window_start TIMESTAMP, derived_genre STRING, platform_group STRING, enter_events BIGINT, quit_events BIGINT"
+
+
+def _closed_upto(spark: SparkSession, out: str) -> datetime | None:
+    if not exists(spark, f"{out}/closed"):
+        return None
+    return spark.read.schema(f"{_MINUTES}, batch_id BIGINT").parquet(f"{out}/closed").agg(F.max("window_start")).first()[0]
+
+
+def drop_closed_counts(spark: SparkSession, out: str) -> int:
+    """Delete the folders of counts all of whose minutes are closed, but for the newest folder; returns how many went."""
+    last, names = _closed_upto(spark, out), names_in(spark, f"{out}/counts")
+    if last is None or not names:
+        return 0
+    counts = spark.read.schema(f"{_MINUTES}, batch_id BIGINT").parquet(f"{out}/counts")
+    open_ = {r.batch_id for r in counts.where(F.col("window_start") > F.lit(last)).select("batch_id").distinct().collect()}
+    numbers = sorted(int(n.partition("=")[2]) for n in names if n.startswith("batch_id="))
+    gone = [n for n in numbers[:-1] if n not in open_]
+    for number in gone:
+        delete(spark, f"{out}/counts/batch_id={number}")
+    return len(gone)
+
+
 def latest_throughput(spark: SparkSession, out: str) -> DataFrame:
-    schema = T.StructType(
-        [
-            T.StructField("window_start", T.TimestampType()),
-            T.StructField("derived_genre", T.StringType()),
-            T.StructField("platform_group", T.StringType()),
-            T.StructField("enter_events", T.LongType()),
-            T.StructField("quit_events", T.LongType()),
-        ]
-    )
-    return _latest(spark, f"{out}/counts", schema, ["window_start", "derived_genre", "platform_group"])
+    """The newest counts of every minute: closed ones as they are, later ones from the newest micro-batch that has them."""
+    schema = T.StructType.fromDDL(_MINUTES)
+    counts = spark.read.schema(f"{_MINUTES}, batch_id BIGINT").parquet(f"{out}/counts")
+    last = _closed_upto(spark, out)
+    if last is not None:
+        counts = counts.where(F.col("window_start") > F.lit(last))
+    keys = ["window_start", "derived_genre", "platform_group"]
+    values = F.struct(*[n for n in schema.names if n not in keys])
+    live = counts.groupBy(*keys).agg(F.max_by(values, "batch_id").alias("v")).select(*keys, "v.*")
+    if last is None:
+        return live
+    return spark.read.schema(schema).parquet(f"{out}/closed").select(*schema.names).unionByName(live)
