@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 from hashlib import sha256
 
@@ -24,6 +25,27 @@ def brute(texts: list[bytes], length: int):
     return out
 
 
+def brute_passages(texts: list[str], words: int):
+    """Passages of at least so many words that stand in the texts more than once, and their bytes with the space up to the next word."""
+    places, seen = [], Counter()
+    for t in texts:
+        data = t.encode()
+        own = [m.span() for m in re.finditer(rb"[^ \t\n\x0b\x0c\r]+", data)]
+        lower = [data[a:b].lower() for a, b in own]
+        windows = [tuple(lower[i : i + words]) for i in range(len(lower) - words + 1)]
+        seen.update(windows)
+        places.append((len(data), own, windows))
+    out = []
+    for size, own, windows in places:
+        mask, edges = bytearray(size), [*(a for a, _ in own), size]
+        for i, w in enumerate(windows):
+            if seen[w] > 1:
+                mask[edges[i] : edges[i + words]] = b"\1" * (edges[i + words] - edges[i])
+        runs = sum(1 for i in range(size) if mask[i] and (i == 0 or not mask[i - 1]))
+        out.append((runs, sum(mask)))
+    return out
+
+
 def planted(seed: int) -> list[str | None]:
     rnd, texts = random.Random(seed), []
     for _ in range(60):
@@ -40,7 +62,7 @@ def planted(seed: int) -> list[str | None]:
 @pytest.mark.parametrize("split_rows", [suffix_dedup.SPLIT_ROWS, 2])
 def test_against_brute_force(spark, length, split_rows):
     texts = planted(length)
-    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.removal_report(documents(spark, texts), length, split_rows).collect()}
+    got = {r.doc_id: tuple(r)[1:5] for r in suffix_dedup.removal_report(documents(spark, texts), length, split_rows).collect()}
     assert [got[i] for i in range(len(texts))] == brute([(t or "").encode() for t in texts], length)
 
 
@@ -49,7 +71,9 @@ def test_real_length(spark, sf_dir):
     rows = docs.select("doc_id", "text").collect()
     got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.removal_report(docs).collect()}
     want = brute([(r.text or "").encode() for r in rows], suffix_dedup.LENGTH)
-    assert [got[r.doc_id] for r in rows] == want and sum(w[1] for w in want) > 0
+    assert [got[r.doc_id][:4] for r in rows] == want and sum(w[1] for w in want) > 0
+    passages = brute_passages([r.text or "" for r in rows], suffix_dedup.PASSAGE_WORDS)
+    assert [got[r.doc_id][4:] for r in rows] == passages and sum(w[0] for w in passages) > 0
 
 
 def test_text_without_repeats(spark):

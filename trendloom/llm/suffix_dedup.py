@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from trendloom.llm import common
 from trendloom.llm.common import byte_column, byte_prefix_sums, keyed, mix, same_row, ship_package, slices, stage, substring_hash
 from trendloom.llm.decontaminate import word_hashes
+from trendloom.session import staged_since, staging_path
 
 LENGTH = 400
 #: Words of a repeated passage that the pipeline takes out, however few bytes they have.
@@ -358,34 +359,49 @@ def kept_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
-_RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
+_RESULT = pa.schema([
+    ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
+    ("n_passages", pa.int64()), ("n_passage_bytes", pa.int64()),
+])
 
 
 def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in (part for whole in batches for part in slices(whole)):
         rows = []
-        for doc_id, text, spans in zip(batch.column("doc_id").to_pylist(), common.texts(batch.column("text")), batch.column("spans").to_pylist()):
+        lists = (batch.column(c).to_pylist() for c in ("doc_id", "spans", "runs"))
+        for text, doc_id, spans, runs in zip(common.texts(batch.column("text")), *lists):
             merged = merge_spans(spans)
             kept = kept_bytes(text, merged)
-            rows.append((doc_id, len(text), len(text) - len(kept), len(merged), sha256(kept).hexdigest()))
+            passages = merge_spans(word_spans(text, runs)) if runs else []
+            covered = sum(high - low for low, high in passages)
+            rows.append((doc_id, len(text), len(text) - len(kept), len(merged), sha256(kept).hexdigest(), len(passages), covered))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _RESULT.types)], schema=_RESULT) if rows else pa.RecordBatch.from_pylist([], _RESULT)
 
 
-def _with_spans(docs: DataFrame, length: int, split_rows: int) -> DataFrame:
-    spans = repeated_spans(docs, length, split_rows)
-    return docs.alias("d").join(spans.alias("s"), same_row("d", "s"), "left")
+def _written(spans: DataFrame, name: str) -> DataFrame:
+    path = staging_path(spans.sparkSession, name)
+    spans.write.parquet(path)
+    return spans.sparkSession.read.schema(spans.schema).parquet(path)
+
 
+def removal_report(docs: DataFrame, length: int = LENGTH, split_rows: int = SPLIT_ROWS, words: int = PASSAGE_WORDS) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row, then n_passages and n_passage_bytes.
 
-def removal_report(docs: DataFrame, length: int = LENGTH, split_rows: int = SPLIT_ROWS) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row.
+    The last two tell of passages of at least ``words`` words that occur more than once in the table, whatever their case and
+    spaces, most of which are shorter than ``length`` bytes and so are not removed: how many there are in the row, and their bytes with the space up to the next word.
 
-    Null and empty texts, and those below ``length`` bytes, lose nothing. Repeated rows are repeats of each
+    Null and empty texts lose nothing, nor do those below ``length`` bytes. Repeated rows are repeats of each
     other. Null ids are kept. An empty table gives no rows. Further columns are ignored.
     """
-    joined = _with_spans(keyed(docs), length, split_rows)
-    return joined.select("d.doc_id", "d.text", "spans").mapInArrow(
-        _summary, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    )
+    spark, rows = docs.sparkSession, keyed(docs)
+    # What either search stages is deleted before the next one begins.
+    with staged_since(spark):
+        spans = _written(repeated_spans(docs, length, split_rows), "spans")
+    with staged_since(spark):
+        runs = _written(repeated_word_spans(docs, words, split_rows).withColumnRenamed("spans", "runs"), "runs")
+    joined = rows.alias("d").join(spans.alias("s"), same_row("d", "s"), "left").join(runs.alias("r"), same_row("d", "r"), "left")
+    columns = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long, n_passage_bytes long"
+    return joined.select("d.doc_id", "d.text", "spans", "runs").mapInArrow(_summary, columns)
 
 
 _SPANS = "array<struct<low: bigint, high: bigint>>"
