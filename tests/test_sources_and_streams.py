@@ -340,3 +340,29 @@ def test_closed_minutes_are_read_once_and_counts_behind_them_go(spark, tmp_path)
         n[action == "quit"] += 1
     assert got == {k: tuple(v) for k, v in want.items()} and max(folders) <= 4
     assert spark.read.parquet(f"{out}/closed").groupBy("window_start", "derived_genre").count().where("count > 1").count() == 0
+
+
+def test_admission_by_bytes_and_merged_batches(spark, tmp_path):
+    """Small files in many micro-batches; merged, a partition has one file, and a merge that died half way is finished."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    record = lambda i: base64.b64encode(json.dumps({"eventid": str(i), "datetime": f"2024-01-01 0{i % 2}:00:00", "derived_genre": "NHAC", "platform_group": "Web"}).encode()).decode()
+    for i in range(12):
+        spark.createDataFrame([(record(2 * i),), (record(2 * i + 1),)], "data string").coalesce(1).write.mode("append").parquet(folder)
+    size = max(os.path.getsize(os.path.join(folder, f)) for f in os.listdir(folder) if f.endswith(".parquet"))
+    stream = jobs.follow(spark, folder, spark.createDataFrame([], "data string").schema, bytes_per_batch=str(3 * size))
+    jobs.run_to_end(jobs.start_raw_sink(stream, out, available_now=True))
+    data, batches = f"{out}/data", len(os.listdir(f"{out}/data"))
+    read = lambda: sorted(int(r.eventid) for r in spark.read.schema(jobs.SINK_SCHEMA).parquet(data).collect())
+    files = lambda: sum(f.endswith(".parquet") for _, _, names in os.walk(data) for f in names)
+    assert batches >= 4 and read() == list(range(24)) and files() >= 2 * batches
+    assert jobs.merge_batches(spark, data, jobs.SINK_SCHEMA, before=batches - 1, least=batches) == 0
+    assert jobs.merge_batches(spark, data, jobs.SINK_SCHEMA, before=batches - 1, least=2) == batches - 1
+    assert sorted(os.listdir(data)) == [f"batch_id={batches - 2}", f"batch_id={batches - 1}"] and read() == list(range(24)) and files() <= 5
+    # Died after the first folder was deleted; and before the merged rows were whole.
+    spark.read.schema(jobs.SINK_SCHEMA).parquet(data).drop("batch_id").write.partitionBy("dt", "hour", "derived_genre", "platform_group").parquet(f"{data}/_merged-{batches - 2}-{batches - 1}")
+    sinks.delete(spark, f"{data}/batch_id={batches - 2}")
+    os.mkdir(f"{data}/_merged-90-91")
+    jobs.finish_merges(spark, data)
+    assert os.listdir(data) == [f"batch_id={batches - 1}"] and read() == list(range(24))
+    with pytest.raises(ValueError, match="files or by bytes"):
+        jobs.follow(spark, folder, jobs.SINK_SCHEMA, 1, "1m")

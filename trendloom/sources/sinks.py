@@ -33,6 +33,12 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [x.getPath().getName() for x in fs.listStatus(where)] if fs.exists(where) else []
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder, or raise."""
+    fs, where = _hadoop(spark, source)
+    _move(fs, where, _hadoop(spark, target)[1])
+
+
 def _child(spark: SparkSession, folder: str, name: str):
     """Path(parent, child) takes the name literally, whatever characters were escaped in it."""
     return spark._jvm.org.apache.hadoop.fs.Path(_hadoop(spark, folder)[1], name)

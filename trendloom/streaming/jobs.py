@@ -23,7 +23,7 @@ from trendloom.operators.labelling import Provider, label_residual
 from trendloom.schemas import RAW_PARTITIONS, STREAM_EVENT, UNKNOWN
 from trendloom.session import stage, staged_since
 from trendloom.sources.raw_events import decode_json_records
-from trendloom.sources.sinks import delete, exists, names_in, resolve_version
+from trendloom.sources.sinks import delete, exists, move, names_in, resolve_version
 from trendloom.streaming.bisect import MOST_DEAD, TRIES, bisected
 from trendloom.streaming.label_store import ASK_AGAIN, MERGE_EVERY, PROVIDER, RULES, LabelStore, lookup_mark
 
@@ -46,12 +46,20 @@ SCORED_SCHEMA = T.StructType(
 
 
 def follow(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    files_per_batch: int | None = None,
+    bytes_per_batch: str | None = None,
 ) -> DataFrame:
-    """Stream of the Parquet files in ``path``; ``files_per_batch`` is the admission limit."""
+    """Stream of the Parquet files in ``path``; admission is limited by files, or by bytes such as ``64m``."""
+    if files_per_batch and bytes_per_batch:
+        raise ValueError("limit a micro-batch by files or by bytes")
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.parquet(path)
 
 
@@ -89,6 +97,51 @@ def start_raw_sink(
     return _start(stream.writeStream.foreachBatch(write), f"{out}/_checkpoint", available_now, every)
 
 
+_MERGED = "_merged-"
+
+
+def merge_batches(
+    spark: SparkSession, data: str, schema: T.StructType, before: int, least: int = 10, keys: Sequence[str] = tuple(RAW_PARTITIONS.names)
+) -> int:
+    """Merge the folders of batches before ``before`` into that of the last of them, if they are ``least`` at least; returns how many were merged.
+
+    For a table that :func:`start_raw_sink` wrote, whose many small files are one lot for each batch and partition; afterwards
+    there is one lot for each partition. Those batches must be committed, so that none comes again. The merged rows are first written aside. From then on the
+    merge is only carried forward: a job that dies while it swaps folders is finished by the next call, and until then readers see rows missing but
+    none twice.
+    """
+    finish_merges(spark, data)
+    numbers = sorted(n for n in map(_batch_number, names_in(spark, data)) if n is not None and n < before)
+    if len(numbers) < max(least, 2):
+        return 0
+    folders = [f"{data}/batch_id={n}" for n in numbers]
+    rows = spark.read.schema(schema).option("basePath", data).parquet(*folders).drop("batch_id")
+    aside = f"{data}/{_MERGED}{numbers[0]}-{numbers[-1]}"
+    rows.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).parquet(aside)
+    finish_merges(spark, data)
+    return len(numbers)
+
+
+def _batch_number(name: str) -> int | None:
+    key, _, number = name.partition("=")
+    return int(number) if key == "batch_id" else None
+
+
+def finish_merges(spark: SparkSession, data: str) -> None:
+    """Put merged folders that are whole in the place of what they were made from; drop those that are not."""
+    for name in names_in(spark, data):
+        if name.startswith(_MERGED):
+            if exists(spark, f"{data}/{name}/_SUCCESS"):
+                low, high = map(int, name.removeprefix(_MERGED).split("-"))
+                for other in names_in(spark, data):
+                    number = _batch_number(other)
+                    if number is not None and low <= number <= high:
+                        delete(spark, f"{data}/{other}")
+                move(spark, f"{data}/{name}", f"{data}/batch_id={high}")
+            else:
+                delete(spark, f"{data}/{name}")
+
+
 def enrich_rows(raw: DataFrame, labels: DataFrame) -> DataFrame:
     """Raw rows with the four columns that travel with a stream event; ``labels`` covers their keywords."""
     return with_genre(_stream_columns(raw), labels, id_col="eventid").select(*STREAM_EVENT.names)
