@@ -929,12 +929,16 @@ _Z = "round((observed_count - coalesce(rolling_mean, 0)) / greatest(coalesce(rol
 _SLOTS = "LEFT JOIN (SELECT derived_genre, hour_of_day_vn, rolling_mean, rolling_std FROM baseline) USING (derived_genre, hour_of_day_vn)"
 
 
-def _in_order(spark, df: DataFrame, groups: list) -> DataFrame:
-    """Stream of ``df``, one file and micro-batch for each of the conditions, in their order."""
+def _arrive(spark, df: DataFrame, groups: list, *starts) -> None:
+    """Let the rows of each condition arrive one after the other, and run the streams to their end each time.
+
+    Each arrival is a micro-batch of all its files, as many as were written.
+    """
     folder = staging_path(spark, "arrivals")
     for condition in groups:
-        df.where(condition).coalesce(1).write.mode("append").parquet(folder)
-    return jobs.follow(spark, folder, df.schema, files_per_batch=1)
+        df.where(condition).write.mode("append").parquet(folder)
+        for start in starts:
+            jobs.run_to_end(start(jobs.follow(spark, folder, df.schema)))
 
 
 @query(
@@ -951,8 +955,8 @@ def stream_anomaly(spark, sf):
     entered = t.curated(spark, sf).where("session_action = 'enter' AND year(event_ts) = 2024")
     late = (F.dayofmonth("event_ts") == 3) & (F.col("event_id").cast("bigint") % 10 == 0)
     days = F.dayofmonth("event_ts")
-    stream = _in_order(spark, entered, [~late & days.between(a, b) for a, b in ((1, 10), (11, 20), (21, 31))] + [late])
-    jobs.run_to_end(jobs.start_anomaly(stream, base_root, out, scope="window", available_now=True))
+    groups = [~late & days.between(a, b) for a, b in ((1, 10), (11, 20), (21, 31))] + [late]
+    _arrive(spark, entered, groups, lambda stream: jobs.start_anomaly(stream, base_root, out, scope="window", available_now=True))
     read = lambda name: spark.read.parquet(f"{out}/{name}")
     detail = F.from_json("detail", "derived_genre string, hour_of_day_vn bigint, observed_count bigint, z_score double")
     dims = [c("dimensions")["Genre"].alias("derived_genre"), c("dimensions")["Hour"].cast("bigint").alias("hour_of_day_vn")]
@@ -982,8 +986,8 @@ def stream_silence(spark, sf):
     entered = t.curated(spark, sf).where("session_action = 'enter' AND year(event_ts) = 2024")
     late = (F.dayofmonth("event_ts") == 3) & (F.col("event_id").cast("bigint") % 10 == 0)
     days = F.dayofmonth("event_ts")
-    stream = _in_order(spark, entered, [~late & days.between(a, b) for a, b in ((1, 10), (11, 20), (21, 31))] + [late])
-    jobs.run_to_end(jobs.start_anomaly(stream, base_root, out, scope="window", silence=True, available_now=True))
+    groups = [~late & days.between(a, b) for a, b in ((1, 10), (11, 20), (21, 31))] + [late]
+    _arrive(spark, entered, groups, lambda stream: jobs.start_anomaly(stream, base_root, out, scope="window", silence=True, available_now=True))
     scored = spark.read.parquet(f"{out}/scored")
     dropped = F.coalesce(c("anomaly_type") == "DROP", F.lit(False))
     return scored.select("window_start", "derived_genre", "hour_of_day_vn", "observed_count", "z_score", dropped.alias("dropped"))
@@ -1000,8 +1004,8 @@ def stream_anomaly_batch(spark, sf):
     base_root, out = staging_path(spark, "baseline"), staging_path(spark, "batch-anomalies")
     sinks.write_baseline(t.baseline(spark, sf), base_root)
     part = F.col("event_id").cast("bigint") % 3
-    stream = _in_order(spark, t.curated(spark, sf), [part == i for i in range(3)])
-    jobs.run_to_end(jobs.start_anomaly(stream, base_root, out, scope="batch", available_now=True))
+    groups = [part == i for i in range(3)]
+    _arrive(spark, t.curated(spark, sf), groups, lambda stream: jobs.start_anomaly(stream, base_root, out, scope="batch", available_now=True))
     return spark.read.schema(jobs.SCORED_SCHEMA).parquet(f"{out}/scored").select("derived_genre", "hour_of_day_vn", "observed_count", "z_score")
 
 
@@ -1069,8 +1073,7 @@ def stream_closed_minutes(spark, sf):
     out, day = staging_path(spark, "minutes"), F.dayofmonth("event_ts")
     rows = t.curated(spark, sf).where("year(event_ts) = 2024")
     groups = [day.between(a, b) for a, b in ((1, 10), (11, 20), (21, 31))]
-    for start in (jobs.start_throughput, jobs.start_closed_minutes):
-        jobs.run_to_end(start(_in_order(spark, rows, groups), out, available_now=True))
+    _arrive(spark, rows, groups, *(lambda stream, start=start: start(stream, out, available_now=True) for start in (jobs.start_throughput, jobs.start_closed_minutes)))
     return jobs.latest_throughput(spark, out)
 
 
