@@ -165,6 +165,26 @@ def test_toxicity_against_its_definition(spark):
         assert model.score(text) == pytest.approx(1 / (1 + np.exp(-logit)), abs=2e-3)
 
 
+def test_fit_against_newton_steps(monkeypatch):
+    """The solver's point is the optimum, in one block of rows or in many, rows without any feature included."""
+    rnd = np.random.default_rng(3)
+    rows = [np.flatnonzero(rnd.random(12) < 0.25).astype(np.int32) for _ in range(300)] + [np.zeros(0, np.int32)] * 3
+    ratio = rnd.normal(size=12) * 2
+    y = np.array([float(rnd.random() < 1 / (1 + np.exp(-ratio[r].sum() / 3 + 0.5))) for r in rows])
+    x = np.zeros((len(rows), 13))
+    for i, r in enumerate(rows):
+        x[i, r], x[i, 12] = ratio[r], 1
+    w, ridge = np.zeros(13), np.diag([toxicity.RIDGE] * 12 + [0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x / len(y) + ridge, x.T @ (p - y) / len(y) + ridge @ w)
+    for entries in (1 << 20, 10, 1):
+        monkeypatch.setattr(toxicity, "_ENTRIES", entries)
+        loss = toxicity.Loss(y, rows, ratio)
+        assert sum(len(b[0]) for b in loss.blocks) == len(rows) and (entries > 10) == (len(loss.blocks) == 1)
+        assert np.allclose(toxicity.least_point(loss, 13), w, atol=1e-4)
+
+
 def test_toxicity_recall_and_precision(spark):
     """Held-out documents of the larger table; about one toxic label in six has no sign of it in its text."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))

@@ -4,8 +4,8 @@ Which n-grams (3 to 5 characters, by a 64-bit hash) a text contains is all that
 give the log of the ratio between its rates in toxic and other texts; those ratios scale the features of a
 logistic regression. N-grams whose ratio stands ``LEAST_Z`` standard errors from zero become features, however many they are.
 
-Counts cover all labelled training texts and are summed on the cluster. The regression is fitted there too, by Spark's own
-solver, on about ``FIT_ROWS`` of those texts; the driver holds one weight for each feature.
+Counts cover all labelled training texts and are summed on the cluster. The regression is fitted on about ``FIT_ROWS`` of those
+texts, in one task, which sees the numbers of their features and not the texts; the driver holds one weight for each feature.
 """
 
 from __future__ import annotations
@@ -15,9 +15,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,13 +27,16 @@ ORDERS = (3, 4, 5)
 FIT_ROWS = 20_000
 LEAST_Z = 4.0
 RIDGE = 1e-4
-STEPS = 100
+STEPS = 200
+TOLERANCE = 1e-7
 THRESHOLD = 0.5
 #: Labelled ids up to this many (16 bytes each) are broadcast; beyond it texts and labels are shuffled to meet.
 BROADCAST_IDS = 2_000_000
 
 _PIECE = 1 << 20
 _HELD = 1 << 22
+_ENTRIES = 1 << 20
+_MEMORY = 10
 _TABLE_BITS = 21
 _BASE, _SPREAD = np.uint64(1_000_003), np.uint64(0x9E3779B97F4A7C15)
 
@@ -105,14 +105,86 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _feature_lists(features: np.ndarray):
-    """y and the numbers of the features that a text has, as words for the vectoriser."""
+    """y and the numbers of the features that a text has, as bytes of int32."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         likely = marked_tops(features)
         for batch in (part for whole in batches for part in common.slices(whole)):
-            rows = [list(map(str, places(gram_hashes(t.as_py(), likely), features).tolist())) for t in batch.column("text")]
+            rows = [places(gram_hashes(t.as_py(), likely), features).astype(np.int32).tobytes() for t in batch.column("text")]
             y = pa.array([float(v > 0) for v in batch.column("y").to_pylist()])
-            yield pa.RecordBatch.from_arrays([y, pa.array(rows, pa.list_(pa.string()))], ["label", "grams"])
+            yield pa.RecordBatch.from_arrays([y, pa.array(rows, pa.binary())], ["label", "grams"])
+
+    return run
+
+
+class Loss:
+    """Mean logistic loss of rows of features, with the ridge, and its slope.
+
+    A row is a list of numbers of features; its values are the ratios of those. One more column, last, is the bias, which has no ridge
+    and stands in every row, so that no row is empty. Rows are taken in blocks of about ``_ENTRIES`` entries.
+    """
+
+    def __init__(self, y: np.ndarray, rows: list[np.ndarray], ratio: np.ndarray) -> None:
+        self.n, self.scale, self.ridge = len(y), np.r_[ratio, 1.0], np.r_[np.full(len(ratio), RIDGE), 0.0]
+        bias = np.array([len(ratio)], np.int32)
+        ends = np.cumsum([len(r) + 1 for r in rows])
+        cuts = np.unique(np.searchsorted(ends, np.arange(_ENTRIES, ends[-1] + _ENTRIES, _ENTRIES), "right").clip(1, len(rows)))
+        self.blocks = []
+        for low, high in zip([0, *cuts[:-1].tolist()], cuts.tolist()):
+            sizes = np.array([len(r) + 1 for r in rows[low:high]])
+            self.blocks.append((y[low:high], np.concatenate([part for r in rows[low:high] for part in (r, bias)]), sizes))
+
+    def __call__(self, weights: np.ndarray) -> tuple[float, np.ndarray]:
+        loss, slope, scaled = 0.0, np.zeros(len(weights)), weights * self.scale
+        for y, columns, sizes in self.blocks:
+            logit = np.add.reduceat(scaled[columns], np.cumsum(sizes) - sizes)
+            loss += float((np.logaddexp(0, logit) - y * logit).sum())
+            off = 1 / (1 + np.exp(-np.clip(logit, -500, 500))) - y
+            slope += np.bincount(columns, np.repeat(off, sizes), len(weights))
+        return loss / self.n + float(self.ridge @ weights**2) / 2, slope * self.scale / self.n + self.ridge * weights
+
+
+def least_point(loss: Loss, size: int) -> np.ndarray:
+    """Where a smooth convex function is least, by steps along its slope bent by the last ``_MEMORY`` changes (L-BFGS)."""
+    at = np.zeros(size)
+    value, slope = loss(at)
+    past: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(STEPS):
+        if np.abs(slope).max() <= TOLERANCE:
+            break
+        way, used = -slope, []
+        for moved, turned, inverse in reversed(past):
+            share = inverse * float(moved @ way)
+            way = way - share * turned
+            used.append(share)
+        if past:
+            moved, turned, _ = past[-1]
+            way = way * float(moved @ turned) / float(turned @ turned)
+        for (moved, turned, inverse), share in zip(past, reversed(used)):
+            way = way + (share - inverse * float(turned @ way)) * moved
+        length, fall = 1.0 if past else 1 / max(1.0, float(np.abs(slope).sum())), float(slope @ way)
+        while True:
+            new_value, new_slope = loss(at + length * way)
+            if new_value <= value + 1e-4 * length * fall or length < 1e-12:
+                break
+            length /= 2
+        moved, turned = length * way, new_slope - slope
+        if float(moved @ turned) <= 0:
+            break
+        past = [*past, (moved, turned, 1 / float(moved @ turned))][-_MEMORY:]
+        at, value, slope = at + moved, new_value, new_slope
+    return at
+
+
+def _fit(ratio: np.ndarray):
+    """One row: the fitted weights, the bias last. The rows are put in order, so that sums do not depend on how they arrive."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((y, grams) for batch in batches for y, grams in zip(batch.column("label").to_pylist(), batch.column("grams").to_pylist()))
+        if rows:
+            loss = Loss(np.array([y for y, _ in rows]), [np.frombuffer(g, np.int32) for _, g in rows], ratio)
+            found = least_point(loss, len(ratio) + 1)
+            yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary())], ["weights"])
 
     return run
 
@@ -164,15 +236,14 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
     order = np.argsort(features)
     features, ratio = features[order], ratio[order]
     sample = labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT_FOLD, fit_rows)
-    lists = stage(sample.mapInArrow(_feature_lists(features), "label double, grams array<string>"), "toxicity-features")
+    lists = stage(sample.mapInArrow(_feature_lists(features), "label double, grams binary"), "toxicity-features")
     kinds = lists.agg(F.min("label"), F.max("label")).first()
     if not len(features) or kinds[0] == kinds[1]:
         return Model(none, np.zeros(0), float(np.log(pos / neg)))
-    counted = CountVectorizerModel.from_vocabulary([str(i) for i in range(len(features))], inputCol="grams", outputCol="has", binary=True)
-    scaled = ElementwiseProduct(scalingVec=Vectors.dense(ratio), inputCol="has", outputCol="features")
-    fitted = LogisticRegression(regParam=RIDGE, maxIter=STEPS, tol=1e-9, standardization=False).fit(scaled.transform(counted.transform(lists)))
+    # The lists are bounded by fit_rows.
+    fitted = np.frombuffer(lists.coalesce(1).mapInArrow(_fit(ratio), "weights binary").first().weights)
     common.discard(docs.sparkSession, common.folder_of(lists))
-    return Model(features, fitted.coefficients.toArray() * ratio, float(fitted.intercept))
+    return Model(features, fitted[:-1] * ratio, float(fitted[-1]))
 
 
 def score_column(docs: DataFrame, model: Model) -> Column:
