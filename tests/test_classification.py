@@ -80,6 +80,17 @@ def test_label_repair(spark):
     assert label("boom", "x") == {}
 
 
+def test_keywords_put_as_one_all_get_its_label(spark):
+    def provider(asked):
+        return json.dumps({k: "NHAC" for k in asked})
+
+    frame = keywords(spark, "a\\b", "a\nb", "a b", "c").coalesce(1)
+    got = labelling.label_residual(frame, provider).collect()
+    assert sorted(r.keyword_norm for r in got) == ["a\nb", "a b", "a\\b", "c"]
+    asked = labelling.ask_in_batches(frame, lambda asked: str(asked.count("a b"))).first()
+    assert asked.response == "1"
+
+
 def test_answers_that_are_not_json_give_no_labels(spark):
     frame = keywords(spark, "x").coalesce(1)
     assert labelling.label_residual(frame, lambda asked: "sorry").count() == 0

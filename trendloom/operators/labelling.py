@@ -27,15 +27,15 @@ _ASK = f"{_GROUP}, response STRING, error STRING"
 def in_groups(keywords: DataFrame, batch: int = 50) -> DataFrame:
     """(originals, asked): the keywords as they are and as they are put, in groups of ``batch``.
 
-    Groups are formed within each task's rows. Keywords that are empty once cleaned are left out, and of those that become equal
-    one in a group is put.
+    Groups are formed within each task's rows. Keywords that are empty once cleaned are left out. Those that become equal all
+    stay, each beside what it is put as; :func:`ask_groups` puts it once.
     """
 
     def group(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for start in range(0, len(frame), batch):
                 part = frame.iloc[start : start + batch]
-                part = part[part["asked"] != ""].drop_duplicates("asked")
+                part = part[part["asked"] != ""]
                 if not part.empty:
                     yield pd.DataFrame({"originals": [part["keyword_norm"].tolist()], "asked": [part["asked"].tolist()]})
 
@@ -57,7 +57,7 @@ def ask_groups(groups: DataFrame, provider: Provider, stop_after: int | None = N
                     continue
                 answer = error = None
                 try:
-                    answer = provider(list(asked))
+                    answer = provider(list(dict.fromkeys(asked)))
                 except Exception as trouble:  # whatever an outside service may do
                     error = f"{type(trouble).__name__}: {trouble}"
                 failures = failures + 1 if error else 0
@@ -95,10 +95,13 @@ def parse_answers(answers: DataFrame) -> DataFrame:
     )
     key = F.when(F.col("turned"), F.col("e.value")).otherwise(F.col("e.key"))
     value = F.when(F.col("turned"), F.col("e.key")).otherwise(F.col("e.value"))
-    original = F.coalesce(F.try_element_at(F.map_from_arrays("asked", "originals"), key), key)
+    # Several keywords may have been put as one.
+    meant = F.transform(F.filter(F.arrays_zip("asked", "originals"), lambda z: z["asked"] == F.col("key")), lambda z: z["originals"])
     return (
-        each.where(key.isNotNull())
-        .select("originals", "pos", original.alias("keyword_norm"), normalize_genre(value).alias("genre"))
+        each.select("originals", "asked", "pos", key.alias("key"), normalize_genre(value).alias("genre"))
+        .where(F.col("key").isNotNull())
+        .withColumn("meant", meant)
+        .withColumn("keyword_norm", F.explode(F.when(F.size("meant") > 0, F.col("meant")).otherwise(F.array("key"))))
         .where(F.array_contains("originals", F.col("keyword_norm")))
         .groupBy("keyword_norm")
         .agg(F.max_by("genre", "pos").alias("genre"))
@@ -138,7 +141,6 @@ class AnswerLedger:
     def run(self, keywords: DataFrame, provider: Provider) -> DataFrame:
         """Put what is open and the keywords that are new; returns the outcomes of this run."""
         held = self.read().select(F.explode("originals").alias("keyword_norm"))
-        # Keywords that clean to one already in a group stay with it.
         new = keywords.select("keyword_norm").distinct().join(held, "keyword_norm", "left_anti")
         groups = stage(in_groups(new, self.batch).unionByName(self.open_groups().select("originals", "asked")), "asked-groups")
         answers = ask_groups(groups, provider, self.stop_after)
