@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
 from trendloom.streaming import jobs
-from trendloom.streaming.bisect import TooManyBadRecords, bad_records, bisected
+from trendloom.streaming.bisect import TooManyBadRecords, _Numbered, bad_records, bisected
 
 
 def codes(spark, n, bad, parts=5):
@@ -36,6 +37,30 @@ def test_few_attempts_for_each_bad_record(spark):
     assert len(calls) <= 2 * 2 * 10 + 4
 
 
+def test_an_attempt_reads_the_records_of_its_part_alone(spark, tmp_path):
+    parts = _Numbered(codes(spark, 100_000, []), str(tmp_path / "rows"))
+    assert parts.count == 100_000
+    for low, high in ((0, 1), (19_999, 20_001), (70_000, 70_010)):
+        part = parts.part(low, high)
+        assert part.count() == high - low and "_row" in plan_of(part).split("PushedFilters")[1] and "PartitionFilters: [is" in plan_of(part)
+    assert sorted(r.id for low in range(0, 100_000, 25_000) for r in parts.part(low, low + 25_000).collect()) == [*range(100_000)]
+
+
+def test_many_bad_records_are_found_side_by_side(spark):
+    rows, busy, most = spark.range(256).withColumnRenamed("id", "_at").withColumn("n", F.col("_at")), [0], [0]
+
+    def attempt(part):
+        busy[0] += 1
+        most[0] = max(most[0], busy[0])
+        ids = [r.n for r in part.collect()]
+        busy[0] -= 1
+        if any(i % 32 == 5 for i in ids):
+            raise ValueError("no")
+
+    assert [f.at for f in bad_records(rows, 256, attempt)] == [*range(5, 256, 32)]
+    assert most[0] > 1
+
+
 def test_faults_that_pass_set_nothing_aside(spark):
     left = [2]
 

@@ -1010,6 +1010,7 @@ def stream_anomaly_batch(spark, sf):
 
 
 _BAD = 5003
+_SENT = 150_000
 
 
 @query(
@@ -1018,17 +1019,20 @@ _BAD = 5003
         UNION ALL SELECT CAST(eventid AS BIGINT), NULL, true, 3 FROM search_log WHERE CAST(eventid AS BIGINT) % {_BAD} = 7""",
 )
 def stream_bisect(spark, sf):
-    """A few records make the decoding of their whole micro-batch fail; all others are published."""
+    """A few records make the decoding of their whole micro-batch fail; all others are published.
+
+    One record in ``_BAD`` is bad, so micro-batches take two files of at most ``_SENT`` records, far fewer than the 100 bad ones that stop a stream.
+    """
     out, event = staging_path(spark, "decoded"), F.col("eventid").cast("bigint")
     sent = t.search_log(spark, sf).select("eventid", F.when(event % _BAD == 7, F.concat(F.lit("no number "), "eventid")).otherwise(F.col("eventid")).alias("code"), "keyword")
-    sent.write.parquet(folder := staging_path(spark, "sent"))
+    sent.write.option("maxRecordsPerFile", _SENT).parquet(folder := staging_path(spark, "sent"))
 
     def decode(rows: DataFrame) -> DataFrame:
         number = F.try_to_number("code", F.lit("999999999999999"))
         number = F.when(number.isNull(), F.raise_error(F.concat(F.lit("bad code: "), "code"))).otherwise(number)
         return rows.select(number.cast("bigint").alias("event"), F.length("keyword").cast("bigint").alias("letters"))
 
-    jobs.run_to_end(jobs.start_decode(jobs.follow(spark, folder, sent.schema), decode, out, available_now=True))
+    jobs.run_to_end(jobs.start_decode(jobs.follow(spark, folder, sent.schema, files_per_batch=2), decode, out, available_now=True))
     good = spark.read.schema("event bigint, letters bigint").parquet(f"{out}/data").select("event", "letters").withColumns({"dead": F.lit(False), "tries": F.lit(None).cast("bigint")})
     dead = spark.read.schema("eventid string, tries int").parquet(f"{out}/dead")
     return good.unionByName(dead.select(c("eventid").cast("bigint").alias("event"), F.lit(None).cast("bigint").alias("letters"), F.lit(True).alias("dead"), c("tries").cast("bigint").alias("tries")))

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendloom.session import discard, passing_path
 
 TRIES = 3
 MOST_DEAD = 100
+THREADS = 12
 
-_AT = "_at"
+_AT, _TASK, _ROW = "_at", "_task", "_row"
 
 
 class TooManyBadRecords(Exception):
@@ -37,60 +41,90 @@ class Sorted:
     dead: DataFrame
 
 
-def _numbered(batch: DataFrame, path: str) -> tuple[DataFrame, int]:
-    """The batch, written, with a number for each record from 0 to n - 1.
+class _Numbered:
+    """The batch, written, whose records have numbers from 0 to ``count`` - 1.
 
-    Records are numbered within their tasks, and tasks follow each other by their counts; nothing is sorted and no row moves.
+    Records are numbered within their tasks, and tasks follow each other by their counts; nothing is sorted and no row moves. Each task's
+    records have a folder, and parts are told by written columns, so that an attempt reads the folders and pages of its part alone.
     """
-    spark = batch.sparkSession
-    batch.withColumns({"_task": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}).write.parquet(path)
-    written = spark.read.parquet(path)
-    offset, firsts = 0, {}
-    for r in sorted(written.groupBy("_task").agg(F.count("*").alias("n"), F.min("_row").alias("low")).collect(), key=lambda r: r["_task"]):
-        firsts[r["_task"]], offset = offset - r["low"], offset + r["n"]
-    if not firsts:
-        return written.drop("_task", "_row").withColumn(_AT, F.lit(0).cast("long")), 0
-    shift = F.lit([firsts.get(i, 0) for i in range(max(firsts) + 1)])[F.col("_task")]
-    return written.withColumn(_AT, F.col("_row") + shift).drop("_task", "_row"), offset
-
-
-def bad_records(rows: DataFrame, count: int, attempt: Callable[[DataFrame], None], tries: int = TRIES, most: int = MOST_DEAD) -> list[Failure]:
+
+    def __init__(self, batch: DataFrame, path: str) -> None:
+        numbered = batch.withColumns({_TASK: F.spark_partition_id(), _ROW: F.monotonically_increasing_id()})
+        numbered.write.partitionBy(_TASK).parquet(path)
+        self.rows = batch.sparkSession.read.schema(numbered.schema).parquet(path)
+        found = self.rows.groupBy(_TASK).agg(F.count("*").alias("n"), F.min(_ROW).alias("low")).orderBy(_TASK).collect()
+        self.tasks, self.starts, self.lows, self.count = [], [], [], 0
+        for r in found:
+            self.tasks.append(r[_TASK])
+            self.starts.append(self.count)
+            self.lows.append(r["low"])
+            self.count += r["n"]
+
+    def place(self, at: int) -> tuple[int, int]:
+        """Task and row of a number."""
+        i = bisect_right(self.starts, at) - 1
+        return self.tasks[i], self.lows[i] + at - self.starts[i]
+
+    def part(self, low: int, high: int) -> DataFrame:
+        """Records from low to high - 1."""
+        (first, start), (last, end) = self.place(low), self.place(high - 1)
+        return self.rows.where(F.col(_TASK).between(first, last) & F.col(_ROW).between(start, end)).drop(_TASK, _ROW)
+
+
+def bad_records(
+    rows: DataFrame | Callable[[int, int], DataFrame],
+    count: int,
+    attempt: Callable[[DataFrame], None],
+    tries: int = TRIES,
+    most: int = MOST_DEAD,
+    threads: int = THREADS,
+) -> list[Failure]:
     """The records on which ``attempt`` fails, found by halving what fails.
 
-    ``rows`` are numbered from 0 to ``count`` - 1 in ``_at``. A half is not tried where the outcome follows: if the whole failed and the first half
-    did not, the second must. A single record is tried ``tries`` times. It takes about 2 * log2(count) attempts for each bad record; more
-    than ``most`` of them raise :class:`TooManyBadRecords`.
+    ``rows`` are numbered from 0 to ``count`` - 1 in ``_at``, or a function that gives those from low to high - 1. A half is not tried where the outcome follows: if the whole failed and the first half
+    did not, the second must. A single record is tried ``tries`` times. It takes about 2 * log2(count) attempts for each bad record, ``threads`` of them at a time; more
+    than ``most`` bad records raise :class:`TooManyBadRecords`.
     """
-    found: list[Failure] = []
+    part = rows if callable(rows) else lambda low, high: rows.where(F.col(_AT).between(low, high - 1)).drop(_AT)
 
     def error_of(low: int, high: int) -> str | None:
         try:
-            attempt(rows.where(F.col(_AT).between(low, high - 1)).drop(_AT))
+            attempt(part(low, high))
         except Exception as error:  # whatever a record may cause
             return str(error).partition("\n")[0] or type(error).__name__
         return None
 
-    def judge(low: int, high: int, known_bad: bool) -> bool:
-        """Whether the records from low to high - 1 had a bad one among them."""
-        if high - low == 1:
-            for turn in range(1, tries + 1):
-                error = error_of(low, high)
-                if error is None:
-                    return False
-            found.append(Failure(low, turn, error))
-            if len(found) > most:
-                raise TooManyBadRecords(f"more than {most} records fail, the last with: {error}")
-            return True
-        if not known_bad and error_of(low, high) is None:
-            return False
+    def judge(low: int, high: int, known_bad: bool) -> Failure | bool:
+        """Whether the records from low to high - 1 have a bad one among them; the failure itself if it stands alone."""
+        if high - low > 1:
+            return known_bad or error_of(low, high) is not None
+        for turn in range(1, tries + 1):
+            error = error_of(low, high)
+            if error is None:
+                return False
+        return Failure(low, turn, error)
+
+    def halved(low: int, high: int) -> list[tuple[int, int, Failure | bool]]:
+        """Both halves of what failed, with what became of them."""
         middle = (low + high) // 2
         first = judge(low, middle, False)
-        second = judge(middle, high, not first)
-        return first or second
+        return [(low, middle, first), (middle, high, judge(middle, high, not first))]
 
-    if count:
-        judge(0, count, False)
-    return found
+    found: list[Failure] = []
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(threads) as pool:
+        # The smallest parts come first, so that bad records stand alone, and too many are noticed, before all large parts were tried.
+        whole = judge(0, count, False) if count else False
+        found += [whole] if isinstance(whole, Failure) else []
+        open_ = [(0, count)] if whole is True else []
+        while open_:
+            open_, turn = open_[: -2 * threads], open_[-2 * threads :]
+            each = [x for both in pool.map(inherit(lambda r: halved(*r)), turn) for x in both]
+            found += [x for _, _, x in each if isinstance(x, Failure)]
+            if len(found) > most:
+                raise TooManyBadRecords(f"more than {most} records fail, the last with: {found[-1].error}")
+            open_ += [(low, high) for low, high, x in each if x is True]
+    return sorted(found, key=lambda f: f.at)
 
 
 def bisected(batch: DataFrame, work: Callable[[DataFrame], DataFrame], tries: int = TRIES, most: int = MOST_DEAD) -> Sorted:
@@ -110,13 +144,14 @@ def bisected(batch: DataFrame, work: Callable[[DataFrame], DataFrame], tries: in
     except Exception:
         discard(spark, out)
         numbered = passing_path(spark, "numbered")
-        rows, count = _numbered(batch, numbered)
-        failures = bad_records(rows, count, lambda part: work(part).write.format("noop").mode("overwrite").save(), tries, most)
-        told = spark.createDataFrame([(f.at, f.tries, f.error) for f in failures], f"{_AT} long, tries int, error string")
+        parts = _Numbered(batch, numbered)
+        failures = bad_records(parts.part, parts.count, lambda part: work(part).write.format("noop").mode("overwrite").save(), tries, most)
+        told = [(*parts.place(f.at), f.tries, f.error) for f in failures]
+        told = spark.createDataFrame(told, f"{_TASK} int, {_ROW} long, tries int, error string")
         apart = passing_path(spark, "dead")
-        rows.join(F.broadcast(told), _AT).drop(_AT).write.parquet(apart)
-        left = rows.where(~F.col(_AT).isin([f.at for f in failures])) if failures else rows
-        work(left.drop(_AT)).write.parquet(out)
+        parts.rows.join(F.broadcast(told), [_TASK, _ROW]).drop(_TASK, _ROW).write.parquet(apart)
+        left = parts.rows.join(F.broadcast(told), [_TASK, _ROW], "left_anti")
+        work(left.drop(_TASK, _ROW)).write.parquet(out)
         discard(spark, numbered)
         dead = spark.read.parquet(apart)
     good = spark.read.parquet(out)
