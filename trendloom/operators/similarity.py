@@ -10,9 +10,11 @@ the best of
 
 Comparing all pairs is out of the question, so candidates come from an equi-join that no pair
 reaching the cutoff can escape. A text's keys for it are made within its row, by array functions: some of its tokens (see
-``_rare_tokens``) and some of its letter pairs (see ``_gram_prefix``), rare ones first. What is rare is read off the lookup
-once, as counts in ``_BUCKETS`` buckets of hashed keys: an array of fixed size that travels as a constant. Unlike keys may
-share a bucket, which changes the order of keys alone; any one order that both sides use finds all pairs. Few of the
+``_rare_tokens``) and some of its letter pairs (see ``_join_keys``), rare ones first. How many lookup keys have a token is joined to the
+texts' tokens, so the order is exact however many tokens there are. What letter pairs are rare is read off the lookup
+once, as counts in ``_BUCKETS`` buckets of hashed pairs: an array of fixed size that travels as a constant. Unlike pairs may
+share a bucket, which changes their order alone; any one order that both sides use finds all pairs. Keys that the lookup does
+not have, and the letter pairs of texts too long or short for any of its keys, are left out before the join. Few of the
 candidates need the indel distance, the one thing Spark has no function for.
 
 The join asks for a merge join. Size estimates know nothing of how many rows ``explode``
@@ -89,35 +91,38 @@ def _bucket(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(_BUCKETS)).cast("int")
 
 
-def _numbered_grams(df: DataFrame, side: str) -> DataFrame:
-    """``{side}_grams``: the letter pairs of the space-padded text, repeats told apart by their number.
+def _numbered_grams(df: DataFrame, side: str, where: Column | None = None) -> DataFrame:
+    """``{side}_grams``: the letter pairs of the space-padded text, repeats told apart by their number; none where ``where`` is false.
 
     Which pairs there are does not depend on token order.
     """
     norm = F.col(f"{side}_norm")
     padded = F.concat(F.lit(" "), norm, F.lit(" "))
     pairs = F.transform(F.sequence(F.lit(1), F.length(norm) + 1), lambda i: F.substring(padded, i, F.lit(2)))
-    df = _computed(df, _pairs=F.array_sort(pairs))
+    pairs = F.sort_array(pairs)
+    df = _computed(df, _pairs=pairs if where is None else F.when(where, pairs).otherwise(F.array().cast("array<string>")))
     number = lambda p, i: (i + 2 - F.array_position("_pairs", p)).cast("string")
     return _computed(df, **{f"{side}_grams": F.transform("_pairs", lambda p, i: F.concat(F.lit("g"), p, number(p, i)))}).drop("_pairs")
 
 
-def _token_keys(side: str) -> Column:
-    return F.transform(_token_list(side), lambda t: F.concat(F.lit("t"), t))
-
-
-def _counts(keys: DataFrame, grams: bool) -> Column:
-    """How many keys of the lookup fall into each bucket, as one constant array."""
-    all_keys = F.concat(_token_keys("k"), "k_grams") if grams else _token_keys("k")
-    found = keys.select(F.explode(all_keys).alias("key")).groupBy(_bucket(F.col("key")).alias("at")).agg(F.count("*").alias("n")).collect()
+def _counts(keys: DataFrame) -> Column:
+    """How many letter pairs of the lookup fall into each bucket, as one constant array."""
+    found = keys.select(F.explode("k_grams").alias("key")).groupBy(_bucket(F.col("key")).alias("at")).agg(F.count("*").alias("n")).collect()
     counts = [0] * _BUCKETS
     for r in found:
         counts[r["at"]] = r["n"]
     return F.from_json(F.lit(str(counts)), T.ArrayType(T.LongType()))
 
 
+def _ranked(texts: DataFrame, side: str, counts: DataFrame) -> DataFrame:
+    """({side}_norm, _tokens): the tokens of each distinct text with the number of lookup keys that have them, rarest first."""
+    each = texts.select(f"{side}_norm", F.explode(_token_list(side)).alias("token")).join(counts, "token", "left")
+    one = F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.concat(F.lit("t"), "token").alias("key"))
+    return each.groupBy(f"{side}_norm").agg(F.sort_array(F.collect_list(one)).alias("_tokens"))
+
+
 def _rarest_first(keys: Column, counts: Column) -> Column:
-    ordered = F.array_sort(F.transform(keys, lambda k: F.struct(counts[_bucket(k)].alias("n"), k.alias("key"))))
+    ordered = F.sort_array(F.transform(keys, lambda k: F.struct(counts[_bucket(k)].alias("n"), k.alias("key"))))
     return F.transform(ordered, lambda o: o["key"])
 
 
@@ -131,16 +136,15 @@ def _rare_tokens(ordered: Column, budget: Column) -> Column:
     return F.filter(ordered, lambda k, i: spent(i) <= budget)
 
 
-def _bits(side: str, word: int) -> Column:
-    """Word ``word`` of a bitmap of all the text's letter pairs, hashed."""
-    at = lambda g: F.pmod(F.xxhash64(g), F.lit(64 * _WORDS)).cast("int")
-    bit = lambda g: F.call_function("shiftleft", F.lit(1).cast("bigint"), at(g) - 64 * word)
-    inside = F.filter(f"{side}_grams", lambda g: at(g).between(64 * word, 64 * word + 63))
-    return F.aggregate(inside, F.lit(0).cast("bigint"), lambda acc, g: acc.bitwiseOR(bit(g)))
+def _bits(places: Column, word: int) -> Column:
+    """Word ``word`` of a bitmap of all the text's letter pairs, given their places."""
+    bit = lambda p: F.call_function("shiftleft", F.lit(1).cast("bigint"), p - 64 * word)
+    here = lambda p: F.when(p.between(64 * word, 64 * word + 63), bit(p)).otherwise(F.lit(0).cast("bigint"))
+    return F.aggregate(places, F.lit(0).cast("bigint"), lambda acc, p: acc.bitwiseOR(here(p)))
 
 
-def _join_keys(df: DataFrame, side: str, counts: Column, delta: float, grams: bool) -> DataFrame:
-    """A row for each key of a text: all tokens, rare or not, and the rarest letter pairs with their places.
+def _join_keys(df: DataFrame, side: str, counts: Column | None, delta: float) -> DataFrame:
+    """A row for each key of a text that the lookup has: all tokens, rare or not, and, with ``counts``, the rarest letter pairs with their places.
 
     Tokens. The third form of the score reaches the cutoff only if the unshared tokens of a side weigh
     at most 2 * delta / (1 + delta) of its length. So one of that side's rarest tokens,
@@ -154,21 +158,22 @@ def _join_keys(df: DataFrame, side: str, counts: Column, delta: float, grams: bo
     """
     share = 2 * delta / (1 + delta)
     n = F.length(f"{side}_norm")
-    made = {"_tokens": _rarest_first(_token_keys(side), counts)}
-    if grams:
+    made = {"_rare": _rare_tokens(F.transform("_tokens", lambda t: t["key"]), n * share + _EPS)}
+    if counts is not None:
         made["_ordered"] = _rarest_first(F.col(f"{side}_grams"), counts)
-        made |= {f"{side}_bits{w}": _bits(side, w) for w in range(_WORDS)}
+        made["_places"] = F.transform(f"{side}_grams", lambda g: F.pmod(F.xxhash64(g), F.lit(64 * _WORDS)).cast("int"))
     df = _computed(df, **made)
-    rare = _rare_tokens(F.col("_tokens"), n * share + _EPS)
-    df = _computed(df, _rare=rare)
     entry = lambda key, place, is_rare: F.struct(key.alias("key"), place.alias("pos"), is_rare.alias("rare"))
     none = F.lit(None).cast("int")
-    entries = F.transform("_tokens", lambda t: entry(t, none, F.array_contains("_rare", t)))
-    if grams:
+    held = F.filter("_tokens", lambda t: t["n"] > 0)
+    entries = F.transform(held, lambda t: entry(t["key"], none, F.array_contains("_rare", t["key"])))
+    if counts is not None:
+        df = _computed(df, **{f"{side}_len": n}, **{f"{side}_bits{w}": _bits(F.col("_places"), w) for w in range(_WORDS)})
         least_common = F.ceil(n * ((1 - 3 * delta) / (1 + delta)) + 1 - _EPS)
         prefix = F.slice("_ordered", F.lit(1), F.greatest(n + 2 - least_common, F.lit(0)).cast("int"))
-        entries = F.concat(entries, F.transform(prefix, lambda g, i: entry(g, i, F.lit(False))))
-    rows = df.withColumn("_entry", F.explode(entries)).drop("_tokens", "_ordered", "_rare", f"{side}_grams")
+        placed = F.transform(prefix, lambda g, i: entry(g, i, F.lit(False)))
+        entries = F.concat(entries, F.filter(placed, lambda e: counts[_bucket(e["key"])] > 0))
+    rows = df.withColumn("_entry", F.explode(entries)).drop("_tokens", "_ordered", "_places", "_rare", f"{side}_grams")
     return rows.select("*", *[F.col(f"_entry.{f}").alias(f"{side}_{f}") for f in ("key", "pos", "rare")]).drop("_entry")
 
 
@@ -187,22 +192,26 @@ def _candidates(q: DataFrame, k: DataFrame, delta: float, grams: bool) -> DataFr
     and the bitmaps of all pairs must not differ in more bits than pairs may be missing. All of
     this is part of the join condition, so pairs that fail it are never emitted.
     """
+    counts = None
     if grams:
-        q, k = _numbered_grams(q, "q"), _numbered_grams(k, "k")
-    counts = _counts(k, grams)
-    q_keys, k_keys = _join_keys(q, "q", counts, delta, grams), _join_keys(k, "k", counts, delta, grams)
+        lengths = k.agg(F.min(F.length("k_norm")).alias("low"), F.max(F.length("k_norm")).alias("high")).first()
+        reach, n = (1 + delta) / (1 - delta), F.length("q_norm")
+        near_any = n.between((lengths["low"] or 0) / reach - 1, (lengths["high"] or 0) * reach + 1)
+        q, k = _numbered_grams(q, "q", near_any), _numbered_grams(k, "k")
+        counts = _counts(k)
+    q_keys, k_keys = _join_keys(q, "q", counts, delta), _join_keys(k, "k", counts, delta)
     joins = F.col("q_rare") | F.col("k_rare")
     if grams:
-        q_len, k_len = F.length("q_norm"), F.length("k_norm")
+        q_len, k_len = F.col("q_len"), F.col("k_len")
         common = (q_len + k_len) * (0.5 - 1.5 * delta) + 1 - _EPS
         near = F.abs(q_len - k_len) <= (q_len + k_len) * delta + _EPS
         behind = 1 + F.least(q_len - F.col("q_pos"), k_len - F.col("k_pos")) >= common
         alike = (_missing("q", "k") <= q_len + 1 - common) & (_missing("k", "q") <= k_len + 1 - common)
         joins = joins | F.coalesce(near & behind & alike, F.lit(False))
     pairs = q_keys.hint("merge").join(k_keys, (F.col("q_key") == F.col("k_key")) & joins)
-    # Dealt out by keyword, the repeats of a pair and the best of a keyword meet without another shuffle.
+    # Dealt out by text, the repeats of a pair and the best of a text meet without another shuffle.
     parts = int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pairs.select("kw", "q_norm", "key", "k_norm", "genre", "ordinal").repartition(parts, "kw").dropDuplicates(["kw", "key"])
+    return pairs.select("q_norm", "key", "k_norm", "genre", "ordinal").repartition(parts, "q_norm").dropDuplicates(["q_norm", "k_norm"])
 
 
 def _with_score(pairs: DataFrame, cutoff: float) -> DataFrame:
@@ -239,33 +248,34 @@ def _with_score(pairs: DataFrame, cutoff: float) -> DataFrame:
     return pairs.where(F.col("score") >= cutoff)
 
 
-def _sides(keywords: DataFrame, lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides of the join, one row per text, written once, as every branch of the join reads them.
+def _sides(keywords: DataFrame, lookup: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(kw, q_norm) of all keywords, then both sides of the join with one row per text, written once, as every branch of the join reads them.
 
-    Keywords get the full number of partitions: they are few bytes now, which would let adaptive
+    Of lookup keys with the same tokens only the first can be an answer. Texts get the full number of partitions: they are few bytes now, which would let adaptive
     execution merge them into few tasks, but many rows once taken apart.
     """
     parts = int(keywords.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    q = _profile(keywords.select("kw").distinct(), "kw", "q")
+    named = stage(_profile(keywords.select("kw").distinct(), "kw", "q"), "keywords")
     k = _profile(lookup.select(F.col("keyword").alias("key"), "genre", "ordinal"), "key", "k")
-    return stage(q, "keywords").repartition(parts, "kw"), stage(k, "keys")
+    k = stage(k.groupBy("k_norm").agg(F.min(F.struct("ordinal", "key", "genre")).alias("m")).select("k_norm", "m.*"), "keys")
+    counts = stage(k.select(F.explode(_token_list("k")).alias("token")).groupBy("token").agg(F.count("*").alias("n")), "token-counts")
+    q = stage(_ranked(named.select("q_norm").distinct(), "q", counts), "ranked-keywords")
+    k = stage(_ranked(k, "k", counts).join(k, "k_norm"), "ranked-keys")
+    return named, q.repartition(parts, "q_norm"), k
 
 
-def _first_best(scored: DataFrame) -> DataFrame:
-    """Highest score per keyword, the earliest lookup entry on ties. Repeated pairs do no harm."""
-    return (
-        scored.groupBy("kw")
-        .agg(F.max_by(F.struct("key", "genre", "ordinal", "score"), F.struct("score", -F.col("ordinal"))).alias("m"))
-        .select("kw", "m.key", "m.genre", "m.ordinal", "m.score")
-    )
+def _first_best(scored: DataFrame, named: DataFrame) -> DataFrame:
+    """Highest score per keyword, the earliest lookup entry on ties."""
+    best = scored.groupBy("q_norm").agg(F.max_by(F.struct("key", "genre", "ordinal", "score"), F.struct("score", -F.col("ordinal"))).alias("m"))
+    return named.join(best, "q_norm").select("kw", "m.key", "m.genre", "m.ordinal", "m.score")
 
 
 def token_subset_join(keywords: DataFrame, lookup: DataFrame) -> DataFrame:
     """First lookup entry, in file order, whose tokens contain the keyword's or are contained in them."""
-    q, k = _sides(keywords, lookup)
+    named, q, k = _sides(keywords, lookup)
     pairs = _computed(_candidates(q, k, 0.0, grams=False), _q=_token_list("q"), _k=_token_list("k"))
     covered = (F.size(F.array_except("_q", "_k")) == 0) | (F.size(F.array_except("_k", "_q")) == 0)
-    return _first_best(pairs.where(covered).withColumn("score", F.lit(100.0)))
+    return _first_best(pairs.where(covered).withColumn("score", F.lit(100.0)), named)
 
 
 def fuzzy_join(keywords: DataFrame, lookup: DataFrame, cutoff: float = 85, min_len: int = 4) -> DataFrame:
@@ -276,8 +286,8 @@ def fuzzy_join(keywords: DataFrame, lookup: DataFrame, cutoff: float = 85, min_l
     if not 67 <= cutoff <= 100:
         raise ValueError("cutoff must lie between 67 and 100: below that no candidate filter holds")
     delta = 1 - cutoff / 100
-    q, k = _sides(keywords.where(F.length("kw") >= min_len), lookup)
-    return _first_best(_with_score(_candidates(q, k, delta, grams=True), cutoff))
+    named, q, k = _sides(keywords.where(F.length("kw") >= min_len), lookup)
+    return _first_best(_with_score(_candidates(q, k, delta, grams=True), cutoff), named)
 
 
 def fuzzy_ext_join(keywords: DataFrame, lookup_ext: DataFrame, cutoff: float = 92, min_len: int = 8) -> DataFrame:
