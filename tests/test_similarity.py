@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
 
@@ -128,3 +129,20 @@ def test_long_texts_and_many_repeats(spark):
     kw, lut = frames(spark, [" ".join([*words[1:], "ab"]), "x" * 880, "y" * 2000], lookup)
     got = {r.kw[:2]: r.genre for r in sim.fuzzy_join(kw, lut).collect()}
     assert got == {"ab": "A", "xx": "B"}
+
+
+def test_keys_without_a_partner_are_not_made(spark):
+    kw, lut = frames(spark, ["naruto", "qqqq wwww", "naruto zz " + "q" * 300], [("naruto", "ANIME"), ("one piece", "ANIME")])
+    named, q, k = sim._sides(kw, lut)
+    assert [(t.n, t.key) for t in q.where("q_norm = 'qqqq wwww'").first()["_tokens"]] == [(0, "tqqqq"), (0, "twwww")]
+    q = sim._numbered_grams(q, "q", F.length("q_norm") < 20)
+    k = sim._numbered_grams(k, "k")
+    keys = {r.q_norm[:2]: r.n for r in sim._join_keys(q, "q", sim._counts(k), 0.15).groupBy("q_norm").count().withColumnRenamed("count", "n").collect()}
+    assert "qq" not in keys and sim._join_keys(q, "q", sim._counts(k), 0.15).where("length(q_norm) > 20").select("q_key").first().q_key == "tnaruto"
+
+
+def test_equal_token_sets_are_compared_once(spark):
+    kw, lut = frames(spark, ["b a", "a b", "a  b"], [("a b", "1"), ("b a", "2")])
+    named, q, k = sim._sides(kw, lut)
+    assert (named.count(), q.count(), k.count()) == (3, 1, 1)
+    assert {r.kw: r.key for r in sim.fuzzy_join(kw, lut, min_len=1).collect()} == dict.fromkeys(["b a", "a b", "a  b"], "a b")

@@ -23,6 +23,7 @@ makes, so left to them the planner might broadcast a table many times larger tha
 
 from __future__ import annotations
 
+import math
 import sys
 
 import pandas as pd
@@ -154,7 +155,8 @@ def _join_keys(df: DataFrame, side: str, counts: Column | None, delta: float) ->
     Letter pairs. The second form reaches the cutoff only if indel <= delta * (sum of lengths). A text has
     one letter pair more than its length; a deletion loses two of them, an insertion one. So both
     share at least (0.5 - 1.5 * delta) * (sum of lengths) + 1 pairs. With all pairs in one order,
-    two such texts share one early on: within a prefix, as many as are needed to meet any partner.
+    two such texts share one early on: within a prefix, as many as are needed to meet any partner. Keys of letter pairs hold a step of the
+    length as well. Near lengths are on the same step or on neighbouring ones, so lookup keys stand on three and texts on one.
     """
     share = 2 * delta / (1 + delta)
     n = F.length(f"{side}_norm")
@@ -172,7 +174,10 @@ def _join_keys(df: DataFrame, side: str, counts: Column | None, delta: float) ->
         least_common = F.ceil(n * ((1 - 3 * delta) / (1 + delta)) + 1 - _EPS)
         prefix = F.slice("_ordered", F.lit(1), F.greatest(n + 2 - least_common, F.lit(0)).cast("int"))
         placed = F.transform(prefix, lambda g, i: entry(g, i, F.lit(False)))
-        entries = F.concat(entries, F.filter(placed, lambda e: counts[_bucket(e["key"])] > 0))
+        placed = F.filter(placed, lambda e: counts[_bucket(e["key"])] > 0)
+        step = F.floor(F.log(n.cast("double")) / (math.log((1 + delta) / (1 - delta)) + _EPS) if delta else n).cast("int")
+        at = lambda d: F.transform(placed, lambda e: entry(F.concat(e["key"], F.lit(":"), (step + d).cast("string")), e["pos"], e["rare"]))
+        entries = F.concat(entries, *[at(d) for d in ((0,) if side == "q" else (-1, 0, 1))])
     rows = df.withColumn("_entry", F.explode(entries)).drop("_tokens", "_ordered", "_places", "_rare", f"{side}_grams")
     return rows.select("*", *[F.col(f"_entry.{f}").alias(f"{side}_{f}") for f in ("key", "pos", "rare")]).drop("_entry")
 
@@ -261,7 +266,7 @@ def _sides(keywords: DataFrame, lookup: DataFrame) -> tuple[DataFrame, DataFrame
     counts = stage(k.select(F.explode(_token_list("k")).alias("token")).groupBy("token").agg(F.count("*").alias("n")), "token-counts")
     q = stage(_ranked(named.select("q_norm").distinct(), "q", counts), "ranked-keywords")
     k = stage(_ranked(k, "k", counts).join(k, "k_norm"), "ranked-keys")
-    return named, q.repartition(parts, "q_norm"), k
+    return named, q.repartition(parts, "q_norm"), k.repartition(parts, "k_norm")
 
 
 def _first_best(scored: DataFrame, named: DataFrame) -> DataFrame:
