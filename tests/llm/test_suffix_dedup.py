@@ -130,3 +130,12 @@ def test_word_runs_against_brute_force(spark, sf_dir):
     for r in suffix_dedup.repeated_word_spans(docs).collect():
         got[r.doc_id] = [i for a, b in suffix_dedup.merge_spans(r.spans) for i in range(-(-a // suffix_dedup.CODE), b // suffix_dedup.CODE)]
     assert got == want and any(want.values())
+
+
+def test_one_python_worker_for_each_task(spark, monkeypatch):
+    """No stage of the search for passages has two Python functions, whose workers would stand beside each task at once."""
+    plans, staged = [], suffix_dedup.stage
+    monkeypatch.setattr(suffix_dedup, "stage", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or staged(df, name))
+    texts = [f"{i} " + " ".join(f"w{j}" for j in range(60)) for i in range(3)]
+    assert suffix_dedup.repeated_word_spans(documents(spark, texts)).count() == 3
+    assert any("MapInArrow" in p for p in plans) and not any("ArrowEvalPython" in p for p in plans)

@@ -23,7 +23,7 @@ steps run on the codes, whose spans are put back on the bytes of the words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b, sha256
 
 import numpy as np
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm import common
-from trendloom.llm.common import byte_column, byte_prefix_sums, keyed, mix, same_row, ship_package, slices, stage, substring_hash
+from trendloom.llm.common import byte_column, byte_prefix_sums, keyed, mix, powers, same_row, ship_package, slices, stage, substring_hash
 from trendloom.llm.decontaminate import word_hashes
 from trendloom.session import staged_since, staging_path
 
@@ -61,16 +61,27 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def find_segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
+def find_segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int, step: int = 1):
     """Yield (row, start in row, windows, place of the anchor, anchor hash, digest) of the segments of some rows.
 
-    All rows are read as one run of bytes, in blocks; windows across two rows are left out.
+    All rows are read as one run of bytes, in blocks; windows across two rows are left out. With a ``step``, of which all lengths are
+    multiples, windows and anchors begin at its multiples alone, and the bytes of a step have one number.
     """
-    numbers = common.byte_numbers()
+    if step > 1:
+        units = data.view(np.uint64)
+        for row, start, count, at, anchor, digest in _find_segments(units, mix(units) | np.uint64(1), offsets // step, length // step, gram // step):
+            yield row, start * step, (count - 1) * step + 1, at * step, anchor, digest
+    else:
+        yield from _find_segments(data, None, offsets, length, gram)
+
+
+def _find_segments(data: np.ndarray, numbers: np.ndarray | None, offsets: np.ndarray, length: int, gram: int):
+    table, top = common.byte_numbers(), 2 * _BLOCK
     for low in range(0, max(0, len(data) - length + 1), _BLOCK):
         block = data[low : low + _BLOCK + length - 1]
         windows, grams = len(block) - length + 1, len(block) - gram + 1
-        hashes = mix(substring_hash(byte_prefix_sums(numbers, block), np.arange(grams), gram, 2 * _BLOCK))
+        prefix = byte_prefix_sums(table, block) if numbers is None else common.prefix_sums(numbers[low : low + len(block)])
+        hashes = mix((prefix[gram:] - prefix[:-gram]) * powers(top + 1)[top : top - grams : -1])
         packed = (hashes & ~_PLACE) | np.arange(grams, dtype=np.uint64)
         anchor = (_sliding_min(packed, length - gram + 1) & _PLACE).astype(np.int64)
         edges = np.concatenate([offsets - low, offsets - low - length + 1])
@@ -85,11 +96,21 @@ def find_segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int)
         yield row, first + low - offsets[row], count, at - first, hashes[at].view(np.int64), np.array(digests, np.int64)
 
 
-def _segments(length: int, gram: int):
+Coder = Callable[[bytes], bytes]
+
+
+def _coded_column(column: pa.Array, code: Coder) -> tuple[np.ndarray, np.ndarray]:
+    """byte_column of the codes of the texts."""
+    coded = [code(t) for t in common.texts(column)]
+    return np.frombuffer(b"".join(coded), np.uint8), np.cumsum([0, *map(len, coded)], dtype=np.int64)
+
+
+def _segments(length: int, gram: int, code: Coder | None = None, step: int = 1):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):
-            data, offsets = byte_column(batch.column("text"))
-            for row, start, count, place, anchor, digest in find_segments(data, offsets, length, gram):
+            column = batch.column("text")
+            data, offsets = _coded_column(column, code) if code else byte_column(column)
+            for row, start, count, place, anchor, digest in find_segments(data, offsets, length, gram, step):
                 take = pa.array(row)
                 columns = [
                     batch.column("doc_id").take(take), batch.column("text_key").take(take), pa.array(start),
@@ -191,8 +212,8 @@ def merge_sort(group: np.ndarray, compare) -> np.ndarray:
     return order
 
 
-def repeated_windows(strings: list[bytes], anchor, windows, group, copies, length: int) -> list[tuple[int, int, int]]:
-    """(row, first, last) of the runs of windows that occur more than once among the segments of a bucket.
+def repeated_windows(strings: list[bytes], anchor, windows, group, copies, length: int, step: int = 1) -> list[tuple[int, int, int]]:
+    """(row, first, last) of the runs of windows that occur more than once among the segments of a bucket, at multiples of ``step``.
 
     Two segments share the window that starts ``d`` bytes before the anchor if they agree in ``d`` bytes
     before it and in ``length - d`` bytes from it on.
@@ -208,8 +229,8 @@ def repeated_windows(strings: list[bytes], anchor, windows, group, copies, lengt
     rank = [np.empty(len(rows), np.int64) for _ in sides]
     for (order, _), place in zip(sides, rank):
         place[order] = np.arange(len(rows))
-    mask = [np.zeros(w, bool) for w in windows]
-    for d in range(int((anchor - windows).min()) + 1, int(anchor.max()) + 1):
+    mask = [np.zeros((w - 1) // step + 1, bool) for w in windows]
+    for d in range(int((anchor - windows).min()) + 1, int(anchor.max()) + 1, step):
         active = np.flatnonzero((anchor >= d) & (anchor - d < windows))
         if len(active) < 2:
             continue
@@ -217,20 +238,20 @@ def repeated_windows(strings: list[bytes], anchor, windows, group, copies, lengt
         _, kind = np.unique(right * (len(rows) + 1) + left, return_inverse=True)
         equal = np.bincount(kind, weights=copies[active])[kind] > 1
         for r in active[equal & (copies[active] == 1)].tolist():
-            mask[r][anchor[r] - d] = True
+            mask[r][(anchor[r] - d) // step] = True
     for r, m in enumerate(mask):
         if copies[r] == 1 and m.any():
             edge = np.flatnonzero(np.diff(np.r_[False, m, False]))
-            found += [(int(rows[r]), int(a), int(b) - 1) for a, b in zip(edge[::2], edge[1::2])]
+            found += [(int(rows[r]), int(a) * step, (int(b) - 1) * step) for a, b in zip(edge[::2], edge[1::2])]
     return found
 
 
-def _bucket(length: int):
+def _bucket(length: int, step: int = 1):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["anchor", "shape", "digest"], ignore_index=True)
         shape = pdf["shape"].to_numpy(np.int64)
         found = repeated_windows(
-            pdf["segment"].tolist(), shape & 0xFFFF, shape >> 16, pdf["anchor"].to_numpy(), pdf["copies"].to_numpy(), length
+            pdf["segment"].tolist(), shape & 0xFFFF, shape >> 16, pdf["anchor"].to_numpy(), pdf["copies"].to_numpy(), length, step
         )
         row, first, last = (np.array(x, np.int64) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
         out = pdf.loc[row, ["anchor", "shape", "digest"]].reset_index(drop=True)
@@ -239,25 +260,30 @@ def _bucket(length: int):
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(code: Coder | None = None):
     """The text of the segments asked of each document."""
-    for batch in (part for whole in batches for part in slices(whole)):
-        rows = []
-        for text, asked in zip(common.texts(batch.column("text")), batch.column("wanted").to_pylist()):
-            rows += [x | {"segment": text[x["start"] : x["start"] + x["size"]]} for x in asked]
-        yield pa.RecordBatch.from_pylist(rows, _CUT)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole)):
+            rows = []
+            for text, asked in zip(common.texts(batch.column("text")), batch.column("wanted").to_pylist()):
+                text = code(text) if code else text
+                rows += [x | {"segment": text[x["start"] : x["start"] + x["size"]]} for x in asked]
+            yield pa.RecordBatch.from_pylist(rows, _CUT)
+
+    return run
 
 
 _CUT = pa.schema([("anchor", pa.int64()), ("shape", pa.int32()), ("digest", pa.int64()), ("copies", pa.int64()), ("segment", pa.binary())])
 
 
-def _explode_windows(length: int):
+def _explode_windows(length: int, step: int = 1):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x in batch.to_pylist():
                 text, count = x.pop("segment"), x["shape"] >> 16
-                digest = [blake2b(text[i : i + length], digest_size=16).digest() for i in range(count)]
-                yield pa.RecordBatch.from_pylist([x | {"first": i, "window": d} for i, d in enumerate(digest)], _WINDOW)
+                digest = {i: blake2b(text[i : i + length], digest_size=16).digest() for i in range(0, count, step)}
+                yield pa.RecordBatch.from_pylist([x | {"first": i, "window": d} for i, d in digest.items()], _WINDOW)
 
     return run
 
@@ -295,19 +321,16 @@ def word_spans(text: bytes, spans: list[dict]) -> list[dict]:
 def repeated_word_spans(docs: DataFrame, words: int = PASSAGE_WORDS, split_rows: int = SPLIT_ROWS) -> DataFrame:
     """As repeated_spans, for runs of at least ``words`` words; the ranges are of word codes."""
     ship_package(docs.sparkSession)
+    return _keyed_spans(keyed(docs), CODE * words, split_rows, word_codes, CODE)
 
-    @F.arrow_udf("string")
-    def coded(text: pa.Array) -> pa.Array:
-        return pa.array([word_codes(t).decode("ascii") for t in common.texts(text)], pa.string())
-
-    rows = keyed(docs)
-    return _keyed_spans(rows.select("doc_id", "text_key", coded("text").alias("text")), CODE * words, split_rows)
 
+def _keyed_spans(docs: DataFrame, length: int, split_rows: int, code: Coder | None = None, step: int = 1) -> DataFrame:
+    """repeated_spans of rows that have their keys, or of the codes of their texts, with windows at multiples of ``step``.
 
-def _keyed_spans(docs: DataFrame, length: int, split_rows: int) -> DataFrame:
-    """repeated_spans of rows that have their keys."""
-    spark, gram = docs.sparkSession, max(1, length // 3)
-    segments = stage(docs.mapInArrow(_segments(length, gram), _SEGMENT), "segments")
+    Codes are made by the function that reads them: a column of its own would put two Python workers beside each task.
+    """
+    spark, gram = docs.sparkSession, max(1, length // step // 3) * step
+    segments = stage(docs.mapInArrow(_segments(length, gram, code, step), _SEGMENT), "segments")
     # Written, so that the join deals out both sides by itself and can split an anchor that very many segments share.
     repeated = stage(segments.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "repeated")
     same = ["anchor", "shape", "digest"]
@@ -324,15 +347,15 @@ def _keyed_spans(docs: DataFrame, length: int, split_rows: int) -> DataFrame:
     )
     one_each = docs.alias("d").join(wanted.alias("w"), same_row("d", "w")).select("w.doc_id", "w.text_key", "text", "wanted")
     cut = "anchor long, shape int, digest long, copies long, segment binary"
-    strings = stage(one_each.select("text", "wanted").mapInArrow(_cut, cut).dropDuplicates(same), "strings")
+    strings = stage(one_each.select("text", "wanted").mapInArrow(_cut(code), cut).dropDuplicates(same), "strings")
 
     crowded = strings.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > split_rows).select("anchor")
     crowded = stage(crowded, "crowded")
     buckets = max(1, strings.count() // BUCKET_ROWS)
     usual = strings.join(crowded, "anchor", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
-    found = usual.groupBy("bucket").applyInPandas(_bucket(length), "anchor long, shape int, digest long, first long, last long")
+    found = usual.groupBy("bucket").applyInPandas(_bucket(length, step), "anchor long, shape int, digest long, first long, last long")
     windows = strings.join(crowded, "anchor", "left_semi").mapInArrow(
-        _explode_windows(length), "anchor long, shape int, digest long, copies long, first long, window binary"
+        _explode_windows(length, step), "anchor long, shape int, digest long, copies long, first long, window binary"
     )
     twice = windows.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window")
     found = found.unionByName(windows.join(twice, "window").select(*same, "first", F.col("first").alias("last")))
