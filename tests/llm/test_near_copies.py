@@ -111,3 +111,21 @@ def test_recall_by_similarity(spark):
         sets = [plain_shingles(t) for t in texts]
         want = sum(len(a & b) >= 0.8 * len(a | b) for a, b in zip(sets[::2], sets[1::2]))
         assert len(texts) - near_copies.one_of_each(documents(spark, texts)).count() == want and (want == 60) == alike
+
+
+def test_simhash_finds_every_pair_within_its_radius(spark):
+    """100 pairs of similar sets under one key of blocks, 3 bits apart, no MinHash keys: each is found, whether or not the key is keyed again."""
+    rnd, texts, rows = random.Random(5), [], []
+    far = [rnd.getrandbits(31) << 33 for _ in range(100)]
+    for i, fingerprint in enumerate(far):
+        for text, flips in zip(relatives(2, 200, 1, i), (0, 1 << 33 | 1 << 44 | 1 << 54)):
+            text = " ".join(f"p{i}{w}" for w in text.split())
+            own = near_copies.shingle_set(text.encode())
+            signed = int(np.uint64(fingerprint ^ flips).astype(np.int64))
+            rows.append((len(rows), len(own), signed, near_copies.bitmap(own).tolist(), [len(rows)]))
+            texts.append((len(texts), text))
+    sketches = spark.createDataFrame(rows, "digest long, n long, fingerprint long, bits array<long>, keys array<long>")
+    near_copies.ship_package(spark)
+    for crowd in (near_copies.CROWD, 20):
+        found = near_copies.set_classes(sketches, spark.createDataFrame(texts, "digest long, text string"), crowd=crowd)
+        assert {r.digest: r.root for r in found.collect()} == {i: i - i % 2 for i in range(200)}

@@ -3,8 +3,9 @@
 A text is the set of its 5-word shingles; sets that are equal are one row. Pairs are found in turns, and every
 pair at or above the threshold ties two components into one:
 
-1. SimHash: fingerprints of the sets are split into blocks, 20 keys of 3 blocks in 6 each. Under each key a set is held against its
-   neighbours, and pairs within ``RADIUS`` bits are candidates.
+1. SimHash, whole: the distinct fingerprints of the sets go to 20 tables of 3 blocks in 6, crowded keys are keyed again, and distances are checked, as in
+   ``simhash_dedup``. First the links that hold its components together are candidates, and sets of one fingerprint. Then every
+   pair within ``RADIUS`` bits whose sets are still in different components is one, under the conditions of 3.
 2. A similarity of 0.8 leaves about 10 of 64 bits apart, which no blocks of useful size can cover. ``BANDS`` keys of ``ROWS`` minima each
    reach those pairs: two sets of similarity 0.8 share a key but for about 3 in a million pairs, and more alike ones more
    surely. Twice every set is held against a few neighbours under its keys, so that large groups grow together in a few comparisons
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from trendloom.llm import common
 from trendloom.llm.common import row_key, ship_package, slices, stage
 from trendloom.llm.components import connected_components
-from trendloom.llm.simhash_dedup import BLOCKS, RADIUS, SEED, bit_counts, masks, shingle_hashes
+from trendloom.llm.simhash_dedup import CROWD, RADIUS, SEED, bit_counts, bucket_ties, buckets_of, shingle_hashes
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -138,20 +139,37 @@ def _shared_keys(keys: DataFrame, roots: DataFrame) -> DataFrame:
     return members.join(meeting, "key")
 
 
-def _neighbours(members: DataFrame, turn: int, near: Column | None = None) -> DataFrame:
+def _neighbours(members: DataFrame, turn: int) -> DataFrame:
     """(u, v) of different components: each set with up to NEIGHBOURS before it under its key, in an order of the turn's own."""
     order = Window.partitionBy("key").orderBy(F.xxhash64("digest", F.lit(turn)), "digest")
-    own = [c for c in ("digest", "root", "fingerprint") if c in members.columns]
-    before = F.array(*[F.lag(F.struct(*own), k).over(order) for k in range(1, NEIGHBOURS + 1)])
-    held = members.select(*own, F.filter(before, lambda o: o.isNotNull()).alias("before"))
-    held = held.select(*own, F.explode("before").alias("o")).where("o.root <> root")
-    held = held if near is None else held.where(near)
+    before = F.array(*[F.lag(F.struct("digest", "root"), k).over(order) for k in range(1, NEIGHBOURS + 1)])
+    held = members.select("digest", "root", F.filter(before, lambda o: o.isNotNull()).alias("before"))
+    held = held.select("digest", "root", F.explode("before").alias("o")).where("o.root <> root")
     return held.select(F.least("digest", "o.digest").alias("u"), F.greatest("digest", "o.digest").alias("v")).distinct()
 
 
-def _all_pairs(rows: DataFrame, threshold: float) -> DataFrame:
-    """(u, v) of different components under one key that can reach the threshold."""
+def _fingerprint_links(sketches: DataFrame, buckets: DataFrame) -> DataFrame:
+    """(u, v): sets of one fingerprint, each with the first of them, and the first sets of the fingerprints that hold a SimHash component together."""
+    firsts = sketches.groupBy("fingerprint").agg(F.min("digest").alias("first"))
+    alike = sketches.select("digest", "fingerprint").join(firsts, "fingerprint").where("digest <> first").select(F.col("first").alias("u"), F.col("digest").alias("v"))
+    ends = [firsts.select(F.col("fingerprint").alias(c), F.col("first").alias(f"first_{c}")) for c in ("u", "v")]
+    ties = bucket_ties(buckets, RADIUS, direct=True).distinct().join(ends[0], "u").join(ends[1], "v")
+    return alike.union(ties.select(F.least("first_u", "first_v"), F.greatest("first_u", "first_v"))).distinct()
+
+
+def _fingerprint_keys(sketches: DataFrame, buckets: DataFrame) -> DataFrame:
+    """(digest, fingerprint, key): under one key at least meet any two sets whose fingerprints are within ``RADIUS`` bits."""
+    alike = sketches.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1")
+    keys = buckets.select("fingerprint", F.xxhash64("table", "bits").alias("key"))
+    keys = keys.unionByName(alike.select("fingerprint", F.xxhash64(F.lit(-1), F.col("fingerprint")).alias("key")))
+    return sketches.select("digest", "fingerprint").join(keys, "fingerprint").select("digest", "fingerprint", "key")
+
+
+def _all_pairs(rows: DataFrame, threshold: float, radius: int | None = None) -> DataFrame:
+    """(u, v) of different components under one key that can reach the threshold, with fingerprints within ``radius`` if given."""
     on = (F.col("a.key") == F.col("b.key")) & (F.col("a.digest") < F.col("b.digest")) & (F.col("a.root") != F.col("b.root"))
+    if radius is not None:
+        on = on & (F.bit_count(F.col("a.fingerprint").bitwiseXOR(F.col("b.fingerprint"))) <= radius)
     pairs = rows.alias("a").join(rows.alias("b"), on & _can_reach("a", "b", threshold))
     return pairs.select(F.col("a.digest").alias("u"), F.col("b.digest").alias("v")).distinct()
 
@@ -178,24 +196,32 @@ def _tied(pairs: DataFrame, roots: DataFrame, sets: DataFrame, sketches: DataFra
     return after
 
 
-def set_classes(sketches: DataFrame, texts: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+def set_classes(sketches: DataFrame, texts: DataFrame, threshold: float = SIMILARITY, crowd: int = CROWD) -> DataFrame:
     """(digest, root) for distinct sketches; texts has digest and text of each. What the turns staged is deleted after them."""
-    blocks = [F.xxhash64(F.lit(t), F.col("fingerprint").bitwiseAND(F.lit(m))) for t, m in enumerate(masks(list(range(64)), BLOCKS, RADIUS))]
-    keys = [sketches.select("digest", "fingerprint", F.explode(F.array(*blocks)).alias("key")), sketches.select("digest", F.explode("keys").alias("key"))]
-    for i, rows in enumerate(keys):
-        crowds = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-        keys[i] = stage(rows.join(crowds, "key"), "near-keys")
+    buckets = stage(buckets_of(sketches.select("fingerprint").distinct(), RADIUS, crowd), "near-buckets")
+    rows = sketches.select("digest", F.explode("keys").alias("key"))
+    crowds = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    keys = [stage(df, "near-keys") for df in (_fingerprint_keys(sketches, buckets), rows.join(crowds, "key"))]
     meeting = keys[0].select("digest").union(keys[1].select("digest")).distinct()
     sets = stage(texts.join(meeting, "digest").select("digest", "text").mapInArrow(_sets, "digest long, shingles binary"), "near-sets")
+    lean = sketches.select("digest", "n", "bits")
+
+    def turn(pairs: DataFrame, before: DataFrame, *done: DataFrame) -> DataFrame:
+        after = _tied(pairs, before, sets, sketches, threshold)
+        _drop(*done)
+        return after
+
+    def every_pair(keyed: DataFrame, before: DataFrame, radius: int | None = None) -> DataFrame:
+        rest = stage(_shared_keys(keyed, before).join(lean, "digest"), "near-rest")
+        return turn(_all_pairs(rest, threshold, radius), before, before, rest)
+
     each = sketches.select("digest", F.col("digest").alias("root"))
-    near = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("o.fingerprint"))) <= RADIUS
-    roots = _tied(_neighbours(_shared_keys(keys[0], each), 0, near), each, sets, sketches, threshold)
-    for turn in range(1, SPARSE_ROUNDS + 1):
-        before, roots = roots, _tied(_neighbours(_shared_keys(keys[1], roots), turn), roots, sets, sketches, threshold)
-        _drop(before)
-    rest = stage(_shared_keys(keys[1], roots).join(sketches.select("digest", "n", "bits"), "digest"), "near-rest")
-    before, roots = roots, _tied(_all_pairs(rest, threshold), roots, sets, sketches, threshold)
-    _drop(before, rest, sets, *keys)
+    roots = turn(_fingerprint_links(sketches, buckets), each, buckets)
+    roots = every_pair(keys[0], roots, RADIUS)
+    for k in range(1, SPARSE_ROUNDS + 1):
+        roots = turn(_neighbours(_shared_keys(keys[1], roots), k), roots, roots)
+    roots = every_pair(keys[1], roots)
+    _drop(sets, *keys)
     return roots
 
 

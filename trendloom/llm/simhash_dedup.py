@@ -87,26 +87,27 @@ def _keys(kept: list[int]):
     return F.explode(F.array([F.struct(F.lit(t).alias("table"), fp.bitwiseAND(F.lit(m)).alias("bits")) for t, m in enumerate(kept)]))
 
 
-def _tied(fps: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
-    """Each fingerprint of a bucket with the smallest that it reaches within the bucket."""
+def _tied(fps: np.ndarray, radius: int, direct: bool = False) -> Iterator[tuple[int, int]]:
+    """Each fingerprint of a bucket with the smallest that it reaches within the bucket, or with one within the radius on the way to it."""
     left = np.sort(fps)
     while len(left) > 1:
         root, left, reached = left[0], left[1:], [left[0]]
         while reached and len(left):
-            near = np.bitwise_count((left ^ reached.pop()).view(np.uint64)) <= radius
+            here = reached.pop()
+            near = np.bitwise_count((left ^ here).view(np.uint64)) <= radius
             found, left = left[near], left[~near]
             reached += list(found)
-            yield from ((int(x), int(root)) for x in found)
+            yield from ((int(x), int(here if direct else root)) for x in found)
 
 
-def _bucket_edges(radius: int):
+def _bucket_edges(radius: int, direct: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by key; the last key of a batch may go on in the next."""
         rest = [np.zeros(0, np.int64)] * 3
 
         def edges(table, bits, fps):
             first = np.flatnonzero(np.r_[True, (np.diff(table) != 0) | (np.diff(bits) != 0)])
-            pairs = [e for a, b in zip(first, np.r_[first[1:], len(fps)]) if b - a > 1 for e in _tied(fps[a:b], radius)]
+            pairs = [e for a, b in zip(first, np.r_[first[1:], len(fps)]) if b - a > 1 for e in _tied(fps[a:b], radius, direct)]
             u, v = zip(*pairs) if pairs else ((), ())
             return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
@@ -125,9 +126,8 @@ def _bucket_edges(radius: int):
     return run
 
 
-def near_pairs(distinct: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
-    """(u, v): ties between distinct fingerprints that connect exactly those linked within ``radius`` bits."""
-    ship_package(distinct.sparkSession)
+def buckets_of(distinct: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
+    """(table, bits, fingerprint): buckets in which any two distinct fingerprints within ``radius`` bits meet."""
     first = masks(list(range(64)), BLOCKS, radius)
     tables = distinct.select("fingerprint", _keys(first).alias("k")).select("k.table", "k.bits", "fingerprint")
     sizes = tables.groupBy("table", "bits").agg(F.count("*").alias("n")).where("n > 1")
@@ -138,9 +138,19 @@ def near_pairs(distinct: DataFrame, radius: int = RADIUS, crowd: int = CROWD) ->
     deep = deep.select(
         (1000 * (F.col("table") + 1) + F.col("t")).alias("table"), F.col("fingerprint").bitwiseAND(F.col("mask")).alias("bits"), "fingerprint"
     )
-    buckets = shared.where(F.col("n") <= crowd).select("table", "bits", "fingerprint").unionByName(deep)
+    return shared.where(F.col("n") <= crowd).select("table", "bits", "fingerprint").unionByName(deep)
+
+
+def bucket_ties(buckets: DataFrame, radius: int = RADIUS, direct: bool = False) -> DataFrame:
+    """(u, v): ties that connect exactly the fingerprints linked within ``radius`` bits; ``direct`` ones are links themselves."""
+    ship_package(buckets.sparkSession)
     dealt = buckets.repartition("table", "bits").sortWithinPartitions("table", "bits")
-    return dealt.mapInArrow(_bucket_edges(radius), "u long, v long")
+    return dealt.mapInArrow(_bucket_edges(radius, direct), "u long, v long")
+
+
+def near_pairs(distinct: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
+    """(u, v): ties between distinct fingerprints that connect exactly those linked within ``radius`` bits."""
+    return bucket_ties(buckets_of(distinct, radius, crowd), radius)
 
 
 def fingerprint_classes(fingerprints: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
