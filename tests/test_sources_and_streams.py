@@ -366,3 +366,13 @@ def test_admission_by_bytes_and_merged_batches(spark, tmp_path):
     assert os.listdir(data) == [f"batch_id={batches - 1}"] and read() == list(range(24))
     with pytest.raises(ValueError, match="files or by bytes"):
         jobs.follow(spark, folder, jobs.SINK_SCHEMA, 1, "1m")
+
+
+def test_arrivals_hold_the_columns_that_streams_read(spark, sf_dir, monkeypatch):
+    """The wide columns of the curated table, session and user hashes among them, are not copied for each arrival."""
+    from trendloom.registry import queries
+
+    seen, follow = [], queries.jobs.follow
+    monkeypatch.setattr(queries.jobs, "follow", lambda spark, path, schema, *a: seen.append(schema.names) or follow(spark, path, schema, *a))
+    assert queries.QUERIES["stream_silence"](spark, sf_dir).count() > 0
+    assert seen and all(set(names) <= set(queries._ARRIVING) for names in seen)

@@ -929,12 +929,15 @@ _Z = "round((observed_count - coalesce(rolling_mean, 0)) / greatest(coalesce(rol
 _SLOTS = "LEFT JOIN (SELECT derived_genre, hour_of_day_vn, rolling_mean, rolling_std FROM baseline) USING (derived_genre, hour_of_day_vn)"
 
 
+_ARRIVING = ["event_id", "event_ts", "session_action", "derived_genre", "hour_of_day_vn", "platform_group"]
+
+
 def _arrive(spark, df: DataFrame, groups: list, *starts) -> None:
     """Let the rows of each condition arrive one after the other, and run the streams to their end each time.
 
-    Each arrival is a micro-batch of all its files, as many as were written.
+    Each arrival is a micro-batch of all its files, as many as were written. It holds the columns that the streams read and the conditions ask for.
     """
-    folder = staging_path(spark, "arrivals")
+    folder, df = staging_path(spark, "arrivals"), df.select(*_ARRIVING)
     for condition in groups:
         df.where(condition).write.mode("append").parquet(folder)
         for start in starts:
