@@ -159,3 +159,13 @@ def test_ledger_stops_when_the_provider_is_away(spark, tmp_path):
     assert ledger.run(keywords, away).count() == 2 and ledger.labels().count() == 0
     assert ledger.run(keywords, lambda asked: json.dumps({k: "ANIME" for k in asked})).count() == 10
     assert ledger.labels().count() == 100
+
+
+def test_ledger_query_makes_the_pool_once(spark, sf_dir, monkeypatch):
+    """Both runs of the ledger read one written pool; none makes the keywords from the tables again."""
+    from trendloom.registry import queries
+
+    read, run = [], queries.labelling.AnswerLedger.run
+    monkeypatch.setattr(queries.labelling.AnswerLedger, "run", lambda self, keywords, provider: read.append(sorted(keywords.inputFiles())) or run(self, keywords, provider))
+    assert queries.QUERIES["label_ledger"](spark, sf_dir).count() > 0
+    assert len(read) == 2 and read[0] == read[1] and all("/pool-" in f for f in read[0])

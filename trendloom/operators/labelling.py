@@ -33,11 +33,11 @@ def in_groups(keywords: DataFrame, batch: int = 50) -> DataFrame:
 
     def group(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for start in range(0, len(frame), batch):
-                part = frame.iloc[start : start + batch]
-                part = part[part["asked"] != ""]
-                if not part.empty:
-                    yield pd.DataFrame({"originals": [part["keyword_norm"].tolist()], "asked": [part["asked"].tolist()]})
+            frame = frame[["keyword_norm", "asked"]]
+            parts = (frame.iloc[start : start + batch] for start in range(0, len(frame), batch))
+            parts = [part for part in (p[p["asked"] != ""] for p in parts) if not part.empty]
+            if parts:
+                yield pd.DataFrame({"originals": [p["keyword_norm"].tolist() for p in parts], "asked": [p["asked"].tolist() for p in parts]})
 
     sent = keywords.select("keyword_norm", sanitize_keyword(F.col("keyword_norm")).alias("asked"))
     return sent.mapInPandas(group, _GROUP)

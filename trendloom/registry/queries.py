@@ -578,8 +578,9 @@ def label_ledger(spark, sf):
         return sound(keywords)
 
     ledger = labelling.AnswerLedger(spark, staging_path(spark, "ledger"), batch=20, stop_after=None)
+    pool = stage(t.keyword_pool(spark, sf).select("keyword_norm"), "pool")
     for provider in (moody, sound):
-        ledger.run(t.keyword_pool(spark, sf), provider)
+        ledger.run(pool, provider)
     return ledger.labels().withColumn("open_groups", F.lit(ledger.open_groups().count()))
 
 
