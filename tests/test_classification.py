@@ -113,6 +113,21 @@ def test_provider_labels_reach_the_curated_rows(spark):
     assert {r.event_id: r.derived_genre for r in got.collect()} == {"1": "NHAC", "2": "UNKNOWN", "3": "ANIME"}
 
 
+def test_curate_parses_each_row_once(spark):
+    from tests.conftest import plan_of
+    from trendloom.plans.enrichment import curate, repaired
+    from trendloom.schemas import RAW_DATA
+
+    times = ["2024-01-02 03:04:05.123", "2565-01-02 03:04:05.6", "0004-01-02 03:04:05.000", "1899-01-02 03:04:05.000", "2024-01-02 3:04:05", "no date", None]
+    rows = [{f.name: None for f in RAW_DATA.fields} | {"eventid": str(i), "datetime": at, "platform": " WEB "} for i, at in enumerate(times)]
+    raw = spark.createDataFrame([tuple(r[n] for n in RAW_DATA.names) for r in rows], RAW_DATA).withColumn("dt", F.lit("2024-01-02"))
+    got = curate(raw, lookup(spark, [("naruto", "ANIME")]))
+    assert "datetime" not in plan_of(got)
+    expected = {(r.eventid, r.event_ts) for r in repaired(raw).collect()}
+    assert {(r.event_id, r.event_ts) for r in got.collect()} == expected and {e for e, _ in expected} == {"0", "1", "4"}
+    assert {r.platform_group for r in got.collect()} == {"Web"}
+
+
 def test_ledger_asks_failed_groups_again_and_no_others(spark, tmp_path):
     """Every third group fails once, one answers nonsense for ever; the second run asks those alone."""
     log = tmp_path / "calls"

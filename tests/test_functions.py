@@ -3,6 +3,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
 from trendloom.functions import devices, genres, text, timestamps
 
 
@@ -32,6 +33,11 @@ def test_clean_datetime(spark):
     assert apply(spark, timestamps.clean_datetime, CLEAN) == list(CLEAN.values())
 
 
+def test_clean_datetime_holds_its_chain_once(spark):
+    plan = plan_of(spark.createDataFrame([("x",)], "c string").select(timestamps.clean_datetime(F.col("c")).alias("x")))
+    assert plan.count("translate(") == 1
+
+
 def test_impossible_times_are_null_and_corrupt_years_dropped(spark):
     def kept(c):
         return timestamps.plausible_year(timestamps.parse_event_ts(timestamps.clean_datetime(c)))

@@ -13,8 +13,20 @@ from trendloom.functions.text import strip
 PREMIUM_PLANS = ("VIP", "HBO GO+", "K+", "MAX", "MAX XMAS")
 
 
+def platform_name(c: Column) -> Column:
+    return strip(F.lower(c))
+
+
+def network_name(c: Column) -> Column:
+    return strip(F.upper(c))
+
+
 def platform_group(c: Column) -> Column:
-    p = strip(F.lower(c))
+    return group_of_platform(platform_name(c))
+
+
+def group_of_platform(p: Column) -> Column:
+    """The group of a trimmed name. Each test holds the name, so over many rows it is best made a column of its own before."""
     return (
         F.when(p.startswith("fplay-ottbox") | p.isin("androidtvboxhis22", "fplay-gr-android-box"), "OTTBox")
         .when(p.contains("smarttv") | p.contains("smart-tv"), "SmartTV")
@@ -26,7 +38,11 @@ def platform_group(c: Column) -> Column:
 
 
 def network_type_norm(c: Column) -> Column:
-    n = strip(F.upper(c))
+    return type_of_network(network_name(c))
+
+
+def type_of_network(n: Column) -> Column:
+    """The type of a trimmed name; as for platforms."""
     return (
         F.when(n.isin("WIFI", "WLAN"), "WiFi")
         .when(n.isin("WWAN", "3G", "4G", "LTE", "5G"), "Mobile")

@@ -24,7 +24,7 @@ def clean_datetime(c: Column, year_fixes: Mapping[str, str] = YEAR_FIXES) -> Col
 
     Well-formed values, nearly all of them, take one regex test and a substring. The repair of
     the rest is a chain in which each step refers to the one before it once, so the expression
-    stays small where Catalyst copies it.
+    stays small where Catalyst copies it. ``nullif`` would hold the chain twice; a match out of a list does not.
     """
     s = F.translate(strip(c), _FOREIGN_DIGITS, _ASCII_DIGITS)
     for wrong, right in year_fixes.items():
@@ -32,7 +32,7 @@ def clean_datetime(c: Column, year_fixes: Mapping[str, str] = YEAR_FIXES) -> Col
     s = F.regexp_replace(s, _DAY + r"\s+(?=\d:)", "$1 0")
     s = F.regexp_replace(s, _DAY + r"\s+(\d{2}:\d{2}:\d{2})(?!\.\d).*", "$1 $2.000")
     s = F.regexp_replace(s, _DAY + r"\s+", "$1 ")
-    repaired = F.nullif(F.regexp_extract(s, _DAY + _TIME + r"\d{1,3}", 0), F.lit(""))
+    repaired = F.get(F.regexp_extract_all(s, F.lit(_DAY + _TIME + r"\d{1,3}"), 0), F.lit(0))
     good = c.rlike(_DAY + _TIME + r"\d{3}")
     for wrong in year_fixes:
         good &= ~c.startswith(wrong)

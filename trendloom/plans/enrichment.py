@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.functions import devices, timestamps
@@ -23,20 +23,36 @@ from trendloom.sources.lookups import load_lookup, update_lookup
 from trendloom.sources.raw_events import DateWindow
 
 SESSION = "_session_key"
+# The raw columns that the curated table is made of, beside the time.
+_READ = ["eventid", "user_id", "keyword", "category", "proxy_isp", "platform", "networktype", "userplansmap", "dt"]
+
+
+def _parsed() -> Column:
+    return timestamps.parse_event_ts(timestamps.clean_datetime(F.col("datetime")))
 
 
 def repaired(raw: DataFrame) -> DataFrame:
     """Parse the timestamps and drop rows whose year is corrupt or unknown."""
-    clean = timestamps.clean_datetime(F.col("datetime"))
-    return raw.withColumn("event_ts", timestamps.parse_event_ts(clean)).where(
-        timestamps.plausible_year(F.col("event_ts"))
-    )
+    return raw.withColumn("event_ts", _parsed()).where(timestamps.plausible_year(F.col("event_ts")))
+
+
+def repaired_once(raw: DataFrame) -> DataFrame:
+    """:func:`repaired` with the columns the curated table needs, written to the shared folder.
+
+    Catalyst copies the parser into every filter on the time, and the generated method that holds several copies beside all
+    row columns grows past the 8,000 bytes of bytecode up to which the JVM compiles. Here each row is parsed once, and years are tested on what was written. Times are
+    written as microseconds, which corrupt years have too whatever the session's calendar settings.
+    """
+    micros = stage(raw.select(*_READ, F.unix_micros(_parsed()).alias("_micros")), "parsed")
+    rows = micros.select(*_READ, F.timestamp_micros("_micros").alias("event_ts"))
+    return rows.where(timestamps.plausible_year(F.col("event_ts")))
 
 
 def row_columns(df: DataFrame) -> DataFrame:
-    """All curated columns that depend on one row only."""
+    """All curated columns that depend on one row only. Names that several tests look at are trimmed once, below them."""
     user, isp, platform = F.col("user_id"), F.col("proxy_isp"), F.col("platform")
-    return df.select(
+    trimmed = {"_platform": devices.platform_name(platform), "_network": devices.network_name(F.col("networktype"))}
+    return df.withColumns(trimmed).select(
         F.col("eventid").alias("event_id"),
         "event_ts",
         timestamps.local_hour(F.col("event_ts")).alias("hour_of_day_vn"),
@@ -46,8 +62,8 @@ def row_columns(df: DataFrame) -> DataFrame:
         (F.col("category") == "quit").alias("is_search_abandoned"),
         keyword_norm(F.col("keyword")).alias("keyword_norm"),
         F.col("keyword").isNull().alias("keyword_is_null"),
-        devices.platform_group(platform).alias("platform_group"),
-        devices.network_type_norm(F.col("networktype")).alias("network_type_norm"),
+        devices.group_of_platform(F.col("_platform")).alias("platform_group"),
+        devices.type_of_network(F.col("_network")).alias("network_type_norm"),
         F.upper(isp).alias("isp_segment"),
         devices.has_premium(F.col("userplansmap")).alias("has_premium"),
         devices.subscription_count(F.col("userplansmap")).alias("subscription_count"),
@@ -112,16 +128,16 @@ def curate(
 ) -> DataFrame:
     """The curated table of ``raw``.
 
-    Keywords are classified once each. Their labels are written to the shared folder, which
+    The raw rows are parsed once and written, as three branches read them (see :func:`repaired_once`). Keywords are classified once each. Their labels are written to the shared folder, which
     the join back to the events reads twice: for its hot keys and for the labels themselves.
     ``label_provider`` is asked about the keywords left UNKNOWN that the extended lookup does not hold, all of
     them or the ``label_limit`` most frequent. Sessions are sorted by the short readable key; the hash comes
-    after. They come before the genres, so that the slices of shared sessions read the raw columns and
+    after. They come before the genres, so that the slices of shared sessions read the parsed rows and
     nothing that took a shuffle to make. To keep what the provider answers, see ``learn_labels``.
     """
     if window:
         raw = raw.where(window.covers(F.col("dt")))
-    rows = row_columns(repaired(raw))
+    rows = row_columns(repaired_once(raw))
     labels = stage(
         classify_keywords(distinct_keywords(rows), lut, lut_ext, fuzzy, fuzzy_ext, model), "labels"
     )
