@@ -61,6 +61,27 @@ def test_many_bad_records_are_found_side_by_side(spark):
     assert most[0] > 1
 
 
+def test_small_parts_cost_one_attempt_a_level(spark):
+    bad, calls = {*range(1000, 50_000, 2500)}, []
+
+    def attempt(part):
+        calls.append(part)
+        if any(x in bad for x in part):
+            raise ValueError("no")
+
+    found = bad_records(range, 50_000, attempt)
+    assert [(f.at, f.tries) for f in found] == [(at, 3) for at in sorted(bad)]
+    singles = [x[0] for x in calls if len(x) == 1 and x[0] in bad]
+    assert sorted(singles) == sorted([*bad] * 3) and len(calls) < 20 * len(bad)
+
+
+def test_attempts_share_their_compiled_code(spark, tmp_path):
+    parts = _Numbered(codes(spark, 1000, []), str(tmp_path / "rows"))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    code = {decode(parts.part(at, at + 7))._jdf.queryExecution().explainString(mode).split("Generated code")[1] for at in (0, 30, 100)}
+    assert len(code) == 1
+
+
 def test_faults_that_pass_set_nothing_aside(spark):
     left = [2]
 

@@ -1031,10 +1031,13 @@ def stream_bisect(spark, sf):
     sent = t.search_log(spark, sf).select("eventid", F.when(event % _BAD == 7, F.concat(F.lit("no number "), "eventid")).otherwise(F.col("eventid")).alias("code"), "keyword")
     sent.write.option("maxRecordsPerFile", _SENT).parquet(folder := staging_path(spark, "sent"))
 
+    # Made once: decoding is set up anew for every attempt, and building expressions took longer than running them.
+    number = F.try_to_number("code", F.lit("999999999999999"))
+    number = F.when(number.isNull(), F.raise_error(F.concat(F.lit("bad code: "), "code"))).otherwise(number)
+    decoded = [number.cast("bigint").alias("event"), F.length("keyword").cast("bigint").alias("letters")]
+
     def decode(rows: DataFrame) -> DataFrame:
-        number = F.try_to_number("code", F.lit("999999999999999"))
-        number = F.when(number.isNull(), F.raise_error(F.concat(F.lit("bad code: "), "code"))).otherwise(number)
-        return rows.select(number.cast("bigint").alias("event"), F.length("keyword").cast("bigint").alias("letters"))
+        return rows.select(*decoded)
 
     jobs.run_to_end(jobs.start_decode(jobs.follow(spark, folder, sent.schema, files_per_batch=2), decode, out, available_now=True))
     good = spark.read.schema("event bigint, letters bigint").parquet(f"{out}/data").select("event", "letters").withColumns({"dead": F.lit(False), "tries": F.lit(None).cast("bigint")})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
@@ -16,6 +16,7 @@ from trendloom.session import discard, passing_path
 TRIES = 3
 MOST_DEAD = 100
 THREADS = 12
+PAGE = 1000
 
 _AT, _TASK, _ROW = "_at", "_task", "_row"
 
@@ -45,30 +46,32 @@ class _Numbered:
     """The batch, written, whose records have numbers from 0 to ``count`` - 1.
 
     Records are numbered within their tasks, and tasks follow each other by their counts; nothing is sorted and no row moves. Each task's
-    records have a folder, and parts are told by written columns, so that an attempt reads the folders and pages of its part alone.
+    records have a folder, and parts are told by written columns, so that an attempt reads the folders and pages of its part alone. Numbers are
+    written as text: unlike a number, a text in a condition is not part of the generated code, so all attempts share what was compiled for the first.
     """
 
     def __init__(self, batch: DataFrame, path: str) -> None:
-        numbered = batch.withColumns({_TASK: F.spark_partition_id(), _ROW: F.monotonically_increasing_id()})
-        numbered.write.partitionBy(_TASK).parquet(path)
+        row = F.lpad(F.monotonically_increasing_id().cast("string"), 19, "0")
+        numbered = batch.withColumns({_TASK: F.spark_partition_id(), _ROW: row})
+        numbered.write.partitionBy(_TASK).option("parquet.page.row.count.limit", PAGE).parquet(path)
         self.rows = batch.sparkSession.read.schema(numbered.schema).parquet(path)
         found = self.rows.groupBy(_TASK).agg(F.count("*").alias("n"), F.min(_ROW).alias("low")).orderBy(_TASK).collect()
         self.tasks, self.starts, self.lows, self.count = [], [], [], 0
         for r in found:
             self.tasks.append(r[_TASK])
             self.starts.append(self.count)
-            self.lows.append(r["low"])
+            self.lows.append(int(r["low"]))
             self.count += r["n"]
 
-    def place(self, at: int) -> tuple[int, int]:
+    def place(self, at: int) -> tuple[int, str]:
         """Task and row of a number."""
         i = bisect_right(self.starts, at) - 1
-        return self.tasks[i], self.lows[i] + at - self.starts[i]
+        return self.tasks[i], f"{self.lows[i] + at - self.starts[i]:019d}"
 
     def part(self, low: int, high: int) -> DataFrame:
         """Records from low to high - 1."""
         (first, start), (last, end) = self.place(low), self.place(high - 1)
-        return self.rows.where(F.col(_TASK).between(first, last) & F.col(_ROW).between(start, end)).drop(_TASK, _ROW)
+        return self.rows.where(f"{_TASK} BETWEEN {first} AND {last} AND {_ROW} BETWEEN '{start}' AND '{end}'").drop(_TASK, _ROW)
 
 
 def bad_records(
@@ -82,8 +85,8 @@ def bad_records(
     """The records on which ``attempt`` fails, found by halving what fails.
 
     ``rows`` are numbered from 0 to ``count`` - 1 in ``_at``, or a function that gives those from low to high - 1. A half is not tried where the outcome follows: if the whole failed and the first half
-    did not, the second must. A single record is tried ``tries`` times. It takes about 2 * log2(count) attempts for each bad record, ``threads`` of them at a time; more
-    than ``most`` bad records raise :class:`TooManyBadRecords`.
+    did not, the second must. Parts so small that they seldom hold two bad records are searched for their first one, and what lies behind it is tried as one part; so each level costs
+    one attempt there. A single record is tried ``tries`` times. ``threads`` attempts run at a time; more than ``most`` bad records raise :class:`TooManyBadRecords`.
     """
     part = rows if callable(rows) else lambda low, high: rows.where(F.col(_AT).between(low, high - 1)).drop(_AT)
 
@@ -110,16 +113,33 @@ def bad_records(
         first = judge(low, middle, False)
         return [(low, middle, first), (middle, high, judge(middle, high, not first))]
 
+    def first_bad(low: int, high: int) -> list[tuple[int, int, Failure | bool]]:
+        """The first bad record of what failed, and all that follows it, with what became of them; what comes before it holds."""
+        end, outcome = high, True
+        while high - low > 1:
+            middle = (low + high) // 2
+            outcome = judge(low, middle, False)
+            low, high = (low, middle) if outcome else (middle, high)
+        if not isinstance(outcome, Failure):
+            outcome = judge(low, high, True)
+        rest = [(high, end, judge(high, end, False))] if high < end else []
+        return [(low, high, outcome), *rest]
+
+    def split(low: int, high: int) -> list[tuple[int, int, Failure | bool]]:
+        return (first_bad if high - low <= count // most else halved)(low, high)
+
     found: list[Failure] = []
-    inherit = inheritable_thread_target(SparkSession.active())
+    session = SparkSession.active()
     with ThreadPoolExecutor(threads) as pool:
         # The smallest parts come first, so that bad records stand alone, and too many are noticed, before all large parts were tried.
         whole = judge(0, count, False) if count else False
         found += [whole] if isinstance(whole, Failure) else []
-        open_ = [(0, count)] if whole is True else []
-        while open_:
-            open_, turn = open_[: -2 * threads], open_[-2 * threads :]
-            each = [x for both in pool.map(inherit(lambda r: halved(*r)), turn) for x in both]
+        open_, running = [(0, count)] if whole is True else [], set()
+        while open_ or running:
+            while open_ and len(running) < threads:
+                running.add(pool.submit(inheritable_thread_target(session)(split), *open_.pop()))
+            done, running = wait(running, return_when=FIRST_COMPLETED)
+            each = [x for future in done for x in future.result()]
             found += [x for _, _, x in each if isinstance(x, Failure)]
             if len(found) > most:
                 raise TooManyBadRecords(f"more than {most} records fail, the last with: {found[-1].error}")
@@ -147,7 +167,7 @@ def bisected(batch: DataFrame, work: Callable[[DataFrame], DataFrame], tries: in
         parts = _Numbered(batch, numbered)
         failures = bad_records(parts.part, parts.count, lambda part: work(part).write.format("noop").mode("overwrite").save(), tries, most)
         told = [(*parts.place(f.at), f.tries, f.error) for f in failures]
-        told = spark.createDataFrame(told, f"{_TASK} int, {_ROW} long, tries int, error string")
+        told = spark.createDataFrame(told, f"{_TASK} int, {_ROW} string, tries int, error string")
         apart = passing_path(spark, "dead")
         parts.rows.join(F.broadcast(told), [_TASK, _ROW]).drop(_TASK, _ROW).write.parquet(apart)
         left = parts.rows.join(F.broadcast(told), [_TASK, _ROW], "left_anti")
