@@ -146,3 +146,31 @@ def test_equal_token_sets_are_compared_once(spark):
     named, q, k = sim._sides(kw, lut)
     assert (named.count(), q.count(), k.count()) == (3, 1, 1)
     assert {r.kw: r.key for r in sim.fuzzy_join(kw, lut, min_len=1).collect()} == dict.fromkeys(["b a", "a b", "a  b"], "a b")
+
+
+def test_a_word_common_to_both_sides_makes_no_pairs(spark):
+    kw, lut = frames(spark, [f"the of q{i}xyz" for i in range(30)], [(f"the of k{i}abcdef", "G") for i in range(40)])
+    named, q, k = sim._sides(kw, lut, 0.08)
+    q, k = sim._numbered_grams(q, "q"), sim._numbered_grams(k, "k")
+    counts = sim._counts(k)
+    of = lambda df, side: sim._join_keys(df, side, counts, 0.08).where(f"{side}_pos IS NULL")
+    assert of(q, "q").join(of(k, "k"), F.col("q_key") == F.col("k_key")).count() == 0
+
+
+@pytest.mark.parametrize("seed, alphabet", [(1, "abcd"), (2, "ab"), (3, "aăâeêđôơ")])
+def test_covered_texts_are_settled_before_any_pair_is_made(spark, seed, alphabet):
+    queries, lookup = fixture(seed, alphabet)
+    queries = [*queries, "zz", "zz yy"]
+    named, q, k = sim._sides(*frames(spark, queries, lookup))
+    covered = sim._covered(q, k)
+    got = {r.kw: r.key for r in named.join(covered, "q_norm").join(k, "place").collect()}
+    first = {x: next((key for key, _ in lookup if (a := {*x.split()}) <= (b := {*key.split()}) or b <= a), None) for x in queries}
+    assert got == {x: key for x, key in first.items() if key} and "zz" not in got
+    plan = plan_of(covered).partition("(1)")[0]
+    assert covered.count() == len({" ".join(sorted({*x.split()})) for x in got}) and plan.count("HashAggregate") == 2 and "Arrow" not in plan
+
+
+def test_pairs_that_share_a_rare_word_alone_are_dropped_in_the_join(spark):
+    kw, lut = frames(spark, [f"word{i} aaaa bbbb cccc dddd" for i in range(20)], [(f"word{i} pppp rrrr ssss vvvv", "G") for i in range(20)])
+    named, q, k = sim._sides(kw, lut, 0.08)
+    assert sim._candidates(q, k, 0.08).count() == 0

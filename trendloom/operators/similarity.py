@@ -8,7 +8,8 @@ the best of
 * 100 - 100 * indel(x, y) / (length of both sides),
 * 100 - 100 * (1 + a) / (2s + 1 + a), and the same with b, when they share a token.
 
-Comparing all pairs is out of the question, so candidates come from an equi-join that no pair
+Comparing all pairs is out of the question. Texts that score 100 are settled first, by a join that tests within its condition whether
+one side has all tokens of the other and keeps the first key alone (see ``_covered``). For the rest, candidates come from an equi-join that no pair
 reaching the cutoff can escape. A text's keys for it are made within its row, by array functions: some of its tokens (see
 ``_rare_tokens``) and some of its letter pairs (see ``_join_keys``), rare ones first. How many lookup keys have a token is joined to the
 texts' tokens, so the order is exact however many tokens there are. What letter pairs are rare is read off the lookup
@@ -93,15 +94,14 @@ def _bucket(key: Column) -> Column:
 
 
 def _numbered_grams(df: DataFrame, side: str, where: Column | None = None) -> DataFrame:
-    """``{side}_grams``: the letter pairs of the space-padded text, repeats told apart by their number; none where ``where`` is false.
+    """``{side}_grams``: the letter pairs of the space-padded text, repeats told apart by their number. They make no join keys where ``where`` is false.
 
     Which pairs there are does not depend on token order.
     """
     norm = F.col(f"{side}_norm")
     padded = F.concat(F.lit(" "), norm, F.lit(" "))
     pairs = F.transform(F.sequence(F.lit(1), F.length(norm) + 1), lambda i: F.substring(padded, i, F.lit(2)))
-    pairs = F.sort_array(pairs)
-    df = _computed(df, _pairs=pairs if where is None else F.when(where, pairs).otherwise(F.array().cast("array<string>")))
+    df = _computed(df, _pairs=F.sort_array(pairs), _near=F.lit(True) if where is None else where)
     number = lambda p, i: (i + 2 - F.array_position("_pairs", p)).cast("string")
     return _computed(df, **{f"{side}_grams": F.transform("_pairs", lambda p, i: F.concat(F.lit("g"), p, number(p, i)))}).drop("_pairs")
 
@@ -116,9 +116,10 @@ def _counts(keys: DataFrame) -> Column:
 
 
 def _ranked(texts: DataFrame, side: str, counts: DataFrame) -> DataFrame:
-    """({side}_norm, _tokens): the tokens of each distinct text with the number of lookup keys that have them, rarest first."""
+    """({side}_norm, _tokens): the tokens of each distinct text with the number of lookup keys that have them, rarest first, and what else ``counts`` tells of them."""
     each = texts.select(f"{side}_norm", F.explode(_token_list(side)).alias("token")).join(counts, "token", "left")
-    one = F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.concat(F.lit("t"), "token").alias("key"))
+    told = [F.coalesce(name, F.lit(False)).alias(name) for name in counts.columns if name not in ("token", "n")]
+    one = F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.concat(F.lit("t"), "token").alias("key"), *told)
     return each.groupBy(f"{side}_norm").agg(F.sort_array(F.collect_list(one)).alias("_tokens"))
 
 
@@ -144,13 +145,32 @@ def _bits(places: Column, word: int) -> Column:
     return F.aggregate(places, F.lit(0).cast("bigint"), lambda acc, p: acc.bitwiseOR(here(p)))
 
 
-def _join_keys(df: DataFrame, side: str, counts: Column | None, delta: float) -> DataFrame:
-    """A row for each key of a text that the lookup has: all tokens, rare or not, and, with ``counts``, the rarest letter pairs with their places.
+def _hashed(keys: Column) -> Column:
+    """A place in a bitmap for each key."""
+    return F.transform(keys, lambda k: F.pmod(F.xxhash64(k), F.lit(64 * _WORDS)).cast("int"))
+
+
+def _with_bits(df: DataFrame, side: str, places: str) -> DataFrame:
+    return _computed(df, **{f"{side}_bits{w}": _bits(F.col(places), w) for w in range(_WORDS)})
+
+
+def _share(delta: float) -> float:
+    """How much of a text's length its unshared tokens may weigh in the third form of the score."""
+    return 2 * delta / (1 + delta)
+
+
+def _rare_of(side: str, delta: float) -> Column:
+    return _rare_tokens(F.transform("_tokens", lambda t: t["key"]), F.length(f"{side}_norm") * _share(delta) + _EPS)
+
+
+def _join_keys(df: DataFrame, side: str, counts: Column, delta: float) -> DataFrame:
+    """A row for each key of a text that the other side may have: tokens, and the rarest letter pairs with their places.
 
     Tokens. The third form of the score reaches the cutoff only if the unshared tokens of a side weigh
     at most 2 * delta / (1 + delta) of its length. So one of that side's rarest tokens,
     enough of them to exceed that weight, must be shared; it is among all tokens of the
-    other side. A common word is rarely among a text's rarest tokens, which is what keeps the pairs of a hot token few.
+    other side. Rare tokens of lookup keys meet all tokens of texts, and rare ones of texts, under keys of their own, all tokens of lookup keys: a common word,
+    rare to neither, meets nothing.
 
     Letter pairs. The second form reaches the cutoff only if indel <= delta * (sum of lengths). A text has
     one letter pair more than its length; a deletion loses two of them, an insertion one. So both
@@ -158,28 +178,26 @@ def _join_keys(df: DataFrame, side: str, counts: Column | None, delta: float) ->
     two such texts share one early on: within a prefix, as many as are needed to meet any partner. Keys of letter pairs hold a step of the
     length as well. Near lengths are on the same step or on neighbouring ones, so lookup keys stand on three and texts on one.
     """
-    share = 2 * delta / (1 + delta)
     n = F.length(f"{side}_norm")
-    made = {"_rare": _rare_tokens(F.transform("_tokens", lambda t: t["key"]), n * share + _EPS)}
-    if counts is not None:
-        made["_ordered"] = _rarest_first(F.col(f"{side}_grams"), counts)
-        made["_places"] = F.transform(f"{side}_grams", lambda g: F.pmod(F.xxhash64(g), F.lit(64 * _WORDS)).cast("int"))
-    df = _computed(df, **made)
-    entry = lambda key, place, is_rare: F.struct(key.alias("key"), place.alias("pos"), is_rare.alias("rare"))
+    df = _computed(df, _rare=_rare_of(side, delta), _ordered=_rarest_first(F.col(f"{side}_grams"), counts), _places=_hashed(F.col(f"{side}_grams")))
+    df = _computed(_with_bits(df, side, "_places"), **{f"{side}_len": n})
+    entry = lambda key, place: F.struct(key.alias("key"), place.alias("pos"))
     none = F.lit(None).cast("int")
-    held = F.filter("_tokens", lambda t: t["n"] > 0)
-    entries = F.transform(held, lambda t: entry(t["key"], none, F.array_contains("_rare", t["key"])))
-    if counts is not None:
-        df = _computed(df, **{f"{side}_len": n}, **{f"{side}_bits{w}": _bits(F.col("_places"), w) for w in range(_WORDS)})
-        least_common = F.ceil(n * ((1 - 3 * delta) / (1 + delta)) + 1 - _EPS)
-        prefix = F.slice("_ordered", F.lit(1), F.greatest(n + 2 - least_common, F.lit(0)).cast("int"))
-        placed = F.transform(prefix, lambda g, i: entry(g, i, F.lit(False)))
-        placed = F.filter(placed, lambda e: counts[_bucket(e["key"])] > 0)
-        step = F.floor(F.log(n.cast("double")) / (math.log((1 + delta) / (1 - delta)) + _EPS) if delta else n).cast("int")
-        at = lambda d: F.transform(placed, lambda e: entry(F.concat(e["key"], F.lit(":"), (step + d).cast("string")), e["pos"], e["rare"]))
-        entries = F.concat(entries, *[at(d) for d in ((0,) if side == "q" else (-1, 0, 1))])
-    rows = df.withColumn("_entry", F.explode(entries)).drop("_tokens", "_ordered", "_places", "_rare", f"{side}_grams")
-    return rows.select("*", *[F.col(f"_entry.{f}").alias(f"{side}_{f}") for f in ("key", "pos", "rare")]).drop("_entry")
+    is_rare = lambda t: F.array_contains("_rare", t["key"])
+    by_key, by_text = (lambda t: t["rare"], lambda t: is_rare(t) & (t["n"] > 0)) if side == "q" else (is_rare, lambda t: F.lit(True))
+    entries = F.concat(
+        F.transform(F.filter("_tokens", by_key), lambda t: entry(t["key"], none)),
+        F.transform(F.filter("_tokens", by_text), lambda t: entry(F.concat(F.lit("r"), t["key"]), none)),
+    )
+    least_common = F.ceil(n * ((1 - 3 * delta) / (1 + delta)) + 1 - _EPS)
+    prefix = F.slice("_ordered", F.lit(1), F.when(F.col("_near"), F.greatest(n + 2 - least_common, F.lit(0))).otherwise(0).cast("int"))
+    placed = F.transform(prefix, lambda g, i: entry(g, i))
+    placed = F.filter(placed, lambda e: counts[_bucket(e["key"])] > 0)
+    step = F.floor(F.log(n.cast("double")) / (math.log((1 + delta) / (1 - delta)) + _EPS) if delta else n).cast("int")
+    at = lambda d: F.transform(placed, lambda e: entry(F.concat(e["key"], F.lit(":"), (step + d).cast("string")), e["pos"]))
+    entries = F.concat(entries, *[at(d) for d in ((0,) if side == "q" else (-1, 0, 1))])
+    rows = df.withColumn("_entry", F.explode(entries)).drop("_tokens", "_ordered", "_places", "_rare", "_near", f"{side}_grams")
+    return rows.select("*", *[F.col(f"_entry.{f}").alias(f"{side}_{f}") for f in ("key", "pos")]).drop("_entry")
 
 
 def _missing(side: str, other: str) -> Column:
@@ -190,35 +208,57 @@ def _missing(side: str, other: str) -> Column:
     return sum(counts[1:], counts[0])
 
 
-def _candidates(q: DataFrame, k: DataFrame, delta: float, grams: bool) -> DataFrame:
+def _candidates(q: DataFrame, k: DataFrame, delta: float) -> DataFrame:
     """Pairs that can reach the cutoff: they share a token that is rare to one side, or are near in letters.
 
-    For the latter, a shared letter pair must stand at places that leave enough pairs behind it, lengths must be near,
-    and the bitmaps of all pairs must not differ in more bits than pairs may be missing. All of
+    Every unshared token takes its letter pairs with it, so in the former case the bitmap of all pairs of that side must lack few bits on the other. For
+    the latter, a shared letter pair must stand at places that leave enough pairs behind it, lengths must be near,
+    and the bitmaps must not differ in more bits than pairs may be missing. All of
     this is part of the join condition, so pairs that fail it are never emitted.
     """
-    counts = None
-    if grams:
-        lengths = k.agg(F.min(F.length("k_norm")).alias("low"), F.max(F.length("k_norm")).alias("high")).first()
-        reach, n = (1 + delta) / (1 - delta), F.length("q_norm")
-        near_any = n.between((lengths["low"] or 0) / reach - 1, (lengths["high"] or 0) * reach + 1)
-        q, k = _numbered_grams(q, "q", near_any), _numbered_grams(k, "k")
-        counts = _counts(k)
+    lengths = k.agg(F.min(F.length("k_norm")).alias("low"), F.max(F.length("k_norm")).alias("high")).first()
+    reach, n = (1 + delta) / (1 - delta), F.length("q_norm")
+    near_any = n.between((lengths["low"] or 0) / reach - 1, (lengths["high"] or 0) * reach + 1)
+    q, k = _numbered_grams(q, "q", near_any), _numbered_grams(k, "k")
+    counts = _counts(k)
     q_keys, k_keys = _join_keys(q, "q", counts, delta), _join_keys(k, "k", counts, delta)
-    joins = F.col("q_rare") | F.col("k_rare")
-    if grams:
-        q_len, k_len = F.col("q_len"), F.col("k_len")
-        common = (q_len + k_len) * (0.5 - 1.5 * delta) + 1 - _EPS
-        near = F.abs(q_len - k_len) <= (q_len + k_len) * delta + _EPS
-        behind = 1 + F.least(q_len - F.col("q_pos"), k_len - F.col("k_pos")) >= common
-        alike = (_missing("q", "k") <= q_len + 1 - common) & (_missing("k", "q") <= k_len + 1 - common)
-        joins = joins | F.coalesce(near & behind & alike, F.lit(False))
+    q_len, k_len = F.col("q_len"), F.col("k_len")
+    q_lacks, k_lacks = _missing("q", "k"), _missing("k", "q")
+    common = (q_len + k_len) * (0.5 - 1.5 * delta) + 1 - _EPS
+    near = F.abs(q_len - k_len) <= (q_len + k_len) * delta + _EPS
+    behind = 1 + F.least(q_len - F.col("q_pos"), k_len - F.col("k_pos")) >= common
+    by_letters = near & behind & (q_lacks <= q_len + 1 - common) & (k_lacks <= k_len + 1 - common)
+    by_tokens = (q_lacks <= q_len * _share(delta) + _EPS) | (k_lacks <= k_len * _share(delta) + _EPS)
+    joins = F.when(F.col("q_pos").isNull(), by_tokens).otherwise(by_letters)
     pairs = q_keys.hint("merge").join(k_keys, (F.col("q_key") == F.col("k_key")) & joins)
     # Dealt out by text, the repeats of a pair and the best of a text meet without another shuffle.
     parts = int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return pairs.select("q_norm", "key", "k_norm", "genre", "ordinal").repartition(parts, "q_norm").dropDuplicates(["q_norm", "k_norm"])
 
 
+def _covered(q: DataFrame, k: DataFrame) -> DataFrame:
+    """(q_norm, place): the first lookup key whose tokens contain the text's or are contained in them.
+
+    A key within a text has its rarest token there, a text within a key its own. So texts bring those of their tokens that are some key's rarest, and, under another key, their
+    rarest one alone. The condition holds the whole test, bitmaps of tokens first, and each task keeps the first place of a text: pairs
+    are neither written nor sent.
+    """
+    def keyed(df: DataFrame, side: str, within: Column, around: Column) -> DataFrame:
+        entry = lambda inner: lambda t: F.struct(F.concat(F.lit("k" if inner else "q"), t["key"]).alias("key"), F.lit(inner).alias("inner"))
+        df = _computed(df, _places=_hashed(_token_list(side)), _entries=F.concat(F.transform(within, entry(True)), F.transform(around, entry(False))))
+        df = _with_bits(df, side, "_places").withColumn("_entry", F.explode("_entries"))
+        rest = [] if side == "q" else ["place"]
+        return df.select(f"{side}_norm", *rest, *[f"{side}_bits{w}" for w in range(_WORDS)], *[F.col(f"_entry.{f}").alias(f"{side}_{f}") for f in ("key", "inner")])
+
+    first = F.slice("_tokens", 1, 1)
+    q = keyed(q, "q", F.filter("_tokens", lambda t: t["first"]), F.filter(first, lambda t: t["n"] > 0))
+    k = keyed(k, "k", first, F.col("_tokens"))
+    lacks_none = lambda a, b: (_missing(a, b) == 0) & (F.size(F.array_except(_token_list(a), _token_list(b))) == 0)
+    test = F.when(F.col("q_inner"), lacks_none("k", "q")).otherwise(lacks_none("q", "k"))
+    found = q.hint("merge").join(k, (F.col("q_key") == F.col("k_key")) & test)
+    return found.groupBy("q_norm").agg(F.min("place").alias("place"))
+
+
 def _with_score(pairs: DataFrame, cutoff: float) -> DataFrame:
     delta = 1 - cutoff / 100
     pairs = _computed(pairs, _q=_token_list("q"), _k=_token_list("k"))
@@ -253,34 +293,42 @@ def _with_score(pairs: DataFrame, cutoff: float) -> DataFrame:
     return pairs.where(F.col("score") >= cutoff)
 
 
-def _sides(keywords: DataFrame, lookup: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _sides(keywords: DataFrame, lookup: DataFrame, delta: float = 0.0) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(kw, q_norm) of all keywords, then both sides of the join with one row per text, written once, as every branch of the join reads them.
 
-    Of lookup keys with the same tokens only the first can be an answer. Texts get the full number of partitions: they are few bytes now, which would let adaptive
+    Of lookup keys with the same tokens only the first can be an answer; ``place`` numbers them in file order. Tokens of texts tell whether they are the rarest one of a
+    lookup key, and whether they are ``rare`` to one. Texts get the full number of partitions: they are few bytes now, which would let adaptive
     execution merge them into few tasks, but many rows once taken apart.
     """
     parts = int(keywords.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     named = stage(_profile(keywords.select("kw").distinct(), "kw", "q"), "keywords")
     k = _profile(lookup.select(F.col("keyword").alias("key"), "genre", "ordinal"), "key", "k")
-    k = stage(k.groupBy("k_norm").agg(F.min(F.struct("ordinal", "key", "genre")).alias("m")).select("k_norm", "m.*"), "keys")
+    k = k.groupBy("k_norm").agg(F.min(F.struct("ordinal", "key", "genre")).alias("m")).select("k_norm", "m.*")
+    k = stage(k.orderBy("ordinal", "key").withColumn("place", F.monotonically_increasing_id()), "keys")
     counts = stage(k.select(F.explode(_token_list("k")).alias("token")).groupBy("token").agg(F.count("*").alias("n")), "token-counts")
-    q = stage(_ranked(named.select("q_norm").distinct(), "q", counts), "ranked-keywords")
     k = stage(_ranked(k, "k", counts).join(k, "k_norm"), "ranked-keys")
+    told = F.transform("_tokens", lambda t, i: F.struct(F.substr(t["key"], F.lit(2)).alias("token"), (i == 0).alias("first"), F.array_contains("_rare", t["key"]).alias("rare")))
+    each = _computed(k, _rare=_rare_of("k", delta)).select(F.inline(told))
+    counts = stage(each.groupBy("token").agg(F.count("*").alias("n"), F.max("first").alias("first"), F.max("rare").alias("rare")), "token-uses")
+    q = stage(_ranked(named.select("q_norm").distinct(), "q", counts), "ranked-keywords")
     return named, q.repartition(parts, "q_norm"), k.repartition(parts, "k_norm")
 
 
-def _first_best(scored: DataFrame, named: DataFrame) -> DataFrame:
-    """Highest score per keyword, the earliest lookup entry on ties."""
+def _first_best(scored: DataFrame) -> DataFrame:
+    """Highest score per text, the earliest lookup entry on ties."""
     best = scored.groupBy("q_norm").agg(F.max_by(F.struct("key", "genre", "ordinal", "score"), F.struct("score", -F.col("ordinal"))).alias("m"))
-    return named.join(best, "q_norm").select("kw", "m.key", "m.genre", "m.ordinal", "m.score")
+    return best.select("q_norm", "m.*")
+
+
+def _answers(covered: DataFrame, k: DataFrame) -> DataFrame:
+    return covered.join(k.select("place", "key", "genre", "ordinal"), "place").select("q_norm", "key", "genre", "ordinal", F.lit(100.0).alias("score"))
 
 
 def token_subset_join(keywords: DataFrame, lookup: DataFrame) -> DataFrame:
     """First lookup entry, in file order, whose tokens contain the keyword's or are contained in them."""
     named, q, k = _sides(keywords, lookup)
-    pairs = _computed(_candidates(q, k, 0.0, grams=False), _q=_token_list("q"), _k=_token_list("k"))
-    covered = (F.size(F.array_except("_q", "_k")) == 0) | (F.size(F.array_except("_k", "_q")) == 0)
-    return _first_best(pairs.where(covered).withColumn("score", F.lit(100.0)), named)
+    covered = stage(_covered(q, k), "covered")
+    return named.join(_answers(covered, k), "q_norm").select("kw", "key", "genre", "ordinal", "score")
 
 
 def fuzzy_join(keywords: DataFrame, lookup: DataFrame, cutoff: float = 85, min_len: int = 4) -> DataFrame:
@@ -291,8 +339,11 @@ def fuzzy_join(keywords: DataFrame, lookup: DataFrame, cutoff: float = 85, min_l
     if not 67 <= cutoff <= 100:
         raise ValueError("cutoff must lie between 67 and 100: below that no candidate filter holds")
     delta = 1 - cutoff / 100
-    named, q, k = _sides(keywords.where(F.length("kw") >= min_len), lookup)
-    return _first_best(_with_score(_candidates(q, k, delta, grams=True), cutoff), named)
+    named, q, k = _sides(keywords.where(F.length("kw") >= min_len), lookup, delta)
+    covered = stage(_covered(q, k), "covered")
+    open_ = stage(q.join(covered, "q_norm", "left_anti"), "open-keywords").repartition(int(q.sparkSession.conf.get("spark.sql.shuffle.partitions")), "q_norm")
+    best = _first_best(_with_score(_candidates(open_, k, delta), cutoff))
+    return named.join(best.unionByName(_answers(covered, k)), "q_norm").select("kw", "key", "genre", "ordinal", "score")
 
 
 def fuzzy_ext_join(keywords: DataFrame, lookup_ext: DataFrame, cutoff: float = 92, min_len: int = 8) -> DataFrame:
