@@ -174,3 +174,10 @@ def test_pairs_that_share_a_rare_word_alone_are_dropped_in_the_join(spark):
     kw, lut = frames(spark, [f"word{i} aaaa bbbb cccc dddd" for i in range(20)], [(f"word{i} pppp rrrr ssss vvvv", "G") for i in range(20)])
     named, q, k = sim._sides(kw, lut, 0.08)
     assert sim._candidates(q, k, 0.08).count() == 0
+
+
+def test_keys_with_an_earlier_key_within_them_are_not_looked_for(spark):
+    kw, lut = frames(spark, ["a b x", "c d y"], [("a x", "1"), ("b a", "2"), ("a b x", "3"), ("d c", "4"), ("c", "5"), ("b a x q", "6")])
+    named, q, k = sim._sides(kw, lut)
+    assert {r.key for r in k.where("leads").collect()} == {"a x", "b a", "d c", "c"}
+    assert {r.kw: r.key for r in sim.token_subset_join(kw, lut).collect()} == {"a b x": "a x", "c d y": "d c"}

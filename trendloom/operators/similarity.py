@@ -41,6 +41,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _EPS = 1e-9
 _WORDS = 4
+_TOKEN_WORDS = 2
 _BUCKETS = 1 << 14
 
 
@@ -145,13 +146,13 @@ def _bits(places: Column, word: int) -> Column:
     return F.aggregate(places, F.lit(0).cast("bigint"), lambda acc, p: acc.bitwiseOR(here(p)))
 
 
-def _hashed(keys: Column) -> Column:
+def _hashed(keys: Column, words: int = _WORDS) -> Column:
     """A place in a bitmap for each key."""
-    return F.transform(keys, lambda k: F.pmod(F.xxhash64(k), F.lit(64 * _WORDS)).cast("int"))
+    return F.transform(keys, lambda k: F.pmod(F.xxhash64(k), F.lit(64 * words)).cast("int"))
 
 
-def _with_bits(df: DataFrame, side: str, places: str) -> DataFrame:
-    return _computed(df, **{f"{side}_bits{w}": _bits(F.col(places), w) for w in range(_WORDS)})
+def _with_bits(df: DataFrame, side: str, places: str, words: int = _WORDS) -> DataFrame:
+    return _computed(df, **{f"{side}_bits{w}": _bits(F.col(places), w) for w in range(words)})
 
 
 def _share(delta: float) -> float:
@@ -200,10 +201,10 @@ def _join_keys(df: DataFrame, side: str, counts: Column, delta: float) -> DataFr
     return rows.select("*", *[F.col(f"_entry.{f}").alias(f"{side}_{f}") for f in ("key", "pos")]).drop("_entry")
 
 
-def _missing(side: str, other: str) -> Column:
-    """Bits of one side the other lacks; each stands for at least one letter pair it lacks."""
+def _missing(side: str, other: str, words: int = _WORDS) -> Column:
+    """Bits of one side the other lacks; each stands for at least one letter pair, or token, it lacks."""
     counts = [
-        F.bit_count(F.col(f"{side}_bits{w}").bitwiseAND(F.bitwise_not(f"{other}_bits{w}"))) for w in range(_WORDS)
+        F.bit_count(F.col(f"{side}_bits{w}").bitwiseAND(F.bitwise_not(f"{other}_bits{w}"))) for w in range(words)
     ]
     return sum(counts[1:], counts[0])
 
@@ -219,6 +220,9 @@ def _candidates(q: DataFrame, k: DataFrame, delta: float) -> DataFrame:
     lengths = k.agg(F.min(F.length("k_norm")).alias("low"), F.max(F.length("k_norm")).alias("high")).first()
     reach, n = (1 + delta) / (1 - delta), F.length("q_norm")
     near_any = n.between((lengths["low"] or 0) / reach - 1, (lengths["high"] or 0) * reach + 1)
+    # Texts get the full number of partitions: they are few bytes now, which would let adaptive execution merge them into few tasks, but many rows once taken apart.
+    parts = int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    q, k = q.repartition(parts, "q_norm"), k.drop("place", "leads").repartition(parts, "k_norm")
     q, k = _numbered_grams(q, "q", near_any), _numbered_grams(k, "k")
     counts = _counts(k)
     q_keys, k_keys = _join_keys(q, "q", counts, delta), _join_keys(k, "k", counts, delta)
@@ -232,28 +236,27 @@ def _candidates(q: DataFrame, k: DataFrame, delta: float) -> DataFrame:
     joins = F.when(F.col("q_pos").isNull(), by_tokens).otherwise(by_letters)
     pairs = q_keys.hint("merge").join(k_keys, (F.col("q_key") == F.col("k_key")) & joins)
     # Dealt out by text, the repeats of a pair and the best of a text meet without another shuffle.
-    parts = int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return pairs.select("q_norm", "key", "k_norm", "genre", "ordinal").repartition(parts, "q_norm").dropDuplicates(["q_norm", "k_norm"])
 
 
-def _covered(q: DataFrame, k: DataFrame) -> DataFrame:
-    """(q_norm, place): the first lookup key whose tokens contain the text's or are contained in them.
+def _covered(q: DataFrame, k: DataFrame, around: bool = True) -> DataFrame:
+    """(q_norm, place): the first lookup key whose tokens are contained in the text's, or, if ``around``, contain them.
 
     A key within a text has its rarest token there, a text within a key its own. So texts bring those of their tokens that are some key's rarest, and, under another key, their
-    rarest one alone. The condition holds the whole test, bitmaps of tokens first, and each task keeps the first place of a text: pairs
+    rarest one alone. A key with an earlier one within it is never the first within a text; only those that lead are looked for there. The condition holds the whole test, bitmaps of tokens first, and each task keeps the first place of a text: pairs
     are neither written nor sent.
     """
-    def keyed(df: DataFrame, side: str, within: Column, around: Column) -> DataFrame:
+    def keyed(df: DataFrame, side: str, inner: Column, outer: Column) -> DataFrame:
         entry = lambda inner: lambda t: F.struct(F.concat(F.lit("k" if inner else "q"), t["key"]).alias("key"), F.lit(inner).alias("inner"))
-        df = _computed(df, _places=_hashed(_token_list(side)), _entries=F.concat(F.transform(within, entry(True)), F.transform(around, entry(False))))
-        df = _with_bits(df, side, "_places").withColumn("_entry", F.explode("_entries"))
+        df = _computed(df, _places=_hashed(_token_list(side), _TOKEN_WORDS), _entries=F.concat(F.transform(inner, entry(True)), F.transform(F.filter(outer, lambda t: F.lit(around)), entry(False))))
+        df = _with_bits(df, side, "_places", _TOKEN_WORDS).withColumn("_entry", F.explode("_entries"))
         rest = [] if side == "q" else ["place"]
-        return df.select(f"{side}_norm", *rest, *[f"{side}_bits{w}" for w in range(_WORDS)], *[F.col(f"_entry.{f}").alias(f"{side}_{f}") for f in ("key", "inner")])
+        return df.select(f"{side}_norm", *rest, *[f"{side}_bits{w}" for w in range(_TOKEN_WORDS)], *[F.col(f"_entry.{f}").alias(f"{side}_{f}") for f in ("key", "inner")])
 
     first = F.slice("_tokens", 1, 1)
     q = keyed(q, "q", F.filter("_tokens", lambda t: t["first"]), F.filter(first, lambda t: t["n"] > 0))
-    k = keyed(k, "k", first, F.col("_tokens"))
-    lacks_none = lambda a, b: (_missing(a, b) == 0) & (F.size(F.array_except(_token_list(a), _token_list(b))) == 0)
+    k = keyed(k, "k", F.filter(first, lambda t: F.col("leads")), F.col("_tokens"))
+    lacks_none = lambda a, b: (_missing(a, b, _TOKEN_WORDS) == 0) & (F.size(F.array_except(_token_list(a), _token_list(b))) == 0)
     test = F.when(F.col("q_inner"), lacks_none("k", "q")).otherwise(lacks_none("q", "k"))
     found = q.hint("merge").join(k, (F.col("q_key") == F.col("k_key")) & test)
     return found.groupBy("q_norm").agg(F.min("place").alias("place"))
@@ -293,25 +296,32 @@ def _with_score(pairs: DataFrame, cutoff: float) -> DataFrame:
     return pairs.where(F.col("score") >= cutoff)
 
 
+def _uses(k: DataFrame, delta: float) -> DataFrame:
+    """How many lookup keys have a token, whether it is the ``first``, or rarest, of one that leads, and whether it is ``rare`` to one."""
+    told = lambda t, i: F.struct(
+        F.substr(t["key"], F.lit(2)).alias("token"), ((i == 0) & F.col("leads")).alias("first"), F.array_contains("_rare", t["key"]).alias("rare")
+    )
+    each = _computed(k, _rare=_rare_of("k", delta)).select(F.inline(F.transform("_tokens", told)))
+    return stage(each.groupBy("token").agg(F.count("*").alias("n"), F.max("first").alias("first"), F.max("rare").alias("rare")), "token-uses")
+
+
 def _sides(keywords: DataFrame, lookup: DataFrame, delta: float = 0.0) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(kw, q_norm) of all keywords, then both sides of the join with one row per text, written once, as every branch of the join reads them.
 
-    Of lookup keys with the same tokens only the first can be an answer; ``place`` numbers them in file order. Tokens of texts tell whether they are the rarest one of a
-    lookup key, and whether they are ``rare`` to one. Texts get the full number of partitions: they are few bytes now, which would let adaptive
-    execution merge them into few tasks, but many rows once taken apart.
+    Of lookup keys with the same tokens only the first can be an answer. ``place`` numbers keys in file order, and a key ``leads`` if no earlier one lies within it. Tokens of texts
+    tell how lookup keys use them (see ``_uses``).
     """
-    parts = int(keywords.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     named = stage(_profile(keywords.select("kw").distinct(), "kw", "q"), "keywords")
     k = _profile(lookup.select(F.col("keyword").alias("key"), "genre", "ordinal"), "key", "k")
     k = k.groupBy("k_norm").agg(F.min(F.struct("ordinal", "key", "genre")).alias("m")).select("k_norm", "m.*")
     k = stage(k.orderBy("ordinal", "key").withColumn("place", F.monotonically_increasing_id()), "keys")
     counts = stage(k.select(F.explode(_token_list("k")).alias("token")).groupBy("token").agg(F.count("*").alias("n")), "token-counts")
-    k = stage(_ranked(k, "k", counts).join(k, "k_norm"), "ranked-keys")
-    told = F.transform("_tokens", lambda t, i: F.struct(F.substr(t["key"], F.lit(2)).alias("token"), (i == 0).alias("first"), F.array_contains("_rare", t["key"]).alias("rare")))
-    each = _computed(k, _rare=_rare_of("k", delta)).select(F.inline(told))
-    counts = stage(each.groupBy("token").agg(F.count("*").alias("n"), F.max("first").alias("first"), F.max("rare").alias("rare")), "token-uses")
-    q = stage(_ranked(named.select("q_norm").distinct(), "q", counts), "ranked-keywords")
-    return named, q.repartition(parts, "q_norm"), k.repartition(parts, "k_norm")
+    k = stage(_ranked(k, "k", counts).join(k, "k_norm").withColumn("leads", F.lit(True)), "ranked-keys")
+    earliest = _covered(_ranked(k, "k", _uses(k, delta)).withColumnRenamed("k_norm", "q_norm"), k, around=False)
+    earliest = earliest.select(F.col("q_norm").alias("k_norm"), F.col("place").alias("_earliest"))
+    k = stage(k.join(earliest, "k_norm").withColumn("leads", F.col("place") == F.col("_earliest")).drop("_earliest"), "led-keys")
+    q = stage(_ranked(named.select("q_norm").distinct(), "q", _uses(k, delta)), "ranked-keywords")
+    return named, q, k
 
 
 def _first_best(scored: DataFrame) -> DataFrame:
@@ -341,7 +351,7 @@ def fuzzy_join(keywords: DataFrame, lookup: DataFrame, cutoff: float = 85, min_l
     delta = 1 - cutoff / 100
     named, q, k = _sides(keywords.where(F.length("kw") >= min_len), lookup, delta)
     covered = stage(_covered(q, k), "covered")
-    open_ = stage(q.join(covered, "q_norm", "left_anti"), "open-keywords").repartition(int(q.sparkSession.conf.get("spark.sql.shuffle.partitions")), "q_norm")
+    open_ = stage(q.join(covered, "q_norm", "left_anti"), "open-keywords")
     best = _first_best(_with_score(_candidates(open_, k, delta), cutoff))
     return named.join(best.unionByName(_answers(covered, k)), "q_norm").select("kw", "key", "genre", "ordinal", "score")
 
