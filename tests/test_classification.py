@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from trendloom.operators import classification as cl
-from trendloom.operators import labelling
+from trendloom.operators import labelling, similarity
 
 
 def lookup(spark, entries):
@@ -184,3 +184,18 @@ def test_ledger_query_makes_the_pool_once(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(queries.labelling.AnswerLedger, "run", lambda self, keywords, provider: read.append(sorted(keywords.inputFiles())) or run(self, keywords, provider))
     assert queries.QUERIES["label_ledger"](spark, sf_dir).count() > 0
     assert len(read) == 2 and read[0] == read[1] and all("/pool-" in f for f in read[0])
+
+
+def test_only_keywords_no_lookup_key_covers_are_compared(spark, monkeypatch):
+    compared, candidates = [], similarity._candidates
+
+    def watched(q, k, delta):
+        compared.append({r.q_norm for r in q.collect()})
+        return candidates(q, k, delta)
+
+    monkeypatch.setattr(similarity, "_candidates", watched)
+    kw = keywords(spark, "qwx blorptz zzz", "blorpta", "zwq kkw in the box", "zwq kkw in thf box")
+    got = cl.classify_keywords(kw, lookup(spark, [("blorptz", "ANIME")]), lookup(spark, [("in the box", "NHAC"), ("zwq kkw in the box two", "THE_THAO")]), fuzzy_ext=True)
+    stages = {r.keyword_norm: (r.derived_genre, r.stage) for r in got.collect()}
+    assert stages["qwx blorptz zzz"] == ("ANIME", "fuzzy") and stages["blorpta"][1] == "fuzzy" and stages["zwq kkw in the box"] == ("NHAC", "fuzzy_ext")
+    assert len(compared) == 2 and "blorptz qwx zzz" not in compared[0] and "box in kkw the zwq" not in compared[1] and "blorpta" in compared[0]

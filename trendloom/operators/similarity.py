@@ -222,6 +222,7 @@ def _candidates(q: DataFrame, k: DataFrame, delta: float) -> DataFrame:
     near_any = n.between((lengths["low"] or 0) / reach - 1, (lengths["high"] or 0) * reach + 1)
     # Texts get the full number of partitions: they are few bytes now, which would let adaptive execution merge them into few tasks, but many rows once taken apart.
     parts = int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    q = q.where(near_any | F.exists("_tokens", lambda t: t["n"] > 0))
     q, k = q.repartition(parts, "q_norm"), k.drop("place", "leads").repartition(parts, "k_norm")
     q, k = _numbered_grams(q, "q", near_any), _numbered_grams(k, "k")
     counts = _counts(k)
